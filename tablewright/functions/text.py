@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 WORD = r"(?U)\S+"
-TERM = r"(?U)\b\w\w+\b"
+TERM = r"[\p{L}\p{N}_]{2,}"  # runs of letters, digits and underscores
 
 
 def _col(c: Column | str) -> Column:

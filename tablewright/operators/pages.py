@@ -146,15 +146,12 @@ def extract_sections(
         .withColumn("_heads", useful)
         .select(page, "_heads", F.explode(F.filter("_parts", lambda p: ~p["is_heading"])).alias("_l"))
     )
-    last = F.element_at(
-        F.filter("_heads", lambda h: h["position"] < F.col("_l.position")), F.lit(-1)
-    )
-    above = F.exists("_heads", lambda h: h["position"] < F.col("_l.position"))
+    before = F.filter("_heads", lambda h: h["position"] < F.col("_l.position"))
+    last = F.try_element_at(before, F.lit(-1))
     return (
-        labels.where(above)
-        .select(page, F.col("_l.position").alias("position"), last["text"].alias("heading"),
-                F.col("_l.text").alias("label"))
-        .where((F.col("label") != "") & (F.length("label") <= max_length))
+        labels.select(page, F.col("_l.position").alias("position"), last["text"].alias("heading"),
+                      F.col("_l.text").alias("label"))
+        .where(F.col("heading").isNotNull() & (F.col("label") != "") & (F.length("label") <= max_length))
         .select(page, "position", "heading", section.alias("section"), "label")
     )
 
