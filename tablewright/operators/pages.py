@@ -163,10 +163,8 @@ def section_lists(labels: DataFrame, page: str, names: Mapping[str, str]) -> Dat
     """
     ordered = F.array_sort(F.collect_list(F.struct("position", "section", "label")))
     grouped = labels.groupBy(page).agg(ordered.alias("_all"))
-    return grouped.select(
-        page,
-        *[
-            F.transform(F.filter("_all", lambda x, s=section: x["section"] == s), lambda x: x["label"]).alias(c)
-            for section, c in names.items()
-        ],
-    )
+
+    def of(section: str) -> Column:
+        return F.transform(F.filter("_all", lambda x: x["section"] == section), lambda x: x["label"])
+
+    return grouped.select(page, *[of(section).alias(c) for section, c in names.items()])

@@ -443,17 +443,13 @@ def list_items(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] =
 
     ``columns`` maps a level name to its column.
     """
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    tx.split_list(column),
-                    lambda item, level=level: F.struct(F.lit(level).alias("level"), item.alias("item")),
-                )
-                for level, column in columns.items()
-            ]
+    def tag(level: str, column: str) -> Column:
+        return F.transform(
+            tx.split_list(column),
+            lambda item: F.struct(F.lit(level).alias("level"), item.alias("item")),
         )
-    )
+
+    tagged = F.flatten(F.array(*[tag(level, column) for level, column in columns.items()]))
     return df.select(*keep, F.inline(tagged))
 
 

@@ -6,6 +6,8 @@ from tablewright.plans.registry import QUERIES, SQL  # noqa: F401
 
 MODULES = [
     "quality_queries",
+    "cleaning_queries",
+    "profile_queries",
 ]
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
