@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import scalars
 from tablewright.operators import profile
@@ -62,7 +63,7 @@ def ks_p_value(statistic: float, n1: int, n2: int) -> float:
     return _exact_p(statistic, n1, n2) if exact else _asymptotic_p(statistic, n1, n2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_values(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     return pd.Series([ks_p_value(d, int(a), int(b)) for d, a, b in zip(statistic, n1, n2)])
 

@@ -8,6 +8,8 @@ MODULES = [
     "quality_queries",
     "cleaning_queries",
     "profile_queries",
+    "matching_queries",
+    "label_queries",
 ]
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
