@@ -10,6 +10,10 @@ MODULES = [
     "profile_queries",
     "matching_queries",
     "label_queries",
+    "task_queries",
+    "page_queries",
+    "active_queries",
+    "source_queries",
 ]
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
