@@ -23,11 +23,13 @@ from tablewright.functions.scalars import (  # noqa: F401
 from tablewright.functions.text import (  # noqa: F401
     first_token,
     keyword_hits,
+    ngrams,
     preview,
     search_query,
     split_list,
-    terms,
+    tokens,
     trim_blank,
+    with_terms,
     word_count,
     words,
 )

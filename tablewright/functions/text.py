@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 WORD = r"(?U)\S+"
 TERM = r"[\p{L}\p{N}_]{2,}"  # runs of letters, digits and underscores
@@ -55,21 +55,29 @@ def search_query(*parts: Column | str) -> Column:
     return F.replace(F.replace(joined, F.lit("&"), F.lit("")), F.lit(" "), F.lit("+"))
 
 
-def terms(text: Column | str, max_n: int = 2) -> Column:
-    """Lower-case tokens of two or more word characters, and their n-grams up to ``max_n``."""
-    tokens = F.regexp_extract_all(F.lower(_col(text)), F.lit(TERM), F.lit(0))
-    grams = tokens
-    pieces = [tokens]
-    for n in range(2, max_n + 1):
-        # the (n-1)-gram starting at i, joined with the token at i + n - 1
-        shifted = F.slice(tokens, F.lit(n), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+def tokens(text: Column | str) -> Column:
+    """Lower-case tokens of two or more word characters."""
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(TERM), F.lit(0))
+
+
+def ngrams(items: Column | str, n: int) -> Column:
+    """Runs of ``n`` neighbouring items joined by a blank; ``items`` should be a plain column."""
+    column = _col(items)
+    count = F.greatest(F.size(column) - (n - 1), F.lit(0))
+    grams = F.slice(column, F.lit(1), count)
+    for shift in range(1, n):
         grams = F.zip_with(
-            F.slice(grams, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0))),
-            shifted,
-            lambda head, tail: F.concat_ws(" ", head, tail),
+            grams, F.slice(column, F.lit(shift + 1), count), lambda head, tail: F.concat_ws(" ", head, tail)
         )
-        pieces.append(grams)
-    return F.concat(*pieces) if len(pieces) > 1 else tokens
+    return grams
+
+
+def with_terms(df: DataFrame, text: str, max_n: int = 2, out: str = "terms") -> DataFrame:
+    """Add tokens and their n-grams up to ``max_n``; the tokens become a column first, so that
+    the pattern runs once per text."""
+    held = df.withColumn("_tokens", tokens(text))
+    grams = [F.col("_tokens"), *[ngrams("_tokens", n) for n in range(2, max_n + 1)]]
+    return held.withColumn(out, F.concat(*grams)).drop("_tokens")
 
 
 def keyword_hits(text: Column | str, keywords: Sequence[str]) -> Column:

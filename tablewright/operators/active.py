@@ -53,12 +53,12 @@ def stratified_split(
 
 def term_statistics(df: DataFrame, text: str, max_n: int = 2) -> DataFrame:
     """Total frequency and document frequency of every term, combined before the shuffle."""
-    found = tx.terms(text, max_n)
     tagged = F.concat(
-        F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
-        F.transform(F.array_distinct(found), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))),
+        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
+        F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))),
     )
-    return df.where(F.col(text).isNotNull()).select(F.inline(tagged)).groupBy("term").agg(
+    found = tx.with_terms(df.where(F.col(text).isNotNull()).select(text), text, max_n)
+    return found.select(F.inline(tagged)).groupBy("term").agg(
         F.count_if(F.col("first") == 0).alias("tf"), F.count_if(F.col("first") == 1).alias("df")
     )
 
@@ -97,21 +97,28 @@ class TextFeatures:
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
         """Add the sparse unit-length vector ``(indices, values)``; no shuffle, no Python worker."""
         counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
-        found = F.coalesce(tx.terms(self.text, self.max_n), F.array().cast("array<string>"))
-        counted = counter.transform(df.withColumn("_terms", found)).withColumn(
-            "_v", F.unwrap_udt("_counts")
+        found = tx.with_terms(df, self.text, self.max_n, "_terms").withColumn(
+            "_terms", F.coalesce("_terms", F.array().cast("array<string>"))
         )
+        counted = counter.transform(found).withColumn("_v", F.unwrap_udt("_counts"))
         idf = _constant(self.idf)
         weighted = counted.withColumn(
             "_w",
             F.zip_with(
                 "_v.indices", "_v.values", lambda i, tf: (F.ln(tf) + 1.0) * F.get(idf, i)
             ),
-        ).withColumn("_norm", F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, x: a + x * x)))
-        unit = F.transform("_w", lambda x: x / F.col("_norm"))
+        )
+        length = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, x: a + x * x))
+        # the length is bound once per row, not inside the loop over the weights
+        unit = F.flatten(
+            F.transform(F.array(length), lambda n: F.transform("_w", lambda x: x / n))
+        )
         return weighted.withColumn(
             out, F.struct(F.col("_v.indices").alias("indices"), unit.alias("values"))
-        ).drop("_terms", "_counts", "_v", "_w", "_norm")
+        ).drop("_terms", "_counts", "_v", "_w")
+
+
+ROWS_PER_FIT_TASK = 20_000
 
 
 @F.udf(VectorUDT())
@@ -137,7 +144,9 @@ class TextModel:
             F.count(F.lit(1)), F.array_sort(F.collect_set(label))
         ).first()
         names = F.array(*[F.lit(x) for x in classes])
-        rows = df.select(
+        # training rows are few; fewer partitions make the many small iterations cheaper
+        parts = max(1, math.ceil(n / ROWS_PER_FIT_TASK))
+        rows = df.coalesce(parts).select(
             (F.array_position(names, F.col(label)) - 1).cast("double").alias("label"),
             _to_vector(F.lit(n_features), F.col(features)).alias("features"),
         )
@@ -255,9 +264,13 @@ class Experiment:
         cls, split: DataFrame, row_id: str, text: str, label: str, max_features: int = 5000,
         max_iter: int = 1000,
     ) -> "Experiment":
-        """Fit the vocabulary on labeled and pool texts; keep the features in the shared folder."""
-        vectoriser = TextFeatures.fit(split.where("split <> 'test'"), text, max_features)
-        features = vectoriser.transform(split).select(row_id, label, "split", "features")
+        """Fit the vocabulary on labeled and pool texts; keep the features in the shared folder.
+
+        The split is stored first: the vocabulary and the features both read it.
+        """
+        held = cut_lineage(split.select(row_id, text, label, "split"))
+        vectoriser = TextFeatures.fit(held.where("split <> 'test'"), text, max_features)
+        features = vectoriser.transform(held).select(row_id, label, "split", "features")
         return cls(cut_lineage(features), row_id, label, len(vectoriser.terms), max_iter)
 
     def run(

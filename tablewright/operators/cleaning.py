@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import masks, scalars
@@ -13,6 +13,7 @@ from tablewright.operators import profile
 from tablewright.operators.ordered import carry, exact_quantiles
 from tablewright.operators.sampling import assign_by_quota, sample_quota
 from tablewright.operators.skew import lookup_join
+from tablewright.session import cut_lineage
 
 
 def drop_masked(df: DataFrame, mask) -> DataFrame:
@@ -104,16 +105,24 @@ def _fill_with(df: DataFrame, columns: Sequence[str], values) -> DataFrame:
     return df.withColumns(filled)
 
 
-def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_mean(
+    df: DataFrame, columns: Sequence[str], base: DataFrame | None = None
+) -> DataFrame:
+    """Mean of ``base`` (the table itself by default) for missing numbers."""
     types = _fillable(df, columns)
-    means = df.agg(
+    means = (base or df).agg(
         F.struct(*[F.avg(F.when(~masks.missing(c, t), F.col(c))).alias(c) for c, t in types.items()])
     ).scalar()
     return _fill_with(df, columns, means)
 
 
-def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    long = profile._long(df, columns, "column", "v", "double").where("v IS NOT NULL AND NOT isnan(v)")
+def fill_median(
+    df: DataFrame, columns: Sequence[str], base: DataFrame | None = None
+) -> DataFrame:
+    """Median of ``base`` for missing numbers."""
+    long = profile._long(base or df, columns, "column", "v", "double").where(
+        "v IS NOT NULL AND NOT isnan(v)"
+    )
     medians = exact_quantiles(long, "v", {"m": 0.5}, ["column"])
     row = medians.agg(
         F.struct(*[F.max(F.when(F.col("column") == c, F.col("m"))).alias(c) for c in columns])
@@ -121,10 +130,12 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _fill_with(df, columns, row)
 
 
-def fill_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_mode(
+    df: DataFrame, columns: Sequence[str], base: DataFrame | None = None
+) -> DataFrame:
     """Most frequent value, ties to the smallest."""
     counts = (
-        profile._long(df, columns, "column", "v", "string")
+        profile._long(base or df, columns, "column", "v", "string")
         .where("v IS NOT NULL").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
     )
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("v").alias("v")))
@@ -160,34 +171,59 @@ def fill_interpolate(
     return both.withColumn(column, value).drop("_p", "_before", "_after")
 
 
-def _limits(df: DataFrame, column: str, rule: str, factor: float) -> DataFrame:
+def _limits(df: DataFrame, columns: Sequence[str], rule: str, factor: float) -> Column:
+    """Struct ``{column: {lo, hi}}`` as one scalar subquery for all columns."""
+    known = [F.col(c) for c in columns]
     if rule == "iqr":
-        return profile.iqr_bounds(df, column, factor)
+        long = profile._long(df, columns, "column", "v", "double").where("v IS NOT NULL")
+        quartiles = exact_quantiles(long, "v", {"q1": 0.25, "q3": 0.75}, ["column"])
+        width = (F.col("q3") - F.col("q1")) * F.lit(float(factor))
+        fences = quartiles.select(
+            "column", F.struct((F.col("q1") - width).alias("lo"), (F.col("q3") + width).alias("hi")).alias("f")
+        )
+        parts = [F.max(F.when(F.col("column") == c, F.col("f"))).alias(c) for c in columns]
+        return fences.agg(F.struct(*parts)).scalar()
     if rule == "zscore":
-        return profile.zscore_bounds(df, column, factor)
+        parts = [
+            F.struct(
+                (F.avg(c) - F.stddev_pop(c) * float(factor)).alias("lo"),
+                (F.avg(c) + F.stddev_pop(c) * float(factor)).alias("hi"),
+            ).alias(name)
+            for name, c in zip(columns, known)
+        ]
+        return df.agg(F.struct(*parts)).scalar()
     raise ValueError(f"unknown outlier rule {rule!r}")
 
 
+def _outside(column: str, edge: Column) -> Column:
+    """True outside the fences; a missing value is inside."""
+    return F.coalesce((F.col(column) < edge["lo"]) | (F.col(column) > edge["hi"]), F.lit(False))
+
+
 def flag_outliers(
     df: DataFrame, column: str, rule: str = "iqr", factor: float = 1.5, out: str = "is_outlier"
 ) -> DataFrame:
-    return df.withColumn(out, profile.outside(column, _limits(df, column, rule, factor)))
+    return df.withColumn(out, _outside(column, _limits(df, [column], rule, factor)[column]))
 
 
-def clip_outliers(df: DataFrame, columns: Sequence[str], rule: str = "iqr", factor: float = 1.5) -> DataFrame:
+def clip_outliers(
+    df: DataFrame, columns: Sequence[str], rule: str = "iqr", factor: float = 1.5
+) -> DataFrame:
     """Pull values outside the fences onto them; missing values stay missing."""
+    edges = _limits(df, columns, rule, factor)
     clipped = {}
     for c in columns:
-        edge = profile.bounds_column(_limits(df, c, rule, factor))
-        inside = F.greatest(F.least(F.col(c).cast("double"), edge["hi"]), edge["lo"])
+        inside = F.greatest(F.least(F.col(c).cast("double"), edges[c]["hi"]), edges[c]["lo"])
         clipped[c] = F.when(F.col(c).isNotNull(), inside)
     return df.withColumns(clipped)
 
 
-def remove_outliers(df: DataFrame, columns: Sequence[str], rule: str = "iqr", factor: float = 1.5) -> DataFrame:
+def remove_outliers(
+    df: DataFrame, columns: Sequence[str], rule: str = "iqr", factor: float = 1.5
+) -> DataFrame:
     """Rows without an outlier in any of the columns; fences come from the input."""
-    bad = [profile.outside(c, _limits(df, c, rule, factor)) for c in columns]
-    return df.where(~reduce(lambda a, b: a | b, bad))
+    edges = _limits(df, columns, rule, factor)
+    return df.where(~reduce(lambda a, b: a | b, [_outside(c, edges[c]) for c in columns]))
 
 
 def log_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -257,10 +293,15 @@ def _step_row(df: DataFrame, step: str, place: int) -> DataFrame:
 
 
 def apply_strategy(
-    df: DataFrame, strategy: Mapping, row_id: str, target: str | None = None
+    df: DataFrame, strategy: Mapping, row_id: str, target: str | None = None,
+    stage: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> tuple[DataFrame, DataFrame]:
     """Run duplicates, missing and outliers in that order; return the table and a step log.
 
+    Fills and fences need figures of the table before them. ``stage`` stores the
+    table at those two points, so each figure reads it instead of redoing the
+    steps before.
+
     ``strategy`` has the optional entries ``duplicates`` (``drop_exact`` or a
     list of key columns), ``missing`` (``drop_rows``, ``drop_cols``, ``numeric``
     and ``categorical`` fills) and ``outliers`` (``method`` and ``factor``).
@@ -292,14 +333,18 @@ def apply_strategy(
     numeric = [c for c in profile.numeric_columns(current) if c not in held]
     texts = [f.name for f in current.schema if isinstance(f.dataType, T.StringType) and f.name not in held]
     fills = {"fill_mean": fill_mean, "fill_median": fill_median, "fill_mode": fill_mode}
-    for kind, columns in (("numeric", numeric), ("categorical", texts)):
-        name = gaps.get(kind)
-        if name and columns:
-            current = fills[name](current, columns)
+    asked = [(gaps.get("numeric"), numeric), (gaps.get("categorical"), texts)]
+    asked = [(name, columns) for name, columns in asked if name and columns]
+    if asked:
+        current = base = stage(current)
+        for name, columns in asked:
+            # the columns of one fill do not touch those of the other, so both read `base`
+            current = fills[name](current, columns, base)
             frames.append((name, current))
 
     outliers = strategy.get("outliers")
     if outliers and numeric:
+        current = stage(current)
         method = outliers["method"]
         if method == "log_transform":
             current = log_transform(current, numeric)

@@ -219,25 +219,6 @@ def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     )
 
 
-def zscore_bounds(df: DataFrame, column: str, limit: float = 3.0) -> DataFrame:
-    """One row: mean plus and minus ``limit`` population standard deviations."""
-    width = F.stddev_pop(column) * F.lit(float(limit))
-    return df.agg((F.avg(column) - width).alias("lo"), (F.avg(column) + width).alias("hi"))
-
-
-def bounds_column(bounds: DataFrame) -> Column:
-    """Bounds as a scalar subquery, so they reach the scan as constants."""
-    return bounds.select(F.struct("lo", "hi")).scalar()
-
-
-def outside(column: str, bounds: DataFrame) -> Column:
-    """True outside the bounds; a missing value is inside."""
-    edge = bounds_column(bounds)
-    return F.coalesce(
-        (F.col(column) < edge["lo"]) | (F.col(column) > edge["hi"]), F.lit(False)
-    )
-
-
 def outlier_counts(
     df: DataFrame, columns: Sequence[str] | None = None, factor: float = 1.5, limit: float = 3.0
 ) -> DataFrame:
@@ -525,7 +506,7 @@ def categorical_report(df: DataFrame, columns: Sequence[str], k: int = 10) -> Da
 def frequent_words(df: DataFrame, text: str, k: int = 20) -> DataFrame:
     """Most frequent lower-case tokens over whole texts."""
     return (
-        df.select(F.explode(tx.terms(text, max_n=1)).alias("item"))
+        df.select(F.explode(tx.tokens(text)).alias("item"))
         .groupBy("item").agg(_counted().alias("n"))
         .orderBy(F.desc("n"), "item").limit(k)
     )
