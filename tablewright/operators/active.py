@@ -154,7 +154,7 @@ class TextModel:
             return cls(list(classes), [[0.0] * n_features], [math.inf])
         model = LogisticRegression(
             regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
-            tol=1e-7,
+            tol=1e-6,
         ).fit(rows)
         if len(classes) == 2:
             return cls(list(classes), [model.coefficients.toArray().tolist()], [model.intercept])

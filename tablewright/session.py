@@ -35,14 +35,13 @@ def shared_folder(spark: SparkSession) -> str:
     folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if folder:
         return folder
     if not sc.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tablewright-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablewright-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -79,7 +79,7 @@ def read_records(
 def flat_lists(df: DataFrame, separator: str = ", ") -> DataFrame:
     """Array-of-text columns joined to text; an empty or missing array gives an empty string."""
     joined = {
-        f.name: join_list(f.name, separator)
+        f.name: join_list(F.col(f"`{f.name}`"), separator)
         for f in df.schema
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType)
     }
