@@ -175,6 +175,9 @@ def _limits(df: DataFrame, columns: Sequence[str], rule: str, factor: float) ->
     """Struct ``{column: {lo, hi}}`` as one scalar subquery for all columns."""
     known = [F.col(c) for c in columns]
     if rule == "iqr":
+        if len(columns) == 1:
+            fence = profile.iqr_bounds(df, columns[0], factor).select(F.struct("lo", "hi").alias(columns[0]))
+            return fence.select(F.struct(columns[0])).scalar()
         long = profile._long(df, columns, "column", "v", "double").where("v IS NOT NULL")
         quartiles = exact_quantiles(long, "v", {"q1": 0.25, "q3": 0.75}, ["column"])
         width = (F.col("q3") - F.col("q1")) * F.lit(float(factor))

@@ -22,11 +22,22 @@ def slice_count(df: DataFrame) -> int:
     return max(2, min(partitions, MAX_SLICES))
 
 
-def with_slice(df: DataFrame, order: str, slices: int | None = None) -> DataFrame:
-    """Add ``_slice``: how many approximate quantile cut points lie below ``order``."""
+def with_slice(
+    df: DataFrame, order: str, slices: int | None = None, read: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_slice``: how many approximate quantile cut points lie below ``order``.
+
+    ``read`` names the counts that the caller aggregated along with ``order``.
+    A filter on them that always holds makes the cut points read the same
+    columns as the main query, so Spark finds that both need the same shuffle
+    and runs it once.
+    """
     slices = slices or slice_count(df)
     shares = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(order, shares, 20 * slices)).scalar()
+    counted = df
+    if read:
+        counted = df.where(sum((F.col(c) for c in read), F.lit(0)) > 0)
+    cuts = counted.agg(F.percentile_approx(order, shares, 20 * slices)).scalar()
     return (
         df.withColumn("_cuts", cuts)
         .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(order))))
@@ -34,8 +45,6 @@ def with_slice(df: DataFrame, order: str, slices: int | None = None) -> DataFram
     )
 
 
-
-
 def _join_slices(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach per-slice summary columns; NULL group keys match each other."""
     renamed = summary
@@ -59,7 +68,7 @@ def running_totals(
     ``order`` is numeric, a date or a timestamp, and unique within a group.
     """
     keys = [*groups, "_slice"]
-    sliced = with_slice(df, order, slices)
+    sliced = with_slice(df, order, slices, sums)
     inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.select("*", *[F.sum(s).over(inside).alias(f"{s}_cum") for s in sums])
     per_slice = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import cleaning
+from tablewright.operators import cleaning, neighbors
 from tablewright.plans.registry import REVIEWS_SQL, near, query, reviews, table
 
 WITH_REVIEWS = f"WITH {REVIEWS_SQL} "
@@ -248,3 +248,29 @@ def apply_strategy_gentle(spark, folder):
 def apply_strategy_harsh_log(spark, folder):
     _, log = cleaning.apply_strategy(reviews(spark, folder), HARSH, "doc_id", "quality")
     return log
+
+
+@query("fill_knn")
+def fill_knn(spark, folder):
+    """Prices of every tenth size filled from the nearest parts; brute force in the tests."""
+    parts = table(spark, folder, "part").select(
+        "p_partkey", F.col("p_size").cast("double").alias("p_size"), F.length("p_name").alias("name_length"),
+        F.when(F.col("p_size") % 10 != 0, F.col("p_retailprice")).alias("p_retailprice"),
+    )
+    filled = neighbors.fill_knn(parts, "p_partkey", "p_retailprice", ["p_size", "name_length"], 5)
+    return filled.select("p_partkey", near("p_retailprice", 4).alias("p_retailprice"))
+
+
+@query(
+    "smote",
+    """WITH j AS (SELECT quality, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY quality)
+    SELECT quality, (SELECT max(n) FROM j) AS n, (SELECT max(n) FROM j) - n AS n_made FROM j""",
+)
+def smote(spark, folder):
+    rows = reviews(spark, folder).where("quality IS NOT NULL").select(
+        "doc_id", "quality", "n_chars", F.length("source").alias("source_length")
+    )
+    balanced = neighbors.smote(rows, "doc_id", "quality", ["n_chars", "source_length"], 5)
+    return balanced.groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("copy") > 0).alias("n_made")
+    )

@@ -24,8 +24,21 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+# tables of the star schema that do not grow with the data
+FIXED_TABLES = {"nation", "region"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Scan a table; one stored as fewer splits than there are cores is spread over them.
+
+    A file with a single row group is one split, which would leave all but one
+    core idle. Tables large enough to have a split per core are left as they are.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    if name in FIXED_TABLES:
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, df.columns[0])
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
