@@ -62,14 +62,17 @@ def running_totals(
     sums: Sequence[str],
     groups: Sequence[str] = (),
     slices: int | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<s>_cum`` (inclusive running sum by ``order``) and ``<s>_total`` per group.
 
-    ``order`` is numeric, a date or a timestamp, and unique within a group.
+    ``order`` is numeric, a date or a timestamp; with ``tie`` it is unique within a group.
     """
     keys = [*groups, "_slice"]
     sliced = with_slice(df, order, slices, sums)
-    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        Window.partitionBy(*keys).orderBy(order, *tie).rowsBetween(Window.unboundedPreceding, 0)
+    )
     local = sliced.select("*", *[F.sum(s).over(inside).alias(f"{s}_cum") for s in sums])
     per_slice = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     # one row per slice and group: at most MAX_SLICES rows in a window partition
@@ -86,10 +89,13 @@ def running_totals(
     return joined.drop("_slice", *[f"_b_{s}" for s in sums])
 
 
-def number_rows(df: DataFrame, order: str, out: str = "id", slices: int | None = None) -> DataFrame:
-    """Dense numbers from 1 in the order of a unique column."""
-    numbered = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"],
-                              slices=slices)
+def number_rows(
+    df: DataFrame, order: str, out: str = "id", slices: int | None = None, tie: Sequence[str] = ()
+) -> DataFrame:
+    """Dense numbers from 1 in the order of ``order``, then ``tie``."""
+    numbered = running_totals(
+        df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"], slices=slices, tie=tie
+    )
     return numbered.withColumnRenamed("_one_cum", out).drop("_one", "_one_total")
 
 

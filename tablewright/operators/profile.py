@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import masks, scalars, text as tx
-from tablewright.operators.ordered import exact_quantiles
+from tablewright.operators.ordered import exact_quantiles, number_rows
 from tablewright.operators.skew import key_counts, with_key_count
 
 
@@ -353,10 +353,8 @@ def box_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
 def groups_by_median(df: DataFrame, group: str, column: str) -> DataFrame:
     """Median per group with its place in descending order (ties by group)."""
     medians = exact_quantiles(df.where(F.col(group).isNotNull()), column, {"median": 0.5}, [group])
-    place = F.row_number().over(
-        Window.partitionBy(F.lit(0)).orderBy(F.desc("median"), F.asc(group))
-    )
-    return medians.withColumn("place", place)
+    ranked = number_rows(medians.withColumn("_down", -F.col("median")), "_down", "place", tie=[group])
+    return ranked.drop("_down")
 
 
 def group_quantiles(

@@ -11,9 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablewright.operators.skew import row_hash
+from tablewright.operators.skew import lookup_join, row_hash
 
-HASH_BITS = 10  # 1024 slices per stratum
+MANY_STRATA = 10_000
+
+
+def hash_bits(df: DataFrame) -> int:
+    """Leading hash bits that name a slice: 64 slices per shuffle partition, at most 2**20."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(20, max(8, partitions.bit_length() + 6))
 
 
 def hash_key(ids: Sequence[str], seed: int) -> Column:
@@ -23,7 +29,8 @@ def hash_key(ids: Sequence[str], seed: int) -> Column:
 def largest_remainder(counts: DataFrame, stratum: str, n: str, size: Column, out: str) -> DataFrame:
     """Share ``size`` over strata in proportion to ``n``; largest remainders get the rest.
 
-    ``counts`` has one row per stratum.
+    ``counts`` has one row per stratum; a sample with fewer rows than strata
+    makes no sense, so the one window over them stays as small as the sample.
     """
     everything = Window.partitionBy(F.lit(0))
     exact = F.col(n) * size / F.sum(n).over(everything)
@@ -55,42 +62,58 @@ def assign_by_quota(
     ``quotas`` has one row per stratum with one column of sizes per part;
     rows beyond all quotas get ``rest``. Quota columns in ``keep`` stay on the rows.
     """
-    keyed = df.withColumn("_h", hash_key(ids, seed)).withColumn(
-        "_slice", F.shiftright(F.col("_h"), 64 - HASH_BITS)
+    keyed = df.where(F.col(stratum).isNotNull()).withColumn("_h", hash_key(ids, seed)).withColumn(
+        "_slice", F.shiftright(F.col("_h"), 64 - hash_bits(df))
     )
     per_slice = keyed.groupBy(stratum, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per slice and stratum
     upto = Window.partitionBy(stratum).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = (
+    ends = (
         per_slice.withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .join(quotas.select(stratum, *parts, *keep), stratum)
     )
-    limit = F.lit(0).cast("bigint")
-    undecided = F.lit(False)
-    decided = F.lit(None).cast("string")
-    limits = []
+    limits, limit = [], F.lit(0).cast("bigint")
     for part in parts:
-        lower, limit = limit, limit + F.col(part)
-        limits.append((part, limit))
-        decided = F.when(
-            (F.col("_start") >= lower) & (F.col("_end") <= limit), F.lit(part)
-        ).otherwise(decided)
-        undecided = undecided | ((F.col("_start") < limit) & (F.col("_end") > limit))
-    decided = F.when(F.col("_start") >= limit, F.lit(rest)).otherwise(decided)
-    plan = bounds.select(
-        stratum, "_slice", "_start", *parts, *keep, decided.alias("_part"),
-        undecided.alias("_sort"),
+        limit = limit + F.col(part)
+        limits.append(limit)
+    # the slice in which each limit is passed, and where that slice starts
+    passed = [
+        F.min(F.when(F.col("_end") > upper, F.struct("_slice", "_start"))).alias(f"_t{j}")
+        for j, upper in enumerate(limits)
+    ]
+    lookup = ends.groupBy(stratum, *parts, *keep).agg(F.sum("_n").alias("_rows"), *passed).withColumnsRenamed(
+        {part: f"_q{j}" for j, part in enumerate(parts)}
     )
-    rows = keyed.join(plan, [stratum, "_slice"])
-    settled = rows.where(~F.col("_sort")).withColumn(out, F.col("_part"))
-    order = Window.partitionBy(stratum, "_slice").orderBy("_h", *ids)
-    rank = F.col("_start") + F.row_number().over(order)
-    pick = F.lit(rest)
-    for part, upper in reversed(limits):
-        pick = F.when(F.col("_rank") <= upper, F.lit(part)).otherwise(pick)
-    sorted_rows = rows.where("_sort").withColumn("_rank", rank).withColumn(out, pick)
+    few = quotas.select(stratum).limit(MANY_STRATA + 1).count() <= MANY_STRATA
+    rows = (
+        keyed.join(F.broadcast(lookup), stratum) if few
+        else lookup_join(keyed, lookup, [stratum], "_rows", ids, "inner")
+    )
+    upper, beyond, split_at, sizes = F.lit(0).cast("bigint"), [], [], []
+    for j in range(len(parts)):
+        upper = upper + F.col(f"_q{j}")
+        spot = F.col(f"_t{j}")
+        here = F.col("_slice") == spot["_slice"]
+        sizes.append(upper)
+        beyond.append(F.coalesce((F.col("_slice") > spot["_slice"]) | (here & (spot["_start"] >= upper)), F.lit(False)))
+        split_at.append(F.coalesce(here & (spot["_start"] < upper), F.lit(False)))
+    settled_part, ranked_part = F.lit(rest), F.lit(rest)
+    start, undecided = F.lit(None).cast("bigint"), F.lit(False)
+    for j in reversed(range(len(parts))):
+        settled_part = F.when(~beyond[j], F.lit(parts[j])).otherwise(settled_part)
+        ranked_part = F.when(F.col("_rank") <= sizes[j], F.lit(parts[j])).otherwise(ranked_part)
+        start = F.when(split_at[j], F.col(f"_t{j}")["_start"]).otherwise(start)
+        undecided = undecided | split_at[j]
     columns = [*df.columns, *keep, out]
-    return settled.select(*columns).unionByName(sorted_rows.select(*columns))
+    settled = rows.where(~undecided).withColumn(out, settled_part)
+    order = Window.partitionBy(stratum, "_slice").orderBy("_h", *ids)
+    ranked = (
+        rows.where(undecided)
+        .withColumn("_rank", start + F.row_number().over(order))
+        .withColumn(out, ranked_part)
+    )
+    return settled.select(*columns).unionByName(ranked.select(*columns))
 
 
 def sample_quota(

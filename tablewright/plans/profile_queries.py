@@ -294,7 +294,7 @@ def box_stats_by_group(spark, folder):
 @query(
     "groups_by_median",
     """WITH m AS (SELECT source, median(n_chars) AS median FROM documents WHERE source IS NOT NULL GROUP BY source)
-    SELECT source, median, row_number() OVER (ORDER BY median DESC, source)::INT AS place FROM m""",
+    SELECT source, median, row_number() OVER (ORDER BY median DESC, source) AS place FROM m""",
 )
 def groups_by_median(spark, folder):
     return profile.groups_by_median(table(spark, folder, "documents"), "source", "n_chars")
@@ -349,21 +349,21 @@ def parse_dates(spark, folder):
 
 @query(
     "trend",
-    """SELECT date_trunc('month', o_orderdate)::DATE AS period, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean
+    """SELECT date_trunc('month', o_orderdate)::DATE AS period, count(o_totalprice) AS n, round(avg(o_totalprice), 2) AS mean
     FROM orders GROUP BY 1""",
 )
 def trend(spark, folder):
     rows = profile.trend(table(spark, folder, "orders"), "o_orderdate", "o_totalprice")
-    return rows.withColumn("mean", near("mean", 4))
+    return rows.withColumn("mean", near("mean", 2))
 
 
 @query(
     "seasonality",
-    """SELECT month(o_orderdate)::INT AS month, count(o_totalprice) AS n, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1""",
+    """SELECT month(o_orderdate)::INT AS month, count(o_totalprice) AS n, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY 1""",
 )
 def seasonality(spark, folder):
     rows = profile.seasonality(table(spark, folder, "orders"), "o_orderdate", "o_totalprice")
-    return rows.withColumn("mean", near("mean", 4))
+    return rows.withColumn("mean", near("mean", 2))
 
 
 @query(

@@ -50,9 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Store ``df`` as a table in the shared folder and read that instead.
+
+    Unlike a checkpointed RDD the table keeps column pruning, filters at the
+    scan and known sizes. It outlives executors; the folder's owner removes it.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
