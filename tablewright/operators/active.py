@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -233,7 +234,7 @@ def query_diagnostics(ranked: DataFrame, chosen: DataFrame, row_id: str) -> Data
 HISTORY = (
     "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double, "
     "precision_macro double, recall_macro double, f1_per_class map<string,double>, "
-    "mean_entropy double, evaluated_at timestamp"
+    "mean_entropy double, fit_seconds double, eval_seconds double, evaluated_at timestamp"
 )
 
 
@@ -291,13 +292,16 @@ class Experiment:
         test = rows.where("split = 'test'")
         for iteration in range(rounds + 1):
             known = (F.col("split") == "init") | F.col(row_id).isin(asked)
+            started = time.monotonic()
             model = TextModel.fit(rows.where(known), self.label, self.n_features, max_iter=self.max_iter)
+            fitted = time.monotonic()
             m = _metrics(model.transform(test), self.label)
+            measured = time.monotonic()
             pool = model.transform(rows.where((F.col("split") == "pool") & ~F.col(row_id).isin(asked)))
             spread = pool.agg(F.avg(scalars.entropy("probabilities"))).first()[0]
             history.append(
                 (strategy, iteration, n_init + len(asked), m["accuracy"], m["f1"], m["precision_macro"],
-                 m["recall_macro"], m["per_class"], spread, m["at"])
+                 m["recall_macro"], m["per_class"], spread, fitted - started, measured - fitted, m["at"])
             )
             if iteration < rounds and n_pool - len(asked) >= batch:
                 picked = query(pool, strategy, batch, row_id, seed, iteration).select(row_id).collect()
@@ -363,9 +367,10 @@ def probability_histogram(scored: DataFrame, label: str, index: int, bins: int =
 def fit_checks(scored: DataFrame, label: str, flat_below: float = 1e-6, min_rows: int = 10) -> DataFrame:
     """Whether the probabilities are degenerate and which figures the smallest class has."""
     smallest = profile.value_counts(scored, label).agg(F.min("n")).scalar()
-    top = F.array_max("probabilities")
+    # a model that learned nothing gives every row the same probabilities
+    first, second = (F.stddev_pop(F.get("probabilities", i)) for i in (0, 1))
     return scored.agg(
-        F.stddev_pop(top).alias("spread"), F.count(F.lit(1)).alias("n")
+        F.greatest(first, F.coalesce(second, F.lit(0.0))).alias("spread"), F.count(F.lit(1)).alias("n")
     ).select(
         "n", "spread", (F.col("spread") < flat_below).alias("degenerate"),
         smallest.alias("smallest_class"), (smallest < min_rows).alias("unstable"),

@@ -168,6 +168,32 @@ def fuzzy_match(
     )
 
 
+def project(
+    df: DataFrame,
+    columns: Sequence[str],
+    rename: Mapping[str, str] | None = None,
+    drop: Sequence[str] = (),
+) -> DataFrame:
+    """Rename, drop (absent names are ignored), then keep ``columns`` in that order."""
+    return df.withColumnsRenamed(dict(rename or {})).drop(*drop).select(*columns)
+
+
+def merge_reviews(
+    corpus: DataFrame, dimension: DataFrame, row_key: Sequence[str], product: str = "product",
+    name: str = "name", out: str = "perfume_name",
+    rename: Mapping[str, str] | None = None, drop: Sequence[str] = ("no", "product", "url"),
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Reviews with the columns of the product their text names: prefix match, left join, projection."""
+    named = longest_prefix_match(corpus, dimension, product, name, row_key, out)
+    joined = enrich(named, dimension.withColumnRenamed(name, out), out)
+    renames = rename if rename is not None else {"text": "review_text", "date": "review_date", "user": "reviewer"}
+    kept = columns or [
+        renames.get(c, c) for c in joined.columns if renames.get(c, c) not in drop
+    ]
+    return project(joined, kept, renames, [c for c in drop if c not in kept])
+
+
 def unmatched_keys(df: DataFrame, matched: str, key: str) -> DataFrame:
     """Distinct keys of rows whose join found nothing."""
     return df.where(F.col(matched).isNull()).select(key).distinct()

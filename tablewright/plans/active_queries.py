@@ -135,7 +135,7 @@ def probability_histogram(spark, folder):
 
 @query(
     "fit_checks",
-    """WITH p AS (SELECT greatest(p, 1 - p) AS m FROM (SELECT ((n_chars % 1000) / 1000.0)::DOUBLE AS p FROM documents))
+    """WITH p AS (SELECT ((n_chars % 1000) / 1000.0)::DOUBLE AS m FROM documents)
     SELECT count(*) AS n, round(stddev_pop(m), 6) AS spread, false AS degenerate,
     (SELECT min(c) FROM (SELECT count(*) AS c FROM documents GROUP BY lang)) AS smallest_class, false AS unstable FROM p""",
 )
@@ -152,7 +152,7 @@ def _history(spark, folder, rounds=2):
 
 @query("al_cycle")
 def al_cycle(spark, folder):
-    return _history(spark, folder).drop("evaluated_at", "f1_per_class")
+    return _history(spark, folder).drop("evaluated_at", "fit_seconds", "eval_seconds", "f1_per_class")
 
 
 # history figures derived from the orders: one run per status, one round per year

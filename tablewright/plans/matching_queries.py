@@ -17,16 +17,20 @@ PRODUCTS_SQL = """f AS (SELECT p_partkey, upper(p_brand) || ' ' || p_name AS pro
    FROM f LEFT JOIN names n ON starts_with(lower(f.product), lower(n.name))) WHERE rn = 1)"""
 
 
-def _products(spark, folder):
-    part = table(spark, folder, "part")
-    fact = part.select("p_partkey", F.concat(F.upper("p_brand"), F.lit(" "), F.col("p_name")).alias("product"))
-    names = (
+def _names(part):
+    """Product names derived from brands: short and long ones, many a prefix of another."""
+    return (
         part.select(F.substring("p_brand", 1, 7).alias("name"))
         .union(part.where("p_size <= 2").select("p_brand"))
         .union(part.where("p_size = 3").select(F.concat_ws(" ", "p_brand", tx.first_token("p_name"))))
         .distinct()
     )
-    return matching.longest_prefix_match(fact, names, "product", "name", ["p_partkey"])
+
+
+def _products(spark, folder):
+    part = table(spark, folder, "part")
+    fact = part.select("p_partkey", F.concat(F.upper("p_brand"), F.lit(" "), F.col("p_name")).alias("product"))
+    return matching.longest_prefix_match(fact, _names(part), "product", "name", ["p_partkey"])
 
 
 @query("longest_prefix_join", f"WITH {PRODUCTS_SQL} SELECT * FROM best")
@@ -34,6 +38,22 @@ def longest_prefix_join(spark, folder):
     return _products(spark, folder)
 
 
+@query(
+    "merge_reviews",
+    f"""WITH {PRODUCTS_SQL}, dim AS (SELECT name AS perfume_name, length(name)::INT AS rating FROM names)
+    SELECT b.matched_name AS perfume_name, rating, f.p_size AS reviewer FROM best b JOIN part f ON f.p_partkey = b.p_partkey
+    LEFT JOIN dim ON dim.perfume_name = b.matched_name""",
+)
+def merge_reviews(spark, folder):
+    part = table(spark, folder, "part")
+    corpus = part.select(
+        F.col("p_partkey").alias("no"), F.concat(F.upper("p_brand"), F.lit(" "), F.col("p_name")).alias("product"),
+        F.col("p_size").alias("user"),
+    )
+    dimension = _names(part).withColumn("rating", F.length("name"))
+    return matching.merge_reviews(corpus, dimension, ["no"], columns=["perfume_name", "rating", "reviewer"])
+
+
 @query("unmatched_keys", "SELECT DISTINCT source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality IS NOT NULL)")
 def unmatched_keys(spark, folder):
     return matching.unmatched_keys(reviews(spark, folder), "quality", "source")

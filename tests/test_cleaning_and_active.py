@@ -148,3 +148,20 @@ def test_review_sample_covers_each_kind_of_disagreement(spark):
     assert {0, 1, 2, 3, 4} <= {r["id"] for r in rows}
     assert {("a", "b"), ("b", "a")} <= {(r["x"], r["y"]) for r in rows}
     assert all(r["human_label"] is None for r in rows) and len({r["id"] for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "random_forest", "gradient_boosting", "svm"])
+def test_alternative_classifiers_give_probabilities(spark, kind):
+    df = spark.range(80).select(
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("c"), (F.col("id") % 10).cast("double").alias("v"),
+        (F.col("id") % 2).cast("double").alias("label"))
+    prepared = al.mixed_features(["c"], ["v"]).fit(df).transform(df)
+    scored = al.with_probabilities(al.classifier(kind).fit(prepared).transform(prepared))
+    for r in scored.collect():
+        assert sum(r["probabilities"]) == pytest.approx(1.0) and r["prediction"] == r["label"]
+    assert al.fit_checks(scored, "label").first()["degenerate"] is False
+
+
+def test_unknown_classifier():
+    with pytest.raises(ValueError):
+        al.classifier("oracle")
