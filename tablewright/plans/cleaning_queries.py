@@ -67,15 +67,14 @@ def fill_mode(spark, folder):
       first_value(v IGNORE NULLS) OVER n AS v1 FROM s
       WINDOW p AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              n AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-    SELECT event_id, user_id, round(CASE WHEN v IS NOT NULL THEN v WHEN t1 IS NULL THEN v0
-      WHEN t0 IS NOT NULL THEN v0 + (v1 - v0) / (t1 - t0) * (event_id - t0) END, 6) AS value FROM e""",
+    SELECT event_id, user_id, CASE WHEN v IS NOT NULL THEN v WHEN t1 IS NULL THEN v0
+      WHEN t0 IS NOT NULL THEN v0 + (v1 - v0) / (t1 - t0) * (event_id - t0) END AS value FROM e""",
 )
 def fill_interpolate(spark, folder):
     events = table(spark, folder, "events").select(
         "event_id", "user_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
     )
-    rows = cleaning.fill_interpolate(events, "event_id", "value", ["user_id"])
-    return rows.select("event_id", "user_id", near("value").alias("value"))
+    return cleaning.fill_interpolate(events, "event_id", "value", ["user_id"])
 
 
 _CLIP_SQL = """SELECT l_returnflag, count(*) AS n, min(v) AS lo, max(v) AS hi,

@@ -42,12 +42,12 @@ def keyword_hits(spark, folder):
 
 @query(
     "rule_label",
-    """WITH s AS (SELECT doc_id, (regexp_matches(lower(text), 'tion\\b'))::INT + (regexp_matches(lower(text), '^the'))::INT AS a,
+    """WITH s AS (SELECT doc_id, (regexp_matches(lower(text), 'tion[ .,]'))::INT + (regexp_matches(lower(text), '^the'))::INT AS a,
       (regexp_matches(lower(text), '[0-9]{3}'))::INT + (regexp_matches(lower(text), 'un[dt]'))::INT AS b FROM documents)
     SELECT doc_id, CASE WHEN a > b THEN 'x' WHEN b > a THEN 'y' ELSE 'none' END AS label FROM s""",
 )
 def rule_label(spark, folder):
-    rules = [("x", r"tion\b"), ("x", "^the"), ("y", "[0-9]{3}"), ("y", "un[dt]")]
+    rules = [("x", r"tion[ .,]"), ("x", "^the"), ("y", "[0-9]{3}"), ("y", "un[dt]")]
     return table(spark, folder, "documents").select("doc_id", lb.rule_label("text", rules, "none").alias("label"))
 
 
