@@ -159,7 +159,7 @@ def fill_interpolate(
     """
     point = F.when(F.col(column).isNotNull(), F.struct(F.col(order).alias("t"), F.col(column).alias("v")))
     known = df.withColumn("_p", point)
-    both = carry(carry(known, order, "_p", "_before", groups), order, "_p", "_after", groups, forward=False)
+    both = carry(known, order, "_p", "_before", "_after", groups)
     span = F.col("_after")["t"] - F.col("_before")["t"]
     slope = (F.col("_after")["v"] - F.col("_before")["v"]) / span
     line = F.col("_before")["v"] + slope * (F.col(order) - F.col("_before")["t"])

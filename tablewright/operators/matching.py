@@ -248,7 +248,7 @@ def assign_sections(
         F.col(position).alias("_pos"), F.col(text).alias("_text"),
         F.lit(None).cast("string").alias("_section"),
     ).where((F.col("_text") != "") & (F.length("_text") <= max_length))
-    filled = carry(marks.unionByName(items), "_at", "_section", "_found", [page], tie=["_kind"])
+    filled = carry(marks.unionByName(items), "_at", "_section", "_found", groups=[page], tie=["_kind"])
     return filled.where("_kind = 1 AND _found IS NOT NULL").select(
         page, F.col("_pos").alias(position), F.col("_text").alias(text), F.col("_found").alias("section")
     )

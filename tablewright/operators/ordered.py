@@ -141,34 +141,40 @@ def carry(
     df: DataFrame,
     order: str,
     value: str,
-    out: str,
+    before: str | None = None,
+    after: str | None = None,
     groups: Sequence[str] = (),
-    forward: bool = True,
     tie: Sequence[str] = (),
     slices: int | None = None,
 ) -> DataFrame:
-    """The nearest earlier (or later) non-NULL ``value``, the row itself included."""
+    """Add the nearest earlier and later non-NULL ``value``, the row itself included.
+
+    ``before`` and ``after`` name the output columns; leave one out to skip it.
+    Both directions share the slices, their summary and the join.
+    """
     keys = [*groups, "_slice"]
-    sliced = with_slice(df, order, slices)
-    direction = (lambda c: F.asc(c)) if forward else (lambda c: F.desc(c))
-    inside = (
-        Window.partitionBy(*keys)
-        .orderBy(direction(order), *[direction(t) for t in tie])
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    local = sliced.withColumn(out, F.last(value, ignorenulls=True).over(inside))
+    rows = with_slice(df, order, slices)
     position = F.struct(order, *tie) if tie else F.col(order)
     known = F.when(F.col(value).isNotNull(), position)
-    edge = F.max_by(value, known) if forward else F.min_by(value, known)
-    per_slice = sliced.groupBy(*keys).agg(edge.alias("_edge"))
-    before = (
-        Window.partitionBy(*groups)
-        .orderBy(direction("_slice"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = per_slice.select(*keys, F.last("_edge", ignorenulls=True).over(before).alias("_carry"))
-    return (
-        _join_slices(local, carried, keys)
-        .withColumn(out, F.coalesce(out, "_carry"))
-        .drop("_carry", "_slice")
-    )
+    edges, carried, outs = [], [], []
+    for out, turn, edge in ((before, F.asc, F.max_by), (after, F.desc, F.min_by)):
+        if out is None:
+            continue
+        inside = (
+            Window.partitionBy(*keys)
+            .orderBy(turn(order), *[turn(t) for t in tie])
+            .rowsBetween(Window.unboundedPreceding, 0)
+        )
+        past = (
+            Window.partitionBy(*groups)
+            .orderBy(turn("_slice"))
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        rows = rows.withColumn(out, F.last(value, ignorenulls=True).over(inside))
+        edges.append(edge(value, known).alias(f"_e_{out}"))
+        carried.append(F.last(f"_e_{out}", ignorenulls=True).over(past).alias(f"_c_{out}"))
+        outs.append(out)
+    summary = with_slice(df, order, slices).groupBy(*keys).agg(*edges).select(*keys, *carried)
+    joined = _join_slices(rows, summary, keys)
+    filled = joined.withColumns({out: F.coalesce(out, f"_c_{out}") for out in outs})
+    return filled.drop("_slice", *[f"_c_{out}" for out in outs])

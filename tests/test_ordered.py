@@ -55,7 +55,8 @@ def test_iqr_fixture(spark):
 @pytest.mark.parametrize("forward", [True, False])
 def test_carry_equals_a_loop(skewed, forward):
     df = skewed.withColumn("x", F.when(F.col("id") % 7 == 3, F.col("v")))
-    got = {r["id"]: r["y"] for r in ordered.carry(df, "id", "x", "y", ["k"], forward, slices=6).collect()}
+    got = {r["id"]: r["y"] for r in ordered.carry(
+        df, "id", "x", **{"before" if forward else "after": "y"}, groups=["k"], slices=6).collect()}
     assert len(got) == 3000
     last, want = {}, {}
     rows = sorted(df.collect(), key=lambda r: r["id"], reverse=not forward)
