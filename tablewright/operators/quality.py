@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -180,6 +180,30 @@ def decision_log(df: DataFrame, text: str, min_len: int = 50, run: int = 3) -> D
     return counted.select(F.inline(F.array(*rows)))
 
 
+def fix_report(
+    original: DataFrame, strategies: Mapping[str, DataFrame], text: str, key: str, group: str,
+    target: str, min_len: int = 50,
+) -> DataFrame:
+    """One nested row: original shape, cleaning decisions, and each strategy's rows, loss and score."""
+    decisions = decision_log(original, text, min_len).where("action = 'drop'").agg(
+        # one entry per decision
+        F.array_sort(F.collect_list(F.struct("issue", "action", F.col("rows").alias("rows_dropped"))))
+    )
+    entries = []
+    for name, cleaned in strategies.items():
+        metrics = strategy_metrics(original, cleaned, text, key, group, target).select(
+            F.struct(
+                F.lit(name).alias("name"), F.col("rows_after").alias("rows"), "loss_pct", "quality_score"
+            )
+        )
+        entries.append(metrics.scalar())
+    return original.agg(F.count(F.lit(1)).alias("_n")).select(
+        F.array(F.col("_n"), F.lit(len(original.columns)).cast("bigint")).alias("original_shape"),
+        decisions.scalar().alias("decisions"),
+        F.array(*entries).alias("strategies"),
+    )
+
+
 # Our choice: points taken off per issue of each severity in the generic scan.
 SEVERITY_POINTS = {"high": 10.0, "medium": 5.0, "low": 2.0}
 

@@ -279,3 +279,24 @@ def quality_bands(spark, folder):
 
     orders = table(spark, folder, "orders").select(score_band(F.col("o_totalprice") / 5000.0).alias("band"))
     return orders.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "fix_report",
+    f"""WITH {A_SQL} SELECT 'conservative' AS name, (SELECT count(*) FROM a) AS rows, (SELECT count(*) FROM rev) AS n_rows, 7::BIGINT AS n_cols,
+    (SELECT count(*) FROM rev WHERE {SHORT} AND NOT {DAMAGED}) AS short_dropped
+    UNION ALL SELECT 'flagged', (SELECT count(*) FROM clean), (SELECT count(*) FROM rev), 7,
+    (SELECT count(*) FROM rev WHERE {SHORT} AND NOT {DAMAGED})""",
+)
+def fix_report(spark, folder):
+    rows = reviews(spark, folder)
+    sets = {
+        "conservative": cleaning.strategy_conservative(rows, "text", "source", "doc_id"),
+        "flagged": cleaning.strategy_flag_duplicates(rows, "text", "source", "doc_id"),
+    }
+    report = quality.fix_report(rows, sets, **ROLES)
+    short = F.filter("decisions", lambda d: d["issue"] == "short_review")[0]["rows_dropped"]
+    return report.select(
+        F.explode("strategies").alias("s"), F.get("original_shape", 0).alias("n_rows"),
+        F.get("original_shape", 1).alias("n_cols"), short.alias("short_dropped"),
+    ).select("s.name", "s.rows", "n_rows", "n_cols", "short_dropped")

@@ -134,8 +134,18 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists") -> None:
-    """Files with a header; an existing path is never overwritten unless asked."""
+BYTE_ORDER_MARK = "\ufeff"
+
+
+def write_delimited(
+    df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexists", bom: bool = False
+) -> None:
+    """Files with a header; an existing path is never overwritten unless asked.
+
+    With ``bom`` each file starts with a byte-order mark, which spreadsheets expect.
+    """
+    if bom:
+        df = df.toDF(BYTE_ORDER_MARK + df.columns[0], *df.columns[1:])
     (
         df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
         .option("escape", '"').option("emptyValue", "").option("encoding", "UTF-8").csv(path)
@@ -147,3 +157,11 @@ def write_labeled(df: DataFrame, path: str, sep: str = ",") -> None:
     if not df.columns:
         raise ValueError("no columns to write")
     write_delimited(df, path, sep)
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Path and size of every file below a folder; file contents are not read."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern).load(folder).select("path", "length")
+    )

@@ -125,3 +125,15 @@ def test_classifier_is_loaded_once_per_stream(spark):
     df = spark.createDataFrame([(1, "good"), (2, "bad")], "id long, t string")
     got = sorted(tuple(r) for r in lb.auto_label(df, make, "t", 1).collect())
     assert got == [(1, "good", "positive", "liked", 0.1235), (2, "bad", "negative", "not_liked", 0.1235)]
+
+
+def test_byte_order_mark_and_file_list(spark, tmp_path):
+    path = str(tmp_path / "marked")
+    dl.write_delimited(spark.createDataFrame([(1, "x")], "id long, t string").coalesce(1), path, bom=True)
+    file = next(p for p in (tmp_path / "marked").iterdir() if p.suffix == ".csv")
+    assert file.read_bytes().startswith(b"\xef\xbb\xbfid,t")
+    assert dl.read_delimited(spark, path, "id long, t string").collect()[0]["id"] == 1
+    found = dl.list_files(spark, path, "*.csv").collect()
+    assert len(found) == 1 and found[0]["length"] == file.stat().st_size
+    kinds = lb.inspect_paths(dl.list_files(spark, path, "*.csv"), "path").collect()
+    assert [(r["modality"], r["n"]) for r in kinds] == [("text", 1)]
