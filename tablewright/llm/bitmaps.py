@@ -7,8 +7,13 @@ others may have one. A crowded map filters less and loses nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_
+
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 BITS = 26
 
@@ -31,3 +36,34 @@ def on_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes (unsigned) are on the map."""
     at = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def on_map_of(hashes: DataFrame, column: str = "h") -> Callable[[Column], Column]:
+    """A test for columns of hashes: can the hash be among ``hashes``?"""
+    shared = hashes.sparkSession.sparkContext.broadcast(bit_map(hashes, column))
+
+    @F.pandas_udf("boolean")
+    def listed(values: pd.Series) -> pd.Series:
+        return pd.Series(on_map(shared.value, values.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    return listed
+
+
+def text_key(text: str | Column) -> Column:
+    """128 bits of SHA-256 of a text; NULL counts as empty."""
+    column = F.col(text) if isinstance(text, str) else text
+    return F.substring(F.unhex(F.sha2(F.coalesce(column, F.lit("")), 256)), 1, 16)
+
+
+def without(docs: DataFrame, gone: DataFrame, on: Mapping[str, Column]) -> DataFrame:
+    """Rows of ``docs`` that are not in ``gone``; ``on`` gives for each column of ``gone`` its value in ``docs``.
+
+    An anti-join in which missing values match each other. Rows that the bit
+    map of ``gone`` rules out pass by without a shuffle.
+    """
+    listed = on_map_of(gone.select(F.xxhash64(*on).alias("h")))
+    test = listed(F.xxhash64(*on.values()))
+    keys = {f"_on_{c}": value for c, value in on.items()}
+    test_rows = docs.where(test).withColumns(keys)
+    same = reduce(and_, [test_rows[f"_on_{c}"].eqNullSafe(gone[c]) for c in on])
+    return docs.where(~test).unionByName(test_rows.join(gone, same, "left_anti").drop(*keys))

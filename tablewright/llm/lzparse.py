@@ -19,12 +19,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm import words as W
-from tablewright.llm.bitmaps import bit_map, on_map
+from tablewright.llm.bitmaps import on_map_of, text_key
 from tablewright.session import cut_lineage
 
 RUN = 35
@@ -33,11 +32,6 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 FACTOR = "struct<start:int,words:int,block:bigint>"
 
 
-def text_key(text: str | Column) -> Column:
-    """128 bits of SHA-256 of a text; NULL counts as empty."""
-    return F.substring(F.unhex(F.sha2(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), 256)), 1, 16)
-
-
 def _runs(piece: W.Slice, run: int, gram: int):
     found = W.find_words(piece.data, piece.bounds, W.NOT_BLANK)
     hashes = W.word_hashes(piece.data, found)
@@ -117,13 +111,7 @@ def factors(starts: np.ndarray, blocks: np.ndarray, run: int) -> list[tuple[int,
 
 def _touched_texts(docs: DataFrame, id: str, text: str, wanted: DataFrame) -> DataFrame:
     """Texts of ``wanted`` (key, first_id and more); others are filtered before the shuffle."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(bit_map(wanted.select(F.xxhash64("key").alias("h"))))
-
-    @F.pandas_udf("boolean")
-    def listed(hashes: pd.Series) -> pd.Series:
-        return pd.Series(on_map(shared.value, hashes.to_numpy(dtype=np.int64).view(np.uint64)))
-
+    listed = on_map_of(wanted.select(F.xxhash64("key").alias("h")))
     keyed = docs.select(F.col(id).alias("_id"), text_key(text).alias("key"), F.col(text).alias("text"))
     # by id as well, so that one text of a group of copies is read; repeated rows do no harm
     return (

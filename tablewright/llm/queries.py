@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.llm import lzparse, simhash, winnowing
+from tablewright.llm import ledger, linedup, lzparse, mixing, simhash, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,3 +108,70 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lzparse.repeated_passages(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256"
     )
+
+
+OP2_SQL = rf"""
+WITH doc_words AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS_SQL} AS w FROM documents),
+tokens AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p, len(w) AS n FROM doc_words),
+runs AS (
+  SELECT doc_id, p, n, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o AS s
+  FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+twice AS (SELECT doc_id, p FROM (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, s) AS c FROM runs WHERE p + 2 <= n) WHERE c > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM doc_words)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+measures AS (
+  SELECT d.doc_id, len(d.w)::BIGINT AS n_words, len(array_to_string(d.w, ''))::BIGINT AS word_chars,
+    len(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(l.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(l.n_lines, 0) AS n_lines, len(regexp_replace(d.text, '[^A-Z]', '', 'g')) AS n_upper,
+    len(regexp_replace(d.text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS n_letters,
+    len(regexp_replace(d.text, '[^!]', '', 'g')) AS n_exclaim
+  FROM doc_words d LEFT JOIN repeated r ON d.doc_id = r.doc_id LEFT JOIN lines l ON d.doc_id = l.doc_id),
+judged AS (
+  SELECT *, {" + ".join(f"CASE WHEN {r.fails} THEN {1 << i} ELSE 0 END" for i, r in enumerate(ledger.RULES))} AS failed
+  FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed::BIGINT AS failed,
+       (failed & {ledger.mask(ledger.POLICIES[0].strict)}) > 0 AS base_failed,
+       (failed & {ledger.mask(ledger.POLICIES[-1].strict)}) = 0 AS kept
+FROM judged
+"""
+
+
+@query(OP2_SQL)
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    book = ledger.ledger(table(spark, folder, "documents"))
+    return ledger.verdicts(book).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed",
+        (~ledger.kept_by(ledger.POLICIES[0])).alias("base_failed"), "kept",
+    )
+
+
+@query()
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).documents.select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    known = table(spark, folder, "labels").where(~held_out).select("doc_id", "toxic")
+    return toxicity.score(docs, toxicity.fit(docs, known)).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return linedup.without_repeated_lines(docs).select(
+        "doc_id", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )

@@ -169,10 +169,10 @@ def slide(best, values: np.ndarray, width: int) -> np.ndarray:
 
 def spread(marks: np.ndarray, width: int, size: int) -> np.ndarray:
     """Positions below ``size`` covered by runs of ``width`` that start at a mark."""
-    change = np.zeros(size + 1, dtype=np.int32)
+    change = np.zeros(size + width, dtype=np.int32)
     at = np.flatnonzero(marks)
-    np.add.at(change, at, 1)
-    np.add.at(change, np.minimum(at + width, size), -1)
+    change[at] += 1
+    change[at + width] -= 1
     return np.cumsum(change)[:size] > 0
 
 
@@ -194,6 +194,13 @@ def winnow(grams: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
     return (slide(np.maximum, padded, width) == grams) & slide(np.logical_or, good, width)
 
 
+def sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``flags`` between neighbouring bounds."""
+    total = np.zeros(len(flags) + 1, dtype=np.int64)
+    np.cumsum(flags, out=total[1:])
+    return np.diff(total[bounds])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64, copy=False).view(np.int64)
 
