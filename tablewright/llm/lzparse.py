@@ -141,7 +141,9 @@ def repeated_passages(
         F.count(F.lit(1)).alias("copies"), F.min("row").alias("row")
     )
     anchors = found.select("row", F.explode("anchors").alias("h"))
-    repeated = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # aggregates are stored before they are joined back: then both sides of the join
+    # are shuffled, and Spark may split a hash that very many texts share
+    repeated = cut_lineage(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     marked = anchors.join(repeated, "h").groupBy("row").agg(F.collect_set("h").alias("marks"))
     first_ids = found.select("row", F.col("_id").alias("first_id"))
     wanted = cut_lineage(
@@ -153,9 +155,9 @@ def repeated_passages(
         "row", "copies", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
     )
     # a run of a text with copies is repeated by that alone
-    index = places.groupBy("h").agg(
+    index = cut_lineage(places.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"), F.min("row").alias("block")
-    ).where("n > 1 OR most > 1").select("h", "block")
+    ).where("n > 1 OR most > 1").select("h", "block"))
     spans = cut_lineage(
         places.where("copies = 1").select("row", "start", "h").join(index, "h")
         .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "block"))).alias("hits"))
