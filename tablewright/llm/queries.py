@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.llm import ledger, linedup, lzparse, mixing, simhash, toxicity, winnowing
+from tablewright.llm import (
+    language, ledger, licenses, linedup, lzparse, mixing, secret_scan, simhash, toxicity, winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,3 +177,42 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linedup.without_repeated_lines(docs).select(
         "doc_id", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.licence_passages(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", F.size("passages").cast("bigint").alias("n_passages"),
+        F.array_join(F.array_sort(F.array_distinct("passages.template")), ",").alias("licenses"),
+        F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["template"], p["first"], p["last"])), ",").alias("passages"),
+        F.round(F.coalesce(F.array_max("passages.dice"), F.lit(0.0)), 6).alias("best_dice"),
+    )
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = secret_scan.scan(table(spark, folder, "documents"), repository="doc_id", owner="source")
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def digest(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+        F.sha2(digest(F.filter("spans", lambda s: s["kind"] != "opaque")), 256).alias("base_sha256"),
+        digest(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
+    )
+
+
+@query()
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    dictionaries = language.learn(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", "text"), dictionaries).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )

@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm import words as W
 
 BITS = 20
-STEMS = (4, 6)  # bytes
+STEMS = (4, 6, 8)  # bytes
 SAMPLE = 8192  # training rows at most
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.6, 1.0
+EPOCHS = 5
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 5.0, 1.0
 
 
 class Model(NamedTuple):
