@@ -95,7 +95,7 @@ def classify(text: str | None, known: Mapping[str, zstandard.ZstdCompressor]) ->
 
 
 def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and rejected.
+    """``docs`` with lang_pred, score and rejected, in place of columns of these names.
 
     NULL texts and texts without a letter give ``und`` with score 0, as does
     everything if no language was learned. Ties go to the first language by
@@ -112,4 +112,5 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
                 [classify(t, known) for t in part], columns=["lang_pred", "score", "rejected"]
             )
 
-    return docs.withColumn("_found", found(F.col(text))).select(*docs.columns, "_found.*")
+    made = ("lang_pred", "score", "rejected")
+    return docs.withColumn("_found", found(F.col(text))).select(*[c for c in docs.columns if c not in made], "_found.*")

@@ -175,13 +175,21 @@ def without_repeated_lines(
     """
     marks = cut_lineage(repeated_lines(docs, id, text, min_words))
     may_lose = on_map_of(marks.select(F.xxhash64("_id", "_key").alias("h")))(F.xxhash64(F.col(id), text_key(text)))
-    lines = F.split(F.col(text), "\n", -1)
-    rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("deleted", i)), "\n")
-    touched = docs.where(may_lose).withColumns({"_own_id": F.col(id), "_own_key": text_key(text)})
+    # the row stays one column until the end, so its names can't meet those used here
+    touched = docs.where(may_lose).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id).alias("own_id"), text_key(text).alias("own_key")
+    )
+    body = F.col("doc").getField(text)
+    rest = F.array_join(
+        F.filter(F.split(body, "\n", -1), lambda _, i: ~F.array_contains("deleted", i)), "\n"
+    )
     cut = touched.join(
-        marks, touched["_own_id"].eqNullSafe(marks["_id"]) & (touched["_own_key"] == marks["_key"]), "left"
+        marks, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_key") == F.col("_key")), "left"
     ).select(
-        *[F.when(F.col("deleted").isNotNull(), rest).otherwise(F.col(text)).alias(text) if c == text else touched[c] for c in docs.columns],
+        *[
+            (F.when(F.col("deleted").isNotNull(), rest).otherwise(body) if c == text else F.col("doc").getField(c)).alias(c)
+            for c in docs.columns
+        ],
         F.coalesce(F.size("deleted"), F.lit(0)).cast("bigint").alias(deleted),
     )
     return docs.where(~may_lose).withColumn(deleted, F.lit(0).cast("bigint")).unionByName(cut)
