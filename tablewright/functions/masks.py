@@ -21,6 +21,12 @@ def short_text(text: Column | str, min_len: int = 50) -> Column:
     return _false_if_null(F.length(text) < F.lit(min_len))
 
 
+def number(value: Column | str) -> Column:
+    """A number as double, with NaN as NULL; every figure over numbers reads its input through this."""
+    column = F.col(value) if isinstance(value, str) else value
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
 def missing(name: str, data_type: T.DataType) -> Column:
     """NULL, or NaN in a floating-point column."""
     column = F.col(f"`{name}`")

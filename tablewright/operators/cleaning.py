@@ -67,8 +67,10 @@ def drop_exact(df: DataFrame) -> DataFrame:
 
 def drop_subset(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     """The row with the smallest id for each key."""
-    order = Window.partitionBy(*keys).orderBy(row_id)
-    return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    # keys meet as digests: whole texts stay out of the shuffle, and the counts combine before it
+    digest = profile.row_digest(df, keys)
+    keep = df.groupBy(digest.alias("_d")).agg(F.min(row_id).alias(row_id)).select(row_id)
+    return df.join(keep, row_id, "left_semi")
 
 
 def drop_rows(df: DataFrame, columns: Sequence[str] | None = None, max_missing: int = 0) -> DataFrame:
@@ -155,8 +157,9 @@ def fill_interpolate(
 ) -> DataFrame:
     """Straight line between the known neighbours in order; trailing gaps repeat the last value.
 
-    ``order`` is numeric and unique within a group.
+    ``order`` is numeric and unique within a group. NaN is a gap like NULL.
     """
+    df = df.withColumn(column, masks.number(column))
     point = F.when(F.col(column).isNotNull(), F.struct(F.col(order).alias("t"), F.col(column).alias("v")))
     known = df.withColumn("_p", point)
     both = carry(known, order, "_p", "_before", "_after", groups)
@@ -173,7 +176,7 @@ def fill_interpolate(
 
 def _limits(df: DataFrame, columns: Sequence[str], rule: str, factor: float) -> Column:
     """Struct ``{column: {lo, hi}}`` as one scalar subquery for all columns."""
-    known = [F.col(c) for c in columns]
+    known = [masks.number(c) for c in columns]
     if rule == "iqr":
         if len(columns) == 1:
             fence = profile.iqr_bounds(df, columns[0], factor).select(F.struct("lo", "hi").alias(columns[0]))
@@ -200,7 +203,8 @@ def _limits(df: DataFrame, columns: Sequence[str], rule: str, factor: float) ->
 
 def _outside(column: str, edge: Column) -> Column:
     """True outside the fences; a missing value is inside."""
-    return F.coalesce((F.col(column) < edge["lo"]) | (F.col(column) > edge["hi"]), F.lit(False))
+    value = masks.number(column)
+    return F.coalesce((value < edge["lo"]) | (value > edge["hi"]), F.lit(False))
 
 
 def flag_outliers(
@@ -216,8 +220,8 @@ def clip_outliers(
     edges = _limits(df, columns, rule, factor)
     clipped = {}
     for c in columns:
-        inside = F.greatest(F.least(F.col(c).cast("double"), edges[c]["hi"]), edges[c]["lo"])
-        clipped[c] = F.when(F.col(c).isNotNull(), inside)
+        value = masks.number(c)
+        clipped[c] = F.when(value.isNotNull(), F.greatest(F.least(value, edges[c]["hi"]), edges[c]["lo"]))
     return df.withColumns(clipped)
 
 

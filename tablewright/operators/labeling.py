@@ -289,9 +289,6 @@ def inspect_paths(df: DataFrame, path: str) -> DataFrame:
     return df.groupBy(modality_of(path).alias("modality")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def pilot_rows(df: DataFrame, row_id: str, size: int = 100, above: int = 10_000, seed: int = 42) -> DataFrame:
-    """A small pilot of inputs larger than ``above`` rows, smaller inputs whole."""
-    n = df.agg(F.count(F.lit(1))).scalar()
-    whole = df.where(n <= above)
-    pilot = df.where(n > above).orderBy(row_hash([row_id], seed), row_id).limit(size)
-    return whole.unionByName(pilot)
+def pilot_rows(df: DataFrame, row_id: str, size: int = 100, seed: int = 42) -> DataFrame:
+    """The first ``size`` rows by seeded hash; whether a pilot is wanted is the caller's decision."""
+    return df.orderBy(row_hash([row_id], seed), row_id).limit(size)

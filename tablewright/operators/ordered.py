@@ -13,13 +13,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_SLICES = 4096
-
+from tablewright.functions import masks
 
 def slice_count(df: DataFrame) -> int:
     """As many slices as the session has shuffle partitions."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(partitions, MAX_SLICES))
+    return max(2, partitions)
 
 
 def with_slice(
@@ -38,11 +37,24 @@ def with_slice(
     if read:
         counted = df.where(sum((F.col(c) for c in read), F.lit(0)) > 0)
     cuts = counted.agg(F.percentile_approx(order, shares, 20 * slices)).scalar()
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(order))))
-        .drop("_cuts")
-    )
+    return df.withColumn("_cuts", cuts).withColumn("_slice", _below("_cuts", order, slices)).drop("_cuts")
+
+
+def _below(cuts: str, order: str, slices: int) -> Column:
+    """How many of the ascending ``cuts`` lie below ``order``, by halving."""
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.shiftright(span["lo"] + span["hi"], 1)
+        # an empty span stays as it is
+        open_ = span["lo"] < span["hi"]
+        below = F.get(F.col(cuts), middle) < F.col(order)
+        return F.struct(
+            F.when(open_ & below, middle + 1).otherwise(span["lo"]).alias("lo"),
+            F.when(open_ & ~below, middle).otherwise(span["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size(cuts), F.lit(0)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(slices.bit_length() + 1))
+    return F.aggregate(steps, start, halve, lambda span: span["lo"])
 
 
 def _join_slices(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,7 +87,7 @@ def running_totals(
     )
     local = sliced.select("*", *[F.sum(s).over(inside).alias(f"{s}_cum") for s in sums])
     per_slice = sliced.groupBy(*keys).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    # one row per slice and group: at most MAX_SLICES rows in a window partition
+    # one row per slice and group: as many rows in a window partition as there are slices
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
     offsets = per_slice.select(
@@ -111,10 +123,22 @@ def exact_quantiles(
     Copies of a value collapse to one counted row before anything is sorted.
     """
     counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.select(*groups, masks.number(value).alias("_v")).where("_v IS NOT NULL")
+        .groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     )
+    return weighted_quantiles(counted, "_v", "_n", quantiles, groups, slices)
+
+
+def weighted_quantiles(
+    counted: DataFrame,
+    value: str,
+    weight: str,
+    quantiles: Mapping[str, float],
+    groups: Sequence[str] = (),
+    slices: int | None = None,
+) -> DataFrame:
+    """The same for a table of different values and how often each occurs."""
+    counted = counted.select(*groups, F.col(value).alias("_v"), F.col(weight).alias("_n"))
     ranked = running_totals(counted, "_v", ["_n"], groups, slices)
     last = F.col("_n_total") - 1
     picks = []

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import masks, scalars, text as tx
-from tablewright.operators.ordered import exact_quantiles, number_rows
+from tablewright.operators.ordered import exact_quantiles, number_rows, weighted_quantiles
 from tablewright.operators.skew import key_counts, with_key_count
+from tablewright.session import cut_lineage
 
 
 def _counted() -> Column:
@@ -18,7 +19,13 @@ def _counted() -> Column:
 
 def _long(df: DataFrame, columns: Sequence[str], name: str, value: str, cast: str | None = None):
     """Rows ``(name, value)`` for each of the columns, without a shuffle."""
-    picked = [F.col(f"`{c}`").cast(cast).alias(c) if cast else F.col(f"`{c}`") for c in columns]
+    def one(c: str) -> Column:
+        column = F.col(f"`{c}`")
+        if cast == "double":
+            return masks.number(column).alias(c)
+        return column.cast(cast).alias(c) if cast else column
+
+    picked = [one(c) for c in columns]
     return df.select(*picked).unpivot([], list(columns), name, value)
 
 
@@ -102,13 +109,28 @@ def missing_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return correlation_matrix(marks, columns)
 
 
+def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """256-bit digest of a row: missing equals missing, 0.0 equals -0.0, timestamps count to the microsecond."""
+    exact = {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    floats = (T.DoubleType, T.FloatType)
+    types = {f.name: f.dataType for f in df.schema}
+    cells = [
+        (F.when(~masks.missing(c, types[c]), F.col(f"`{c}`") + F.lit(0).cast(types[c])) if isinstance(types[c], floats)
+         else F.col(f"`{c}`")).alias(c)
+        for c in (columns or df.columns)
+    ]
+    return F.sha2(F.to_json(F.struct(*cells), exact), 256)
+
+
 def full_duplicates(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows; missing equals missing.
 
     Rows are compared by a 256-bit digest, so whole texts never cross the shuffle.
     """
-    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
-    return _beyond_first(df.groupBy(digest.alias("_d")).agg(_counted().alias("_n")))
+    return _beyond_first(df.groupBy(row_digest(df).alias("_d")).agg(_counted().alias("_n")))
 
 
 def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -177,9 +199,10 @@ def mean_of_groups(summary: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def text_stats(df: DataFrame, text: str, key: str, group: str) -> DataFrame:
-    """Size, vocabulary and length figures of a text table as one row."""
-    measured = df.select(F.length(text).cast("bigint").alias("len"),
-                         tx.word_count(text).cast("bigint").alias("words"))
+    """Size, vocabulary and length figures of a text table as one row; texts are read once."""
+    measured = cut_lineage(df.select(
+        F.length(text).cast("bigint").alias("len"), tx.word_count(text).cast("bigint").alias("words"), key, group
+    ))
     middle = exact_quantiles(measured, "len", {"median_len": 0.5})
     return measured.agg(
         _counted().alias("n_rows"),
@@ -189,26 +212,23 @@ def text_stats(df: DataFrame, text: str, key: str, group: str) -> DataFrame:
     ).select(
         "n_rows", "mean_len", "min_len", "mean_words",
         middle.scalar().alias("median_len"),
-        distinct_counts(df, [key]).scalar().alias("unique_keys"),
-        distinct_counts(df, [group]).scalar().alias("unique_groups"),
+        distinct_counts(measured, [key]).scalar().alias("unique_keys"),
+        distinct_counts(measured, [group]).scalar().alias("unique_groups"),
     )
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, standard deviation, min and max of each numeric column, in one pass."""
     columns = list(columns or numeric_columns(df))
-    return (
-        _long(df, columns, "column", "v", "double")
-        .where("v IS NOT NULL")
-        .groupBy("column")
-        .agg(
-            F.count("v").alias("n"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
-    )
+    row = df.select(*[masks.number(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)]).agg(*[
+        F.struct(
+            F.lit(c).alias("column"), F.count(f"v{i}").alias("n"), F.avg(f"v{i}").alias("mean"),
+            F.stddev_samp(f"v{i}").alias("std"), F.min(f"v{i}").alias("min"), F.max(f"v{i}").alias("max"),
+        ).alias(f"p{i}")
+        for i, c in enumerate(columns)
+    ])
+    cells = F.array(*[F.col(f"p{i}") for i in range(len(columns))])
+    return row.select(F.inline(cells)).where("n > 0")
 
 
 def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
@@ -224,20 +244,24 @@ def outlier_counts(
 ) -> DataFrame:
     """Outliers of every numeric column by both rules."""
     columns = list(columns or numeric_columns(df))
-    long = _long(df, columns, "column", "v", "double").where("v IS NOT NULL")
-    quartiles = exact_quantiles(long, "v", {"q1": 0.25, "q3": 0.75}, ["column"])
-    moments = long.groupBy("column").agg(
-        F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")
+    # every value once with its count: both rules read the counts, not the table
+    counted = cut_lineage(
+        _long(df, columns, "column", "v", "double").where("v IS NOT NULL").groupBy("column", "v").agg(_counted().alias("w"))
     )
+    quartiles = weighted_quantiles(counted, "v", "w", {"q1": 0.25, "q3": 0.75}, ["column"])
+    moments = df.select(*[masks.number(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)]).agg(*[
+        F.struct(F.lit(c).alias("column"), F.avg(f"v{i}").alias("mean"), F.stddev_pop(f"v{i}").alias("std")).alias(f"p{i}")
+        for i, c in enumerate(columns)
+    ]).select(F.inline(F.array(*[F.col(f"p{i}") for i in range(len(columns))])))
     # one row per column of the table
     limits = F.broadcast(quartiles.join(moments, "column"))
     width = (F.col("q3") - F.col("q1")) * F.lit(float(factor))
     by_iqr = (F.col("v") < F.col("q1") - width) | (F.col("v") > F.col("q3") + width)
     by_z = F.abs(F.col("v") - F.col("mean")) > F.col("std") * F.lit(float(limit))
-    return long.join(limits, "column").groupBy("column").agg(
-        F.count("v").alias("n"),
-        F.count_if(by_iqr).alias("n_iqr"),
-        F.count_if(by_z).alias("n_zscore"),
+    return counted.join(limits, "column").groupBy("column").agg(
+        F.sum("w").alias("n"),
+        F.sum(F.when(by_iqr, F.col("w")).otherwise(0)).alias("n_iqr"),
+        F.sum(F.when(by_z, F.col("w")).otherwise(0)).alias("n_zscore"),
     )
 
 
@@ -250,13 +274,13 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
 
 
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.corr(x, y).alias("r"))
+    return df.agg(F.corr(masks.number(x), masks.number(y)).alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All pairs of columns in long form, from one aggregation."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[F.corr(masks.number(a), masks.number(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(
         *[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{i}`").alias("r"))
           for i, (a, b) in enumerate(pairs)]
@@ -273,7 +297,7 @@ def histogram(
     ``density`` integrates to 1 within each ``by`` class.
     """
     keys = [by] if by else []
-    values = df.select(*keys, F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    values = df.select(*keys, masks.number(column).alias("v")).where("v IS NOT NULL")
     if lo is None or hi is None:
         ends = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
         ends_lo, ends_hi = ends["lo"], ends["hi"]
@@ -311,7 +335,7 @@ def density_curve(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
     Copies of a value collapse first; each remaining value meets the fixed-size
     grid inside its own row, and only one partial sum per grid point is shuffled.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    values = df.select(masks.number(column).alias("v")).where("v IS NOT NULL")
     facts = values.agg(
         F.struct(
             F.count("v").alias("n"), F.stddev_samp("v").alias("sd"),
@@ -336,10 +360,11 @@ def density_curve(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
 
 def box_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, and whiskers at the last data point within 1.5 interquartile ranges."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(
-        *by, F.col(column).cast("double").alias("v")
-    ).agg(_counted().alias("n"))
-    marks = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    counted = cut_lineage(
+        df.select(*by, masks.number(column).alias("v")).where("v IS NOT NULL")
+        .groupBy(*by, "v").agg(_counted().alias("n"))
+    )
+    marks = weighted_quantiles(counted, "v", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     width = (F.col("q3") - F.col("q1")) * 1.5
     lo = F.min(F.when(F.col("v") >= F.col("q1") - width, F.col("v"))).alias("whisker_lo")
     hi = F.max(F.when(F.col("v") <= F.col("q3") + width, F.col("v"))).alias("whisker_hi")

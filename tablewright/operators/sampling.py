@@ -11,15 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablewright.operators.ordered import number_rows
 from tablewright.operators.skew import lookup_join, row_hash
-
-MANY_STRATA = 10_000
+from tablewright.session import cut_lineage
 
 
 def hash_bits(df: DataFrame) -> int:
-    """Leading hash bits that name a slice: 64 slices per shuffle partition, at most 2**20."""
+    """Leading hash bits that name a slice: 64 slices per shuffle partition."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(20, max(8, partitions.bit_length() + 6))
+    return max(8, partitions.bit_length() + 6)
 
 
 def hash_key(ids: Sequence[str], seed: int) -> Column:
@@ -29,20 +29,20 @@ def hash_key(ids: Sequence[str], seed: int) -> Column:
 def largest_remainder(counts: DataFrame, stratum: str, n: str, size: Column, out: str) -> DataFrame:
     """Share ``size`` over strata in proportion to ``n``; largest remainders get the rest.
 
-    ``counts`` has one row per stratum; a sample with fewer rows than strata
-    makes no sense, so the one window over them stays as small as the sample.
+    ``counts`` has one row per stratum. There may be very many strata: sums are
+    scalar subqueries and the order of the remainders is cut into slices.
     """
-    everything = Window.partitionBy(F.lit(0))
-    exact = F.col(n) * size / F.sum(n).over(everything)
-    ranked = Window.partitionBy(F.lit(0)).orderBy(F.desc("_rem"), F.asc(stratum))
+    # stored, so that the sums, the order and the result read one table
+    shared = cut_lineage(counts.withColumn("_size", size))
+    exact = F.col(n) * F.col("_size") / shared.agg(F.sum(n)).scalar()
+    parts = shared.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact"))
+    # ascending order of the negative remainder is descending order of the remainder
+    parts = parts.withColumn("_rem", F.col("_floor") - F.col("_exact"))
+    short = F.col("_size") - parts.agg(F.sum("_floor")).scalar()
     return (
-        counts.withColumn("_exact", exact)
-        .withColumn("_floor", F.floor("_exact"))
-        .withColumn("_rem", F.col("_exact") - F.col("_floor"))
-        .withColumn("_short", size - F.sum("_floor").over(everything))
-        .withColumn("_place", F.row_number().over(ranked))
-        .withColumn(out, F.col("_floor") + (F.col("_place") <= F.col("_short")).cast("bigint"))
-        .drop("_exact", "_floor", "_rem", "_short", "_place")
+        number_rows(parts, "_rem", "_place", tie=[stratum])
+        .withColumn(out, F.col("_floor") + (F.col("_place") <= short).cast("bigint"))
+        .drop("_size", "_exact", "_floor", "_rem", "_place")
     )
 
 
@@ -85,11 +85,7 @@ def assign_by_quota(
     lookup = ends.groupBy(stratum, *parts, *keep).agg(F.sum("_n").alias("_rows"), *passed).withColumnsRenamed(
         {part: f"_q{j}" for j, part in enumerate(parts)}
     )
-    few = quotas.select(stratum).limit(MANY_STRATA + 1).count() <= MANY_STRATA
-    rows = (
-        keyed.join(F.broadcast(lookup), stratum) if few
-        else lookup_join(keyed, lookup, [stratum], "_rows", ids, "inner")
-    )
+    rows = lookup_join(keyed, lookup, [stratum], "_rows", ids, "inner")
     upper, beyond, split_at, sizes = F.lit(0).cast("bigint"), [], [], []
     for j in range(len(parts)):
         upper = upper + F.col(f"_q{j}")

@@ -333,12 +333,21 @@ def inspect_paths(spark, folder):
     return lb.inspect_paths(rows, "path")
 
 
-@query("pilot_rows", "SELECT 100 AS n_pilot, (SELECT count(*) FROM documents) AS n_whole")
+@query(
+    "pilot_rows",
+    "SELECT 100::BIGINT AS n_pilot, 100::BIGINT AS n_ids, 100::BIGINT AS n_known, (SELECT count(*) FROM documents) AS n_all",
+)
 def pilot_rows(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id")
-    pilot = lb.pilot_rows(docs, "doc_id", 100, above=150).agg(F.count(F.lit(1)).cast("int").alias("n_pilot"))
-    whole = lb.pilot_rows(docs, "doc_id", 100, above=10**9).agg(F.count(F.lit(1))).scalar()
-    return pilot.withColumn("n_whole", whole)
+    """A pilot has different rows of the table, the same ones on each run, and its size alone decides how many."""
+    docs = table(spark, folder, "documents")
+    pilot = lb.pilot_rows(docs, "doc_id", 100)
+    again = lb.pilot_rows(docs.orderBy(F.desc("doc_id")), "doc_id", 100).select("doc_id")
+    n_all = docs.agg(F.count(F.lit(1))).scalar()
+    both = pilot.join(again.withColumn("_known", F.lit(True)), "doc_id", "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_pilot"), F.count_distinct("doc_id").alias("n_ids"), F.count("_known").alias("n_known")
+    ).withColumn("n_all", n_all)
+
 
 
 def length_classifier():
