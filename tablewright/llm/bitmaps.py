@@ -12,7 +12,7 @@ from functools import reduce
 from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BITS = 26
@@ -42,9 +42,9 @@ def on_map_of(hashes: DataFrame, column: str = "h") -> Callable[[Column], Column
     """A test for columns of hashes: can the hash be among ``hashes``?"""
     shared = hashes.sparkSession.sparkContext.broadcast(bit_map(hashes, column))
 
-    @F.pandas_udf("boolean")
-    def listed(values: pd.Series) -> pd.Series:
-        return pd.Series(on_map(shared.value, values.to_numpy(dtype=np.int64).view(np.uint64)))
+    @F.arrow_udf("boolean")
+    def listed(values: pa.Array) -> pa.Array:
+        return pa.array(on_map(shared.value, values.to_numpy(zero_copy_only=False).view(np.uint64)))
 
     return listed
 

@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -104,12 +104,14 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
     """
     shared = docs.sparkSession.sparkContext.broadcast(dict(dictionaries))
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def found(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = encoders(shared.value)
         for part in texts:
-            yield pd.DataFrame(
-                [classify(t, known) for t in part], columns=["lang_pred", "score", "rejected"]
+            names, scores, narrow = zip(*(classify(t.as_py(), known) for t in part))
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(narrow, pa.bool_())],
+                ["lang_pred", "score", "rejected"],
             )
 
     made = ("lang_pred", "score", "rejected")

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -130,11 +129,11 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
         .groupBy("way", "key").agg(F.array_sort(F.collect_list("fp")).alias("members"))
     )
 
-    @F.pandas_udf("array<bigint>")
-    def roots(way: pd.Series, members: pd.Series) -> pd.Series:
-        return pd.Series([
-            _link(np.asarray(m, dtype=np.int64), ways[w], distance) for w, m in zip(way, members)
-        ])
+    @F.arrow_udf("array<bigint>")
+    def roots(way: pa.Array, members: pa.Array) -> pa.Array:
+        return pa.array([
+            _link(m.values.to_numpy(zero_copy_only=False), ways[w.as_py()], distance) for w, m in zip(way, members)
+        ], pa.list_(pa.int64()))
 
     linked = more.select(F.explode(F.arrays_zip("members", roots("way", "members").alias("roots"))).alias("e"))
     return twos.unionByName(

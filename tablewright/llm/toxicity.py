@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -147,14 +146,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     """Add ``out``, the probability of label 1; NULL and empty texts get that of the bias alone."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
-    @F.pandas_udf("double")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         features, weights, bias = shared.value
         dense = np.zeros(1 << BITS)
         dense[features] = weights
         for part in texts:
             sums = np.empty(len(part))
-            for piece in W.slices(pa.array(part, type=pa.large_string(), from_pandas=True)):
+            for piece in W.slices(part):
                 of, at, values = _features(piece)
                 keys = []
                 for places, numbers in zip(at, values):
@@ -164,6 +163,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 keys = np.unique(np.concatenate(keys))
                 total = np.bincount(keys >> BITS, dense[keys & ((1 << BITS) - 1)], piece.last - piece.first)
                 sums[piece.first:piece.last] = 1.0 / (1.0 + np.exp(-np.clip(total + bias, -35, 35)))
-            yield pd.Series(sums)
+            yield pa.array(sums)
 
     return docs.withColumn(out, scored(F.col(text)))

@@ -1,7 +1,8 @@
 """Words, word hashes and hashes of word runs for whole Arrow batches of texts.
 
-A batch is worked off in slices of about a megabyte of text, so the arrays a
-task holds follow the slice (or one text, where that is longer), not the batch.
+A batch is worked off in slices of a quarter of a megabyte of text, so the
+arrays a task holds follow the slice (or one text, where that is longer), not
+the batch.
 All functions work on UTF-8 bytes; every byte of a character beyond ASCII
 belongs to the class its caller gives to bytes from 0x80 on.
 """
@@ -14,7 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # words are what stands between the six ASCII blanks
 NOT_BLANK = np.ones(256, dtype=bool)
