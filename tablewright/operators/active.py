@@ -23,8 +23,9 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import scalars, text as tx
 from tablewright.operators import profile
@@ -53,14 +54,17 @@ def stratified_split(
 
 
 def term_statistics(df: DataFrame, text: str, max_n: int = 2) -> DataFrame:
-    """Total frequency and document frequency of every term, combined before the shuffle."""
-    tagged = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first"))),
-        F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first"))),
-    )
+    """Total frequency and document frequency of every term, combined before the shuffle.
+
+    The terms of a text are sorted, so the first of each run of equals marks the document.
+    """
     found = tx.with_terms(df.where(F.col(text).isNotNull()).select(text), text, max_n)
-    return found.select(F.inline(tagged)).groupBy("term").agg(
-        F.count_if(F.col("first") == 0).alias("tf"), F.count_if(F.col("first") == 1).alias("df")
+    ordered = found.select(F.array_sort("terms").alias("_t"))
+    marked = F.transform(
+        "_t", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("_t", i - 1) != t)).alias("first"))
+    )
+    return ordered.select(F.inline(marked)).groupBy("term").agg(
+        F.count(F.lit(1)).alias("tf"), F.count_if("first").alias("df")
     )
 
 
@@ -119,12 +123,17 @@ class TextFeatures:
         ).drop("_terms", "_counts", "_v", "_w")
 
 
-ROWS_PER_FIT_TASK = 20_000
+ROWS_PER_FIT_TASK = 20_000  # shapes the plan only
 
 
-@F.udf(VectorUDT())
-def _to_vector(size, features):
-    return Vectors.sparse(size, features["indices"], features["values"])
+def _to_vector(size: int, features: str) -> Column:
+    """The vector of ``(indices, values)``, read from JSON inside the JVM."""
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+        F.col(f"{features}.indices").alias("indices"), F.col(f"{features}.values").alias("values"),
+    )
+    kind = T.StructType([T.StructField("vector", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(sparse.alias("vector"))), kind)["vector"]
 
 
 @dataclass(frozen=True)
@@ -145,12 +154,12 @@ class TextModel:
             F.count(F.lit(1)), F.array_sort(F.collect_set(label))
         ).first()
         names = F.array(*[F.lit(x) for x in classes])
-        # training rows are few; fewer partitions make the many small iterations cheaper
+        # training rows are few; fewer partitions make the many small iterations cheaper. The
+        # shuffle keeps the scan and filter above it as wide as the table
         parts = max(1, math.ceil(n / ROWS_PER_FIT_TASK))
-        rows = df.coalesce(parts).select(
-            (F.array_position(names, F.col(label)) - 1).cast("double").alias("label"),
-            _to_vector(F.lit(n_features), F.col(features)).alias("features"),
-        )
+        rows = df.select(
+            (F.array_position(names, F.col(label)) - 1).cast("double").alias("label"), F.col(features).alias("f")
+        ).repartition(parts).select("label", _to_vector(n_features, "f").alias("features"))
         if len(classes) == 1:
             return cls(list(classes), [[0.0] * n_features], [math.inf])
         model = LogisticRegression(
@@ -297,7 +306,11 @@ class Experiment:
             fitted = time.monotonic()
             m = _metrics(model.transform(test), self.label)
             measured = time.monotonic()
-            pool = model.transform(rows.where((F.col("split") == "pool") & ~F.col(row_id).isin(asked)))
+            # scored once: the mean entropy and the question read the narrow result
+            pool = cut_lineage(
+                model.transform(rows.where((F.col("split") == "pool") & ~F.col(row_id).isin(asked)))
+                .select(row_id, "probabilities")
+            )
             spread = pool.agg(F.avg(scalars.entropy("probabilities"))).first()[0]
             history.append(
                 (strategy, iteration, n_init + len(asked), m["accuracy"], m["f1"], m["precision_macro"],

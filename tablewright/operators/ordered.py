@@ -37,23 +37,25 @@ def with_slice(
     if read:
         counted = df.where(sum((F.col(c) for c in read), F.lit(0)) > 0)
     cuts = counted.agg(F.percentile_approx(order, shares, 20 * slices)).scalar()
-    return df.withColumn("_cuts", cuts).withColumn("_slice", _below("_cuts", order, slices)).drop("_cuts")
+    return df.withColumn("_cuts", cuts).withColumn(
+        "_slice", count_below("_cuts", F.col(order), F.lit(slices.bit_length()))
+    ).drop("_cuts")
 
 
-def _below(cuts: str, order: str, slices: int) -> Column:
-    """How many of the ascending ``cuts`` lie below ``order``, by halving."""
+def count_below(cuts: str, value: Column, bits: Column) -> Column:
+    """How many of the ascending ``cuts`` lie below ``value``, by halving; their number has ``bits`` bits."""
     def halve(span: Column, _: Column) -> Column:
         middle = F.shiftright(span["lo"] + span["hi"], 1)
         # an empty span stays as it is
         open_ = span["lo"] < span["hi"]
-        below = F.get(F.col(cuts), middle) < F.col(order)
+        below = F.get(F.col(cuts), middle) < value
         return F.struct(
             F.when(open_ & below, middle + 1).otherwise(span["lo"]).alias("lo"),
             F.when(open_ & ~below, middle).otherwise(span["hi"]).alias("hi"),
         )
 
     start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size(cuts), F.lit(0)).alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(slices.bit_length() + 1))
+    steps = F.sequence(F.lit(1), bits + 1)
     return F.aggregate(steps, start, halve, lambda span: span["lo"])
 
 

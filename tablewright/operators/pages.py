@@ -8,14 +8,54 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import scalars, text as tx
 from tablewright.operators.matching import section_of
+from tablewright.operators.ordered import count_below
 
-ANCHOR = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+# an attribute value: in double quotes, in single quotes or bare
+VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+ANCHOR = rf"(?is)<a\s(?:[^>]*\s)?href\s*=\s*{VALUE}[^>]*>(.*?)</a\s*>"
 TAG = r"(?s)<[^>]*>"
 
+# Named characters of HTML that texts of pages use.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae",
+    "middot": "\u00b7", "laquo": "\u00ab", "raquo": "\u00bb", "ndash": "\u2013", "mdash": "\u2014",
+    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "hellip": "\u2026", "euro": "\u20ac",
+}
+
+
+def _character(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def decoded(html: Column) -> Column:
+    """Named and numbered characters in place of their codes; unknown codes stay."""
+    def numbered(part: Column) -> Column:
+        decimal, sixteen = F.regexp_extract(part, r"^([0-9]{1,6});", 1), F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,5});", 1)
+        rest = F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", "")
+        return (
+            F.when(decimal != "", F.concat(_character(decimal.cast("int")), rest))
+            .when(sixteen != "", F.concat(_character(F.conv(sixteen, 16, 10).cast("int")), rest))
+            .otherwise(F.concat(F.lit("&#"), part))
+        )
+
+    parts = F.split(html, "&#", -1)
+    out = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(numbered(p))), "")
+    for name, character in ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(character))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))  # last, so that nothing is decoded twice
+
 
 def plain(html: Column) -> Column:
-    """Visible text of a fragment: tags removed, blanks trimmed."""
-    return tx.trim_blank(F.regexp_replace(html, TAG, ""))
+    """Visible text of a fragment: tags removed, characters decoded, blanks trimmed."""
+    return tx.trim_blank(decoded(F.regexp_replace(html, TAG, "")))
+
+
+def _first_of(values: Sequence[Column]) -> Column:
+    """The first value that is not empty; empty if all are."""
+    out = F.lit("")
+    for v in reversed(values):
+        out = F.when(v != "", v).otherwise(out)
+    return out
 
 
 def extract_links(
@@ -25,13 +65,15 @@ def extract_links(
 
     Positions count from 0 over all anchors of the page.
     """
-    both = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("body"),
+    parts = F.arrays_zip(*[
+        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(i)).alias(name)
+        for i, name in enumerate(("double", "single", "bare", "body"), 1)
+    ])
+    found = pages.select(page, F.posexplode(parts).alias("position", "link")).withColumn(
+        "href", decoded(_first_of([F.col("link.double"), F.col("link.single"), F.col("link.bare")]))
     )
-    found = pages.select(page, F.posexplode(both).alias("position", "link"))
-    return found.where(F.contains(F.col("link.href"), F.lit(href_part))).select(
-        page, "position", F.col("link.href").alias("href"), plain(F.col("link.body")).alias("text")
+    return found.where(F.contains("href", F.lit(href_part))).select(
+        page, "position", "href", plain(F.col("link.body")).alias("text")
     )
 
 
@@ -82,18 +124,18 @@ def keep_all_queries(
 
 
 def item_text(html: Column | str, prop: str) -> Column:
-    """Text of the first element carrying a microdata property."""
+    """Visible text of the first element carrying a microdata property, nested elements included."""
     column = F.col(html) if isinstance(html, str) else html
-    pattern = rf'(?is)itemprop="{prop}"[^>]*>([^<]*)<'
-    found = F.regexp_extract(column, pattern, 1)
-    return F.when(found != "", tx.trim_blank(found))
+    pattern = rf"""(?is)<(\w+)\b[^>]*\sitemprop\s*=\s*["']?{prop}\b["']?[^>]*>(.*?)</\1\s*>"""
+    found = plain(F.regexp_extract(column, pattern, 2))
+    return F.when(found != "", found)
 
 
 def item_content(html: Column | str, prop: str) -> Column:
     """``content`` attribute of the first element carrying a microdata property."""
     column = F.col(html) if isinstance(html, str) else html
-    tag = F.regexp_extract(column, rf'(?is)<[^>]*itemprop="{prop}"[^>]*>', 0)
-    found = F.regexp_extract(tag, r'(?is)\scontent="([^"]*)"', 1)
+    tag = F.regexp_extract(column, rf"""(?is)<[^>]*\sitemprop\s*=\s*["']?{prop}\b["']?[^>]*>""", 0)
+    found = decoded(_first_of([F.regexp_extract(tag, rf"(?is)\scontent\s*=\s*{VALUE}", i) for i in (1, 2, 3)]))
     return F.when(found != "", found)
 
 
@@ -109,28 +151,32 @@ def extract_rating(pages: DataFrame, page: str, html: str) -> DataFrame:
 def extract_sections(
     pages: DataFrame, page: str, html: str, heading_tag: str = "h4",
     label_class: str | None = "pyramid-note-label", label_tag: str = r"[a-z]\w*",
-    sections: Sequence[tuple[str, Sequence[str]]] | None = None, max_length: int = 60,
+    sections: Sequence[tuple[str, Sequence[str]]] | None = None, max_length: int | None = 60,
 ) -> DataFrame:
     """Labels of each page in document order with the heading before them.
 
     ``(page, position, heading, section, label)``. Headings and labels are
     matched by one pattern, so the array holds them in page order and each
-    label takes the last heading before it; the work stays within the row.
-    Without ``sections`` every heading counts and is its own section.
+    label takes the last heading before it; the work stays within the row. An
+    element reaches to the next end of its own tag, whatever is nested in it.
+    Without ``sections`` every heading counts and is its own section; without
+    ``max_length`` labels of any length do.
     """
-    is_label = rf'<(?:{label_tag})\b[^>]*class="[^"]*\b{label_class}\b[^"]*"[^>]*>' if label_class \
-        else rf"<(?:{label_tag})\b[^>]*>"
-    pattern = rf"(?is)(<(?:{heading_tag})\b[^>]*>|{is_label})(.*?)(?=</)"
-    parts = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("tag"),
-        F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("body"),
+    holds = rf"""[^>]*\sclass\s*=\s*["'][^"'>]*\b{label_class}\b[^"'>]*["'][^>]*""" if label_class else "[^>]*"
+    pattern = (
+        rf"(?is)<({heading_tag})\b[^>]*>(.*?)</\1\s*>"
+        rf"|<({label_tag})\b{holds}>(.*?)</\3\s*>"
     )
+    parts = F.arrays_zip(*[
+        F.regexp_extract_all(html, F.lit(pattern), F.lit(i)).alias(name)
+        for i, name in enumerate(("heading_tag", "heading", "label_tag", "label"), 1)
+    ])
     typed = F.transform(
         parts,
         lambda p, i: F.struct(
             i.alias("position"),
-            p["tag"].rlike(rf"(?is)^<(?:{heading_tag})\b").alias("is_heading"),
-            plain(p["body"]).alias("text"),
+            (p["heading_tag"] != "").alias("is_heading"),
+            plain(F.when(p["heading_tag"] != "", p["heading"]).otherwise(p["label"])).alias("text"),
         ),
     )
     if sections is None:
@@ -141,17 +187,23 @@ def extract_sections(
             "_parts", lambda p: p["is_heading"] & section_of(p["text"], sections).isNotNull()
         )
         section = section_of(F.col("heading"), sections)
+    # each label finds its heading by halving, before labels become rows of their own
+    located = F.transform(
+        F.filter("_parts", lambda p: ~p["is_heading"]),
+        lambda p: F.struct(
+            p["position"].alias("position"), p["text"].alias("label"),
+            F.get("_heads", count_below("_at", p["position"], F.length(F.bin(F.size("_at")))) - 1)["text"].alias("heading"),
+        ),
+    )
     labels = (
         pages.select(page, typed.alias("_parts"))
         .withColumn("_heads", useful)
-        .select(page, "_heads", F.explode(F.filter("_parts", lambda p: ~p["is_heading"])).alias("_l"))
+        .withColumn("_at", F.transform("_heads", lambda h: h["position"]))
+        .select(page, F.inline(located))
     )
-    before = F.filter("_heads", lambda h: h["position"] < F.col("_l.position"))
-    last = F.try_element_at(before, F.lit(-1))
+    fits = F.lit(True) if max_length is None else F.length("label") <= max_length
     return (
-        labels.select(page, F.col("_l.position").alias("position"), last["text"].alias("heading"),
-                      F.col("_l.text").alias("label"))
-        .where(F.col("heading").isNotNull() & (F.col("label") != "") & (F.length("label") <= max_length))
+        labels.where(F.col("heading").isNotNull() & (F.col("label") != "") & fits)
         .select(page, "position", "heading", section.alias("section"), "label")
     )
 

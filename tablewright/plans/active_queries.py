@@ -101,10 +101,22 @@ def query_margin(spark, folder):
     return ranked.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(10).select("doc_id")
 
 
-@query("query_random", "SELECT 10::BIGINT AS n, 10::BIGINT AS n_ids")
+@query(
+    "query_random",
+    "SELECT 10::BIGINT AS n, 10::BIGINT AS n_ids, 10::BIGINT AS n_known, true AS repeatable, (SELECT count(*) FROM documents) AS n_all",
+)
 def query_random(spark, folder):
-    picked = al.query(_pool(spark, folder), "random", 10, "doc_id")
-    return picked.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_ids"))
+    """Different rows of the pool, the same on each run; a batch beyond the pool is the whole pool."""
+    pool = _pool(spark, folder)
+    picked = al.query(pool, "random", 10, "doc_id").select("doc_id")
+    again = al.query(pool.orderBy(F.desc("doc_id")), "random", 10, "doc_id").select(F.col("doc_id").alias("again"))
+    known = picked.join(pool.select("doc_id", F.lit(True).alias("_in")), "doc_id", "left")
+    n_all = al.query(pool, "random", 10**9, "doc_id").agg(F.count(F.lit(1))).scalar()
+    both = known.join(again, F.col("doc_id") == F.col("again"), "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_ids"), F.count("_in").alias("n_known"),
+        (F.count("again") == F.count(F.lit(1))).alias("repeatable"),
+    ).withColumn("n_all", n_all)
 
 
 @query(
@@ -155,6 +167,23 @@ def al_cycle(spark, folder):
     return _history(spark, folder).drop("evaluated_at", "fit_seconds", "eval_seconds", "f1_per_class")
 
 
+@query(
+    "al_split_counts",
+    """WITH n AS (SELECT count(*) AS n FROM labels JOIN documents USING (doc_id) WHERE quality IS NOT NULL),
+    s AS (SELECT unnest(['entropy', 'margin', 'random']) AS strategy)
+    SELECT strategy, i::INT AS iteration, (50 + 10 * i)::BIGINT AS n_labeled, (SELECT n - ceil(0.2 * n) - 50 FROM n)::BIGINT AS n_pool FROM s, range(3) r(i)""",
+)
+def al_split_counts(spark, folder):
+    """Labeled rows per round: the initial ones and one batch more each time, never the same row twice."""
+    split = _split(spark, folder)
+    experiment = al.Experiment.prepare(split, "doc_id", "text", "quality", max_iter=5)
+    n_pool = experiment.rows.agg(F.count_if(F.col("split") == "pool")).scalar()
+    runs = [experiment.run(s, 2) for s in ("entropy", "margin", "random")]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2]).select(
+        "strategy", "iteration", "n_labeled", n_pool.alias("n_pool")
+    )
+
+
 # history figures derived from the orders: one run per status, one round per year
 HISTORY_SQL = """hist AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'entropy' ELSE 'random' END AS strategy, (year(o_orderdate) - 1992)::INT AS iteration,
   (50 + 10 * (year(o_orderdate) - 1992))::BIGINT AS n_labeled, round(avg((o_totalprice > 250000)::INT), 4) AS f1,

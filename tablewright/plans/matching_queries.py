@@ -235,9 +235,23 @@ def ks_two_sample(spark, folder):
     return compare.ks_two_sample(rows, clean, F.length("text")).select("statistic", "n1", "n2")
 
 
-@query("ks_p_values")
+def _ks_rows_sql(pairs) -> str:
+    """Statistic, sizes and asymptotic p-value of each pair, in SQL."""
+    parts = []
+    for name, (a, b) in pairs.items():
+        parts.append(f"""SELECT '{name}' AS pair, statistic, n1, n2,
+          statistic * sqrt(n1::DOUBLE * n2 / (n1 + n2)) AS x FROM (WITH {_KS_SQL.format(a, b).lstrip().lstrip(',')})""")
+    return f"""SELECT pair, statistic, n1, n2, CASE WHEN x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0,
+      2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * x * x))))) END AS pvalue
+      FROM ({' UNION ALL '.join(parts)})"""
+
+
+@query(
+    "ks_p_values",
+    f"""WITH {A_SQL}, k AS ({_ks_rows_sql({"original_clean": ("rev", "clean"), "original_conservative": ("rev", "a"), "clean_conservative": ("clean", "a")})})
+    SELECT pair, statistic, n1, n2, round(pvalue, 6) AS pvalue, pvalue < 0.05 AS differs FROM k""",
+)
 def ks_p_values(spark, folder):
-    """The same tests with their p-values, which no SQL function gives."""
     rows = reviews(spark, folder)
     clean = cleaning.without_bad_text(rows, "text")
     one = cleaning.strategy_conservative(rows, "text", "source", "doc_id")
@@ -246,7 +260,7 @@ def ks_p_values(spark, folder):
         compare.ks_two_sample(a, b, F.length("text")).withColumn("pair", F.lit(name))
         for name, (a, b) in pairs.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("pvalue", near("pvalue"))
 
 
 @query(
