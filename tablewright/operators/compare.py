@@ -15,6 +15,7 @@ from tablewright.functions import masks, scalars
 from tablewright.operators import profile
 from tablewright.operators.ordered import running_totals
 from tablewright.operators.quality import loss_percent, quality_report
+from tablewright.session import cut_lineage
 
 def _exact_p(d: float, n1: int, n2: int) -> float:
     """Share of monotone lattice paths from (0,0) to (n1,n2) that reach distance ``d``."""
@@ -169,7 +170,8 @@ def comparison_table(
     columns = datasets[base].columns
     parts = []
     for name, df in datasets.items():
-        table = df.select(*[c for c in columns if c in df.columns])
+        # stored once: every figure reads its columns of the stored table, not the steps before it
+        table = cut_lineage(df.select(*[c for c in columns if c in df.columns]))
         score = quality_report(table, **roles).select("quality_score").scalar() if roles else None
         parts.append(_dataset_metrics(name, table, datasets[base], label, score))
     long = reduce(DataFrame.unionByName, parts)
@@ -185,9 +187,9 @@ def strategy_comparison(
     """Score, loss and length test per strategy; the winner has the best score, then the least loss."""
     length = F.length(text)
     n0 = original.agg(F.count(F.lit(1))).scalar()
-    parts = []
+    parts, stored = [], {}
     for name, df in {"original": original, **strategies}.items():
-        table = df.select(*[c for c in original.columns])
+        table = stored[name] = cut_lineage(df.select(*original.columns))
         report = quality_report(table, text, key, group, target)
         row = report.select(
             F.lit(name).alias("strategy"), F.col("n_rows").alias("rows"),
@@ -197,7 +199,7 @@ def strategy_comparison(
             row = row.select("*", F.lit(None).cast("double").alias("ks_statistic"),
                              F.lit(None).cast("double").alias("ks_pvalue"))
         else:
-            test = ks_two_sample(original, df, length).select(F.struct("statistic", "pvalue")).scalar()
+            test = ks_two_sample(stored["original"], table, length).select(F.struct("statistic", "pvalue")).scalar()
             row = row.select("*", F.bround(test["statistic"], 4).alias("ks_statistic"),
                              F.bround(test["pvalue"], 4).alias("ks_pvalue"))
         parts.append(row)

@@ -68,13 +68,25 @@ def merge_tables(
     suffixes: tuple[str, str] = ("_x", "_y"),
     indicator: str | None = None,
 ) -> DataFrame:
-    """Join on shared keys; overlapping columns get suffixes, ``indicator`` tells the origin."""
+    """Join on shared keys; overlapping columns get suffixes, ``indicator`` tells the origin.
+
+    An outer join is a left join and the right rows without a partner: Spark can
+    split a hot key of those two, but not of a full join.
+    """
+    on = list(on)
     shared = [c for c in left.columns if c in right.columns and c not in on]
     a = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     b = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
+    if indicator is not None:
+        a, b = a.withColumn("_in_a", F.lit(True)), b.withColumn("_in_b", F.lit(True))
+    if how.replace("_", "").lower() in ("outer", "full", "fullouter"):
+        alone = b.join(a.select(*on).distinct(), on, "left_anti")
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in a.schema if f.name not in on}
+        joined = a.join(b, on, "left").unionByName(alone.withColumns(missing))
+    else:
+        joined = a.join(b, on, how)
     if indicator is None:
-        return a.join(b, list(on), how)
-    joined = a.withColumn("_in_a", F.lit(True)).join(b.withColumn("_in_b", F.lit(True)), list(on), how)
+        return joined
     origin = (
         F.when(F.col("_in_b").isNull(), "left_only")
         .when(F.col("_in_a").isNull(), "right_only")

@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablewright.functions import masks
 from tablewright.operators.skew import lookup_join, row_hash
 from tablewright.session import cut_lineage
 
@@ -120,14 +121,16 @@ def fill_knn(
     the mean. Rows with equal features share one search.
     """
     stats = df.agg(
-        F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in features])
+        F.struct(*[
+            F.struct(F.avg(masks.number(c)).alias("m"), F.stddev_pop(masks.number(c)).alias("s")).alias(c) for c in features
+        ])
     ).scalar()
 
     def scaled(c: str) -> Column:
         spread = F.when(stats[c]["s"] > 0, stats[c]["s"])
-        return F.coalesce((F.col(c) - stats[c]["m"]) / spread, F.lit(0.0))
+        return F.coalesce((masks.number(c) - stats[c]["m"]) / spread, F.lit(0.0))
 
-    known = F.when(~F.isnan(F.col(column).cast("double")), F.col(column).cast("double"))
+    known = masks.number(column)
     rows = cut_lineage(df.withColumn("_z", F.array(*[scaled(c) for c in features])).withColumn("_v", known))
     points = rows.where("_v IS NOT NULL").groupBy(F.col("_z").alias("p")).agg(
         F.count(F.lit(1)).alias("w"), F.avg("_v").alias("_mean")

@@ -2,9 +2,10 @@
 
 A per-key result carries the number of rows behind each key. Keys holding at
 least ``hot_share`` of all rows number at most ``1 / hot_share``, so that list
-alone has a proven bound and may be broadcast. Rows of those keys, and rows
-whose key is NULL, are spread over ``fan`` sub-keys; all other rows join on the
-plain key, and Spark still picks the join strategy from the measured sizes.
+alone has a proven bound and may be broadcast. Rows of such a key are spread
+over as many sub-keys as its share of the shuffle partitions; rows whose key is
+NULL have no partner and pass by the join. All other rows join on the plain
+key, and Spark still picks the join strategy from the measured sizes.
 """
 
 from __future__ import annotations
@@ -15,8 +16,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_SHARE = 1 / 256
-FAN = 64
+HOT_SHARE = 1 / 256  # shapes the plan only
 
 
 def row_hash(columns: Sequence[str], seed: int = 0) -> Column:
@@ -32,32 +32,32 @@ def lookup_join(
     row_key: Sequence[str],
     how: str = "left",
     hot_share: float = HOT_SHARE,
-    fan: int = FAN,
 ) -> DataFrame:
     """Join ``lookup`` (one row per key, ``weight`` = fact rows of the key) to ``fact``.
 
-    ``row_key`` names columns that tell the rows of a hot key apart.
+    ``row_key`` names columns that tell the rows of a hot key apart. ``how`` is
+    left or inner.
     """
     on = list(on)
-    total = lookup.agg(F.sum(weight)).scalar()
-    hot = lookup.where(F.col(weight) >= total * F.lit(hot_share)).select(
-        *on, F.lit(fan).alias("_fan")
-    )
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    share = F.col(weight) / lookup.agg(F.sum(weight)).scalar()
+    fan = F.when(share >= hot_share, F.greatest(F.ceil(share * partitions), F.lit(2))).otherwise(F.lit(1))
+    fanned = lookup.withColumn("_fan", fan.cast("bigint"))
+    hot = fanned.where("_fan > 1").select(*on, "_fan")
     any_null = reduce(or_, [F.col(f"`{k}`").isNull() for k in on])
     salted_fact = (
-        fact.join(F.broadcast(hot), on, "left")
-        .withColumn("_fan", F.when(any_null, fan).otherwise(F.coalesce("_fan", F.lit(1))))
-        .withColumn("_salt", F.pmod(row_hash(row_key), F.col("_fan").cast("bigint")))
-        .drop("_fan")
-    )
-    salted_lookup = (
-        lookup.withColumn(
-            "_fan", F.when(F.col(weight) >= total * F.lit(hot_share), fan).otherwise(1)
-        )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_fan") - 1)))
+        fact.where(~any_null).join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.pmod(row_hash(row_key), F.coalesce("_fan", F.lit(1).cast("bigint"))))
         .drop("_fan")
     )
-    return salted_fact.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    salted_lookup = fanned.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_fan") - 1))
+    ).drop("_fan")
+    joined = salted_fact.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return joined
+    added = {f.name: F.lit(None).cast(f.dataType) for f in lookup.schema if f.name not in on}
+    return joined.unionByName(fact.where(any_null).withColumns(added))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tablewright.operators import active as al
@@ -242,6 +243,24 @@ def confidence_band(spark, folder):
     return al.confidence_band(_order_history(spark, folder)).withColumn("mean", near("mean"))
 
 
+@query(
+    "mixed_features",
+    """WITH s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS sd FROM orders)
+    SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS hot, 1.0::DOUBLE AS hot_sum, round((o_totalprice - m) / sd, 6) AS scaled FROM orders, s""",
+)
+def mixed_features(spark, folder):
+    """One-hot place of the category and the standardised number of every order."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    prepared = al.mixed_features(["o_orderpriority"], ["o_totalprice"]).fit(orders).transform(orders)
+    values = vector_to_array("features")
+    width = F.size(values)
+    hot = F.slice(values, 1, width - 1)
+    return prepared.select(
+        "o_orderkey", (F.array_position(hot, 1.0) - 1).alias("hot"),
+        F.aggregate(hot, F.lit(0.0), lambda a, x: a + x).alias("hot_sum"), near(F.element_at(values, -1)).alias("scaled"),
+    )
+
+
 @query("mixed_feature_model")
 def mixed_feature_model(spark, folder):
     """A forest on categories and numbers of the orders, summarised by predicted class."""

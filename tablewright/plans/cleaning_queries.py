@@ -249,15 +249,26 @@ def apply_strategy_harsh_log(spark, folder):
     return log
 
 
-@query("fill_knn")
+@query(
+    "fill_knn",
+    """WITH r AS (SELECT p_partkey, p_retailprice AS a, length(p_name)::DOUBLE AS b, CASE WHEN p_partkey % 10 <> 0 THEN p_size::DOUBLE END AS v FROM part),
+    s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM r),
+    z AS (SELECT p_partkey, v, a, b, CASE WHEN sa > 0 THEN (a - ma) / sa ELSE 0 END AS x, CASE WHEN sb > 0 THEN (b - mb) / sb ELSE 0 END AS y FROM r, s),
+    p AS (SELECT a, b, any_value(x) AS x, any_value(y) AS y, count(*) AS w, avg(v) AS m FROM z WHERE v IS NOT NULL GROUP BY a, b),
+    q AS (SELECT DISTINCT a, b, x, y FROM z WHERE v IS NULL),
+    d AS (SELECT q.a, q.b, p.w, p.m, coalesce(sum(p.w) OVER (PARTITION BY q.a, q.b
+        ORDER BY sqrt((q.x - p.x) ** 2 + (q.y - p.y) ** 2), p.x, p.y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q, p),
+    f AS (SELECT a, b, sum(m * least(w, 5 - before)) / sum(least(w, 5 - before)) AS fill FROM d WHERE before < 5 GROUP BY a, b)
+    SELECT z.p_partkey, round(coalesce(z.v, f.fill), 4) AS p_size FROM z LEFT JOIN f ON z.a = f.a AND z.b = f.b""",
+)
 def fill_knn(spark, folder):
-    """Prices of every tenth size filled from the nearest parts; brute force in the tests."""
+    """Sizes of every tenth part filled from the parts nearest in price and length of name."""
     parts = table(spark, folder, "part").select(
-        "p_partkey", F.col("p_size").cast("double").alias("p_size"), F.length("p_name").alias("name_length"),
-        F.when(F.col("p_size") % 10 != 0, F.col("p_retailprice")).alias("p_retailprice"),
+        "p_partkey", "p_retailprice", F.length("p_name").cast("double").alias("name_length"),
+        F.when(F.col("p_partkey") % 10 != 0, F.col("p_size").cast("double")).alias("p_size"),
     )
-    filled = neighbors.fill_knn(parts, "p_partkey", "p_retailprice", ["p_size", "name_length"], 5)
-    return filled.select("p_partkey", near("p_retailprice", 4).alias("p_retailprice"))
+    filled = neighbors.fill_knn(parts, "p_partkey", "p_size", ["p_retailprice", "name_length"], 5)
+    return filled.select("p_partkey", near("p_size", 4).alias("p_size"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import text as tx
 from tablewright.operators import cleaning, compare, matching
-from tablewright.plans.quality_queries import A_SQL, CLEAN_SQL
+from tablewright.plans.quality_queries import A_SQL, CLEAN_SQL, DAMAGED, SHORT
 from tablewright.plans.registry import REVIEWS_SQL, ROLES, near, query, reviews, table
 
 PRODUCTS_SQL = """f AS (SELECT p_partkey, upper(p_brand) || ' ' || p_name AS product FROM part),
@@ -90,16 +90,13 @@ def enrich_missing_keys(spark, folder):
 
 @query(
     "merge_with_origin",
-    """WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT c_custkey AS k, count(*) AS n FROM customer
-      WHERE c_acctbal > 0 GROUP BY 1)
+    """WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1)
     SELECT coalesce(a.k, b.k) AS k, a.n AS n_x, b.n AS n_y, CASE WHEN b.k IS NULL THEN 'left_only' WHEN a.k IS NULL THEN 'right_only'
       ELSE 'both' END AS _merge FROM a FULL JOIN b ON a.k = b.k""",
 )
 def merge_with_origin(spark, folder):
     a = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    b = table(spark, folder, "customer").where("c_acctbal > 0").groupBy(F.col("c_custkey").alias("k")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    b = table(spark, folder, "events").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     return matching.merge_tables(a, b, ["k"], "outer", indicator="_merge")
 
 
@@ -163,7 +160,7 @@ EVENT_SECTIONS = [("top", ["VIEW"]), ("middle", ["CLICK", "CART"]), ("base", ["P
     "assign_sections",
     """WITH h AS (SELECT user_id, event_id, CASE WHEN event_type = 'view' THEN 'top' WHEN event_type IN ('click', 'cart') THEN 'middle'
       WHEN event_type = 'purchase' THEN 'base' END AS section FROM events WHERE event_type IN ('view', 'click', 'cart', 'purchase')),
-    l AS (SELECT user_id, event_id, event_type AS text FROM events WHERE value > 20),
+    l AS (SELECT user_id, event_id, event_type AS text FROM events),
     m AS (SELECT l.user_id, l.event_id, l.text, h.section, row_number() OVER (PARTITION BY l.event_id ORDER BY h.event_id DESC) AS rn
       FROM l JOIN h ON l.user_id = h.user_id AND h.event_id - 5 <= l.event_id)
     SELECT user_id, event_id, text, section FROM m WHERE rn = 1""",
@@ -171,7 +168,7 @@ EVENT_SECTIONS = [("top", ["VIEW"]), ("middle", ["CLICK", "CART"]), ("base", ["P
 def assign_sections(spark, folder):
     events = table(spark, folder, "events").select("user_id", "event_id", F.col("event_type").alias("text"), "value")
     return matching.assign_sections(
-        events, events.where("value > 20"), "user_id", "event_id", "text", 5.0, 60, EVENT_SECTIONS
+        events, events, "user_id", "event_id", "text", 5.0, 60, EVENT_SECTIONS
     )
 
 
@@ -316,14 +313,59 @@ def comparison_table(spark, folder):
     return compare.comparison_table(sets, "original", "quality").where(F.col("metric").isin(wanted))
 
 
-@query("comparison_table_wide")
+def _score_sql(t: str, columns: list[str]) -> str:
+    """Quality score of a table of reviews as a scalar subquery."""
+    gaps = " + ".join(f"({c} IS NULL)::INT" for c in columns)
+    return f"""(SELECT greatest(0.0, round(100.0 - (least(nd / n * 100.0 * 25.0, 30.0) + least(ns / n * 100.0 * 15.0, 15.0)
+      + least(dup / n * 100.0 * 10.0, 15.0) + CASE WHEN leak THEN 10.0 ELSE 0.0 END + least(gaps / (n * {len(columns)}) * 100.0 * 20.0, 20.0)), 1))
+      FROM (SELECT count(*)::DOUBLE AS n, (count(*) FILTER (WHERE {DAMAGED}))::DOUBLE AS nd,
+        (count(*) FILTER (WHERE {SHORT} AND NOT {DAMAGED}))::DOUBLE AS ns, sum({gaps})::DOUBLE AS gaps FROM {t}),
+      (SELECT coalesce(sum(c), 0)::DOUBLE AS dup FROM (SELECT count(*) AS c FROM {t} WHERE source IS NOT NULL GROUP BY source HAVING count(*) > 1)),
+      (SELECT coalesce(bool_and(d = 1), true) AS leak FROM (SELECT count(DISTINCT quality) AS d FROM {t} WHERE lang IS NOT NULL GROUP BY lang)))"""
+
+
+CONTENT = ["text", "lang", "source", "n_chars", "quality", "toxic"]
+
+
+def _more_metrics_sql(name: str, t: str) -> str:
+    z = " + ".join(
+        f"(SELECT count(*) FILTER (WHERE abs({c} - m) > s * 3.0) FROM {t}, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM {t}))"
+        for c in ("n_chars", "toxic")
+    )
+    gaps = " + ".join(f"({c} IS NULL)::INT" for c in CONTENT)
+    return f"""SELECT '{name}' AS dataset, unnest(['cols', 'missing_pct', 'outliers_zscore', 'quality_score']) AS metric,
+      unnest([{len(CONTENT)}.0::DOUBLE, (SELECT sum({gaps})::DOUBLE / count(*) / {len(CONTENT)} * 100.0 FROM {t}), ({z})::DOUBLE, {_score_sql(t, CONTENT)}::DOUBLE]) AS value"""
+
+
+@query(
+    "comparison_table_wide",
+    f"WITH {CLEAN_SQL}, m AS (" + " UNION ALL ".join([
+        _TABLE_SQL.format("original", "rev"), _TABLE_SQL.format("clean", "clean"),
+        _more_metrics_sql("original", "rev"), _more_metrics_sql("clean", "clean"),
+    ]) + """) SELECT metric, round(max(value) FILTER (WHERE dataset = 'original'), 6) AS original,
+    round(max(value) FILTER (WHERE dataset = 'clean'), 6) AS clean FROM m GROUP BY metric""",
+)
 def comparison_table_wide(spark, folder):
     rows = reviews(spark, folder).drop("doc_id")
     sets = {"original": rows, "clean": cleaning.without_bad_text(rows, "text")}
-    return compare.comparison_table(sets, "original", "quality", ROLES, wide=True)
+    wide = compare.comparison_table(sets, "original", "quality", ROLES, wide=True)
+    return wide.withColumns({c: near(c) for c in sets})
+
 
+ALL_COLUMNS = ["doc_id", *CONTENT]
 
-@query("strategy_comparison")
+
+@query(
+    "strategy_comparison",
+    f"""WITH {A_SQL}, k AS ({_ks_rows_sql({"conservative": ("rev", "a"), "flagged": ("rev", "clean")})}),
+    s AS (""" + " UNION ALL ".join(
+        f"SELECT '{name}' AS strategy, (SELECT count(*) FROM {t}) AS rows, {_score_sql(t, ALL_COLUMNS)}::DOUBLE AS quality_score"
+        for name, t in (("original", "rev"), ("conservative", "a"), ("flagged", "clean"))
+    ) + """), l AS (SELECT *, round((1 - rows::DOUBLE / (SELECT count(*) FROM rev)) * 100.0, 2) AS loss_pct FROM s),
+    b AS (SELECT strategy FROM l WHERE strategy <> 'original' ORDER BY quality_score DESC, loss_pct, strategy LIMIT 1)
+    SELECT l.strategy, l.rows, l.loss_pct, l.quality_score, round(k.statistic, 4) AS ks_statistic, round(k.pvalue, 4) AS ks_pvalue,
+    l.strategy = (SELECT strategy FROM b) AS recommended FROM l LEFT JOIN k ON k.pair = l.strategy""",
+)
 def strategy_comparison(spark, folder):
     rows = reviews(spark, folder)
     sets = {

@@ -20,7 +20,7 @@ def delimited_round_trip(spark, folder):
     path = scratch_path(spark, "reviews")
     rows = reviews(spark, folder).select("doc_id", "text", "lang", "n_chars", "quality")
     dl.write_delimited(rows, path)
-    back = dl.read_delimited(spark, path, "doc_id bigint, text string, lang string, n_chars bigint, quality int")
+    back = dl.read_delimited(spark, path, "doc_id bigint, text string, lang string, n_chars bigint, quality int", multi_line=True)
     return back.withColumn("text", F.md5("text")).withColumnRenamed("text", "text_hash")
 
 
@@ -51,7 +51,7 @@ def untyped_rows(spark, folder):
         "c_custkey", "c_name", F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("c_mktsegment")
     )
     dl.write_labeled(rows, path)
-    return dl.read_untyped(spark, path, rows.columns)
+    return dl.read_untyped(spark, path, rows.columns, multi_line=True)
 
 
 @query("inferred_rows", "SELECT o_orderkey::INT AS o_orderkey, o_totalprice, o_orderstatus FROM orders")

@@ -47,14 +47,15 @@ def task_json(spark, folder):
 
 @query(
     "span_tasks",
-    S + """, w AS (SELECT doc_id, label, confidence, strpos(text, ' ') - 1 AS cut, text FROM scored)
-    SELECT doc_id, 0 AS start, cut::INT AS "end", substr(text, 1, cut) AS span, label, confidence AS score FROM w WHERE cut > 0""",
+    S + """, w AS (SELECT doc_id, label, confidence, CASE WHEN strpos(text, ' ') = 0 THEN 0 ELSE doc_id % strpos(text, ' ') END AS first, text FROM scored)
+    SELECT doc_id, first::INT AS start, length(text)::INT AS "end", substr(text, first + 1) AS span, label, confidence AS score FROM w""",
 )
 def span_tasks(spark, folder):
-    cut = F.expr("instr(text, ' ') - 1")
-    docs = scored_documents(spark, folder).where(cut > 0).withColumn(
-        "spans", F.array(F.struct(F.lit(0).alias("start"), cut.alias("end"), F.col("label").alias("label")))
-    )
+    """A span of every document, from somewhere in its first word to its end."""
+    blank = F.instr("text", " ")
+    start = F.when(blank == 0, F.lit(0)).otherwise(F.col("doc_id") % blank).cast("int")
+    span = F.struct(start.alias("start"), F.length("text").alias("end"), F.col("label").alias("label"))
+    docs = scored_documents(spark, folder).withColumn("spans", F.array(span))
     made = tasks.annotation_tasks(
         docs, "text", "ner", {"content": "text", "spans": "spans", "confidence": "confidence"}, keep=["doc_id"]
     )

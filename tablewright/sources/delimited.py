@@ -39,7 +39,7 @@ def read_delimited(
     path: str | Sequence[str],
     schema: T.StructType | str,
     sep: str = ",",
-    multi_line: bool = True,
+    multi_line: bool = False,
     skip_long_lines: bool = False,
     missing_tokens: Sequence[str] = MISSING_TOKENS,
 ) -> DataFrame:
@@ -48,8 +48,7 @@ def read_delimited(
     Missing-value tokens and unreadable numbers become NULL, short lines are
     padded with NULL. With ``skip_long_lines`` a line with more fields than
     columns is dropped, even if the extra field is empty. ``multi_line`` allows
-    line breaks inside quotes but makes each file one task; set it to False for
-    large files without them.
+    line breaks inside quotes but makes each file one task, so it has to be asked for.
     """
     schema = _as_schema(schema)
     names = schema.fieldNames()
@@ -78,7 +77,7 @@ def read_delimited(
 
 
 def read_inferred(
-    spark: SparkSession, path: str | Sequence[str], sep: str = ",", multi_line: bool = True,
+    spark: SparkSession, path: str | Sequence[str], sep: str = ",", multi_line: bool = False,
     sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """Scan with types inferred from the data; costs a pass, so prefer a schema."""
@@ -91,7 +90,7 @@ def read_inferred(
 
 def read_untyped(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str = ",",
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Every value as text, blank cells as empty strings."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -99,7 +98,7 @@ def read_untyped(
     return rows.na.fill("")
 
 
-def probe_folder(spark: SparkSession, paths: Sequence[str], sampling_ratio: float = 0.1) -> DataFrame:
+def probe_folder(spark: SparkSession, paths: Sequence[str], sampling_ratio: float = 1.0) -> DataFrame:
     """One row per file and column: type and number of rows.
 
     The number of files is the length of the given list; each is counted by Spark.

@@ -35,7 +35,7 @@ def test_writing_never_overwrites(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b\nc')], "id long, t string")
     path = str(tmp_path / "out")
     dl.write_delimited(df, path)
-    assert dl.read_delimited(spark, path, "id long, t string").first()["t"] == 'a "q", b\nc'
+    assert dl.read_delimited(spark, path, "id long, t string", multi_line=True).first()["t"] == 'a "q", b\nc'
     with pytest.raises(Exception):
         dl.write_delimited(df, path)
 
