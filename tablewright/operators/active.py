@@ -225,11 +225,12 @@ def query(
 
 
 def query_diagnostics(ranked: DataFrame, chosen: DataFrame, row_id: str) -> DataFrame:
-    """Score range of the chosen rows and of the whole pool."""
+    """Score range and mean of the chosen rows, of the rest and of the whole pool."""
     marked = ranked.join(
         chosen.select(row_id, F.lit(True).alias("_in")), row_id, "left"
     )
     inside = F.when(F.col("_in"), F.col("score"))
+    outside = F.when(F.col("_in").isNull(), F.col("score"))
     return marked.agg(
         F.count(F.lit(1)).alias("pool_size"),
         F.count("_in").alias("selected"),
@@ -237,9 +238,28 @@ def query_diagnostics(ranked: DataFrame, chosen: DataFrame, row_id: str) -> Data
         F.max(inside).alias("selected_max"),
         F.min("score").alias("pool_min"),
         F.max("score").alias("pool_max"),
+        F.avg(inside).alias("selected_mean"),
+        F.min(outside).alias("rest_min"),
+        F.max(outside).alias("rest_max"),
+        F.avg(outside).alias("rest_mean"),
+        F.avg("score").alias("pool_mean"),
     )
 
 
+def top_queried(ranked: DataFrame, row_id: str, classes: Sequence, k: int = 5) -> DataFrame:
+    """The ``k`` rows asked for first: id, score, likeliest class and the probability of each class."""
+    names = F.array(*[F.lit(c) for c in classes])
+    best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
+    return ranked.orderBy(F.desc("score"), F.asc(row_id)).limit(k).select(
+        row_id, "score", F.element_at(names, best).alias("predicted"), F.map_from_arrays(names, "probabilities").alias("by_class")
+    )
+
+
+def score_histogram(ranked: DataFrame, bins: int = 20) -> DataFrame:
+    """Distribution of the scores over the pool."""
+    return profile.histogram(ranked, "score", bins)
+
+
 HISTORY = (
     "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double, "
     "precision_macro double, recall_macro double, f1_per_class map<string,double>, "

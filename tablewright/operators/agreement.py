@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions.labels import agreement_band, merge_to_binary
+from tablewright.operators.labeling import quality_summary
 
 
 def pair_counts(df: DataFrame, first: str, second: str) -> DataFrame:
@@ -89,6 +90,36 @@ def fit_for_training(agreed: DataFrame, minimum: float = 0.6) -> DataFrame:
     return agreed.withColumn("fit", F.coalesce(F.col("kappa") >= minimum, F.lit(False)))
 
 
+def labeling_report(
+    df: DataFrame, label: str = "label", confidence: str = "confidence", second: str | None = None,
+    threshold: float = 0.5, minimum: float = 0.6, pairs: int = 10,
+) -> DataFrame:
+    """Everything about one labeling in one nested row.
+
+    Columns: ``summary`` (rows, mean confidence, uncertain rows, distribution)
+    and ``fit``. With a ``second`` labeling also ``agreement`` (kappa, percent,
+    band) and the most frequent ``disagreements``, and ``fit`` is the gate on
+    kappa; without one both are NULL and the mean confidence is gated.
+    """
+    summary = quality_summary(df, label, confidence, threshold)
+    row = summary.select(F.struct(*summary.columns).alias("summary"))
+    if second is None:
+        return row.select(
+            "summary", F.lit(None).cast("struct<kappa:double>").alias("agreement"),
+            F.lit(None).cast("array<struct<a:string,b:string,n:bigint>>").alias("disagreements"),
+            F.coalesce(F.col("summary.mean_confidence") >= minimum, F.lit(False)).alias("fit"),
+        )
+    agreed = fit_for_training(agreement(df, label, second), minimum)
+    # at most ``pairs`` entries
+    worst = confusion_pairs(df, label, second, pairs).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("_n"), "a", "b", "n"))).alias("p")
+    ).select(F.transform("p", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["n"].alias("n"))))
+    figures = agreed.select(F.struct(*agreed.columns)).scalar()
+    return row.select(
+        "summary", figures.alias("agreement"), worst.scalar().alias("disagreements"), figures["fit"].alias("fit")
+    )
+
+
 def disagreements(df: DataFrame, first: str, second: str) -> DataFrame:
     """Rows on which the labelings differ; a missing label differs from any present one."""
     return df.where(~F.col(first).eqNullSafe(F.col(second)))

@@ -41,6 +41,13 @@ def stratified_split_by_source(spark, folder):
     return _sizes(al.stratified_split(docs, "doc_id", "source"), "source")
 
 
+@query("stratified_split_by_customer", "WITH " + _quota_sql("orders", "o_custkey", 0.2, 500))
+def stratified_split_by_customer(spark, folder):
+    """As many strata as there are customers."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_custkey")
+    return _sizes(al.stratified_split(orders, "doc_id", "o_custkey", n_init=500), "o_custkey")
+
+
 TERMS_SQL = """tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') AS t FROM documents),
  terms AS (SELECT doc_id, unnest(t) AS term FROM tok
    UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM tok)),
@@ -125,13 +132,39 @@ def query_random(spark, folder):
     POOL_SQL + """, h AS (SELECT doc_id, CASE WHEN p IN (0, 1) THEN 0 ELSE -p * ln(p) - (1 - p) * ln(1 - p) END AS h FROM p),
     t AS (SELECT h FROM h ORDER BY h DESC LIMIT 10)
     SELECT (SELECT count(*) FROM h) AS pool_size, 10::BIGINT AS selected, round((SELECT min(h) FROM t), 6) AS selected_min,
-    round((SELECT max(h) FROM t), 6) AS selected_max, round((SELECT min(h) FROM h), 6) AS pool_min, round((SELECT max(h) FROM h), 6) AS pool_max""",
+    round((SELECT max(h) FROM t), 6) AS selected_max, round((SELECT min(h) FROM h), 6) AS pool_min, round((SELECT max(h) FROM h), 6) AS pool_max,
+    round((SELECT avg(h) FROM t), 6) AS selected_mean, round((SELECT avg(h) FROM h), 6) AS pool_mean,
+    round((SELECT (sum(h) - (SELECT sum(h) FROM t)) / (count(*) - 10) FROM h), 6) AS rest_mean, round((SELECT min(h) FROM h), 6) AS rest_min,
+    round((SELECT h FROM h ORDER BY h DESC LIMIT 1 OFFSET 10), 6) AS rest_max""",
 )
 def query_diagnostics(spark, folder):
     pool = _pool(spark, folder)
     ranked = al.informativeness(pool, "entropy", "doc_id")
     rows = al.query_diagnostics(ranked, al.query(pool, "entropy", 10, "doc_id"), "doc_id")
-    return rows.withColumns({c: near(c) for c in ("selected_min", "selected_max", "pool_min", "pool_max")})
+    return rows.withColumns({c: near(c) for c in rows.columns if c not in ("pool_size", "selected")})
+
+
+@query(
+    "top_queried",
+    POOL_SQL + """, h AS (SELECT doc_id, p, round(abs(2 * p - 1), 9) AS m FROM p ORDER BY m, doc_id LIMIT 5)
+    SELECT doc_id, -m AS score, CASE WHEN p >= 1 - p THEN 'yes' ELSE 'no' END AS predicted, round(p, 6) AS p_yes, round(1 - p, 6) AS p_no FROM h""",
+)
+def top_queried(spark, folder):
+    ranked = al.informativeness(_pool(spark, folder), "margin", "doc_id").withColumn("score", F.round("score", 9))
+    top = al.top_queried(ranked, "doc_id", ["yes", "no"], 5)
+    return top.select(
+        "doc_id", "score", "predicted", near(F.col("by_class")["yes"]).alias("p_yes"), near(F.col("by_class")["no"]).alias("p_no")
+    )
+
+
+@query(
+    "score_histogram",
+    POOL_SQL + """, s AS (SELECT -abs(2 * p - 1) AS s FROM p), e AS (SELECT min(s) AS lo, (max(s) - min(s)) / 8.0 AS w FROM s)
+    SELECT g.bin::INT AS bin, (SELECT count(*) FROM s WHERE least(floor((s - lo) / w), 7) = g.bin) AS n FROM e, range(8) g(bin)""",
+)
+def score_histogram(spark, folder):
+    ranked = al.informativeness(_pool(spark, folder), "margin", "doc_id")
+    return al.score_histogram(ranked, 8).select("bin", "n")
 
 
 @query(

@@ -271,6 +271,34 @@ def keyword_agreement_gate(spark, folder):
     return ag.fit_for_training(ag.agreement(rows, "label", "kw"))
 
 
+@query(
+    "labeling_report",
+    S + """, k AS (SELECT count(*) AS n, (count(*) FILTER (WHERE label = second))::DOUBLE AS g FROM scored),
+    e AS (SELECT sum(a.c * b.c)::DOUBLE AS c FROM (SELECT label, count(*) AS c FROM scored GROUP BY 1) a JOIN (SELECT second, count(*) AS c FROM scored GROUP BY 1) b ON a.label = b.second),
+    x AS (SELECT n, 1.0 - (n - g) / (n - c / n) AS kappa, g / n * 100.0 AS pct FROM k, e),
+    d AS (SELECT label || '>' || second AS worst, count(*) AS n FROM scored WHERE label <> second GROUP BY label, second ORDER BY n DESC, label, second LIMIT 1)
+    SELECT 'both' AS form, n AS total, round(kappa, 9) AS kappa, round(pct, 9) AS pct, kappa >= 0.6 AS fit, (SELECT worst FROM d) AS worst, 3 AS n_labels,
+      (SELECT count(*) FILTER (WHERE confidence < 0.5) FROM scored) AS uncertain FROM x
+    UNION ALL SELECT 'confidence', n, NULL, NULL, (SELECT avg(confidence) FROM scored) >= 0.6, NULL, 3,
+      (SELECT count(*) FILTER (WHERE confidence < 0.5) FROM scored) FROM x""",
+)
+def labeling_report(spark, folder):
+    """The whole report with a reference labeling, and its form from confidence alone."""
+    rows = scored_documents(spark, folder)
+    worst = F.get("disagreements", 0)
+    both = ag.labeling_report(rows, second="second").select(
+        F.lit("both").alias("form"), F.col("summary.total").alias("total"), near("agreement.kappa", 9).alias("kappa"),
+        near("agreement.agreement_pct", 9).alias("pct"), "fit", F.concat_ws(">", worst["a"], worst["b"]).alias("worst"),
+        F.size("summary.distribution").alias("n_labels"), F.col("summary.uncertain_count").alias("uncertain"),
+    )
+    alone = ag.labeling_report(rows).select(
+        F.lit("confidence").alias("form"), F.col("summary.total").alias("total"), F.col("agreement.kappa").alias("kappa"),
+        F.lit(None).cast("double").alias("pct"), "fit", F.get("disagreements", 0)["a"].alias("worst"),
+        F.size("summary.distribution").alias("n_labels"), F.col("summary.uncertain_count").alias("uncertain"),
+    )
+    return both.unionByName(alone)
+
+
 @query(
     "confusion_pairs",
     S + f"SELECT label AS a, second AS b, count(*) AS n {PAIR} HAVING label <> second ORDER BY n DESC, a, b LIMIT 10",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import scalars
 from tablewright.operators import cleaning, profile
+from tablewright.operators.ordered import exact_quantiles
 from tablewright.plans.quality_queries import A_SQL, CLEAN_SQL
 from tablewright.plans.registry import REVIEWS_SQL, near, query, reviews, table
 
@@ -494,3 +495,78 @@ def length_bands(spark, folder):
 def value_bands(spark, folder):
     band = scalars.value_band("value", [10.0, 50.0], ["low", "middle", "high"])
     return table(spark, folder, "events").groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _gappy(spark, folder):
+    """Events whose value is NaN in every tenth row; the SQL side has NULL there."""
+    gap = F.col("event_id") % 10 == 0
+    return table(spark, folder, "events").select(
+        "event_id", "event_type", F.when(gap, F.lit(float("nan"))).otherwise(F.col("value")).alias("value")
+    )
+
+
+_GAPPY_SQL = """e AS (SELECT event_id, event_type, CASE WHEN event_id % 10 <> 0 THEN value END AS value FROM events),
+ q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2, quantile_cont(value, 0.75) AS q3, avg(value) AS m, stddev_pop(value) AS s FROM e)"""
+
+
+@query(
+    "nan_quantiles",
+    f"""WITH {_GAPPY_SQL} SELECT event_type, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median,
+    round(quantile_cont(value, 0.75), 6) AS q3 FROM e GROUP BY event_type""",
+)
+def nan_quantiles(spark, folder):
+    found = exact_quantiles(_gappy(spark, folder), "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["event_type"])
+    return found.select("event_type", *[near(c).alias(c) for c in ("q1", "median", "q3")])
+
+
+@query(
+    "nan_outliers",
+    f"""WITH {_GAPPY_SQL} SELECT event_id, coalesce(value < q1 - (q3 - q1) * 0.2 OR value > q3 + (q3 - q1) * 0.2, false) AS by_iqr,
+    coalesce(value < m - s OR value > m + s, false) AS by_zscore FROM e, q""",
+)
+def nan_outliers(spark, folder):
+    marked = cleaning.flag_outliers(_gappy(spark, folder), "value", "iqr", 0.2, "by_iqr")
+    return cleaning.flag_outliers(marked, "value", "zscore", 1.0, "by_zscore").select("event_id", "by_iqr", "by_zscore")
+
+
+@query(
+    "nan_clip",
+    f"""WITH {_GAPPY_SQL} SELECT event_id, round(CASE WHEN value IS NOT NULL THEN greatest(least(value, q3 + (q3 - q1) * 0.2), q1 - (q3 - q1) * 0.2) END, 6) AS by_iqr,
+    round(CASE WHEN value IS NOT NULL THEN greatest(least(value, m + s), m - s) END, 6) AS by_zscore FROM e, q""",
+)
+def nan_clip(spark, folder):
+    rows = _gappy(spark, folder)
+    fences = cleaning.clip_outliers(rows, ["value"], "iqr", 0.2).select("event_id", near("value").alias("by_iqr"))
+    spread = cleaning.clip_outliers(rows, ["value"], "zscore", 1.0).select("event_id", near("value").alias("by_zscore"))
+    return fences.join(spread, "event_id")
+
+
+@query(
+    "nan_histogram",
+    f"""WITH {_GAPPY_SQL}, r AS (SELECT min(value) AS lo, (max(value) - min(value)) / 20.0 AS w FROM e)
+    SELECT g.bin::INT AS bin, (SELECT count(*) FROM e, r WHERE value IS NOT NULL AND least(floor((value - lo) / w), 19) = g.bin) AS n FROM range(20) g(bin)""",
+)
+def nan_histogram(spark, folder):
+    return profile.histogram(_gappy(spark, folder), "value", 20).select("bin", "n")
+
+
+@query(
+    "nan_profile",
+    f"""WITH {_GAPPY_SQL} SELECT 'value' AS "column", count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+    min(value) AS min, max(value) AS max FROM e""",
+)
+def nan_profile(spark, folder):
+    found = profile.numeric_profile(_gappy(spark, folder), ["value"])
+    return found.withColumns({"mean": near("mean"), "std": near("std")})
+
+
+@query(
+    "full_duplicates_by_time",
+    """WITH g AS (SELECT count(*) AS c FROM (SELECT event_type, TIMESTAMP '2024-01-01' + to_microseconds(event_id % 700) AS ts FROM events) GROUP BY event_type, ts)
+    SELECT sum(c)::BIGINT AS n_rows, sum(c - 1)::BIGINT AS n_duplicates FROM g""",
+)
+def full_duplicates_by_time(spark, folder):
+    """Times that differ by microseconds only are different."""
+    shifted = F.timestamp_micros(F.lit(1704067200000000) + F.col("event_id") % 700)
+    rows = table(spark, folder, "events").select("event_type", shifted.alias("ts"))
+    return profile.full_duplicates(rows).select("n_rows", "n_duplicates")
