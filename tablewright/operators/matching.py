@@ -133,26 +133,43 @@ def canonical_keys(
     )
 
 
-def _deletions(text: Column, edits: int) -> Column:
-    """All strings left after removing up to ``edits`` characters, the text itself included."""
-    variants = F.array(text)
-    for _ in range(edits):
-        shorter = F.flatten(
-            F.transform(
-                variants,
-                lambda v: F.when(
-                    F.length(v) > 0,
-                    F.transform(
-                        F.sequence(F.lit(1), F.length(v)),
-                        lambda i: F.concat(
-                            F.substring(v, F.lit(1), i - 1), F.substring(v, i + 1, F.length(v))
-                        ),
-                    ),
-                ).otherwise(F.array().cast("array<string>")),
-            )
-        )
-        variants = F.array_distinct(F.concat(variants, shorter))
-    return variants
+def _segment(length: Column, parts: int, number: int) -> tuple[Column, Column]:
+    """Start (from 0) and size of one of ``parts`` even segments of a string of ``length``; longer ones come last."""
+    size = F.floor(length / parts)
+    short = F.lit(parts) - length % parts  # so many segments of the smaller size come first
+    longer = (F.lit(number) >= short).cast("int")
+    return size * number + F.greatest(F.lit(0), F.lit(number) - short), size + longer
+
+
+def _own_segments(text: Column, edits: int) -> Column:
+    """The segments of a key: its length, which segment, and its characters."""
+    length = F.char_length(text)
+    parts = []
+    for number in range(edits + 1):
+        start, size = _segment(length, edits + 1, number)
+        parts.append(F.struct(
+            length.cast("bigint").alias("of"), F.lit(number).alias("number"),
+            F.substring(text, (start + 1).cast("int"), size.cast("int")).alias("piece"),
+        ))
+    return F.array(*parts)
+
+
+def _possible_segments(text: Column, edits: int) -> Column:
+    """Every segment that a key within ``edits`` edits could share with this one, in a place it could move to."""
+    own = F.char_length(text).cast("bigint")
+    parts = []
+    for change in range(-edits, edits + 1):
+        length = own + change
+        for number in range(edits + 1):
+            start, size = _segment(length, edits + 1, number)
+            for shift in range(-edits, edits + 1):
+                at = start + shift
+                fits = (length >= 0) & (at >= 0) & (at + size <= own)
+                parts.append(F.when(fits, F.struct(
+                    length.alias("of"), F.lit(number).alias("number"),
+                    F.substring(text, (at + 1).cast("int"), size.cast("int")).alias("piece"),
+                )))
+    return F.array_distinct(F.array_compact(F.array(*parts)))
 
 
 def fuzzy_match(
@@ -160,17 +177,17 @@ def fuzzy_match(
 ) -> DataFrame:
     """Nearest right key within ``max_edits`` edits for each left key without an exact match.
 
-    Two strings within d edits share a string that each reaches by removing at
-    most d characters, so keys meet in an equi-join on those shortened strings.
-    That finds every match, and the pairs it tests are already near each other,
-    unlike pairs that merely share a block. Distinct keys only; ties go to the
-    smaller right key. Columns: ``left_key``, ``right_key``, ``distance``.
+    Of d + 1 segments of a key, d edits leave one untouched and move it by at
+    most d places. So keys meet in an equi-join on the length, number and
+    characters of a segment, which finds every match; a key takes part with a
+    number of rows that depends on ``max_edits`` alone. Distinct keys only; ties
+    go to the smaller right key. Columns: ``left_key``, ``right_key``, ``distance``.
     """
     a = left.select(F.col(left_key).alias("left_key")).where("left_key IS NOT NULL").distinct()
     b = right.select(F.col(right_key).alias("right_key")).where("right_key IS NOT NULL").distinct()
     open_keys = a.join(b.select(F.col("right_key").alias("left_key")), "left_key", "left_anti")
-    va = open_keys.select("left_key", F.explode(_deletions(F.col("left_key"), max_edits)).alias("v"))
-    vb = b.select("right_key", F.explode(_deletions(F.col("right_key"), max_edits)).alias("v"))
+    va = open_keys.select("left_key", F.explode(_possible_segments(F.col("left_key"), max_edits)).alias("v"))
+    vb = b.select("right_key", F.explode(_own_segments(F.col("right_key"), max_edits)).alias("v"))
     near = va.join(vb, "v").select(
         "left_key", "right_key", F.levenshtein("left_key", "right_key", max_edits).alias("distance")
     ).where("distance >= 0")
