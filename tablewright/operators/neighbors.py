@@ -1,18 +1,19 @@
-"""Exact nearest neighbours by growing radius, and the two cleaning steps built on them.
-
-Points meet in an equi-join on grid cells as wide as the current radius, so a
-query only sees its own and the adjacent cells. A query that finds enough
-points within the radius is settled, since nothing outside can be nearer; the
-others go on with twice the radius. The first radius is small enough that no
-cell is crowded, so crowded places settle while cells are tiny. Equal points
-count as one point with a weight, and a cell with many points is split.
+"""Exact nearest neighbours by descending through grid cells, and the two cleaning steps built on them.
+
+Points are counted in square cells of two coordinates, at widths that halve
+from level to level; each cell carries its weight and the box of its points
+over all coordinates. A query starts with the few cells of a coarse level. At
+each level the weights of the cells that lie wholly within some distance bound
+the distance of its k-th neighbour, cells that begin beyond the bound drop out,
+and the others are replaced by their parts. At the finest level, whose cells
+are small, the query meets the points of the cells that are left. So a far
+cluster costs an isolated query a few cells, however many points it has.
+Equal points count as one point with a weight.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,9 +21,13 @@ from tablewright.functions import masks
 from tablewright.operators.skew import lookup_join, row_hash
 from tablewright.session import cut_lineage
 
-GRID_DIMS = 2  # cells use the coordinates with most distinct values; distances use all
+GRID_DIMS = 2  # cells use the coordinates with most distinct values; boxes and distances use all
+# the following shape the plan only
 CELL_POINTS = 50_000  # points of one cell handled by one task
-START_POINTS = 200  # points in the fullest cell at the first radius
+FULL_CELL = 200  # points in the fullest cell at the finest level
+COARSE = 3  # level of the first cells: at most 9 by 9
+STEP = 2  # levels per round
+FINEST = 40  # cells below this share of the range are not cut further
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -30,86 +35,116 @@ def _distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
-def _cells(vector: Column, radius: float, grid: Sequence[int]) -> list[Column]:
-    return [F.floor(F.get(vector, i) / F.lit(radius)).alias(f"c{place}") for place, i in enumerate(grid)]
+def _to_box(q: Column, lo: Column, hi: Column, farthest: bool) -> Column:
+    """Distance from a point to the nearest or the farthest place of a box."""
+    def gap(s: Column) -> Column:
+        if farthest:
+            return F.greatest(F.abs(s["q"] - s["lo"]), F.abs(s["q"] - s["hi"]))
+        return F.greatest(s["lo"] - s["q"], s["q"] - s["hi"], F.lit(0.0))
 
+    sides = F.arrays_zip(q.alias("q"), lo.alias("lo"), hi.alias("hi"))
+    return F.sqrt(F.aggregate(sides, F.lit(0.0), lambda total, s: total + gap(s) * gap(s)))
 
-def _start_radius(points: DataFrame, widest: float, grid: Sequence[int], least: float) -> float:
-    """The widest radius, halved until no cell is crowded; one count per step."""
-    radius = widest
-    while radius > least:
-        cells = [f"c{i}" for i in range(len(grid))]
-        counts = points.select("g", *_cells(F.col("p"), radius, grid)).groupBy("g", *cells).agg(
-            F.count(F.lit(1)).alias("n"))
-        if counts.agg(F.max("n")).first()[0] <= START_POINTS:
-            break
-        radius /= 2.0
-    return radius
+
+CELL = [f"c{i}" for i in range(GRID_DIMS)]
+
+
+def _cells(vector: Column, level: int, grid: Sequence[int], start: Sequence[float], width: float) -> list[Column]:
+    return [
+        (F.floor((F.get(vector, i) - F.lit(start[i])) / F.lit(width / 2.0**level)) if i is not None else F.lit(0))
+        .cast("bigint").alias(c)
+        for c, i in zip(CELL, grid)
+    ]
+
+
+def _boxes(finest: DataFrame, up: int, dims: int) -> DataFrame:
+    """Cells ``up`` levels above the finest, with their weight and box."""
+    cells = [F.shiftright(c, up).alias(c) for c in CELL]
+    ends = [f(F.get(side, i)) for side, f in (("lo", F.min), ("hi", F.max)) for i in range(dims)]
+    return finest.groupBy("g", *cells).agg(
+        F.sum("w").alias("w"), F.array(*ends[:dims]).alias("lo"), F.array(*ends[dims:]).alias("hi")
+    )
+
+
+def _within_bound(seen: DataFrame, need: int) -> DataFrame:
+    """Candidate cells that may hold one of the nearest ``need`` weights of their query."""
+    measured = seen.withColumn("_near", _to_box(F.col("q"), F.col("lo"), F.col("hi"), False)).withColumn(
+        "_far", _to_box(F.col("q"), F.col("lo"), F.col("hi"), True)
+    )
+    own = Window.partitionBy("g", "q")
+    upto = own.orderBy("_far", *CELL).rowsBetween(Window.unboundedPreceding, 0)
+    bound = F.min(F.when(F.col("_cum") >= need, F.col("_far"))).over(own)
+    # a hair of room for the last bits of both distances
+    return (
+        measured.withColumn("_cum", F.sum("w").over(upto)).withColumn("_bound", bound)
+        .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") * (1 + 1e-9)))
+        .select("g", "q", *CELL)
+    )
 
 
 def nearest(
     queries: DataFrame, points: DataFrame, k: int, dims: int, exclude_self: bool = False
 ) -> DataFrame:
-    """The nearest points of each query until their weights reach ``k``.
+    """The ``k`` nearest points of each query, or all where a group has fewer.
 
     ``queries`` has distinct ``(g, q)`` and ``points`` distinct ``(g, p)`` with
-    a weight ``w``: a group and an array of coordinates. Returns ``(g, q, p, w,
-    distance, place)``, ordered by distance, then coordinates.
+    a weight ``w`` of at least 1 (exactly 1 with ``exclude_self``): a group and
+    an array of coordinates. Returns ``(g, q, p, w, distance, place)``, ordered
+    by distance, then coordinates.
     """
     points = cut_lineage(points)
-    open_queries = cut_lineage(queries)
-    ends = [(F.min(F.get("x", i)), F.max(F.get("x", i))) for i in range(dims)]
-    everything = points.select(F.col("p").alias("x")).unionByName(open_queries.select(F.col("q").alias("x")))
-    kinds = [F.approx_count_distinct(F.get("x", i)) for i in range(dims)]
-    facts = everything.agg(F.count(F.lit(1)), *[c for pair in ends for c in pair], *kinds).first()
+    queries = cut_lineage(queries)
+    ends = [(F.min(F.get("p", i)), F.max(F.get("p", i))) for i in range(dims)]
+    kinds = [F.approx_count_distinct(F.get("p", i)) for i in range(dims)]
+    facts = points.agg(F.count(F.lit(1)), *[c for pair in ends for c in pair], *kinds).first()
     n, bounds, variety = facts[0], facts[1: 2 * dims + 1], facts[2 * dims + 1:]
     if not n or bounds[0] is None:
-        return open_queries.limit(0).select("g", "q", F.col("q").alias("p"), F.lit(1).cast("bigint").alias("w"),
-                                            F.lit(0.0).alias("distance"), F.lit(1).alias("place"))
-    spans = [bounds[2 * i + 1] - bounds[2 * i] for i in range(dims)]
-    reach = math.sqrt(sum(s * s for s in spans)) or 1.0
-    grid = sorted(range(dims), key=lambda i: -variety[i])[:GRID_DIMS]
-    least = max(reach * 1e-12, 1e-300)
-    widest = max(max(spans[i] for i in grid) * (k / n) ** (1.0 / len(grid)), least)
-    radius = _start_radius(points, widest, grid, least)
-    shifts = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    found = []
-    while True:
-        cells = [f"c{i}" for i in range(len(grid))]
-        placed = points.select("*", *_cells(F.col("p"), radius, grid))
-        crowd = placed.groupBy("g", *cells).agg(F.count(F.lit(1)).alias("_n"))
-        fans = crowd.withColumn("_fan", F.ceil(F.col("_n") / CELL_POINTS)).where("_fan > 1").drop("_n")
-        split = placed.join(fans, ["g", *cells], "left").withColumn(
-            "_salt", F.pmod(row_hash(["p"]), F.coalesce("_fan", F.lit(1)))
-        ).drop("_fan")
-        spread = open_queries.select("g", "q", *_cells(F.col("q"), radius, grid))
-        for c in cells:
-            spread = spread.withColumn("_s", F.explode(shifts)).withColumn(c, F.col(c) + F.col("_s")).drop("_s")
-        asked = spread.join(fans, ["g", *cells], "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_fan", F.lit(1)) - 1))
-        ).drop("_fan")
-        near = asked.join(split, ["g", *cells, "_salt"]).select(
-            "g", "q", "p", "w", _distance(F.col("q"), F.col("p")).alias("distance")
-        ).where(F.col("distance") <= radius)
-        if exclude_self:
-            near = near.where("q <> p")
-        order = Window.partitionBy("g", "q").orderBy("distance", "p")
-        # every weight is at least 1, so k points always suffice
-        best = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-        per_query = Window.partitionBy("g", "q")
-        held = cut_lineage(best.withColumn("_all", F.sum("w").over(per_query)))
-        if radius > reach:
-            found.append(held.drop("_all"))
-            break
-        settled = held.where(F.col("_all") >= k)
-        found.append(settled.drop("_all"))
-        open_queries = cut_lineage(
-            open_queries.join(settled.select("g", "q").distinct(), ["g", "q"], "left_anti")
-        )
-        if open_queries.isEmpty():
+        return queries.limit(0).select("g", "q", F.col("q").alias("p"), F.lit(1).cast("bigint").alias("w"),
+                                       F.lit(0.0).alias("distance"), F.lit(1).alias("place"))
+    start = [bounds[2 * i] for i in range(dims)]
+    grid: list = sorted(range(dims), key=lambda i: -variety[i])[:GRID_DIMS]
+    width = max(bounds[2 * i + 1] - bounds[2 * i] for i in grid) or 1.0
+    grid += [None] * (GRID_DIMS - len(grid))
+    # two levels more until no cell is full; one count per step
+    level = COARSE
+    while level < FINEST:
+        counts = points.select("g", *_cells(F.col("p"), level, grid, start, width)).groupBy("g", *CELL).agg(
+            F.count(F.lit(1)).alias("n"))
+        if counts.agg(F.max("n")).first()[0] <= FULL_CELL:
             break
-        radius *= 2.0
-    return reduce(DataFrame.unionByName, found)
+        level += STEP
+    placed = points.select("*", *_cells(F.col("p"), level, grid, start, width))
+    finest = cut_lineage(_boxes(
+        placed.select("g", *CELL, "w", F.col("p").alias("lo"), F.col("p").alias("hi")), 0, dims
+    ))
+    need = k + 1 if exclude_self else k
+
+    # one row per group with its coarse cells, at most 9 by 9
+    first = _boxes(finest, level - COARSE, dims).groupBy("g").agg(F.collect_list(F.struct(*CELL, "w", "lo", "hi")).alias("_c"))
+    seen = queries.select("g", "q").join(first, "g").select("g", "q", F.inline("_c"))
+    left = cut_lineage(_within_bound(seen, need))
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((1 << STEP) - 1).cast("bigint")))
+    for at in range(COARSE + STEP, level + 1, STEP):
+        finer = left
+        for c in CELL:
+            finer = finer.withColumn("_s", parts).withColumn(c, F.shiftleft(c, STEP) + F.col("_s")).drop("_s")
+        left = cut_lineage(_within_bound(finer.join(_boxes(finest, level - at, dims), ["g", *CELL]), need))
+
+    crowd = placed.groupBy("g", *CELL).agg(F.count(F.lit(1)).alias("_n"))
+    fans = crowd.withColumn("_fan", F.ceil(F.col("_n") / CELL_POINTS)).where("_fan > 1").drop("_n")
+    split = placed.join(fans, ["g", *CELL], "left").withColumn(
+        "_salt", F.pmod(row_hash(["p"]), F.coalesce("_fan", F.lit(1)))
+    ).drop("_fan")
+    asked = left.join(fans, ["g", *CELL], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_fan", F.lit(1)) - 1))
+    ).drop("_fan")
+    near = asked.join(split, ["g", *CELL, "_salt"]).select(
+        "g", "q", "p", "w", _distance(F.col("q"), F.col("p")).alias("distance")
+    )
+    if exclude_self:
+        near = near.where("q <> p")
+    order = Window.partitionBy("g", "q").orderBy("distance", "p")
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
 def fill_knn(

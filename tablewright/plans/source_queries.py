@@ -63,16 +63,21 @@ def inferred_rows(spark, folder):
 
 @query(
     "probe_files",
-    """SELECT * FROM (VALUES ('nation', 'n_nationkey', 'int', 25), ('nation', 'n_name', 'string', 25), ('nation', 'n_regionkey', 'int', 25),
-    ('region', 'r_regionkey', 'int', 5), ('region', 'r_name', 'string', 5)) t(file, "column", type, n_rows)""",
+    """SELECT 'orders' AS file, unnest(['o_orderkey', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS "column",
+      unnest(['int', 'double', 'date', 'string']) AS type, (SELECT count(*) FROM orders) AS n_rows
+    UNION ALL SELECT 'customer', unnest(['c_custkey', 'c_name', 'c_nationkey']), unnest(['int', 'string', 'int']), (SELECT count(*) FROM customer)""",
 )
 def probe_files(spark, folder):
+    """Two folders of growing tables, probed by one plan; a column of whole numbers of one part is one of the folder."""
     base = scratch_path(spark, "folder")
-    for name in ("nation", "region"):
-        dl.write_delimited(table(spark, folder, name), f"{base}/{name}")
-    found = dl.probe_folder(spark, [f"{base}/nation", f"{base}/region"], 1.0)
-    return found.select(
-        F.substring_index("file", "/", -1).alias("file"), "column", "type", F.col("n_rows").cast("int").alias("n_rows")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority"
+    )
+    dl.write_delimited(orders, f"{base}/orders")
+    dl.write_delimited(table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"), f"{base}/customer")
+    found = dl.probe_folder(spark, [f"{base}/orders", f"{base}/customer"])
+    return found.groupBy(F.element_at(F.split("file", "/"), -2).alias("file"), "column").agg(
+        F.max("type").alias("type"), F.sum("n_rows").alias("n_rows")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 # Cell texts that mean a missing value.
@@ -98,27 +98,60 @@ def read_untyped(
     return rows.na.fill("")
 
 
-def probe_folder(spark: SparkSession, paths: Sequence[str], sampling_ratio: float = 1.0) -> DataFrame:
-    """One row per file and column: type and number of rows.
+def _cells_of(line: Column, sep: str) -> Column:
+    """Fields of a line; separators inside quotes don't count."""
+    outside = re.escape(sep) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    bare = F.transform(F.split(line, outside, -1), lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
+    return F.transform(bare, lambda c: F.replace(c, F.lit('""'), F.lit('"')))
 
-    The number of files is the length of the given list; each is counted by Spark.
+
+def probe_folder(
+    spark: SparkSession, paths: str | Sequence[str], sep: str = ",", n_first: int = 3,
+    missing_tokens: Sequence[str] = MISSING_TOKENS,
+) -> DataFrame:
+    """One row per file and column: position, name, type of all its values, rows, and the first values.
+
+    All files are read by one plan, whatever their columns. Files have a header;
+    a line break inside quotes counts as the end of a row. Types are int,
+    bigint, double, date, timestamp, boolean or string.
     """
-    parts = []
-    for path in paths:
-        df = (
-            _reader(spark, ",", False).option("inferSchema", True)
-            .option("samplingRatio", sampling_ratio).csv(path)
-        )
-        described = F.array(
-            *[F.struct(F.lit(path).alias("file"), F.lit(i).alias("position"),
-                       F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"))
-              for i, f in enumerate(df.schema)]
-        )
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.inline(described), "n_rows"))
-    first, *others = parts
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.regexp_replace("value", "^\ufeff", "").alias("_line"), F.monotonically_increasing_id().alias("_at"),
+    )
+    # numbers grow within a split, so the least one of a file's first split is its header
+    header = F.min_by(F.struct("_at", "_line"), F.when(F.col("_block") == 0, F.col("_at")))
+    heads = lines.groupBy("file").agg(header.alias("_head"), F.count(F.lit(1)).alias("_lines"))
+    names = heads.select(
+        "file", F.col("_head._at").alias("_first"), (F.col("_lines") - 1).alias("n_rows"),
+        _cells_of(F.col("_head._line"), sep).alias("_names"),
+    )
+    cells = lines.join(names, "file").select(
+        "file", "n_rows", "_at", "_first", "_names", F.posexplode(
+            # the header line itself only names the columns
+            F.when(F.col("_at") == F.col("_first"), F.transform("_names", lambda _: F.lit(None).cast("string")))
+            .otherwise(_cells_of(F.col("_line"), sep))
+        ).alias("position", "_cell"),
+    ).where(F.col("position") < F.size("_names"))
+    value = F.when(~F.col("_cell").isin(*missing_tokens), F.col("_cell"))
+
+    kinds = [
+        ("int", r"^\s*[+-]?\d+\s*$"), ("bigint", r"^\s*[+-]?\d+\s*$"), ("double", r"\d|^(NaN|[+-]?Infinity)$"),
+        ("date", r"^\d{4}-\d{2}-\d{2}$"), ("timestamp", r"^\d{4}-\d{2}-\d{2}[ T]\d"), ("boolean", r"(?i)^(true|false)$"),
+    ]
+    kind = F.lit("string")
+    for name, shape in reversed(kinds):
+        # a missing value says nothing about the type
+        test = F.coalesce(F.bool_and(F.when(value.isNotNull(), value.try_cast(name).isNotNull() & value.rlike(shape))), F.lit(False))
+        kind = F.when(test, name).otherwise(kind)
+    early = (F.col("_at") > F.col("_first")) & (F.col("_at") <= F.col("_first") + n_first)
+    return cells.groupBy("file", "position").agg(
+        F.max(F.get("_names", F.col("position"))).alias("column"), kind.alias("type"), F.max("n_rows").alias("n_rows"),
+        # at most ``n_first`` values
+        F.transform(
+            F.array_sort(F.collect_list(F.when(early, F.struct("_at", "_cell")))), lambda x: x["_cell"]
+        ).alias("first_values"),
+    )
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:

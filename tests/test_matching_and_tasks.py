@@ -99,11 +99,13 @@ def test_kappa_and_f1(spark):
 def test_ks(spark):
     a = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "v double")
     b = spark.createDataFrame([(float(x),) for x in (3, 4, 5, 6)], "v double")
-    row = compare.ks_two_sample(a, b, F.col("v")).first()
+    row = compare.ks_two_sample(a, b, F.col("v"), method="exact").first()
     assert row["statistic"] == 0.5 and row["pvalue"] == pytest.approx(0.7714, abs=1e-4)
-    assert compare.ks_p_value(0.0292, 931, 883) == pytest.approx(0.819, abs=1e-3)
-    assert compare.ks_p_value(0.0129, 807, 883) == pytest.approx(1.0, abs=1e-3)
-    assert compare.ks_p_value(0.0327, 931, 807) == pytest.approx(0.727, abs=1e-3)
+    limit = compare.ks_two_sample(a, b, F.col("v")).first()
+    assert limit["statistic"] == 0.5 and limit["pvalue"] == pytest.approx(compare.ks_p_value(0.5, 4, 4))
+    assert compare.ks_p_value(0.0292, 931, 883, "exact") == pytest.approx(0.819, abs=1e-3)
+    assert compare.ks_p_value(0.0129, 807, 883, "exact") == pytest.approx(1.0, abs=1e-3)
+    assert compare.ks_p_value(0.0327, 931, 807, "exact") == pytest.approx(0.727, abs=1e-3)
     assert compare.ks_p_value(0.02, 20000, 20000) == pytest.approx(0.000671, abs=1e-5)
 
 

@@ -55,3 +55,23 @@ def test_smote_balances_within_the_class(spark, points):
     low, high = df.where("y = 'small'").agg(F.min("a"), F.max("a")).first()
     assert made.where((F.col("a") < low) | (F.col("a") > high)).count() == 0
     assert out.where("copy = 0").count() == 240
+
+
+def test_far_points_and_a_dense_cluster(spark):
+    """Far queries get the right neighbours out of a crowd that lies in a corner of one cell."""
+    import random
+
+    pick = random.Random(3)
+    crowd = {(pick.random() / 1000, pick.random() / 1000) for _ in range(3000)}
+    lone = {(500.0 * i, 900.0 - 100 * i) for i in range(1, 9)}
+    points = sorted(crowd | lone)
+    queries = [(5000.0, 5000.0), (-40.0, 3.0), (0.0005, 0.0005), (499.0, 800.0), (2000.0, 1.0)]
+    found = nb.nearest(
+        spark.createDataFrame([(0, list(q)) for q in queries], "g int, q array<double>"),
+        spark.createDataFrame([(0, list(p), 1) for p in points], "g int, p array<double>, w bigint"), 4, 2,
+    ).collect()
+    got = {q: [] for q in queries}
+    for r in sorted(found, key=lambda r: r.place):
+        got[tuple(r.q)].append(tuple(r.p))
+    distance = lambda q, p: ((q[0] - p[0]) ** 2 + (q[1] - p[1]) ** 2) ** 0.5
+    assert got == {q: sorted(points, key=lambda p: (distance(q, p), p))[:4] for q in queries}

@@ -137,3 +137,15 @@ def test_byte_order_mark_and_file_list(spark, tmp_path):
     assert len(found) == 1 and found[0]["length"] == file.stat().st_size
     kinds = lb.inspect_paths(dl.list_files(spark, path, "*.csv"), "path").collect()
     assert [(r["modality"], r["n"]) for r in kinds] == [("text", 1)]
+
+
+def test_probe_reads_files_with_different_columns_by_one_plan(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,price,"long, name",seen\n1,2,"x, ""y""",2024-01-02\n3000000000,NA,z,\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("﻿flag,when\ntrue,2024-01-02 03:04:05\nFALSE,2024-01-02T03:04:05\n", encoding="utf-8")
+    found = {(r.file.rsplit("/", 1)[1], r.position): r for r in dl.probe_folder(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).collect()}
+    got = {k: (r.column, r.type, r.n_rows) for k, r in found.items()}
+    assert got == {
+        ("a.csv", 0): ("id", "bigint", 2), ("a.csv", 1): ("price", "int", 2), ("a.csv", 2): ("long, name", "string", 2),
+        ("a.csv", 3): ("seen", "date", 2), ("b.csv", 0): ("flag", "boolean", 2), ("b.csv", 1): ("when", "timestamp", 2),
+    }
+    assert found[("a.csv", 2)].first_values == ['x, "y"', "z"]
