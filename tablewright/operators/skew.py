@@ -3,7 +3,7 @@
 A per-key result carries the number of rows behind each key. Keys holding at
 least ``hot_share`` of all rows number at most ``1 / hot_share``, so that list
 alone has a proven bound and may be broadcast. Rows of such a key are spread
-over as many sub-keys as its share of the shuffle partitions; rows whose key is
+over sub-keys in proportion to its share of the shuffle partitions; rows whose key is
 NULL have no partner and pass by the join. All other rows join on the plain
 key, and Spark still picks the join strategy from the measured sizes.
 """
@@ -16,7 +16,9 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_SHARE = 1 / 256  # shapes the plan only
+# both shape the plan only
+HOT_SHARE = 1 / 256
+SUB_KEYS = 8  # per shuffle partition's worth of a hot key, so that hashing them evens out
 
 
 def row_hash(columns: Sequence[str], seed: int = 0) -> Column:
@@ -41,7 +43,7 @@ def lookup_join(
     on = list(on)
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     share = F.col(weight) / lookup.agg(F.sum(weight)).scalar()
-    fan = F.when(share >= hot_share, F.greatest(F.ceil(share * partitions), F.lit(2))).otherwise(F.lit(1))
+    fan = F.when(share >= hot_share, F.ceil(share * partitions * SUB_KEYS)).otherwise(F.lit(1))
     fanned = lookup.withColumn("_fan", fan.cast("bigint"))
     hot = fanned.where("_fan > 1").select(*on, "_fan")
     any_null = reduce(or_, [F.col(f"`{k}`").isNull() for k in on])

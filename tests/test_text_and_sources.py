@@ -15,7 +15,7 @@ def test_bad_lines(spark, tmp_path):
     path = tmp_path / "corpus.csv"
     path.write_text('﻿no;product;text\n1;A b;"hi; ""x""\ny"\n2;B;z;extra\n3;C\n4;D;\n5;E;z;\n6;F;z;;;\n7;G;"a;b;c;d"\n',
                     encoding="utf-8")
-    df = dl.read_delimited(spark, str(path), "no long, product string, text string", sep=";", skip_long_lines=True)
+    df = dl.read_delimited(spark, str(path), "no long, product string, text string", sep=";", multi_line=True, skip_long_lines=True)
     got = sorted(tuple(r) for r in df.collect())
     assert got == [(1, "A b", 'hi; "x"\ny'), (3, "C", None), (4, "D", None), (7, "G", "a;b;c;d")]
     assert df.select("no").count() == 4 and df.count() == 4
