@@ -199,3 +199,12 @@ def test_sql_agrees(spark, name):
     df = queries.QUERIES[name](spark, SMALL)
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.SQL[name]})").fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_near_duplicate_stage_reaches_its_similarity(spark):
+    """Copies that share 0.8 of their five-word shingles go, whatever their fingerprints."""
+    bases = [corpus.words(300, f"base{i}", 5000) for i in range(8)]
+    given = [(i, " ".join(b)) for i, b in enumerate(bases)]
+    given += [(100 + i, " ".join([*b[:70], "one", *b[71:150], "two", *b[151:], "tail " * 30])) for i, b in enumerate(bases)]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()) == list(range(8))
