@@ -80,30 +80,64 @@ def common_blocks(matched: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def _line_lists(docs: DataFrame, columns: Sequence[str], text: str) -> DataFrame:
-    """``columns`` and two lists per text: hashes of its lines, and their numbers of words."""
+def meeting_runs(sizes: Sequence[int], min_words: int) -> Iterator[tuple[int, int]]:
+    """Runs of lines that bring documents together: (first line, number of lines).
+
+    A line of ``min_words`` words is one; of shorter lines, from each that has
+    words, the shortest run with as many in total. A block of common lines that
+    has as many words holds at least one of them.
+    """
+    end = total = 0
+    for at, size in enumerate(sizes):
+        if end <= at:
+            end, total = at, 0
+        if size >= min_words:
+            yield at, 1
+            continue
+        while total < min_words and end < len(sizes) and sizes[end] < min_words:
+            total, end = total + sizes[end], end + 1
+        if size and total >= min_words:
+            yield at, end - at
+        total -= size
+
+
+def _line_lists(docs: DataFrame, columns: Sequence[str], text: str, min_words: int) -> DataFrame:
+    """``columns`` and lists per text: hashes and numbers of words of its lines; hash, first line and length of its meeting runs."""
     n = len(columns)
 
+    def digest(x: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in W.slices(batch.column(n)):
                 raw = piece.data.tobytes()
-                hashes, sizes, counts = [], [], []
+                hashes, sizes, counts, runs, met = [], [], [], [], []
                 for a, b in zip(piece.bounds[:-1], piece.bounds[1:]):
                     lines = raw[a:b].split(b"\n")
                     counts.append(len(lines))
-                    hashes += [int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True) for x in lines]
-                    sizes += [len(x.split()) for x in lines]
+                    own_sizes = [len(x.split()) for x in lines]
+                    hashes += [digest(x) for x in lines]
+                    sizes += own_sizes
+                    own_runs = [(digest(b"\n".join(lines[i:i + k])), i, k) for i, k in meeting_runs(own_sizes, min_words)]
+                    met.append(len(own_runs))
+                    runs += own_runs
                 own = batch.slice(piece.first, piece.last - piece.first)
                 yield pa.RecordBatch.from_arrays(
                     [own.column(i) for i in range(n)] + [
                         W.lists(np.array(hashes, dtype=np.int64), np.array(counts), pa.int64()),
                         W.lists(np.array(sizes, dtype=np.int32), np.array(counts), pa.int32()),
-                    ], [*columns, "lines", "sizes"],
+                        *[
+                            W.lists(np.array([r[k] for r in runs], dtype=np.int64), np.array(met), kind)
+                            for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))
+                        ],
+                    ], [*columns, "lines", "sizes", "run", "at", "n"],
                 )
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-    return docs.select(*columns, text).mapInArrow(work, ", ".join([*fields, "lines array<bigint>, sizes array<int>"]))
+    return docs.select(*columns, text).mapInArrow(work, ", ".join([
+        *fields, "lines array<bigint>, sizes array<int>, run array<bigint>, at array<int>, n array<int>"
+    ]))
 
 
 def _deleted(pairs: DataFrame, min_words: int) -> DataFrame:
@@ -116,7 +150,7 @@ def _deleted(pairs: DataFrame, min_words: int) -> DataFrame:
                 a, b, size = a.as_py(), b.as_py(), size.as_py()
                 lines = []
                 for _, j, n in common_blocks(patience(a, b)):
-                    if max(size[j:j + n]) >= min_words:
+                    if sum(size[j:j + n]) >= min_words:
                         lines.extend(range(j, j + n))
                 gone.append(lines)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["row", "gone"])
@@ -130,20 +164,18 @@ def repeated_lines(
     """Per document that loses lines: ``_id``, ``_key`` (of its text) and the numbers of the lines, from 0.
 
     A line is what stands between line feeds. Lines of at least ``min_words``
-    words bring documents together: each holder of the line is aligned with the
-    document of the smallest id that holds it. A common block is deleted if it
-    has such a line, its shorter lines with it. Rows that agree in id and text
+    words and runs of shorter ones with as many in total bring documents
+    together: each holder is aligned with the document of the smallest id that
+    holds it. A common block is deleted if it has as many words in total. Rows that agree in id and text
     are one document; documents that share an id come in the order of their
     text keys. Rows without id lose lines to others and never come first. A
     NULL or empty text is one line without words and loses nothing.
     """
     keyed = docs.select(F.col(id).alias("_id"), text_key(text).alias("_key"), F.col(text).alias("_text"))
     found = cut_lineage(
-        _line_lists(keyed, ["_id", "_key"], "_text").withColumn("row", F.monotonically_increasing_id())
+        _line_lists(keyed, ["_id", "_key"], "_text", min_words).withColumn("row", F.monotonically_increasing_id())
     )
-    lines = found.select("row", "_id", F.explode(F.arrays_zip("lines", "sizes")).alias("l")).where(
-        F.col("l.sizes") >= min_words
-    ).select("row", "_id", F.col("l.lines").alias("line"))
+    lines = found.select("row", "_id", F.explode("run").alias("line"))
     # stored, so that both sides of the join are shuffled and Spark may split a line of very many documents
     holders = cut_lineage(
         lines.groupBy("line").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n"))

@@ -334,3 +334,17 @@ def test_similar_texts(spark, monkeypatch):
         got = Counter((r.doc_id, bytes(r._key), r.component_id, bytes(r.component_key)) for r in simhash.similar_texts(docs).collect())
         assert got == want
     assert simhash.similar_texts(docs.limit(0)).count() == 0
+
+
+def lost_lines(spark, given):
+    docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    return {r.doc_id: r.n_deleted for r in linedup.without_repeated_lines(docs).collect()}
+
+
+def test_line_dedup_of_short_lines(spark):
+    """Documents of lines under six words meet on runs of lines, not on single ones."""
+    assert list(linedup.meeting_runs([2, 0, 3, 7, 1, 4, 1, 2], 6)) == [(3, 1), (4, 3), (5, 3)]
+    verse = "roses are red\n\nviolets are blue\nsugar is sweet"
+    assert lost_lines(spark, [
+        (1, verse), (2, verse), (3, "a title\n" + verse + "\nits end"), (4, "sugar is sweet\nroses are red\nwell"),
+    ]) == {1: 0, 2: 4, 3: 4, 4: 0}
