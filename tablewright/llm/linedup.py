@@ -3,8 +3,10 @@
 Documents that share a line meet: each pairs with the first document that
 holds the line, so a line of m documents gives m - 1 pairs, not their square.
 Of every pair the two line lists are aligned by patience diff, and the common
-blocks are deleted from the later document. All pairs are judged on the input,
-and the first holder of a line keeps it.
+blocks are deleted from the later document. Lines that stay meet their other
+earlier holders too, few at first and then the rest, until one aligns with them
+or none is left. All pairs are judged on the input, and the first holder of a
+line keeps it.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from tablewright.session import cut_lineage
 
 MIN_WORDS = 6
 
+# one in so many further holders by a hash of them; each divides the one before it, and all have had their turn after the last
+TURNS = (256, 16, 1)
+
 
 def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
     """Matched positions of two lists, both ascending.
@@ -166,7 +171,8 @@ def repeated_lines(
     A line is what stands between line feeds. Lines of at least ``min_words``
     words and runs of shorter ones with as many in total bring documents
     together: each holder is aligned with the document of the smallest id that
-    holds it. A common block is deleted if it has as many words in total. Rows that agree in id and text
+    holds it, and where a line of the run stays, with its other earlier holders.
+    A common block is deleted if it has as many words in total. Rows that agree in id and text
     are one document; documents that share an id come in the order of their
     text keys. Rows without id lose lines to others and never come first. A
     NULL or empty text is one line without words and loses nothing.
@@ -175,22 +181,55 @@ def repeated_lines(
     found = cut_lineage(
         _line_lists(keyed, ["_id", "_key"], "_text", min_words).withColumn("row", F.monotonically_increasing_id())
     )
-    lines = found.select("row", "_id", F.explode("run").alias("line"))
+    lines = found.select("row", "_id", "_key", F.explode(F.arrays_zip("run", "at", "n")).alias("l")).select(
+        "row", "_id", "_key", F.col("l.run").alias("line"), F.col("l.at").alias("at"), F.col("l.n").alias("n")
+    )
     # stored, so that both sides of the join are shuffled and Spark may split a line of very many documents
     holders = cut_lineage(
         lines.groupBy("line").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .where("n > 1 AND first_id IS NOT NULL").select("line", "first_id")
     )
-    pairs = lines.select("row", "line").join(holders, "line").select("row", "first_id").distinct()
+    held = cut_lineage(lines.join(holders, "line"))
+    pairs = held.select("row", "first_id").distinct()
     ahead = found.select(
-        F.col("_id").alias("first_id"), F.col("_key").alias("first_key"), F.col("lines").alias("first_lines")
+        F.col("row").alias("first_row"), F.col("_id").alias("first_id"), F.col("_key").alias("first_key"),
+        F.col("lines").alias("first_lines"),
     )
-    both = (
-        pairs.join(found, "row").join(ahead, "first_id")
-        .where(F.col("_id").isNull() | (F.col("first_id") < F.col("_id")) | (F.col("first_key") < F.col("_key")))
+    earlier = F.col("_id").isNull() | (F.col("first_id") < F.col("_id")) | (
+        (F.col("first_id") == F.col("_id")) & (F.col("first_key") < F.col("_key"))
     )
+    both = pairs.join(found, "row").join(ahead, "first_id").where(earlier)
+    gone = cut_lineage(_deleted(both, min_words).where(F.size("gone") > 0))
+
+    tried = held.select(
+        "line", F.col("row").alias("first_row"), F.col("_id").alias("first_id"), F.col("_key").alias("first_key"),
+        F.xxhash64("_id", "_key").alias("turn"),
+    ).where("first_id IS NOT NULL").distinct()
+    before = None
+    for share in TURNS:
+        lost = gone.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("lost"))
+        stays = ~F.forall(
+            F.sequence(F.col("at"), F.col("at") + F.col("n") - 1),
+            lambda x: F.array_contains(F.coalesce("lost", F.array().cast("array<int>")), x),
+        )
+        left = cut_lineage(
+            held.where(F.col("_id").isNull() | (F.col("first_id") < F.col("_id"))).join(lost, "row", "left").where(stays)
+            .select("row", "_id", "_key", "line", F.col("first_id").alias("least_id")).distinct()
+        )
+        if left.isEmpty():
+            break
+        now = tried.where(F.pmod("turn", F.lit(share)) == 0)
+        if before:
+            now = now.where(F.pmod("turn", F.lit(before)) != 0)
+        before = share
+        further = cut_lineage(
+            left.join(now, "line").where(earlier & (F.col("first_id") != F.col("least_id")))
+            .select("row", "first_row").distinct()
+        )
+        more = further.join(found, "row").join(ahead.select("first_row", "first_lines"), "first_row")
+        gone = gone.unionByName(cut_lineage(_deleted(more, min_words).where(F.size("gone") > 0)))
     return (
-        _deleted(both, min_words).where(F.size("gone") > 0).join(found.select("row", "_id", "_key"), "row")
+        gone.join(found.select("row", "_id", "_key"), "row")
         .groupBy("_id", "_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("deleted"))
     )
 

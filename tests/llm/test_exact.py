@@ -348,3 +348,13 @@ def test_line_dedup_of_short_lines(spark):
     assert lost_lines(spark, [
         (1, verse), (2, verse), (3, "a title\n" + verse + "\nits end"), (4, "sugar is sweet\nroses are red\nwell"),
     ]) == {1: 0, 2: 4, 3: 4, 4: 0}
+
+
+def test_line_dedup_tries_further_holders(spark):
+    """Lines that the first holder doesn't align, for crossing order or repeats, go by another one."""
+    one, two, many = (" ".join(corpus.words(8, f"further{i}")) for i in range(3))
+    others = [(10 + i, f"own {i}\n{many}\nend {i}") for i in range(20)]
+    assert lost_lines(spark, [
+        (1, f"{one}\n{two}"), (2, f"start\n{one}\nend"), (3, f"a\n{two}\nb\n{one}\nc"),
+        (4, f"x\n{many}\ny"), *others, (90, f"one\n{many}\ntwo\n{many}\nend 7"),
+    ]) == {1: 0, 2: 1, 3: 2, 4: 0, **{i: 1 for i, _ in others}, 90: 2}
