@@ -260,16 +260,27 @@ def similar_texts(
     postings = begun.select("node", "size", F.explode("shingles").alias("shingle"))
     # stored, so that both sides of the join are shuffled and Spark may split a shingle of very many texts
     holders = cut_lineage(
-        postings.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-        .where("first < last").select("shingle", "first")
+        postings.groupBy("shingle").agg(F.min(F.struct("node", "size")).alias("least"), F.max("node").alias("last"))
+        .select("shingle", F.col("least.node").alias("first"), F.col("least.size").alias("first_size"), "last")
+        .where("first < last").drop("last")
     )
     may_meet = on_map_of(holders, "shingle")
     met = cut_lineage(postings.where(may_meet("shingle")).join(holders, "shingle").distinct())
-    may_pair = on_map_of(met.select("node").distinct(), "node")
-    sets = cut_lineage(_shingles(docs.where(may_pair(_node(text))), text, words).dropDuplicates(["node"]))
 
-    with_first = cut_lineage(met.where("node != first").select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct())
-    edges = cut_lineage(_verified(with_first, sets, similarity))
+    def near(a: str, b: str) -> Column:
+        return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+        sets = _shingles(docs.where(on_map_of(nodes, "node")(_node(text))), text, words)
+        return cut_lineage(_verified(pairs, cut_lineage(sets.dropDuplicates(["node"])), similarity))
+
+    # sets of too different sizes can't be similar
+    with_first = cut_lineage(
+        met.where("node != first").where(near("size", "first_size"))
+        .select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct()
+    )
+    edges = verified(with_first)
     roots = components(edges)
     rooted = cut_lineage(
         met.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root"))
@@ -283,10 +294,10 @@ def similar_texts(
     b = left.select("shingle", F.col("node").alias("dst"), F.col("root").alias("b_root"), F.col("size").alias("b_size"))
     others = cut_lineage(
         a.join(b, "shingle").where("src > dst AND a_root != b_root")
-        .where(F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size") - 1e-9)
+        .where(near("a_size", "b_size"))
         .select("src", "dst").distinct().join(with_first, ["src", "dst"], "left_anti")
     )
-    roots = components(edges.unionByName(_verified(others, sets, similarity)))
+    roots = components(edges.unionByName(verified(others)))
 
     found = cut_lineage(docs.select(F.col(id).alias("_id"), text_key(text).alias("_key"), _node(text).alias("node")))
     name = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_key")))
