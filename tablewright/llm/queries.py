@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.llm import (
-    language, ledger, licenses, linedup, lzparse, mixing, secret_scan, simhash, toxicity, winnowing,
+    exact, language, ledger, licenses, linedup, lzparse, merkle, mixing, secret_scan, simhash, toxicity, trie, winnowing,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,114 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), dictionaries).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+def crc32_sql(value: str) -> str:
+    """Unsigned CRC-32 of a number's decimal digits, bit by bit."""
+    step = "xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"list_reduce(list_concat([xor(c, d)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, i: {step})"
+    digits = f"list_transform(string_split(({value})::VARCHAR, ''), lambda k: ord(k)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {digits}), lambda c, d: {byte}), 4294967295)"
+
+
+LEAF_SQL = " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+#: Levels of all trees of a table of leaves (tree, pos, digest), and their last level.
+LEVELS_SQL = """
+{up}(tree, level, pos, digest) AS (
+  SELECT tree, 0, pos, digest FROM {leaves}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {up}) WHERE n > 1 GROUP BY tree, pos // 3),
+{top} AS (SELECT tree, max(level) AS height, arg_max(digest, level) AS digest FROM {up} GROUP BY tree),
+{up}_steps AS (
+  SELECT u.tree, u.level, u.pos,
+    coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < u.pos), '') AS before,
+    coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > u.pos), '') AS after
+  FROM {up} u JOIN {top} t ON t.tree = u.tree AND u.level < t.height
+  JOIN {up} s ON s.tree = u.tree AND s.level = u.level AND s.pos // 3 = u.pos // 3
+  GROUP BY u.tree, u.level, u.pos)"""
+OP11_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, sha256({LEAF_SQL.format(text="text")}) AS digest,
+    CASE WHEN {crc32_sql("doc_id")} % 2 = 0 THEN sha256({LEAF_SQL.format(text="replace(text, chr(10), '')")})
+      ELSE sha256({LEAF_SQL.format(text="text")}) END AS claimed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents),
+{LEVELS_SQL.format(up="low", leaves="leaves", top="subroots")},
+sources AS (SELECT '' AS tree, tree AS of, row_number() OVER (ORDER BY tree) - 1 AS pos, digest FROM subroots),
+{LEVELS_SQL.format(up="high", leaves="sources", top="roots")},
+steps AS (
+  SELECT l.doc_id, s.level, s.before, s.after
+  FROM leaves l JOIN low_steps s ON s.tree = l.tree AND s.pos = l.pos // (3 ** s.level)::BIGINT
+  UNION ALL
+  SELECT l.doc_id, 1000 + s.level, s.before, s.after
+  FROM leaves l JOIN sources o ON o.of = l.tree JOIN high_steps s ON s.pos = o.pos // (3 ** s.level)::BIGINT),
+paths AS (SELECT doc_id, list(before || '|' || after ORDER BY level) AS path FROM steps GROUP BY doc_id),
+folded AS (
+  SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root,
+    sha256(replace(array_to_string(coalesce(p.path, []), ''), '|', '')) AS proof_sha256,
+    list_reduce(list_concat([l.claimed], coalesce(p.path, [])),
+      lambda d, step: sha256(split_part(step, '|', 1) || d || split_part(step, '|', 2))) AS folded_root
+  FROM leaves l JOIN subroots s ON s.tree = l.tree CROSS JOIN roots r LEFT JOIN paths p ON p.doc_id = l.doc_id)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+@query(OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claimed = merkle.leaf_digest([text if c == "text" else F.col(c) for c in merkle.FIELDS])
+    found = merkle.manifest(docs, carry={"claimed": claimed})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.fold(F.col("claimed"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP12_SQL = r"""
+WITH normal AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY t)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
+FROM normal n JOIN groups g ON n.t = g.t
+"""
+
+
+@query(OP12_SQL)
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_groups(table(spark, folder, "documents"))
+
+
+OP13_SQL = rf"""
+WITH own AS (
+  SELECT conv_id, {crc32_sql("conv_id")} % 4 AS h,
+    list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations GROUP BY conv_id),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS s
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+prefixes AS (SELECT conv_id, s, d AS depth, s[1:d] AS p FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, p, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(p[depth].t, '[^\x20\x09-\x0D]+')) END AS words
+  FROM prefixes GROUP BY depth, p),
+children AS (SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.p = n.p),
+sums AS (
+  SELECT p[1:d] AS p, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) GROUP BY 1)
+SELECT c.conv_id, c.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs,
+  c.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.p = c.p LEFT JOIN nodes u ON c.depth > 0 AND u.p = c.p[1:c.depth - 1]
+"""
+
+
+@query(OP13_SQL)
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    placed = trie.in_order(trie.turns(table(spark, folder, "conversations")))
+    convs, rows = trie.with_openings(placed, every=20, most=3, taken=F.crc32(F.col("conv").cast("string")) % 4)
+    return trie.prefix_trie(convs, rows)
