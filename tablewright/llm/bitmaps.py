@@ -63,7 +63,10 @@ def without(docs: DataFrame, gone: DataFrame, on: Mapping[str, Column]) -> DataF
     """
     listed = on_map_of(gone.select(F.xxhash64(*on).alias("h")))
     test = listed(F.xxhash64(*on.values()))
-    keys = {f"_on_{c}": value for c, value in on.items()}
-    test_rows = docs.where(test).withColumns(keys)
-    same = reduce(and_, [test_rows[f"_on_{c}"].eqNullSafe(gone[c]) for c in on])
-    return docs.where(~test).unionByName(test_rows.join(gone, same, "left_anti").drop(*keys))
+    # the row stays one column, so its names can't meet those used here
+    rows = docs.where(test).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[value.alias(f"_on_{c}") for c, value in on.items()]
+    )
+    same = reduce(and_, [rows[f"_on_{c}"].eqNullSafe(gone[c]) for c in on])
+    rest = rows.join(gone, same, "left_anti").select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return docs.where(~test).unionByName(rest)

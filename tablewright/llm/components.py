@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.session import cut_lineage
 
+# minima are stored before they are joined back: then both sides of the join are
+# shuffled, and Spark may split a node of very many edges
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    least = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("_least"))
+    least = cut_lineage(both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("_least")))
     return (
         both.where(F.col("dst") > F.col("src"))
         .join(least, "src")
@@ -26,7 +29,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # every edge points from the larger to the smaller node here
-    least = edges.groupBy("src").agg(F.min("dst").alias("_least"))
+    least = cut_lineage(edges.groupBy("src").agg(F.min("dst").alias("_least")))
     below = (
         edges.join(least, "src")
         .where(F.col("dst") != F.col("_least"))
@@ -53,7 +56,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = figures(current)
     while before[0]:
-        current = cut_lineage(_small_star(_large_star(current)))
+        current = cut_lineage(_small_star(cut_lineage(_large_star(current))))
         after = figures(current)
         if after == before:
             break

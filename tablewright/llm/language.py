@@ -16,6 +16,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tablewright.llm.naming import unused
+
 DICTIONARY = 48 << 10  # bytes per language
 TEXTS = 64  # texts per language the dictionary is cut from
 BLOCK = 4 << 10  # bytes encoded at once, so that the dictionary stays near in long texts
@@ -114,5 +116,7 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], text: str = "te
                 ["lang_pred", "score", "rejected"],
             )
 
-    made = ("lang_pred", "score", "rejected")
-    return docs.withColumn("_found", found(F.col(text))).select(*[c for c in docs.columns if c not in made], "_found.*")
+    made, inside = ("lang_pred", "score", "rejected"), unused(docs.columns, "_found")
+    return docs.withColumn(inside, found(F.col(text))).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in made], F.col(f"{inside}.*")
+    )

@@ -10,17 +10,11 @@ fingerprints meet exactly if they reach it. What is left open in a posting are
 two bytes, so it holds at most 65,536 different fingerprints; postings of
 two are verified in SQL, larger ones are linked inside their own row by
 looking up the 136 neighbours of every member, without listing pairs.
-
-``similar_texts`` answers the other question, a Jaccard similarity of shingle
-sets. At 0.8 two 64-bit fingerprints differ in ten bits on average and often in
-more, which no byte index reaches whole, so it is an exact join and not SimHash:
-sets that similar share one of their first shingles in any common order.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -28,8 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm import words as W
-from tablewright.llm.bitmaps import bit_map, on_map, on_map_of, text_key
+from tablewright.llm.bitmaps import text_key
 from tablewright.llm.components import components
 from tablewright.session import cut_lineage
 
@@ -37,10 +30,6 @@ SEED = 42
 BYTES = 8
 SHINGLES_AT_ONCE = 1 << 15
 
-# shapes the plan only: one text in so many tells which shingles are common, and how often it takes for that
-SAMPLED = 16
-COMMON = 4
-
 
 def fingerprint(text: bytes, words: int = 3) -> int:
     """SimHash of one text, unsigned: a bit is set if more than half of the shingles set it."""
@@ -153,6 +142,17 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     )
 
 
+def _least_of_component(found: DataFrame, name: Column, distance: int) -> DataFrame:
+    """For each ``fp`` the least ``name`` over all fingerprints it is linked with."""
+    fps = cut_lineage(found.groupBy("fp").agg(F.min(name).alias("first")))
+    roots = components(links(fps, distance))
+    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return rooted.select("fp", "root").join(named, "root").select("fp", "least")
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -165,148 +165,27 @@ def near_duplicates(
     them alone has a NULL component. Other columns are ignored.
     """
     found = cut_lineage(fingerprints(docs, id, text, words).select(F.col(id).alias("_id"), "fp"))
-    fps = cut_lineage(found.groupBy("fp").agg(F.min("_id").alias("first")))
-    roots = components(links(fps, distance))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return found.join(by_fp, "fp").select(
+    return found.join(_least_of_component(found, F.col("_id"), distance), "fp").select(
         F.col("_id").alias(id),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        F.col("least").alias("component_id"),
     )
 
 
-def _shingle_sets(piece: W.Slice, words: int) -> list[np.ndarray]:
-    """Different shingle hashes of each text, ascending; a shorter text is one shingle, one without words is zero."""
-    data = W.LOWER[piece.data]
-    found = W.find_words(data, piece.bounds, W.NOT_BLANK)
-    hashes = W.word_hashes(data, found)
-    runs = W.run_hashes(hashes, words)
-    out = []
-    for a, b in zip(found.of[:-1], found.of[1:]):
-        if b - a >= words:
-            out.append(np.unique(runs[a:b - words + 1]))
-        else:
-            out.append(W.run_hashes(hashes[a:b], int(b - a)) if b > a else np.zeros(1, dtype=np.uint64))
-    return out
-
-
-def _shingles(
-    docs: DataFrame, text: str, words: int, pick: Callable[[np.ndarray], np.ndarray] = lambda s: s
-) -> DataFrame:
-    """Per row its node (a hash of the text), the size of its shingle set, and what ``pick`` takes of the set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in W.slices(batch.column(1)):
-                sets = _shingle_sets(piece, words)
-                taken = [pick(s) for s in sets]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(piece.first, piece.last - piece.first),
-                    pa.array([len(s) for s in sets], pa.int32()),
-                    W.lists(W.signed(np.concatenate(taken)), np.array([len(t) for t in taken]), pa.int64()),
-                ], ["node", "size", "shingles"])
-
-    return docs.select(_node(text).alias("node"), text).mapInArrow(run, "node bigint, size int, shingles array<bigint>")
-
-
-def _node(text: str) -> Column:
-    return F.xxhash64(text_key(text))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (src, dst) whose shingle sets are as similar as asked for."""
-    of = {side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set")) for side in ("src", "dst")}
-    shared = F.size(F.array_intersect("src_set", "dst_set"))
-    union = F.size("src_set") + F.size("dst_set") - shared
-    return pairs.join(of["dst"], "dst").join(of["src"], "src").where(shared >= similarity * union - 1e-9).select("src", "dst")
-
-
-def similar_texts(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
+def representatives(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
 ) -> DataFrame:
-    """Id, ``_key`` (of its text) and component of every row: ``component_id`` and ``component_key``.
-
-    Texts whose sets of ``words``-word shingles have a Jaccard similarity of at
-    least ``similarity`` are linked, and so are texts without words; the
-    component is named by its least id, and the least key under that id. Rows
-    without id take part and name no component. Shingles are compared by 64-bit
-    hashes.
+    """``_id``, ``_key`` (of its text) and ``stays`` for every row.
 
-    Sets of n and more shingles that are similar enough have at least
-    ceil(similarity * n) in common, so they share one of the first
-    n - ceil(similarity * n) + 1 in an order that all texts keep; shingles that
-    a sample finds common come last in it. Texts that share such a shingle are
-    compared with its first holder, and then all pairs of its holders that this
-    leaves in different components.
+    Of each component of ``near_duplicates`` one document stays: that of the
+    least id, rows without id last, and the least text key under one id. Rows
+    that agree in id and text are one document and stay or go together.
     """
-    def least(n: int) -> int:
-        return max(1, math.ceil(similarity * n - 1e-9))
-
-    sampled = _shingles(docs.where(F.pmod(_node(text), F.lit(SAMPLED)) == 0), text, words)
-    common = docs.sparkSession.sparkContext.broadcast(bit_map(
-        sampled.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= COMMON)
-    ))
-
-    def first(found: np.ndarray) -> np.ndarray:
-        order = np.argsort(on_map(common.value, found), kind="stable")
-        return found[order[:len(found) - least(len(found)) + 1]]
-
-    begun = cut_lineage(_shingles(docs, text, words, first))
-    postings = begun.select("node", "size", F.explode("shingles").alias("shingle"))
-    # stored, so that both sides of the join are shuffled and Spark may split a shingle of very many texts
-    holders = cut_lineage(
-        postings.groupBy("shingle").agg(F.min(F.struct("node", "size")).alias("least"), F.max("node").alias("last"))
-        .select("shingle", F.col("least.node").alias("first"), F.col("least.size").alias("first_size"), "last")
-        .where("first < last").drop("last")
-    )
-    may_meet = on_map_of(holders, "shingle")
-    met = cut_lineage(postings.where(may_meet("shingle")).join(holders, "shingle").distinct())
-
-    def near(a: str, b: str) -> Column:
-        return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-        sets = _shingles(docs.where(on_map_of(nodes, "node")(_node(text))), text, words)
-        return cut_lineage(_verified(pairs, cut_lineage(sets.dropDuplicates(["node"])), similarity))
-
-    # sets of too different sizes can't be similar
-    with_first = cut_lineage(
-        met.where("node != first").where(near("size", "first_size"))
-        .select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct()
+    named = docs.select(
+        F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), text_key(text).alias("key")).alias("_doc"),
+        F.col(text).alias("_text"),
     )
-    edges = verified(with_first)
-    roots = components(edges)
-    rooted = cut_lineage(
-        met.join(roots, "node", "left").select("shingle", "node", "size", F.coalesce("root", "node").alias("root"))
-    )
-    apart = cut_lineage(
-        rooted.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select("shingle")
-    )
-    left = rooted.join(apart, "shingle")
-    a = left.select("shingle", F.col("node").alias("src"), F.col("root").alias("a_root"), F.col("size").alias("a_size"))
-    b = left.select("shingle", F.col("node").alias("dst"), F.col("root").alias("b_root"), F.col("size").alias("b_size"))
-    others = cut_lineage(
-        a.join(b, "shingle").where("src > dst AND a_root != b_root")
-        .where(near("a_size", "b_size"))
-        .select("src", "dst").distinct().join(with_first, ["src", "dst"], "left_anti")
-    )
-    roots = components(edges.unionByName(verified(others)))
-
-    found = cut_lineage(docs.select(F.col(id).alias("_id"), text_key(text).alias("_key"), _node(text).alias("node")))
-    name = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_key")))
-    nodes = cut_lineage(found.groupBy("node").agg(name.alias("name")).join(roots, "node", "left").select(
-        "node", "name", F.coalesce("root", "node").alias("root")
-    ))
-    named = nodes.groupBy("root").agg(F.min("name").alias("component"))
-    by_node = nodes.join(named, "root").select("node", "component")
-    return found.join(by_node, "node").select(
-        F.col("_id").alias(id), "_key",
-        F.col("component._id").alias("component_id"), F.col("component._key").alias("component_key"),
+    found = cut_lineage(fingerprints(named, "_doc", "_text", words))
+    return found.join(_least_of_component(found, F.col("_doc"), distance), "fp").select(
+        F.col("_doc.id").alias("_id"), F.col("_doc.key").alias("_key"), (F.col("_doc") == F.col("least")).alias("stays")
     )

@@ -53,6 +53,23 @@ def test_near_duplicates(spark):
     assert got == want
 
 
+def test_representatives(spark):
+    given = [r for r in corpus.rows() if len(r[1] or "") < 50_000] + [(9, None, None, None, None, *["x"] * 8)]
+    docs = corpus.documents(spark, given)
+    key = lambda t: hashlib.sha256((t or "").encode()).digest()[:16]
+    fps = {(r[0], key(r[1])): fingerprint(r[1]) for r in given}
+    group = {d: d for d in fps}
+    order = lambda d: (d[0] is None, d[0] or 0, d[1])
+    for _ in fps:
+        for a in fps:
+            for b in fps:
+                if (fps[a] ^ fps[b]).bit_count() <= 2:
+                    group[a] = group[b] = min(group[a], group[b], key=order)
+    want = Counter((r[0], key(r[1]), group[(r[0], key(r[1]))] == (r[0], key(r[1]))) for r in given)
+    got = Counter((r._id, bytes(r._key), r.stays) for r in simhash.representatives(docs).collect())
+    assert got == want and simhash.representatives(docs.limit(0)).count() == 0
+
+
 def test_links_within_large_postings(spark):
     """Chains, bits in one or two bytes, and many fingerprints with six equal bytes."""
     values = {0, 1, 3, 1 << 63, (1 << 63) | 1, 0xFF00, 0x0101 << 40}
@@ -281,61 +298,6 @@ def test_line_dedup(spark):
     assert linedup.without_repeated_lines(corpus.documents(spark, [])).count() == 0
 
 
-def similar_given():
-    """Texts with copies of several grades, a common passage, short and blank ones."""
-    import random
-
-    passage, out = " ".join(corpus.words(30, "common")), []
-    for i in range(12):
-        base, pick = corpus.words(120 + 40 * i, f"base{i}"), random.Random(i)
-        out.append(" ".join(base))
-        for changes in (1, 2, 3, 4, 6):
-            copy = list(base)
-            for _ in range(changes):
-                copy[pick.randrange(len(copy))] = f"new{pick.random()}"
-            out.append(" ".join(copy))
-        out.append(" ".join(base[len(base) // 6:]))
-        out.append(" ".join(corpus.words(25, f"own{i}")) + " " + passage)
-    out += [passage, passage.upper(), passage + " end", "a b c", "A  b\tc", "a b", "", None, " \n"]
-    rows = [(i, t) for i, t in enumerate(out)]
-    return [*rows, (None, out[1]), (None, "a b c"), (5, out[0] + " tail"), rows[9]]
-
-
-def jaccard_groups(given, size=5, least=0.8):
-    sets = []
-    for _, t in given:
-        w = [bytes(c + 32 if 65 <= c <= 90 else c for c in x) for x in split(t)]
-        sets.append({tuple(w[i:i + size]) for i in range(len(w) - size + 1)} or {tuple(w)})
-    group, linked = list(range(len(given))), []
-    for a in range(len(given)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]) - 1e-9:
-                linked.append((a, b))
-    for _ in given:
-        for a, b in linked:
-            group[a] = group[b] = min(group[a], group[b])
-    return group
-
-
-def test_similar_texts(spark, monkeypatch):
-    given = similar_given()
-    group = jaccard_groups(given)
-    key = lambda t: hashlib.sha256((t or "").encode()).digest()[:16]
-    named = defaultdict(list)
-    for (i, t), g in zip(given, group):
-        if i is not None:
-            named[g].append((i, key(t)))
-    want = Counter((i, key(t), *min(named[g])) for (i, t), g in zip(given, group))
-    assert len(set(group)) < len(given) - 30
-    docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
-    for sampled, common in ((16, 4), (1, 2)):  # the second makes very many shingles common ones
-        monkeypatch.setattr(simhash, "SAMPLED", sampled)
-        monkeypatch.setattr(simhash, "COMMON", common)
-        got = Counter((r.doc_id, bytes(r._key), r.component_id, bytes(r.component_key)) for r in simhash.similar_texts(docs).collect())
-        assert got == want
-    assert simhash.similar_texts(docs.limit(0)).count() == 0
-
-
 def lost_lines(spark, given):
     docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
     return {r.doc_id: r.n_deleted for r in linedup.without_repeated_lines(docs).collect()}

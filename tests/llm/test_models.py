@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import corpus  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tablewright.llm import language, licenses, queries, secret_scan, toxicity  # noqa: E402
+from tablewright.llm import language, licenses, queries, secret_scan, simhash, toxicity  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.1"
@@ -170,8 +170,8 @@ def test_pipeline(spark, tmp_path):
             assert after.columns == columns
             assert 0.6 * docs.count() < after.count() <= docs.count()
         if name == "near_duplicates":
-            again = corpus_pipeline.simhash.near_duplicates(after)
-            assert again.where("doc_id <> component_id").count() == 0
+            groups = simhash.near_duplicates(docs)
+            assert sorted(r.doc_id for r in after.collect()) == sorted(r.component_id for r in groups.select("component_id").distinct().collect())
         if name == "decontamination":
             hits = corpus_pipeline.winnowing.benchmark_hits(after, spark.read.parquet(f"{SMALL}/benchmark.parquet"))
             assert hits.where("n_hit > 0").count() == 0
@@ -201,10 +201,25 @@ def test_sql_agrees(spark, name):
     assert sorted(map(tuple, df.collect())) == sorted(want)
 
 
-def test_near_duplicate_stage_reaches_its_similarity(spark):
-    """Copies that share 0.8 of their five-word shingles go, whatever their fingerprints."""
-    bases = [corpus.words(300, f"base{i}", 5000) for i in range(8)]
-    given = [(i, " ".join(b)) for i, b in enumerate(bases)]
-    given += [(100 + i, " ".join([*b[:70], "one", *b[71:150], "two", *b[151:], "tail " * 30])) for i, b in enumerate(bases)]
-    docs = spark.createDataFrame(given, "doc_id bigint, text string")
-    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).collect()) == list(range(8))
+def test_pipeline_stages_on_clashing_names(spark):
+    """Columns of the names used inside, in other cases too, come out as they went in; texts under one id are judged apart."""
+    names = ["_score", "_key", "_deleted", "_found", "_ROW", "row", "_id", "_doc", "_on__key", "score"]
+    given = [(r[0], r[1], "en", r[3], r[4], *[f"{n}{i}" for n in names]) for i, r in enumerate(corpus.rows())]
+    given += [(70, given[2][1], "en", "s", 1, *["x"] * 10), (70, " ".join(corpus.words(90, "its own")), "en", "s", 1, *["y"] * 10)]
+    kinds = ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(given, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {kinds}")
+    whole = {tuple(r)[:2] + tuple(r)[5:] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = [tuple(r) for r in out.collect()]
+        if name == "line_dedup":
+            assert {r[5:] for r in rows} <= {r[2:] for r in whole}
+        else:
+            assert {r[:2] + r[5:] for r in rows} <= whole, name
+        if name == "near_duplicates":
+            assert [r[5] for r in rows if r[0] == 70] == ["y"]
+            assert simhash.representatives(out).where("NOT stays").count() == 0 and len(rows) == len({(r[0], r[1]) for r in rows})
+    found = language.identify(docs, {"en": b"words of one language"})
+    assert found.columns == [*[c for c in docs.columns if c != "score"], "lang_pred", "score", "rejected"]
+    assert {r._found for r in found.collect()} == {r._found for r in docs.collect()}
