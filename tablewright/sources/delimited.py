@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tablewright.sources.records import read_records
+
 # Cell texts that mean a missing value.
 MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -26,14 +28,36 @@ def _strings(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
 
 
-def _reader(spark: SparkSession, sep: str, multi_line: bool):
+def _options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"'}
+
+
+def _reader(spark: SparkSession, sep: str):
     return (
-        spark.read.option("header", True).option("sep", sep).option("quote", '"')
-        .option("escape", '"').option("encoding", "UTF-8").option("multiLine", multi_line)
-        .option("enforceSchema", True)
+        spark.read.options(**_options(sep)).option("header", True).option("encoding", "UTF-8").option("enforceSchema", True)
     )
 
 
+def _ddl(names: Sequence[str]) -> str:
+    quoted = [name.replace("`", "``") for name in names]
+    return ", ".join(f"`{name}` string" for name in quoted)
+
+
+def _record_cells(spark: SparkSession, path: str | Sequence[str], sep: str, names: Sequence[str]) -> DataFrame:
+    """``_raw_line`` and the text cells of every record but the headers and blank ones."""
+    found = read_records(spark, path, sep).where("number > 1").where(F.trim("record") != "")
+    options = {**_options(sep), "multiLine": "true"}
+    return found.select(F.col("record").alias(_RAW), F.from_csv("record", _ddl(names), options).alias("_cells")).select(
+        _RAW, *[F.col("_cells").getField(n).alias(n) for n in names]
+    )
+
+
+def _separators(line: str, sep: str) -> Column:
+    """How many separators stand outside quotes; a doubled quote is the border of two quoted pieces."""
+    bare = F.regexp_replace(line, r'"[^"]*+"', "")
+    return F.call_function("div", F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))), F.lit(len(sep)))
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -48,27 +72,29 @@ def read_delimited(
     Missing-value tokens and unreadable numbers become NULL, short lines are
     padded with NULL. With ``skip_long_lines`` a line with more fields than
     columns is dropped, even if the extra field is empty. ``multi_line`` allows
-    line breaks inside quotes but makes each file one task, so it has to be asked for.
+    line breaks inside quotes; it costs a further pass over the files and a
+    shuffle of the lines that have them, and files are still read in many tasks.
     """
     schema = _as_schema(schema)
     names = schema.fieldNames()
     text = _strings(schema)
-    if skip_long_lines:
+    if multi_line:
+        rows = _record_cells(spark, path, sep, names)
+        rows = (rows.where(_separators(_RAW, sep) < len(names)) if skip_long_lines else rows).select(*[F.col(f"`{n}`") for n in names])
+    elif skip_long_lines:
         wide = T.StructType(
             [*text.fields, T.StructField(_OVER, T.StringType()), T.StructField(_RAW, T.StringType())]
         )
         rows = (
-            _reader(spark, sep, multi_line).option("columnNameOfCorruptRecord", _RAW)
+            _reader(spark, sep).option("columnNameOfCorruptRecord", _RAW)
             .option("columnPruning", False).schema(wide).csv(path)
         )
         # a line that fills every column and the extra one is not reported as odd, so it has
         # no raw text; of the others, those with too many separators outside quotes are long
-        bare = F.regexp_replace(_RAW, r'"(?:[^"]|"")*"', "")
-        separators = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))
-        fits = F.col(_RAW).isNotNull() & (separators <= (len(names) - 1) * len(sep))
+        fits = F.col(_RAW).isNotNull() & (_separators(_RAW, sep) < len(names))
         rows = rows.where(fits & F.col(_OVER).isNull()).select(*names)
     else:
-        rows = _reader(spark, sep, multi_line).schema(text).csv(path)
+        rows = _reader(spark, sep).schema(text).csv(path)
     cells = []
     for f in schema:
         value = F.when(~F.col(f.name).isin(*missing_tokens), F.col(f.name))
@@ -81,28 +107,59 @@ def read_inferred(
     sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """Scan with types inferred from the data; costs a pass, so prefer a schema."""
-    guessed = (
-        _reader(spark, sep, multi_line).option("inferSchema", True).option("nullValue", "NA")
-        .option("samplingRatio", sampling_ratio).csv(path).schema
-    )
+    if multi_line:
+        probed = probe_folder(spark, path, sep, n_first=0)
+        # one row per column of the files; where they differ the wider type counts
+        rows = probed.groupBy("position").agg(
+            F.min_by("column", "file").alias("column"), F.collect_set("type").alias("types")
+        ).orderBy("position").collect()
+        guessed = T.StructType([T.StructField(r["column"], T.StructType.fromDDL(f"x {_widest(r['types'])}")[0].dataType) for r in rows])
+    else:
+        guessed = (
+            _reader(spark, sep).option("inferSchema", True).option("nullValue", "NA")
+            .option("samplingRatio", sampling_ratio).csv(path).schema
+        )
     return read_delimited(spark, path, guessed, sep, multi_line)
 
 
+def _widest(types: Sequence[str]) -> str:
+    """The type that holds values of all ``types``; text where they don't go together."""
+    numbers = ["int", "bigint", "double"]
+    if all(t in numbers for t in types):
+        return max(types, key=numbers.index)
+    return "timestamp" if set(types) == {"date", "timestamp"} else types[0] if len(types) == 1 else "string"
+
+
 def read_untyped(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str = ",",
     multi_line: bool = False,
 ) -> DataFrame:
     """Every value as text, blank cells as empty strings."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = _reader(spark, sep, multi_line).schema(schema).csv(path)
+    if multi_line:
+        rows = _record_cells(spark, path, sep, columns).select(*[F.col(f"`{c}`") for c in columns])
+    else:
+        rows = _reader(spark, sep).schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(path)
     return rows.na.fill("")
 
 
-def _cells_of(line: Column, sep: str) -> Column:
-    """Fields of a line; separators inside quotes don't count."""
-    outside = re.escape(sep) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    bare = F.transform(F.split(line, outside, -1), lambda c: F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"))
-    return F.transform(bare, lambda c: F.replace(c, F.lit('""'), F.lit('"')))
+_CUT = "\uffff"  # not a character
+
+
+def _cells_of(record: Column, sep: str) -> Column:
+    """Fields of a record; separators inside quotes don't count.
+
+    Between quotes every second piece is outside, and only there separators cut.
+    """
+    pieces = F.transform(
+        F.split(record, '"', -1), lambda p, i: F.when(i % 2 == 0, F.replace(p, F.lit(sep), F.lit(_CUT))).otherwise(p)
+    )
+    cells = F.split(F.array_join(pieces, '"'), _CUT, -1)
+
+    def bare(cell: Column) -> Column:
+        quoted = F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1)
+        return F.replace(F.when(quoted, F.substring(cell, F.lit(2), F.length(cell) - 2)).otherwise(cell), F.lit('""'), F.lit('"'))
+
+    return F.transform(F.transform(cells, lambda c: F.trim(c)), bare)
 
 
 def probe_folder(
@@ -111,26 +168,21 @@ def probe_folder(
 ) -> DataFrame:
     """One row per file and column: position, name, type of all its values, rows, and the first values.
 
-    All files are read by one plan, whatever their columns. Files have a header;
-    a line break inside quotes counts as the end of a row. Types are int,
-    bigint, double, date, timestamp, boolean or string.
+    All files are read by one plan, whatever their columns; line breaks inside
+    quotes belong to their cell. Files have a header; blank lines are no rows.
+    Types are int, bigint, double, date, timestamp, boolean or string.
     """
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.regexp_replace("value", "^\ufeff", "").alias("_line"), F.monotonically_increasing_id().alias("_at"),
-    )
-    # numbers grow within a split, so the least one of a file's first split is its header
-    header = F.min_by(F.struct("_at", "_line"), F.when(F.col("_block") == 0, F.col("_at")))
-    heads = lines.groupBy("file").agg(header.alias("_head"), F.count(F.lit(1)).alias("_lines"))
-    names = heads.select(
-        "file", F.col("_head._at").alias("_first"), (F.col("_lines") - 1).alias("n_rows"),
-        _cells_of(F.col("_head._line"), sep).alias("_names"),
-    )
-    cells = lines.join(names, "file").select(
-        "file", "n_rows", "_at", "_first", "_names", F.posexplode(
-            # the header line itself only names the columns
-            F.when(F.col("_at") == F.col("_first"), F.transform("_names", lambda _: F.lit(None).cast("string")))
-            .otherwise(_cells_of(F.col("_line"), sep))
+    found = read_records(spark, paths, sep).where((F.col("number") == 1) | (F.trim("record") != ""))
+    heads = found.groupBy("file").agg(
+        F.max(F.when(F.col("number") == 1, F.col("record"))).alias("_head"), (F.count(F.lit(1)) - 1).alias("n_rows"),
+        # blank lines have no place among the first rows
+        F.array_sort(F.collect_set(F.when(F.col("number").between(2, n_first + 1), F.col("number")))).alias("_early"),
+    ).select("file", "n_rows", "_early", _cells_of(F.col("_head"), sep).alias("_names"))
+    cells = found.join(heads, "file").select(
+        "file", "n_rows", F.col("number").alias("_at"), "_early", "_names", F.posexplode(
+            # the header itself only names the columns
+            F.when(F.col("number") == 1, F.transform("_names", lambda _: F.lit(None).cast("string")))
+            .otherwise(_cells_of(F.col("record"), sep))
         ).alias("position", "_cell"),
     ).where(F.col("position") < F.size("_names"))
     value = F.when(~F.col("_cell").isin(*missing_tokens), F.col("_cell"))
@@ -144,7 +196,7 @@ def probe_folder(
         # a missing value says nothing about the type
         test = F.coalesce(F.bool_and(F.when(value.isNotNull(), value.try_cast(name).isNotNull() & value.rlike(shape))), F.lit(False))
         kind = F.when(test, name).otherwise(kind)
-    early = (F.col("_at") > F.col("_first")) & (F.col("_at") <= F.col("_first") + n_first)
+    early = F.array_contains("_early", F.col("_at"))
     return cells.groupBy("file", "position").agg(
         F.max(F.get("_names", F.col("position"))).alias("column"), kind.alias("type"), F.max("n_rows").alias("n_rows"),
         # at most ``n_first`` values
