@@ -1,4 +1,4 @@
-"""Links, microdata and sections of stored web pages, read inside the JVM."""
+"""Links, microdata and sections of stored web pages; each page is read once."""
 
 from __future__ import annotations
 
@@ -7,57 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import scalars, text as tx
+from tablewright.operators.markup import Rule, elements
 from tablewright.operators.matching import section_of
 from tablewright.operators.ordered import count_below
 
-# an attribute value: in double quotes, in single quotes or bare
-VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-ANCHOR = rf"(?is)<a\s(?:[^>]*\s)?href\s*=\s*{VALUE}[^>]*>(.*?)</a\s*>"
-TAG = r"(?s)<[^>]*>"
-
-# Named characters of HTML that texts of pages use.
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "reg": "\u00ae",
-    "middot": "\u00b7", "laquo": "\u00ab", "raquo": "\u00bb", "ndash": "\u2013", "mdash": "\u2014",
-    "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d", "hellip": "\u2026", "euro": "\u20ac",
-}
-
-
-def _character(code: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-
-
-def decoded(html: Column) -> Column:
-    """Named and numbered characters in place of their codes; unknown codes stay."""
-    def numbered(part: Column) -> Column:
-        decimal, sixteen = F.regexp_extract(part, r"^([0-9]{1,6});", 1), F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,5});", 1)
-        rest = F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", "")
-        return (
-            F.when(decimal != "", F.concat(_character(decimal.cast("int")), rest))
-            .when(sixteen != "", F.concat(_character(F.conv(sixteen, 16, 10).cast("int")), rest))
-            .otherwise(F.concat(F.lit("&#"), part))
-        )
-
-    parts = F.split(html, "&#", -1)
-    out = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(numbered(p))), "")
-    for name, character in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(character))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))  # last, so that nothing is decoded twice
-
-
-def plain(html: Column) -> Column:
-    """Visible text of a fragment: tags removed, characters decoded, blanks trimmed."""
-    return tx.trim_blank(decoded(F.regexp_replace(html, TAG, "")))
-
-
-def _first_of(values: Sequence[Column]) -> Column:
-    """The first value that is not empty; empty if all are."""
-    out = F.lit("")
-    for v in reversed(values):
-        out = F.when(v != "", v).otherwise(out)
-    return out
-
-
 def extract_links(
     pages: DataFrame, page: str, html: str, href_part: str = "/perfume/"
 ) -> DataFrame:
@@ -65,15 +18,9 @@ def extract_links(
 
     Positions count from 0 over all anchors of the page.
     """
-    parts = F.arrays_zip(*[
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(i)).alias(name)
-        for i, name in enumerate(("double", "single", "bare", "body"), 1)
-    ])
-    found = pages.select(page, F.posexplode(parts).alias("position", "link")).withColumn(
-        "href", decoded(_first_of([F.col("link.double"), F.col("link.single"), F.col("link.bare")]))
-    )
-    return found.where(F.contains("href", F.lit(href_part))).select(
-        page, "position", "href", plain(F.col("link.body")).alias("text")
+    anchors = elements(html, [Rule("link", "a", "href", value="href")])
+    return pages.select(page, F.inline(anchors)).where(F.contains("value", F.lit(href_part))).select(
+        page, "position", F.col("value").alias("href"), "text"
     )
 
 
@@ -123,28 +70,26 @@ def keep_all_queries(
     )
 
 
-def item_text(html: Column | str, prop: str) -> Column:
-    """Visible text of the first element carrying a microdata property, nested elements included."""
-    column = F.col(html) if isinstance(html, str) else html
-    pattern = rf"""(?is)<(\w+)\b[^>]*\sitemprop\s*=\s*["']?{prop}\b["']?[^>]*>(.*?)</\1\s*>"""
-    found = plain(F.regexp_extract(column, pattern, 2))
-    return F.when(found != "", found)
-
-
-def item_content(html: Column | str, prop: str) -> Column:
-    """``content`` attribute of the first element carrying a microdata property."""
-    column = F.col(html) if isinstance(html, str) else html
-    tag = F.regexp_extract(column, rf"""(?is)<[^>]*\sitemprop\s*=\s*["']?{prop}\b["']?[^>]*>""", 0)
-    found = decoded(_first_of([F.regexp_extract(tag, rf"(?is)\scontent\s*=\s*{VALUE}", i) for i in (1, 2, 3)]))
-    return F.when(found != "", found)
+def _first(found: Column, rule: str, part: str) -> Column:
+    """``part`` of the first element of a rule; missing if there is none or it is empty."""
+    value = F.get(F.filter(found, lambda e: e["rule"] == rule), 0)[part]
+    return F.when(value != "", value)
 
 
 def extract_rating(pages: DataFrame, page: str, html: str) -> DataFrame:
-    """Rating and votes of each page; absent or unreadable values are missing."""
-    return pages.select(
+    """Rating and votes of each page; absent or unreadable values are missing.
+
+    The rating is the whole text of the first element of that property, the
+    votes are the ``content`` of theirs.
+    """
+    found = elements(html, [
+        Rule("rating", attribute="itemprop", word="ratingValue"),
+        Rule("votes", attribute="itemprop", word="ratingCount", value="content"),
+    ])
+    return pages.select(page, found.alias("_found")).select(
         page,
-        scalars.to_double(item_text(html, "ratingValue")).alias("rating"),
-        scalars.to_long(item_content(html, "ratingCount")).alias("votes"),
+        scalars.to_double(_first(F.col("_found"), "rating", "text")).alias("rating"),
+        scalars.to_long(_first(F.col("_found"), "votes", "value")).alias("votes"),
     )
 
 
@@ -155,29 +100,18 @@ def extract_sections(
 ) -> DataFrame:
     """Labels of each page in document order with the heading before them.
 
-    ``(page, position, heading, section, label)``. Headings and labels are
-    matched by one pattern, so the array holds them in page order and each
-    label takes the last heading before it; the work stays within the row. An
-    element reaches to the next end of its own tag, whatever is nested in it.
-    Without ``sections`` every heading counts and is its own section; without
-    ``max_length`` labels of any length do.
+    ``(page, position, heading, section, label)``. Headings and labels are found
+    in one pass, so the array holds them in page order and each label takes the
+    last heading before it; the work stays within the row. ``heading_tag`` and
+    ``label_tag`` are patterns of tags. Without ``sections`` every heading counts
+    and is its own section; without ``max_length`` labels of any length do.
     """
-    holds = rf"""[^>]*\sclass\s*=\s*["'][^"'>]*\b{label_class}\b[^"'>]*["'][^>]*""" if label_class else "[^>]*"
-    pattern = (
-        rf"(?is)<({heading_tag})\b[^>]*>(.*?)</\1\s*>"
-        rf"|<({label_tag})\b{holds}>(.*?)</\3\s*>"
-    )
-    parts = F.arrays_zip(*[
-        F.regexp_extract_all(html, F.lit(pattern), F.lit(i)).alias(name)
-        for i, name in enumerate(("heading_tag", "heading", "label_tag", "label"), 1)
+    found = elements(html, [
+        Rule("heading", heading_tag), Rule("label", label_tag, "class" if label_class else None, label_class)
     ])
     typed = F.transform(
-        parts,
-        lambda p, i: F.struct(
-            i.alias("position"),
-            (p["heading_tag"] != "").alias("is_heading"),
-            plain(F.when(p["heading_tag"] != "", p["heading"]).otherwise(p["label"])).alias("text"),
-        ),
+        found,
+        lambda e: F.struct(e["position"].alias("position"), (e["rule"] == "heading").alias("is_heading"), e["text"].alias("text")),
     )
     if sections is None:
         useful = F.filter("_parts", lambda p: p["is_heading"])
