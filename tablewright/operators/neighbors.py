@@ -1,14 +1,20 @@
-"""Exact nearest neighbours by descending through grid cells, and the two cleaning steps built on them.
-
-Points are counted in square cells of two coordinates, at widths that halve
-from level to level; each cell carries its weight and the box of its points
-over all coordinates. A query starts with the few cells of a coarse level. At
-each level the weights of the cells that lie wholly within some distance bound
-the distance of its k-th neighbour, cells that begin beyond the bound drop out,
-and the others are replaced by their parts. At the finest level, whose cells
-are small, the query meets the points of the cells that are left. So a far
-cluster costs an isolated query a few cells, however many points it has.
-Equal points count as one point with a weight.
+"""Exact nearest neighbours by descending through a tree of cells, and the two cleaning steps built on them.
+
+Points are dealt into cells of few points by cuts along one coordinate after
+another, each time the one in which the points of a cell are spread most, so
+all coordinates take part however many there are. Each cell carries its weight
+and the box of its points over all coordinates; the smallest ones also have a
+reference point, their mean, and the ring of distances from it in which their
+points lie. By the triangle inequality a point of the cell is no nearer to a
+query than the ring, and no nearer than the box.
+
+A query starts with the few cells near the root. At each level the weights of
+the cells that lie wholly within some distance bound the distance of its k-th
+neighbour, cells that begin beyond the bound drop out, and the others are
+replaced by their parts. In the nearest of the smallest cells it then measures
+real distances, which bound the k-th neighbour more closely; only cells that
+begin within that bound are met. So a far cluster costs an isolated query a few
+cells, however many points it has. Equal points count as one point with a weight.
 """
 
 from __future__ import annotations
@@ -18,16 +24,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions import masks
-from tablewright.operators.skew import lookup_join, row_hash
+from tablewright.operators.skew import lookup_join
 from tablewright.session import cut_lineage
 
-GRID_DIMS = 2  # cells use the coordinates with most distinct values; boxes and distances use all
 # the following shape the plan only
-CELL_POINTS = 50_000  # points of one cell handled by one task
-FULL_CELL = 200  # points in the fullest cell at the finest level
-COARSE = 3  # level of the first cells: at most 9 by 9
-STEP = 2  # levels per round
-FINEST = 40  # cells below this share of the range are not cut further
+FULL_CELL = 64  # points a cell may have without being cut further
+BITS = 3  # a cut makes up to 2**BITS cells
+FIRST = 2  # cuts between the root and the cells a query starts with, at most 64
+HAIR = 1 + 1e-9  # room for the last bits of distances
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -46,105 +50,133 @@ def _to_box(q: Column, lo: Column, hi: Column, farthest: bool) -> Column:
     return F.sqrt(F.aggregate(sides, F.lit(0.0), lambda total, s: total + gap(s) * gap(s)))
 
 
-CELL = [f"c{i}" for i in range(GRID_DIMS)]
+def _cut(points: DataFrame, dims: int) -> DataFrame:
+    """``points`` with every full cell cut along the coordinate in which it is spread most.
 
-
-def _cells(vector: Column, level: int, grid: Sequence[int], start: Sequence[float], width: float) -> list[Column]:
-    return [
-        (F.floor((F.get(vector, i) - F.lit(start[i])) / F.lit(width / 2.0**level)) if i is not None else F.lit(0))
-        .cast("bigint").alias(c)
-        for c, i in zip(CELL, grid)
+    Cuts are approximate quantiles and the middle of the range, so a cell with
+    two different points is always parted.
+    """
+    parts = (1 << BITS) - 1
+    shares = [i / parts for i in range(1, parts)]
+    sides = points.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n"), *[
+        F.struct(
+            F.percentile_approx(F.get("p", i), shares, 1000).alias("cuts"), F.min(F.get("p", i)).alias("lo"),
+            F.max(F.get("p", i)).alias("hi"),
+        ).alias(f"d{i}") for i in range(dims)
+    ])
+    spreads = [
+        F.struct(
+            (F.element_at(F.col(f"d{i}.cuts"), -1) - F.get(F.col(f"d{i}.cuts"), 0)).alias("spread"),
+            (F.col(f"d{i}.hi") - F.col(f"d{i}.lo")).alias("range"), F.lit(i).alias("i"),
+            F.array_append(F.col(f"d{i}.cuts"), (F.col(f"d{i}.lo") + F.col(f"d{i}.hi")) / 2).alias("cuts"),
+        ) for i in range(dims)
     ]
+    best = sides.where(F.col("n") > FULL_CELL).select("g", "cell", F.array_max(F.array(*spreads)).alias("cut"))
+    own = F.get("p", F.col("cut.i"))
+    slot = F.size(F.filter("cut.cuts", lambda c: c < own))
+    return points.join(best, ["g", "cell"], "left").withColumn(
+        "cell", F.shiftleft("cell", BITS) + F.coalesce(F.when(F.col("cut").isNotNull(), slot), F.lit(0))
+    ).drop("cut")
 
 
 def _boxes(finest: DataFrame, up: int, dims: int) -> DataFrame:
-    """Cells ``up`` levels above the finest, with their weight and box."""
-    cells = [F.shiftright(c, up).alias(c) for c in CELL]
+    """Cells ``up`` cuts above the finest, with their weight and box."""
     ends = [f(F.get(side, i)) for side, f in (("lo", F.min), ("hi", F.max)) for i in range(dims)]
-    return finest.groupBy("g", *cells).agg(
+    return finest.groupBy("g", F.shiftright("cell", BITS * up).alias("cell")).agg(
         F.sum("w").alias("w"), F.array(*ends[:dims]).alias("lo"), F.array(*ends[dims:]).alias("hi")
     )
 
 
-def _within_bound(seen: DataFrame, need: int) -> DataFrame:
+def _measured(seen: DataFrame, ring: bool = False) -> DataFrame:
+    """Candidate cells with the least and greatest distance that their points can have from the query."""
+    near, far = (_to_box(F.col("q"), F.col("lo"), F.col("hi"), side) for side in (False, True))
+    if ring:
+        middle = _distance(F.col("q"), F.col("mean"))
+        # last bits must not make a ring look farther than it is
+        near = F.greatest(near, middle / HAIR - F.col("outer") * HAIR, F.col("inner") / HAIR - middle * HAIR)
+        far = F.least(far, (middle + F.col("outer")) * HAIR)
+    return seen.withColumn("near", near).withColumn("far", far)
+
+
+def _within_bound(measured: DataFrame, need: int) -> DataFrame:
     """Candidate cells that may hold one of the nearest ``need`` weights of their query."""
-    measured = seen.withColumn("_near", _to_box(F.col("q"), F.col("lo"), F.col("hi"), False)).withColumn(
-        "_far", _to_box(F.col("q"), F.col("lo"), F.col("hi"), True)
-    )
     own = Window.partitionBy("g", "q")
-    upto = own.orderBy("_far", *CELL).rowsBetween(Window.unboundedPreceding, 0)
-    bound = F.min(F.when(F.col("_cum") >= need, F.col("_far"))).over(own)
-    # a hair of room for the last bits of both distances
+    upto = own.orderBy("far", "cell").rowsBetween(Window.unboundedPreceding, 0)
+    bound = F.min(F.when(F.col("_cum") >= need, F.col("far"))).over(own)
     return (
         measured.withColumn("_cum", F.sum("w").over(upto)).withColumn("_bound", bound)
-        .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") * (1 + 1e-9)))
-        .select("g", "q", *CELL)
+        .where(F.col("_bound").isNull() | (F.col("near") <= F.col("_bound") * HAIR))
+        .select("g", "q", "cell", "w", "near")
     )
 
 
+def _met(cells: DataFrame, placed: DataFrame) -> DataFrame:
+    return cells.select("g", "q", "cell").join(placed, ["g", "cell"]).select(
+        "g", "q", "p", "w", _distance(F.col("q"), F.col("p")).alias("distance")
+    )
+
+
+def _nearest_weights(met: DataFrame, need: int) -> DataFrame:
+    """The nearest points of each query up to a weight of ``need``, and the distance they reach."""
+    order = Window.partitionBy("g", "q").orderBy("distance", "p")
+    before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return met.withColumn("_before", before).where(F.col("_before") < need)
+
+
+def candidate_cells(queries: DataFrame, points: DataFrame, need: int, dims: int) -> tuple[DataFrame, DataFrame]:
+    """Cells (g, q, cell, w, near) that may hold the nearest ``need`` weights of a query, and the points with their cell."""
+    placed = cut_lineage(points.select("g", "p", "w", F.lit(0).cast("bigint").alias("cell")))
+    cuts = 0
+    # one count per cut; a bigint has room for 20
+    while cuts < 20 and placed.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FULL_CELL).limit(1).count():
+        placed = cut_lineage(_cut(placed, dims))
+        cuts += 1
+    means = cut_lineage(placed.groupBy("g", "cell").agg(
+        F.array(*[F.avg(F.get("p", i)) for i in range(dims)]).alias("mean")
+    ))
+    away = _distance(F.col("p"), F.col("mean"))
+    rings = placed.join(means, ["g", "cell"]).groupBy("g", "cell").agg(F.min(away).alias("inner"), F.max(away).alias("outer"))
+    boxes = _boxes(placed.select("g", "cell", "w", F.col("p").alias("lo"), F.col("p").alias("hi")), 0, dims)
+    finest = cut_lineage(boxes.join(means, ["g", "cell"]).join(rings, ["g", "cell"]))
+
+    at = min(FIRST, cuts)
+    # one row per group with its first cells, at most 64
+    cell = F.struct("cell", "w", "lo", "hi")
+    first = _boxes(finest, cuts - at, dims).groupBy("g").agg(F.collect_list(cell).alias("_c"))
+    seen = queries.select("g", "q").join(first, "g").select("g", "q", F.inline("_c"))
+    left = cut_lineage(_within_bound(_measured(seen), need))
+    while at < cuts:
+        at += 1
+        parts = (finest if at == cuts else _boxes(finest, cuts - at, dims)).withColumn("of", F.shiftright("cell", BITS))
+        held = left.select("g", "q", F.col("cell").alias("of")).join(parts, ["g", "of"])
+        left = cut_lineage(_within_bound(_measured(held, ring=at == cuts), need))
+    return left, placed
+
+
 def nearest(
     queries: DataFrame, points: DataFrame, k: int, dims: int, exclude_self: bool = False
 ) -> DataFrame:
-    """The ``k`` nearest points of each query, or all where a group has fewer.
+    """The nearest points of each query until their weights reach ``k``, or all where a group has less.
 
     ``queries`` has distinct ``(g, q)`` and ``points`` distinct ``(g, p)`` with
     a weight ``w`` of at least 1 (exactly 1 with ``exclude_self``): a group and
     an array of coordinates. Returns ``(g, q, p, w, distance, place)``, ordered
     by distance, then coordinates.
     """
-    points = cut_lineage(points)
-    queries = cut_lineage(queries)
-    ends = [(F.min(F.get("p", i)), F.max(F.get("p", i))) for i in range(dims)]
-    kinds = [F.approx_count_distinct(F.get("p", i)) for i in range(dims)]
-    facts = points.agg(F.count(F.lit(1)), *[c for pair in ends for c in pair], *kinds).first()
-    n, bounds, variety = facts[0], facts[1: 2 * dims + 1], facts[2 * dims + 1:]
-    if not n or bounds[0] is None:
-        return queries.limit(0).select("g", "q", F.col("q").alias("p"), F.lit(1).cast("bigint").alias("w"),
-                                       F.lit(0.0).alias("distance"), F.lit(1).alias("place"))
-    start = [bounds[2 * i] for i in range(dims)]
-    grid: list = sorted(range(dims), key=lambda i: -variety[i])[:GRID_DIMS]
-    width = max(bounds[2 * i + 1] - bounds[2 * i] for i in grid) or 1.0
-    grid += [None] * (GRID_DIMS - len(grid))
-    # two levels more until no cell is full; one count per step
-    level = COARSE
-    while level < FINEST:
-        counts = points.select("g", *_cells(F.col("p"), level, grid, start, width)).groupBy("g", *CELL).agg(
-            F.count(F.lit(1)).alias("n"))
-        if counts.agg(F.max("n")).first()[0] <= FULL_CELL:
-            break
-        level += STEP
-    placed = points.select("*", *_cells(F.col("p"), level, grid, start, width))
-    finest = cut_lineage(_boxes(
-        placed.select("g", *CELL, "w", F.col("p").alias("lo"), F.col("p").alias("hi")), 0, dims
-    ))
     need = k + 1 if exclude_self else k
-
-    # one row per group with its coarse cells, at most 9 by 9
-    first = _boxes(finest, level - COARSE, dims).groupBy("g").agg(F.collect_list(F.struct(*CELL, "w", "lo", "hi")).alias("_c"))
-    seen = queries.select("g", "q").join(first, "g").select("g", "q", F.inline("_c"))
-    left = cut_lineage(_within_bound(seen, need))
-    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((1 << STEP) - 1).cast("bigint")))
-    for at in range(COARSE + STEP, level + 1, STEP):
-        finer = left
-        for c in CELL:
-            finer = finer.withColumn("_s", parts).withColumn(c, F.shiftleft(c, STEP) + F.col("_s")).drop("_s")
-        left = cut_lineage(_within_bound(finer.join(_boxes(finest, level - at, dims), ["g", *CELL]), need))
-
-    crowd = placed.groupBy("g", *CELL).agg(F.count(F.lit(1)).alias("_n"))
-    fans = crowd.withColumn("_fan", F.ceil(F.col("_n") / CELL_POINTS)).where("_fan > 1").drop("_n")
-    split = placed.join(fans, ["g", *CELL], "left").withColumn(
-        "_salt", F.pmod(row_hash(["p"]), F.coalesce("_fan", F.lit(1)))
-    ).drop("_fan")
-    asked = left.join(fans, ["g", *CELL], "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_fan", F.lit(1)) - 1))
-    ).drop("_fan")
-    near = asked.join(split, ["g", *CELL, "_salt"]).select(
-        "g", "q", "p", "w", _distance(F.col("q"), F.col("p")).alias("distance")
-    )
+    left, placed = candidate_cells(cut_lineage(queries), points, need, dims)
+    # the nearest cells that hold enough points, for a bound from real distances
+    closer = Window.partitionBy("g", "q").orderBy("near", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = left.withColumn("_probe", F.coalesce(F.sum("w").over(closer), F.lit(0)) < need)
+    probed = cut_lineage(_nearest_weights(_met(ranked.where("_probe"), placed), need))
+    bounds = probed.groupBy("g", "q").agg(F.max("distance").alias("_bound"))
+    # a query whose first cells hold too little has no others
+    others = ranked.where("NOT _probe").join(bounds, ["g", "q"]).where(F.col("near") <= F.col("_bound") * HAIR)
+    near = _nearest_weights(probed.drop("_before").unionByName(_met(others, placed)), need)
     if exclude_self:
         near = near.where("q <> p")
     order = Window.partitionBy("g", "q").orderBy("distance", "p")
-    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return near.drop("_before").withColumn("place", F.row_number().over(order))
 
 
 def fill_knn(
