@@ -24,8 +24,13 @@ def words(text: Column | str) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(WORD), F.lit(0))
 
 
+# The characters of the property White_Space.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(_col(text), F.lit(WORD))
+    """Number of ``words``, without a pattern."""
+    return F.size(F.array_remove(F.split(F.translate(_col(text), BLANKS, " " * len(BLANKS)), " "), ""))
 
 
 def first_token(text: Column | str) -> Column:

@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import (
-    CountVectorizerModel,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
@@ -27,8 +26,8 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions import scalars, text as tx
-from tablewright.operators import profile
+from tablewright.functions import scalars
+from tablewright.operators import profile, terms
 from tablewright.operators.agreement import class_report
 from tablewright.operators.sampling import assign_by_quota, largest_remainder
 from tablewright.operators.skew import row_hash
@@ -54,30 +53,15 @@ def stratified_split(
 
 
 def term_statistics(df: DataFrame, text: str, max_n: int = 2) -> DataFrame:
-    """Total frequency and document frequency of every term, combined before the shuffle.
-
-    The terms of a text are sorted, so the first of each run of equals marks the document.
-    """
-    found = tx.with_terms(df.where(F.col(text).isNotNull()).select(text), text, max_n)
-    ordered = found.select(F.array_sort("terms").alias("_t"))
-    marked = F.transform(
-        "_t", lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get("_t", i - 1) != t)).alias("first"))
-    )
-    return ordered.select(F.inline(marked)).groupBy("term").agg(
-        F.count(F.lit(1)).alias("tf"), F.count_if("first").alias("df")
-    )
+    """Total frequency and document frequency of every term, combined before the shuffle."""
+    return terms.term_counts(df, text, max_n)
 
 
 def vocabulary(df: DataFrame, text: str, max_features: int = 5000, max_n: int = 2) -> DataFrame:
     """The most frequent terms with their smoothed inverse document frequency."""
     n = df.where(F.col(text).isNotNull()).agg(F.count(F.lit(1))).scalar()
     idf = F.ln((n + 1.0) / (F.col("df") + 1.0)) + 1.0
-    return (
-        term_statistics(df, text, max_n)
-        .orderBy(F.desc("tf"), "term")
-        .limit(max_features)
-        .withColumn("idf", idf)
-    )
+    return terms.frequent_terms(df, text, max_features, max_n).withColumn("idf", idf)
 
 
 def _constant(values: Sequence[float]) -> Column:
@@ -100,27 +84,8 @@ class TextFeatures:
         return cls([r["term"] for r in rows], [r["idf"] for r in rows], text, max_n)
 
     def transform(self, df: DataFrame, out: str = "features") -> DataFrame:
-        """Add the sparse unit-length vector ``(indices, values)``; no shuffle, no Python worker."""
-        counter = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_terms", outputCol="_counts")
-        found = tx.with_terms(df, self.text, self.max_n, "_terms").withColumn(
-            "_terms", F.coalesce("_terms", F.array().cast("array<string>"))
-        )
-        counted = counter.transform(found).withColumn("_v", F.unwrap_udt("_counts"))
-        idf = _constant(self.idf)
-        weighted = counted.withColumn(
-            "_w",
-            F.zip_with(
-                "_v.indices", "_v.values", lambda i, tf: (F.ln(tf) + 1.0) * F.get(idf, i)
-            ),
-        )
-        length = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, x: a + x * x))
-        # the length is bound once per row, not inside the loop over the weights
-        unit = F.flatten(
-            F.transform(F.array(length), lambda n: F.transform("_w", lambda x: x / n))
-        )
-        return weighted.withColumn(
-            out, F.struct(F.col("_v.indices").alias("indices"), unit.alias("values"))
-        ).drop("_terms", "_counts", "_v", "_w")
+        """Add the sparse unit-length vector ``(indices, values)``; no shuffle."""
+        return df.withColumn(out, terms.weighted_vectors(self.text, self.terms, self.idf, self.max_n))
 
 
 ROWS_PER_FIT_TASK = 20_000  # shapes the plan only

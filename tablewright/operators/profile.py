@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import masks, scalars, text as tx
+from tablewright.operators import terms
 from tablewright.operators.ordered import exact_quantiles, number_rows, weighted_quantiles
 from tablewright.operators.skew import key_counts, with_key_count
 from tablewright.session import cut_lineage
@@ -535,11 +536,7 @@ def categorical_report(df: DataFrame, columns: Sequence[str], k: int = 10) -> Da
 
 def frequent_words(df: DataFrame, text: str, k: int = 20) -> DataFrame:
     """Most frequent lower-case tokens over whole texts."""
-    return (
-        df.select(F.explode(tx.tokens(text)).alias("item"))
-        .groupBy("item").agg(_counted().alias("n"))
-        .orderBy(F.desc("n"), "item").limit(k)
-    )
+    return terms.frequent_terms(df, text, k, max_n=1).select(F.col("term").alias("item"), F.col("tf").alias("n"))
 
 
 def length_bands(df: DataFrame, text: str, value: str, cuts: Sequence[int]) -> DataFrame:
