@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.ordered import carry
 from tablewright.operators.skew import key_counts, lookup_join
+from tablewright.session import cut_lineage
 
 
 def longest_prefix_match(
@@ -172,23 +174,88 @@ def _possible_segments(text: Column, edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*parts)))
 
 
+GRAM = 3  # characters
+BUCKETS = 4096  # counters of grams, by hash; shapes the plan only
+
+
+def _grams(key: Column) -> Column:
+    """All grams of a key with their place; the ends of a key count as characters of their own."""
+    edge = F.lit("\u0001" * (GRAM - 1)), F.lit("\u0002" * (GRAM - 1))
+    padded = F.concat(edge[0], key, edge[1])
+    places = F.sequence(F.lit(1), F.char_length(key) + GRAM - 1)
+    return F.transform(places, lambda at: F.struct(F.substring(padded, at, F.lit(GRAM)).alias("gram"), at.alias("at")))
+
+
+def _bucket(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+
+
+def _gram_counts(keys: DataFrame, key: str) -> Column:
+    """How many grams of all keys fall into each bucket, as one constant array of ``BUCKETS`` numbers."""
+    rows = keys.select(F.explode(_grams(F.col(key))).alias("g")).groupBy(_bucket(F.col("g.gram")).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")
+    ).collect()
+    counts = [0] * BUCKETS
+    for row in rows:
+        counts[row["bucket"]] = row["n"]
+    return F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
+
+
+def _rarest(key: Column, counts: Column, n: int) -> Column:
+    """The ``n`` grams of a key that come first in the common order: rare before frequent, then by name and place."""
+    ranked = F.transform(_grams(key), lambda g: F.struct(
+        F.get(counts, _bucket(g["gram"])).alias("n"), g["gram"].alias("gram"), g["at"].alias("at")
+    ))
+    return F.slice(F.sort_array(ranked), 1, n)
+
+
+def candidate_pairs(a: DataFrame, b: DataFrame, max_edits: int) -> DataFrame:
+    """Distinct pairs (left_key, right_key) among which are all within ``max_edits`` edits.
+
+    An edit touches at most ``GRAM`` grams of a key and moves the others by one
+    place. So of the ``GRAM * max_edits + 1`` rarest grams of two near keys, in
+    an order that all keys share, they have one in common, at places that differ
+    by ``max_edits`` at most. Keys too short for so many grams, and those that
+    could be near them, meet on equal segments instead: of d + 1 segments d
+    edits leave one untouched.
+    """
+    n = GRAM * max_edits + 1
+    short = GRAM * (max_edits - 1) + 2  # from this length on a key has n grams
+    counts = _gram_counts(a.select(F.col("left_key").alias("k")).unionByName(b.select(F.col("right_key").alias("k"))), "k")
+    moves = F.explode(F.array(*[F.lit(m) for m in range(-max_edits, max_edits + 1)]))
+    length = F.char_length
+    left = a.where(length("left_key") >= short).select(
+        "left_key", F.explode(_rarest(F.col("left_key"), counts, n)).alias("g")
+    ).select("left_key", "g", moves.alias("move")).select(
+        "left_key", F.col("g.gram").alias("gram"), (F.col("g.at") + F.col("move")).alias("at")
+    )
+    right = b.where(length("right_key") >= short).select(
+        "right_key", F.explode(_rarest(F.col("right_key"), counts, n)).alias("g")
+    ).select("right_key", F.col("g.gram").alias("gram"), F.col("g.at").alias("at"))
+    near = F.abs(length("left_key") - length("right_key")) <= max_edits
+    by_grams = left.join(right, ["gram", "at"]).where(near).select("left_key", "right_key")
+    va = a.where(length("left_key") < short + max_edits).select(
+        "left_key", F.explode(_possible_segments(F.col("left_key"), max_edits)).alias("v")
+    )
+    vb = b.where(length("right_key") < short + max_edits).select(
+        "right_key", F.explode(_own_segments(F.col("right_key"), max_edits)).alias("v")
+    )
+    return by_grams.unionByName(va.join(vb, "v").select("left_key", "right_key")).distinct()
+
+
 def fuzzy_match(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, max_edits: int = 1
 ) -> DataFrame:
     """Nearest right key within ``max_edits`` edits for each left key without an exact match.
 
-    Of d + 1 segments of a key, d edits leave one untouched and move it by at
-    most d places. So keys meet in an equi-join on the length, number and
-    characters of a segment, which finds every match; a key takes part with a
-    number of rows that depends on ``max_edits`` alone. Distinct keys only; ties
-    go to the smaller right key. Columns: ``left_key``, ``right_key``, ``distance``.
+    Distinct keys only; they meet on their rarest grams, so a part that very
+    many keys share brings none of them together. Ties go to the smaller right
+    key. Columns: ``left_key``, ``right_key``, ``distance``.
     """
     a = left.select(F.col(left_key).alias("left_key")).where("left_key IS NOT NULL").distinct()
     b = right.select(F.col(right_key).alias("right_key")).where("right_key IS NOT NULL").distinct()
-    open_keys = a.join(b.select(F.col("right_key").alias("left_key")), "left_key", "left_anti")
-    va = open_keys.select("left_key", F.explode(_possible_segments(F.col("left_key"), max_edits)).alias("v"))
-    vb = b.select("right_key", F.explode(_own_segments(F.col("right_key"), max_edits)).alias("v"))
-    near = va.join(vb, "v").select(
+    open_keys = cut_lineage(a.join(b.select(F.col("right_key").alias("left_key")), "left_key", "left_anti"))
+    near = candidate_pairs(open_keys, cut_lineage(b), max_edits).select(
         "left_key", "right_key", F.levenshtein("left_key", "right_key", max_edits).alias("distance")
     ).where("distance >= 0")
     best = F.min(F.struct("distance", "right_key")).alias("_best")

@@ -40,6 +40,42 @@ def test_fuzzy_match_equals_brute_force(spark, limit):
     assert got == want
 
 
+@pytest.mark.parametrize("limit", [1, 2])
+def test_fuzzy_match_of_long_keys_equals_brute_force(spark, limit):
+    """Keys of all lengths with common beginnings and ends, repeated characters and edits anywhere."""
+    rng = random.Random(limit)
+
+    def changed(key):
+        for _ in range(rng.randrange(limit + 2)):
+            at = rng.randrange(len(key) + 1)
+            key = rng.choice([key[:at] + rng.choice("ax9") + key[at:], key[:at] + key[at + 1:], key[:at] + "é" + key[at + 1:]])
+        return key
+
+    base = {"https://shop.example/item/" + str(rng.randrange(2000)) + "/view" for _ in range(50)}
+    base |= {"Customer#" + f"{rng.randrange(10**6):09d}" for _ in range(40)} | {"aaaaaaaa" + "b" * i for i in range(12)} | {"", "a", "ab"}
+    right = {*base, *map(changed, base)}
+    left = set(map(changed, base)) | {"zzz", "aa"}
+    a = spark.createDataFrame([(x,) for x in left], "l string")
+    b = spark.createDataFrame([(x,) for x in right], "r string")
+    got = {r["left_key"]: (r["distance"], r["right_key"]) for r in matching.fuzzy_match(a, b, "l", "r", limit).collect()}
+    want = {}
+    for x in left - right:
+        near = sorted((edits(x, y), y) for y in right if abs(len(x) - len(y)) <= limit and edits(x, y) <= limit)
+        if near:
+            want[x] = near[0]
+    assert got == want and len(want) > 20
+
+
+def test_a_shared_part_brings_no_keys_together(spark):
+    """Very many keys with one beginning and one end meet few others."""
+    keys = spark.range(20_000).select(
+        F.concat(F.lit("https://shop.example/catalogue/item-"), F.substring(F.md5(F.col("id").cast("string")), 1, 12), F.lit(".html?view=full")).alias("k")
+    )
+    a = keys.select(F.regexp_replace("k", "view=full", "view=ful").alias("left_key"))
+    pairs = matching.candidate_pairs(a, keys.withColumnRenamed("k", "right_key"), 1)
+    assert 20_000 <= pairs.count() < 80 * 20_000  # of 4 * 10**8
+
+
 def test_missing_keys_meet_only_when_asked(spark):
     a = spark.createDataFrame([("x", 1), (None, 2)], "k string, v long")
     b = spark.createDataFrame([("x", 10), (None, 20)], "k string, w long")
