@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +47,86 @@ def merge_reports(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def merged_objects(old: Column, new: Column, old_type: T.DataType, new_type: T.DataType) -> Column:
+    """The nested object ``old`` with the fields of ``new`` put in: objects merge, all else is replaced if it is there."""
+    if not (isinstance(old_type, T.StructType) and isinstance(new_type, T.StructType)):
+        simple = isinstance(old_type, T.AtomicType) and isinstance(new_type, T.AtomicType)
+        return F.coalesce(new, old if old_type == new_type else old.try_cast(new_type)) if simple or old_type == new_type else new
+    was, comes = ({f.name: f.dataType for f in kind} for kind in (old_type, new_type))
+    fields = []
+    for name in [*was, *[n for n in comes if n not in was]]:
+        if name not in comes:
+            value = old.getField(name)
+        elif name not in was:
+            value = new.getField(name)
+        else:
+            value = merged_objects(old.getField(name), new.getField(name), was[name], comes[name])
+        fields.append(value.alias(name))
+    return F.struct(*fields)
+
+
+VERSION = "version="
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of a report's published versions."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(int(n[len(VERSION):]) for n in names if n.startswith(VERSION))
+
+
+def _renamed(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless the target is there; the file system decides between writers."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder = fs.Path(target)
+    context = fs.FileContext.getFileContext(folder.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    none = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.Path(source), folder, none)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def current_report(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last published version of a report that ``update_report`` keeps, or None before the first."""
+    numbers = _versions(spark, path)
+    return read_report(spark, f"{path}/{VERSION}{numbers[-1]:06d}") if numbers else None
+
+
+def update_report(spark: SparkSession, path: str, new: DataFrame, attempts: int = 10) -> int:
+    """Merge a one-row report into the one at ``path`` and publish the result; returns the number of its version.
+
+    Objects merge field by field, other values replace those before them, and
+    what the new report doesn't name stays. The result is written aside and
+    published by one rename, so a reader always finds a whole version and a
+    writer that dies leaves the last one. A writer that finds its number taken
+    merges again into the version that took it; among several writers at the
+    same moment that needs a file system that renames atomically, which a local
+    disk does not for folders.
+    """
+    for _ in range(attempts):
+        numbers = _versions(spark, path)
+        if not numbers:
+            merged = new
+        else:
+            old = read_report(spark, f"{path}/{VERSION}{numbers[-1]:06d}")
+            was = old.agg(F.first(F.struct(*[F.col(f"`{c}`") for c in old.columns]))).scalar()
+            comes = F.struct(*[F.col(f"`{c}`") for c in new.columns])
+            merged = new.select(merged_objects(was, comes, old.schema, new.schema).alias("r")).select("r.*")
+        aside, number = f"{path}/_{uuid.uuid4().hex}", numbers[-1] + 1 if numbers else 1
+        write_report(merged, aside)
+        if _renamed(spark, aside, f"{path}/{VERSION}{number:06d}"):
+            return number
+    raise RuntimeError(f"other writers kept publishing versions of {path}")
+
+
 def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
     found = []
     for f in schema:
