@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -278,15 +280,82 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.corr(masks.number(x), masks.number(y)).alias("r"))
 
 
+def _moments(values: np.ndarray) -> list[np.ndarray]:
+    """Of a matrix with NaN for missing values, over the rows that have columns i and j, as matrices [i, j]: their
+    number, the means of i and of j, the squared deviations of i, the products of deviations."""
+    there = ~np.isnan(values)
+    mask = there.astype(float)
+    shift = np.where(there, values, 0.0).sum(axis=0) / np.maximum(mask.sum(axis=0), 1.0)
+    z = np.where(there, values - shift, 0.0)
+    n = mask.T @ mask
+    some = np.maximum(n, 1.0)
+    sums = z.T @ mask
+    mean = sums / some + shift[:, None]
+    return [n, mean, mean.T, (z * z).T @ mask - sums * sums / some, z.T @ z - sums * sums.T / some]
+
+
+def _added(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Moments of two sets of rows together."""
+    n = a[0] + b[0]
+    some = np.maximum(n, 1.0)
+    share, weight = b[0] / some, a[0] * b[0] / some
+    x, y = b[1] - a[1], b[2] - a[2]
+    return [n, a[1] + x * share, a[2] + y * share, a[3] + b[3] + x * x * weight, a[4] + b[4] + x * y * weight]
+
+
+MOMENTS = ["n", "mean", "other_mean", "square", "product"]
+
+
+def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The moments of all pairs, one row of the matrices per column; from one such row per column and task."""
+    p = len(columns)
+    schema = "i int, " + ", ".join(f"{c} array<double>" for c in MOMENTS)
+
+    def rows(held: Mapping[int, Sequence[np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(list(held), pa.int32()),
+            *[pa.array([parts[k] for parts in held.values()], pa.list_(pa.float64())) for k in range(len(MOMENTS))],
+        ], ["i", *MOMENTS])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros((p, p))] * len(MOMENTS)
+        for batch in batches:
+            held = _added(held, _moments(np.column_stack([c.fill_null(np.nan).to_numpy(zero_copy_only=False) for c in batch.columns])))
+        yield rows({i: [m[i] for m in held] for i in range(p)})
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for i, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+                new = [np.array(x) for x in parts]
+                held[i] = _added(held[i], new) if i in held else new
+        yield rows(held)
+
+    numbers = df.select(*[masks.number(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    return numbers.mapInArrow(work, schema).repartition("i").mapInArrow(total, schema)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs of columns in long form, from one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = df.agg(*[F.corr(masks.number(a), masks.number(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(
-        *[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{i}`").alias("r"))
-          for i, (a, b) in enumerate(pairs)]
+    """All pairs of columns in long form, over the rows that have both, from one pass for any number of columns.
+
+    Each task works its rows off as matrix products and hands on one row per
+    column. A pair with fewer than two rows or without variation has no figure.
+    """
+    cells = _pair_moments(df, columns).select("i", F.posexplode(F.arrays_zip("square", "product", "n")).alias("j", "m"))
+    names = F.array(*[F.lit(c) for c in columns])
+    pair = cells.groupBy(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).agg(
+        F.max(F.when(F.col("i") < F.col("j"), F.col("m.product"))).alias("product"), F.max("m.n").alias("n"),
+        F.max(F.when(F.col("i") < F.col("j"), F.col("m.square"))).alias("xx"),
+        F.max(F.when(F.col("i") > F.col("j"), F.col("m.square"))).alias("yy"),
+    ).where("a < b")
+    # all pairs, also of a table without rows
+    first = df.sparkSession.range(max(0, len(columns) - 1)).select(F.col("id").cast("int").alias("a"))
+    pairs = first.select("a", F.explode(F.sequence(F.col("a") + 1, F.lit(len(columns) - 1))).alias("b"))
+    varies = (F.col("n") > 1) & (F.col("xx") > 0) & (F.col("yy") > 0)
+    return pairs.join(pair, ["a", "b"], "left").select(
+        F.get(names, F.col("a")).alias("x"), F.get(names, F.col("b")).alias("y"),
+        F.when(varies, F.col("product") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy"))).alias("r"),
     )
-    return row.select(F.inline(cells))
 
 
 def histogram(
@@ -422,6 +491,46 @@ def seasonality(df: DataFrame, day: str, column: str) -> DataFrame:
     )
 
 
+def seasonal_parts(
+    df: DataFrame, day: str, groups: Sequence[str] = (), value: str | None = None
+) -> DataFrame:
+    """Monthly totals of each group taken apart: ``(groups, month, total, trend, season, rest)``.
+
+    A total counts rows, or sums ``value``; the calendar of a group has all
+    months from its first to its last, empty ones with zero. The trend is the
+    centred mean over twelve months, with half of the two at the ends; it is
+    missing in the first and last six. The season is the mean distance from the
+    trend in that month of the year, shifted so that the twelve add up to zero,
+    and missing where a group has no trend in such a month. Rows without a day
+    are left out.
+    """
+    dated = df.where(F.col(day).isNotNull()).withColumn("month", F.trunc(day, "MM"))
+    amount = F.count(F.lit(1)) if value is None else F.coalesce(F.sum(masks.number(value)), F.lit(0.0))
+    monthly = dated.groupBy(*groups, "month").agg(amount.cast("double").alias("total"))
+    span = F.sequence(F.min("month"), F.max("month"), F.expr("INTERVAL 1 MONTH"))
+    ends = monthly.groupBy(*groups).agg(span.alias("_months"))
+    calendar = ends.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.explode("_months").alias("_month"))
+    same = F.col("month") == F.col("_month")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    full = calendar.join(monthly, same, "left").select(
+        *[F.col(f"_g{i}").alias(g) for i, g in enumerate(groups)], F.col("_month").alias("month"), F.coalesce("total", F.lit(0.0)).alias("total")
+    )
+    # a group has as many rows as its calendar has months
+    order = Window.partitionBy(*groups).orderBy("month")
+    inner = order.rowsBetween(-5, 5)
+    trend = (F.sum("total").over(inner) + (F.lag("total", 6).over(order) + F.lead("total", 6).over(order)) / 2) / 12
+    parted = full.withColumn("trend", trend)
+    of_year = Window.partitionBy(*groups, F.month("month"))
+    raw = parted.withColumn("_raw", F.avg(F.col("total") - F.col("trend")).over(of_year))
+    once = Window.partitionBy(*groups)
+    first = F.row_number().over(of_year.orderBy("month")) == 1
+    middle = F.avg(F.when(F.col("_first"), F.col("_raw"))).over(once)
+    return raw.withColumn("_first", first).withColumn("season", F.col("_raw") - middle).select(
+        *groups, "month", "total", "trend", "season", (F.col("total") - F.col("trend") - F.col("season")).alias("rest")
+    )
+
+
 def best_group(summary: DataFrame, group: str, measures: Sequence[str]) -> DataFrame:
     """For each measure the group with the largest value (ties: smallest name)."""
     row = summary.agg(

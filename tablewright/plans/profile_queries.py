@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.functions import scalars
-from tablewright.operators import cleaning, profile
+from tablewright.operators import cleaning, missingness, profile, sketches
 from tablewright.operators.ordered import exact_quantiles
 from tablewright.plans.quality_queries import A_SQL, CLEAN_SQL
 from tablewright.plans.registry import REVIEWS_SQL, near, query, reviews, table
+from tablewright.session import cut_lineage
 
 
 @query(
@@ -570,3 +571,88 @@ def full_duplicates_by_time(spark, folder):
     shifted = F.timestamp_micros(F.lit(1704067200000000) + F.col("event_id") % 700)
     rows = table(spark, folder, "events").select("event_type", shifted.alias("ts"))
     return profile.full_duplicates(rows).select("n_rows", "n_duplicates")
+
+
+@query(
+    "missing_at_random",
+    f"""WITH {REVIEWS_SQL}, m AS (SELECT avg(n_chars) AS mean, var_pop(n_chars) AS var FROM rev),
+    g AS (SELECT count(*) AS n, avg(n_chars) AS mean FROM rev GROUP BY quality IS NULL),
+    s AS (SELECT count(*)::INT AS n_patterns, sum(g.n * (g.mean - m.mean) ** 2 / m.var) AS statistic FROM g, m)
+    SELECT n_patterns, round(statistic, 4) AS statistic, 1 AS degrees, statistic <= 3.841458820694124 AS at_random FROM s""",
+)
+def missing_at_random(spark, folder):
+    """Documents with and without labels: where whole rows of figures are missing, only the others' means are compared."""
+    found = missingness.missing_at_random(reviews(spark, folder), ["n_chars", "quality", "toxic"])
+    return found.select("n_patterns", near("statistic", 4).alias("statistic"), "degrees", "at_random")
+
+
+_WIDE = 300
+_WIDE_SQL = ", ".join(
+    f"CASE WHEN (l_orderkey + {i}) % 11 <> 0 THEN ((l_partkey * {i + 1} + l_linenumber) % 101)::DOUBLE END AS c{i}" for i in range(_WIDE)
+)
+
+
+@query(
+    "wide_correlation",
+    f"""WITH w AS (SELECT {_WIDE_SQL} FROM lineitem), r AS (SELECT {", ".join(f"round(corr(c{i}, c{i + 1}), 6) AS r{i}" for i in range(_WIDE - 1))} FROM w)
+    SELECT unnest([{", ".join(f"'c{i}'" for i in range(_WIDE - 1))}]) AS x, unnest([{", ".join(f"'c{i + 1}'" for i in range(_WIDE - 1))}]) AS y,
+    unnest([{", ".join(f"r{i}" for i in range(_WIDE - 1))}]) AS r FROM r""",
+)
+def wide_correlation(spark, folder):
+    """Three hundred columns with gaps; all pairs are computed, neighbours are shown."""
+    columns = [
+        F.when((F.col("l_orderkey") + i) % 11 != 0, ((F.col("l_partkey") * (i + 1) + F.col("l_linenumber")) % 101).cast("double")).alias(f"c{i}")
+        for i in range(_WIDE)
+    ]
+    found = profile.correlation_matrix(table(spark, folder, "lineitem").select(*columns), [f"c{i}" for i in range(_WIDE)])
+    return found.where(F.substring("y", 2, 9).cast("int") == F.substring("x", 2, 9).cast("int") + 1).withColumn("r", near("r"))
+
+
+@query(
+    "seasonal_parts",
+    """WITH o AS (SELECT o_orderstatus, date_trunc('month', o_orderdate)::DATE AS m, o_totalprice FROM orders
+      WHERE (year(o_orderdate) * 12 + month(o_orderdate)) % 5 <> 0),
+    t AS (SELECT o_orderstatus, m, sum(o_totalprice) AS total FROM o GROUP BY 1, 2),
+    c AS (SELECT o_orderstatus, unnest(generate_series(min(m)::TIMESTAMP, max(m)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM t GROUP BY 1),
+    f AS (SELECT c.o_orderstatus, c.m, coalesce(t.total, 0) AS total FROM c LEFT JOIN t ON c.o_orderstatus = t.o_orderstatus AND c.m = t.m),
+    s AS (SELECT *, (sum(total) OVER (PARTITION BY o_orderstatus ORDER BY m ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+      + (lag(total, 6) OVER (PARTITION BY o_orderstatus ORDER BY m) + lead(total, 6) OVER (PARTITION BY o_orderstatus ORDER BY m)) / 2) / 12 AS trend FROM f),
+    i AS (SELECT o_orderstatus, month(m) AS of, avg(total - trend) AS raw FROM s GROUP BY 1, 2),
+    j AS (SELECT o_orderstatus, avg(raw) AS middle FROM i GROUP BY 1)
+    SELECT s.o_orderstatus, s.m AS month, round(total, 2) AS total, round(trend, 2) AS trend, round(raw - middle, 2) AS season,
+    round(total - trend - (raw - middle), 2) AS rest FROM s JOIN i ON s.o_orderstatus = i.o_orderstatus AND month(s.m) = i.of JOIN j ON j.o_orderstatus = s.o_orderstatus""",
+)
+def seasonal_parts(spark, folder):
+    """Order values by status and month, with every fifth month empty."""
+    orders = table(spark, folder, "orders").where((F.year("o_orderdate") * 12 + F.month("o_orderdate")) % 5 != 0)
+    found = profile.seasonal_parts(orders, "o_orderdate", ["o_orderstatus"], "o_totalprice")
+    return found.withColumns({c: near(c, 2) for c in ("total", "trend", "season", "rest")})
+
+
+@query(
+    "stored_sketches",
+    """SELECT o_orderstatus, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_customers, TRUE AS count_holds, TRUE AS quantiles_hold
+    FROM orders GROUP BY o_orderstatus""",
+)
+def stored_sketches(spark, folder):
+    """Sketches per status and year, stored, then merged per status and held against exact figures and their stated errors."""
+    orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    stored = cut_lineage(sketches.sketch_parts(orders, ["o_orderstatus", "year"], ["o_custkey"], ["o_totalprice"]))
+    shares = [0.1, 0.5, 0.9]
+    merged = sketches.merged(stored, ["o_orderstatus"], ["o_custkey"], ["o_totalprice"], shares)
+    exact = orders.groupBy("o_orderstatus").agg(F.countDistinct("o_custkey").alias("n_customers"))
+    held = merged.join(exact, "o_orderstatus")
+    below = [
+        F.sum((F.col("o_totalprice") <= F.get("q_o_totalprice", i)).cast("bigint")) / F.count(F.lit(1)) for i in range(len(shares))
+    ]
+    ranks = orders.join(held.select("o_orderstatus", "q_o_totalprice"), "o_orderstatus").groupBy("o_orderstatus").agg(
+        F.array(*below).alias("ranks")
+    )
+    near_ranks = F.lit(True)
+    for i, share in enumerate(shares):
+        near_ranks = near_ranks & (F.abs(F.get("ranks", i) - share) <= sketches.RANK_ERROR)
+    return held.join(ranks, "o_orderstatus").select(
+        "o_orderstatus", "n_rows", "n_customers",
+        (F.abs(F.col("n_o_custkey") - F.col("n_customers")) <= sketches.DISTINCT_ERROR * F.col("n_customers")).alias("count_holds"),
+        near_ranks.alias("quantiles_hold"),
+    )
