@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.functions import text as tx
 from tablewright.operators import cleaning, neighbors
 from tablewright.plans.registry import REVIEWS_SQL, near, query, reviews, table
+from tablewright.session import cut_lineage
 
 WITH_REVIEWS = f"WITH {REVIEWS_SQL} "
 
@@ -271,6 +273,69 @@ def fill_knn(spark, folder):
     return filled.select("p_partkey", near("p_size", 4).alias("p_size"))
 
 
+_KNN = ["a", "b", "c", "d"]
+
+
+@query(
+    "fill_knn_wide",
+    f"""WITH r AS (SELECT o_orderkey, o_custkey::DOUBLE AS a, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::DOUBLE AS b, (o_orderkey % 997)::DOUBLE AS c,
+      length(o_orderpriority)::DOUBLE AS d, CASE WHEN o_orderkey % 100 <> 0 THEN o_totalprice END AS v FROM orders),
+    s AS (SELECT {", ".join(f"avg({c}) AS m{c}, stddev_pop({c}) AS s{c}" for c in _KNN)} FROM r),
+    z AS (SELECT o_orderkey, v, {", ".join(f"({c} - m{c}) / s{c} AS {c}" for c in _KNN)} FROM r, s),
+    p AS (SELECT {", ".join(_KNN)}, count(*) AS w, avg(v) AS m FROM z WHERE v IS NOT NULL GROUP BY ALL),
+    d AS (SELECT q.o_orderkey, p.w, p.m, coalesce(sum(p.w) OVER (PARTITION BY q.o_orderkey
+        ORDER BY sqrt({" + ".join(f"(q.{c} - p.{c}) ** 2" for c in _KNN)}), {", ".join(f"p.{c}" for c in _KNN)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM (SELECT * FROM z WHERE v IS NULL) q, p),
+    f AS (SELECT o_orderkey, sum(m * least(w, 5 - before)) / sum(least(w, 5 - before)) AS fill FROM d WHERE before < 5 GROUP BY 1)
+    SELECT z.o_orderkey, round(coalesce(z.v, f.fill), 3) AS o_totalprice FROM z LEFT JOIN f ON z.o_orderkey = f.o_orderkey""",
+)
+def fill_knn_wide(spark, folder):
+    """Prices of every hundredth order filled from the orders nearest in four figures."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("double").alias("a"), F.datediff("o_orderdate", F.lit("1970-01-01")).cast("double").alias("b"),
+        (F.col("o_orderkey") % 997).cast("double").alias("c"), F.length("o_orderpriority").cast("double").alias("d"),
+        F.when(F.col("o_orderkey") % 100 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+    )
+    filled = neighbors.fill_knn(orders, "o_orderkey", "o_totalprice", _KNN, 5)
+    return filled.select("o_orderkey", near("o_totalprice", 3).alias("o_totalprice"))
+
+
+@query(
+    "smote_wide",
+    """WITH j AS (SELECT quality, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY quality)
+    SELECT quality, (SELECT max(n) FROM j) AS n, (SELECT max(n) FROM j) - n AS n_made, (SELECT max(n) FROM j) - n AS n_between FROM j""",
+)
+def smote_wide(spark, folder):
+    """Four figures of a text; every made row lies on the line from its base row to a given row of its class."""
+    features = ["n_chars", "n_words", "n_lines", "n_kinds"]
+    rows = reviews(spark, folder).where("quality IS NOT NULL").select(
+        "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), tx.word_count("text").cast("double").alias("n_words"),
+        F.regexp_count("text", F.lit("\n")).cast("double").alias("n_lines"),
+        F.size(F.array_distinct(F.split("text", ""))).cast("double").alias("n_kinds"),
+    )
+    balanced = cut_lineage(neighbors.smote(rows, "doc_id", "quality", features, 5))
+    # the base row and its neighbours, found again, and how far along each line a made row would lie
+    point = F.array(*features)
+    distinct = rows.groupBy(F.col("quality").alias("g"), point.alias("p")).agg(F.lit(1).cast("bigint").alias("w"))
+    made = balanced.where("copy > 0").select(F.col("quality").alias("g"), "doc_id", "copy", point.alias("made"))
+    based = made.join(rows.select("doc_id", point.alias("q")), "doc_id")
+    lines = neighbors.nearest(based.select("g", "q").distinct(), distinct, 5, len(features), exclude_self=True)
+    held = based.join(lines, ["g", "q"], "left")
+    step = F.aggregate(
+        F.zip_with(F.zip_with("p", "q", lambda a, b: a - b), F.zip_with("made", "q", lambda a, b: a - b),
+                   lambda along, moved: F.when(along != 0, moved / along)),
+        F.struct(F.lit(1.0).alias("lo"), F.lit(0.0).alias("hi")),
+        lambda s, x: F.struct(F.least(s["lo"], x).alias("lo"), F.greatest(s["hi"], x).alias("hi")),
+    )
+    flat = F.forall(F.arrays_zip(F.col("p").alias("p"), F.col("q").alias("q"), F.col("made").alias("m")), lambda s: (s["p"] != s["q"]) | (s["m"] == s["q"]))
+    between = F.coalesce(flat & (step["hi"] - step["lo"] <= 1e-6) & (step["lo"] >= 0) & (step["hi"] <= 1), F.col("p").isNull())
+    checked = held.groupBy("g", "doc_id", "copy").agg(F.max(between).alias("ok")).groupBy(F.col("g").alias("quality")).agg(
+        F.count_if("ok").alias("n_between")
+    )
+    counts = balanced.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("copy") > 0).alias("n_made"))
+    return counts.join(checked, "quality", "left").select("quality", "n", "n_made", F.coalesce("n_between", F.lit(0)).alias("n_between"))
+
+
 @query(
     "smote",
     """WITH j AS (SELECT quality, count(*) AS n FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY quality)

@@ -153,6 +153,27 @@ def fuzzy_match(spark, folder):
     )
 
 
+@query(
+    "fuzzy_names",
+    """WITH b AS (SELECT 'https://shop.example/customer/' || c_name || '/orders' AS k FROM customer),
+    a AS (SELECT DISTINCT replace(replace(k, '7/orders', '/orders'), '1', 'l') AS k FROM b WHERE k LIKE '%7/orders'),
+    o AS (SELECT k FROM a WHERE k NOT IN (SELECT k FROM b)),
+    m AS (SELECT o.k AS left_key, b.k AS right_key, levenshtein(o.k, b.k) AS distance FROM o JOIN b
+      ON abs(length(o.k) - length(b.k)) <= 2 AND levenshtein(o.k, b.k) <= 2)
+    SELECT left_key, right_key, distance::INT AS distance FROM (SELECT *, row_number() OVER
+      (PARTITION BY left_key ORDER BY distance, right_key) AS rn FROM m) WHERE rn = 1""",
+)
+def fuzzy_names(spark, folder):
+    """Addresses that begin and end alike, a tenth of them with a character lost and others mistaken."""
+    known = table(spark, folder, "customer").select(
+        F.concat(F.lit("https://shop.example/customer/"), F.col("c_name"), F.lit("/orders")).alias("k")
+    )
+    typed = known.where(F.col("k").endswith("7/orders")).select(
+        F.replace(F.replace("k", F.lit("7/orders"), F.lit("/orders")), F.lit("1"), F.lit("l")).alias("k")
+    )
+    return matching.fuzzy_match(typed, known, "k", "k", 2)
+
+
 EVENT_SECTIONS = [("top", ["VIEW"]), ("middle", ["CLICK", "CART"]), ("base", ["PURCHASE"])]
 
 

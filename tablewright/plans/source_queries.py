@@ -138,3 +138,48 @@ def records_as_rows(spark, folder):
     rp.write_records(both, json_path, csv_path)
     exploded = rp.explode_records(rp.read_records(spark, json_path, both.schema), "tag")
     return exploded.withColumn("tag", F.coalesce("tag", F.lit("")))
+
+
+@query(
+    "quoted_records",
+    "SELECT doc_id, md5(text) AS text_hash, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE lang END AS lang FROM documents WHERE doc_id % 5 <> 0",
+)
+def quoted_records(spark, folder):
+    """Whole texts with line breaks and quotes in lines of three columns, some with a fourth field, some one short."""
+    row = F.col("doc_id")
+    text = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat(
+        F.concat_ws(";", row, text), F.when(row % 7 == 0, "").otherwise(F.concat(F.lit(";"), F.col("lang"))),
+        F.when(row % 5 != 0, "").when(row % 7 == 0, ';;"x\n;y"').when(row % 2 == 0, ";extra").otherwise(";"),
+    )
+    path = scratch_path(spark, "quoted")
+    table(spark, folder, "documents").select(line).write.text(path)
+    back = dl.read_delimited(
+        spark, path, "doc_id bigint, text string, lang string", sep=";", multi_line=True, skip_long_lines=True, header=False
+    )
+    return back.select("doc_id", F.md5("text").alias("text_hash"), "lang")
+
+
+@query(
+    "updated_report",
+    """SELECT 3 AS version, count(*) AS orders, count(*) FILTER (WHERE o_orderstatus = 'F') AS closed, count(*) FILTER (WHERE o_orderstatus = 'O') AS open_,
+    'second' AS note, [count(*) FILTER (WHERE o_orderpriority = '1-URGENT')] AS urgent FROM orders""",
+)
+def updated_report(spark, folder):
+    """Three writes of one nested report: objects merge, other values are replaced, the rest stays."""
+    orders = table(spark, folder, "orders")
+    path = scratch_path(spark, "kept_report")
+    n = F.count(F.lit(1))
+    status = F.col("o_orderstatus")
+    rp.update_report(spark, path, orders.agg(
+        F.struct(n.alias("orders"), F.struct(F.lit(-1).cast("bigint").alias("closed")).alias("by")).alias("counts"),
+        F.lit("first").alias("note"), F.array(F.lit(0).cast("bigint"), F.lit(0).cast("bigint")).alias("urgent"),
+    ))
+    rp.update_report(spark, path, orders.agg(
+        F.struct(F.struct(F.count_if(status == "F").alias("closed"), F.count_if(status == "O").alias("open_")).alias("by")).alias("counts"),
+        F.lit("second").alias("note"),
+    ))
+    version = rp.update_report(spark, path, orders.agg(F.array(F.count_if(F.col("o_orderpriority") == "1-URGENT")).alias("urgent")))
+    return rp.current_report(spark, path).select(
+        F.lit(version).alias("version"), "counts.orders", "counts.by.closed", "counts.by.open_", "note", "urgent"
+    )

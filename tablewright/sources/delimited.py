@@ -32,9 +32,9 @@ def _options(sep: str) -> dict[str, str]:
     return {"sep": sep, "quote": '"', "escape": '"'}
 
 
-def _reader(spark: SparkSession, sep: str):
+def _reader(spark: SparkSession, sep: str, header: bool = True):
     return (
-        spark.read.options(**_options(sep)).option("header", True).option("encoding", "UTF-8").option("enforceSchema", True)
+        spark.read.options(**_options(sep)).option("header", header).option("encoding", "UTF-8").option("enforceSchema", True)
     )
 
 
@@ -43,9 +43,11 @@ def _ddl(names: Sequence[str]) -> str:
     return ", ".join(f"`{name}` string" for name in quoted)
 
 
-def _record_cells(spark: SparkSession, path: str | Sequence[str], sep: str, names: Sequence[str]) -> DataFrame:
+def _record_cells(
+    spark: SparkSession, path: str | Sequence[str], sep: str, names: Sequence[str], header: bool = True
+) -> DataFrame:
     """``_raw_line`` and the text cells of every record but the headers and blank ones."""
-    found = read_records(spark, path, sep).where("number > 1").where(F.trim("record") != "")
+    found = read_records(spark, path, sep).where(F.col("number") > int(header)).where(F.trim("record") != "")
     options = {**_options(sep), "multiLine": "true"}
     return found.select(F.col("record").alias(_RAW), F.from_csv("record", _ddl(names), options).alias("_cells")).select(
         _RAW, *[F.col("_cells").getField(n).alias(n) for n in names]
@@ -66,8 +68,9 @@ def read_delimited(
     multi_line: bool = False,
     skip_long_lines: bool = False,
     missing_tokens: Sequence[str] = MISSING_TOKENS,
+    header: bool = True,
 ) -> DataFrame:
-    """Scan with a header and a known schema; a byte-order mark is ignored.
+    """Scan with a known schema and, unless told otherwise, a header; a byte-order mark is ignored.
 
     Missing-value tokens and unreadable numbers become NULL, short lines are
     padded with NULL. With ``skip_long_lines`` a line with more fields than
@@ -79,14 +82,14 @@ def read_delimited(
     names = schema.fieldNames()
     text = _strings(schema)
     if multi_line:
-        rows = _record_cells(spark, path, sep, names)
+        rows = _record_cells(spark, path, sep, names, header)
         rows = (rows.where(_separators(_RAW, sep) < len(names)) if skip_long_lines else rows).select(*[F.col(f"`{n}`") for n in names])
     elif skip_long_lines:
         wide = T.StructType(
             [*text.fields, T.StructField(_OVER, T.StringType()), T.StructField(_RAW, T.StringType())]
         )
         rows = (
-            _reader(spark, sep).option("columnNameOfCorruptRecord", _RAW)
+            _reader(spark, sep, header).option("columnNameOfCorruptRecord", _RAW)
             .option("columnPruning", False).schema(wide).csv(path)
         )
         # a line that fills every column and the extra one is not reported as odd, so it has
@@ -94,7 +97,7 @@ def read_delimited(
         fits = F.col(_RAW).isNotNull() & (_separators(_RAW, sep) < len(names))
         rows = rows.where(fits & F.col(_OVER).isNull()).select(*names)
     else:
-        rows = _reader(spark, sep).schema(text).csv(path)
+        rows = _reader(spark, sep, header).schema(text).csv(path)
     cells = []
     for f in schema:
         value = F.when(~F.col(f.name).isin(*missing_tokens), F.col(f.name))

@@ -119,3 +119,14 @@ def test_only_long_records_are_shuffled(spark, tmp_path, small_splits):
     df = rc.read_records(spark, str(tmp_path)).agg(F.count(F.lit(1)).alias("n"), F.max("number").alias("last"))
     assert tuple(df.first()) == (302, 302)
     assert rc.read_records(spark, str(tmp_path)).where("number = 302").first().record == 'x,"two\nlines"'
+
+
+def test_files_without_a_header(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('1,"a\nb"\n2,c\n', encoding="utf-8")
+    for lines, want in ((True, [(1, "a\nb"), (2, "c")]),):
+        got = dl.read_delimited(spark, str(tmp_path), "a int, b string", multi_line=lines, header=False)
+        assert sorted(map(tuple, got.collect())) == want
+    (tmp_path / "t.csv").write_text("1,a\n2,c,d\n", encoding="utf-8")
+    for long, want in ((False, [1, 2]), (True, [1])):
+        got = dl.read_delimited(spark, str(tmp_path), "a int, b string", skip_long_lines=long, header=False)
+        assert sorted(r.a for r in got.collect()) == want
