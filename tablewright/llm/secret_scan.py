@@ -24,7 +24,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,128}={0,2}(?![A-Za-z0-9+/_=-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 KINDS = ("assign", "access", "hex", "opaque")
 MAX_OWNERS = 2
 
