@@ -53,11 +53,11 @@ def _features(piece: W.Slice) -> tuple[np.ndarray, list[np.ndarray], list[np.nda
 
 
 def _feature_lists(docs: DataFrame) -> DataFrame:
-    """order, label and the different features of a text; in: order, label, text."""
+    """order, tie, label and the different features of a text; in: order, tie, label, text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in W.slices(batch.column(2)):
+            for piece in W.slices(batch.column(3)):
                 of, at, values = _features(piece)
                 rows = [[] for _ in range(piece.last - piece.first)]
                 for places, numbers in zip(at, values):
@@ -67,11 +67,11 @@ def _feature_lists(docs: DataFrame) -> DataFrame:
                 different = [np.unique(np.concatenate(row)) for row in rows]
                 own = batch.slice(piece.first, piece.last - piece.first)
                 yield pa.RecordBatch.from_arrays([
-                    own.column(0), own.column(1),
+                    own.column(0), own.column(1), own.column(2),
                     W.lists(np.concatenate(different).astype(np.int32), np.array([len(x) for x in different]), pa.int32()),
-                ], ["order", "label", "features"])
+                ], ["order", "tie", "label", "features"])
 
-    return docs.mapInArrow(work, "order bigint, label int, features array<int>")
+    return docs.mapInArrow(work, "order bigint, tie bigint, label int, features array<int>")
 
 
 def _ftrl(rows: list[tuple[int, np.ndarray]]) -> Model:
@@ -106,8 +106,9 @@ def fit(
     """Learn from at most ``sample`` labelled ids, those that come first by hash.
 
     ``labels`` has an id and a label of 0 or 1; rows with a NULL in either are
-    left out, and of labels that disagree the larger counts. Without any
-    training row the model gives every text the score 0.5.
+    left out, and of labels that disagree the larger counts. Rows of one id
+    train in the order of their texts' hashes. Without any training row the
+    model gives every text the score 0.5.
     """
     chosen = (
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
@@ -117,13 +118,13 @@ def fit(
     )
     # at most ``sample`` ids and labels, so the texts need no shuffle
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id").select(
-        "order", "label", "_text"
+        "order", F.xxhash64("_text").alias("tie"), "label", "_text"
     )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         taken = []
         for batch in batches:
-            for label, features in zip(batch.column(1), batch.column(2)):
+            for label, features in zip(batch.column(2), batch.column(3)):
                 if len(taken) < sample:  # repeated ids could bring more
                     taken.append((label.as_py(), features.values.to_numpy(zero_copy_only=False)))
         model = _ftrl(taken)
@@ -134,7 +135,7 @@ def fit(
 
     # the features of the bounded sample go to one task, in the order of their hashes
     found = (
-        _feature_lists(rows).repartition(1).sortWithinPartitions("order")
+        _feature_lists(rows).repartition(1).sortWithinPartitions("order", "tie")
         .mapInArrow(train, "features array<int>, weights array<double>, bias double").first()
     )
     if found is None:

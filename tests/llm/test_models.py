@@ -4,8 +4,10 @@ import math
 import random
 import re
 import sys
+from collections import defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import corpus  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tablewright.llm import language, licenses, queries, secret_scan, simhash, toxicity  # noqa: E402
+from tablewright.llm import language, licenses, queries, secret_scan, simhash, toxicity, words as W  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.1"
@@ -33,6 +35,71 @@ def test_toxicity_held_out(spark):
     assert 0 <= figures["low"] and figures["high"] <= 1
 
 
+def one_hash(data):
+    """Hash of one word on its own."""
+    raw = np.frombuffer(data, dtype=np.uint8)
+    return int(W.word_hashes(raw, W.Words(np.array([0]), np.array([len(raw)]), np.array([0, 1])))[0])
+
+
+def plain_features(text):
+    """Numbers of a text's words, stems, pairs and skip-grams, one at a time."""
+    def mix(x):
+        return int(W.mix(np.array([x % (1 << 64)], dtype=np.uint64))[0])
+
+    lower = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    found = re.findall(rb"[0-9A-Za-z\x80-\xff]+", lower)
+    hashes = [one_hash(w) for w in found]
+    out = set(hashes)
+    for n in toxicity.STEMS:
+        out |= {mix(one_hash(w[:n]) + n) for w in found if len(w) > n}
+    for gap in (1, 2):
+        out |= {mix(hashes[i] * W.FIRST + hashes[i + gap] * W.SECOND + gap) for i in range(len(hashes) - gap)}
+    return {v >> (64 - toxicity.BITS) for v in out}
+
+
+def plain_ftrl(rows):
+    """FTRL-proximal with a dict per figure and one coordinate at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k):
+        limit = 0.0 if k == "bias" else toxicity.L1
+        if abs(z[k]) <= limit:
+            return 0.0
+        return -(z[k] - math.copysign(limit, z[k])) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for label, features in rows:
+            keys = [*features, "bias"]
+            own = {k: weight(k) for k in keys}
+            g = 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, sum(own.values()))))) - label
+            for k in keys:
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / toxicity.ALPHA * own[k]
+                n[k] += g * g
+    return {k: w for k in z if (w := weight(k))}
+
+
+def test_toxicity_next_to_plain_ftrl(spark):
+    """Weights and scores of a loop over dicts, with repeated ids and a bound that cuts the sample."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(corpus.documents(spark).where("length(text) < 5000 OR text IS NULL").select("doc_id", "text"))
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "toxic")
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    order = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id", F.lit(7)).alias("h")).collect()}
+    rows = docs.withColumn("tie", F.xxhash64("text")).collect()
+    for sample in (8192, 40):
+        ids = sorted(known, key=lambda i: (order[i], i))[:sample]
+        chosen = sorted(((order[r.doc_id], r.tie, known[r.doc_id], plain_features(r.text)) for r in rows if r.doc_id in set(ids)), key=lambda x: x[:2])
+        want = plain_ftrl([(label, features) for _, _, label, features in chosen[:sample]])
+        model = toxicity.fit(docs.repartition(5), labels, sample=sample)
+        got = dict(zip(model.features.tolist(), model.weights.tolist()))
+        bias = want.pop("bias", 0.0)
+        assert got == pytest.approx(want, rel=1e-6, abs=1e-9) and model.bias == pytest.approx(bias, rel=1e-6)
+        scored = toxicity.score(docs.withColumn("row", F.monotonically_increasing_id()), model).collect()
+        for r in scored:
+            total = bias + sum(want.get(k, 0.0) for k in plain_features(r.text))
+            assert r.score == pytest.approx(1 / (1 + math.exp(-max(-35, min(35, total)))), abs=1e-6)
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame(
         [(i, int(i % 2)) for i in range(200)] + [(None, 1), (3, None), (4, 1)], "doc_id bigint, toxic int"
