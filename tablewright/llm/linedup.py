@@ -1,12 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a line meet: each pairs with the first document that
-holds the line, so a line of m documents gives m - 1 pairs, not their square.
-Of every pair the two line lists are aligned by patience diff, and the common
-blocks are deleted from the later document. Lines that stay meet their other
-earlier holders too, few at first and then the rest, until one aligns with them
-or none is left. All pairs are judged on the input, and the first holder of a
-line keeps it.
+Documents that share a run of lines with enough words meet: each pairs with the
+first document that holds the run, so a run of m documents gives m - 1 pairs,
+not their square. Of every pair the two line lists are aligned by patience
+diff, and the common blocks are deleted from the later document. A run that
+alignment leaves, because it stands elsewhere in the order or is repeated,
+though an earlier document holds it, goes as well; for that no pair is needed,
+its first holder is known. So the result is the same whichever documents meet:
+a line goes if it lies in a run of neighbouring lines, with enough words in
+total, that an earlier document holds as one run, too. All is judged on the
+input, and the first holder of a run keeps it.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablewright.llm import words as W
 from tablewright.llm.bitmaps import on_map_of, text_key
@@ -26,9 +29,6 @@ from tablewright.session import cut_lineage
 
 MIN_WORDS = 6
 
-# one in so many further holders by a hash of them; each divides the one before it, and all have had their turn after the last
-TURNS = (256, 16, 1)
-
 
 def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
     """Matched positions of two lists, both ascending.
@@ -85,25 +85,22 @@ def common_blocks(matched: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return blocks
 
 
-def meeting_runs(sizes: Sequence[int], min_words: int) -> Iterator[tuple[int, int]]:
-    """Runs of lines that bring documents together: (first line, number of lines).
+def meeting_runs(sizes: Sequence[int], min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First lines and ends of the runs that bring documents together.
 
-    A line of ``min_words`` words is one; of shorter lines, from each that has
-    words, the shortest run with as many in total. A block of common lines that
-    has as many words holds at least one of them.
+    From each line the shortest run of ``min_words`` words that begins with it,
+    and the shortest that ends with it. Every line of a longer run with as many
+    words lies in one of them that the run holds whole.
     """
-    end = total = 0
-    for at, size in enumerate(sizes):
-        if end <= at:
-            end, total = at, 0
-        if size >= min_words:
-            yield at, 1
-            continue
-        while total < min_words and end < len(sizes) and sizes[end] < min_words:
-            total, end = total + sizes[end], end + 1
-        if size and total >= min_words:
-            yield at, end - at
-        total -= size
+    total = np.concatenate([[0], np.cumsum(np.asarray(sizes, dtype=np.int64))])
+    lines = len(sizes)
+    begin = np.arange(lines)
+    end = np.searchsorted(total, total[:-1] + min_words, side="left")
+    whole = end <= lines
+    last = np.flatnonzero(total[1:] >= min_words) + 1
+    first = np.searchsorted(total, total[last] - min_words, side="right") - 1
+    both = np.unique(np.concatenate([begin[whole] * (lines + 1) + end[whole], first * (lines + 1) + last]))
+    return both // (lines + 1), both % (lines + 1)
 
 
 def _line_lists(docs: DataFrame, columns: Sequence[str], text: str, min_words: int) -> DataFrame:
@@ -117,25 +114,22 @@ def _line_lists(docs: DataFrame, columns: Sequence[str], text: str, min_words: i
         for batch in batches:
             for piece in W.slices(batch.column(n)):
                 raw = piece.data.tobytes()
-                hashes, sizes, counts, runs, met = [], [], [], [], []
+                hashes, sizes, runs, starts, lengths = [], [], [], [], []
                 for a, b in zip(piece.bounds[:-1], piece.bounds[1:]):
                     lines = raw[a:b].split(b"\n")
-                    counts.append(len(lines))
-                    own_sizes = [len(x.split()) for x in lines]
-                    hashes += [digest(x) for x in lines]
-                    sizes += own_sizes
-                    own_runs = [(digest(b"\n".join(lines[i:i + k])), i, k) for i, k in meeting_runs(own_sizes, min_words)]
-                    met.append(len(own_runs))
-                    runs += own_runs
+                    hashes.append(np.array([digest(x) for x in lines], dtype=np.int64))
+                    sizes.append(np.array([len(x.split()) for x in lines], dtype=np.int32))
+                    first, end = meeting_runs(sizes[-1], min_words)
+                    runs.append(W.signed(W.span_hashes(hashes[-1].view(np.uint64), first, end)))
+                    starts.append(first.astype(np.int32))
+                    lengths.append((end - first).astype(np.int32))
+                counts, met = np.array([len(x) for x in hashes]), np.array([len(x) for x in runs])
                 own = batch.slice(piece.first, piece.last - piece.first)
                 yield pa.RecordBatch.from_arrays(
                     [own.column(i) for i in range(n)] + [
-                        W.lists(np.array(hashes, dtype=np.int64), np.array(counts), pa.int64()),
-                        W.lists(np.array(sizes, dtype=np.int32), np.array(counts), pa.int32()),
-                        *[
-                            W.lists(np.array([r[k] for r in runs], dtype=np.int64), np.array(met), kind)
-                            for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))
-                        ],
+                        W.lists(np.concatenate(hashes), counts, pa.int64()), W.lists(np.concatenate(sizes), counts, pa.int32()),
+                        W.lists(np.concatenate(runs), met, pa.int64()), W.lists(np.concatenate(starts), met, pa.int32()),
+                        W.lists(np.concatenate(lengths), met, pa.int32()),
                     ], [*columns, "lines", "sizes", "run", "at", "n"],
                 )
 
@@ -145,22 +139,58 @@ def _line_lists(docs: DataFrame, columns: Sequence[str], text: str, min_words: i
     ]))
 
 
-def _deleted(pairs: DataFrame, min_words: int) -> DataFrame:
-    """Row and deleted line numbers for pairs of earlier lines, later lines and line sizes."""
+def _aligned(pairs: DataFrame, min_words: int) -> DataFrame:
+    """Row, first line and length of the common blocks, for pairs of earlier lines, later lines and line sizes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone = []
-            for a, b, size in zip(*(batch.column(i) for i in range(1, 4))):
+            rows, at, lengths = [], [], []
+            for row, a, b, size in zip(*(batch.column(i) for i in range(4))):
                 a, b, size = a.as_py(), b.as_py(), size.as_py()
-                lines = []
                 for _, j, n in common_blocks(patience(a, b)):
                     if sum(size[j:j + n]) >= min_words:
-                        lines.extend(range(j, j + n))
-                gone.append(lines)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["row", "gone"])
-
-    return pairs.select("row", "first_lines", "lines", "sizes").mapInArrow(work, "row bigint, gone array<int>")
+                        rows.append(row.as_py())
+                        at.append(j)
+                        lengths.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(lengths, pa.int32())], ["row", "at", "n"]
+            )
+
+    return pairs.select("row", "first_lines", "lines", "sizes").mapInArrow(work, "row bigint, at int, n int")
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _covered(blocks: pa.Array) -> pa.Array:
+    """Numbers of the lines under blocks of first line and length, ascending."""
+    out = []
+    for own in blocks:
+        at = own.values.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+        n = own.values.field("n").to_numpy(zero_copy_only=False)
+        change = np.zeros(int((at + n).max()) + 1, dtype=np.int32)
+        np.add.at(change, at, 1)
+        np.add.at(change, at + n, -1)
+        out.append(np.flatnonzero(np.cumsum(change[:-1]) > 0).astype(np.int32))
+    return pa.array(out, pa.list_(pa.int32()))
+
+
+def held_before(found: DataFrame) -> DataFrame:
+    """Runs (row, run, at, n) that an earlier document holds, with the row of the first one (``first_row``).
+
+    ``found`` has row, _id, _key and the lists run, at and n.
+    """
+    runs = found.select("row", "_id", "_key", F.explode(F.arrays_zip("run", "at", "n")).alias("r")).select(
+        "row", "_id", "_key", F.col("r.run").alias("run"), F.col("r.at").alias("at"), F.col("r.n").alias("n")
+    )
+    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_key", "row"))).alias("first")
+    # stored, so that both sides of the join are shuffled and Spark may split a run of very many documents
+    holders = cut_lineage(
+        runs.groupBy("run").agg(first, F.count(F.lit(1)).alias("holders")).where("holders > 1 AND first IS NOT NULL")
+        .select("run", F.col("first._id").alias("first_id"), F.col("first._key").alias("first_key"), F.col("first.row").alias("first_row"))
+    )
+    earlier = F.col("_id").isNull() | (F.col("first_id") < F.col("_id")) | (
+        (F.col("first_id") == F.col("_id")) & (F.col("first_key") < F.col("_key"))
+    )
+    return runs.join(holders, "run").where(earlier).select("row", "run", "at", "n", "first_row")
 
 
 def repeated_lines(
@@ -168,69 +198,28 @@ def repeated_lines(
 ) -> DataFrame:
     """Per document that loses lines: ``_id``, ``_key`` (of its text) and the numbers of the lines, from 0.
 
-    A line is what stands between line feeds. Lines of at least ``min_words``
-    words and runs of shorter ones with as many in total bring documents
-    together: each holder is aligned with the document of the smallest id that
-    holds it, and where a line of the run stays, with its other earlier holders.
-    A common block is deleted if it has as many words in total. Rows that agree in id and text
-    are one document; documents that share an id come in the order of their
-    text keys. Rows without id lose lines to others and never come first. A
-    NULL or empty text is one line without words and loses nothing.
+    A line is what stands between line feeds. It goes if it lies in a run of
+    neighbouring lines, ``min_words`` words or more in total, that an earlier
+    document holds as one run, too. Documents come in the order of their ids,
+    and of their text keys under one id; rows that agree in both are one
+    document. Rows without id lose lines to others and never come first. A NULL
+    or empty text is one line without words and loses nothing.
     """
     keyed = docs.select(F.col(id).alias("_id"), text_key(text).alias("_key"), F.col(text).alias("_text"))
     found = cut_lineage(
         _line_lists(keyed, ["_id", "_key"], "_text", min_words).withColumn("row", F.monotonically_increasing_id())
     )
-    lines = found.select("row", "_id", "_key", F.explode(F.arrays_zip("run", "at", "n")).alias("l")).select(
-        "row", "_id", "_key", F.col("l.run").alias("line"), F.col("l.at").alias("at"), F.col("l.n").alias("n")
-    )
-    # stored, so that both sides of the join are shuffled and Spark may split a line of very many documents
-    holders = cut_lineage(
-        lines.groupBy("line").agg(F.min("_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 AND first_id IS NOT NULL").select("line", "first_id")
-    )
-    held = cut_lineage(lines.join(holders, "line"))
-    pairs = held.select("row", "first_id").distinct()
-    ahead = found.select(
-        F.col("row").alias("first_row"), F.col("_id").alias("first_id"), F.col("_key").alias("first_key"),
-        F.col("lines").alias("first_lines"),
-    )
-    earlier = F.col("_id").isNull() | (F.col("first_id") < F.col("_id")) | (
-        (F.col("first_id") == F.col("_id")) & (F.col("first_key") < F.col("_key"))
-    )
-    both = pairs.join(found, "row").join(ahead, "first_id").where(earlier)
-    gone = cut_lineage(_deleted(both, min_words).where(F.size("gone") > 0))
-
-    tried = held.select(
-        "line", F.col("row").alias("first_row"), F.col("_id").alias("first_id"), F.col("_key").alias("first_key"),
-        F.xxhash64("_id", "_key").alias("turn"),
-    ).where("first_id IS NOT NULL").distinct()
-    before = None
-    for share in TURNS:
-        lost = gone.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("lost"))
-        stays = ~F.forall(
-            F.sequence(F.col("at"), F.col("at") + F.col("n") - 1),
-            lambda x: F.array_contains(F.coalesce("lost", F.array().cast("array<int>")), x),
-        )
-        left = cut_lineage(
-            held.where(F.col("_id").isNull() | (F.col("first_id") < F.col("_id"))).join(lost, "row", "left").where(stays)
-            .select("row", "_id", "_key", "line", F.col("first_id").alias("least_id")).distinct()
-        )
-        if left.isEmpty():
-            break
-        now = tried.where(F.pmod("turn", F.lit(share)) == 0)
-        if before:
-            now = now.where(F.pmod("turn", F.lit(before)) != 0)
-        before = share
-        further = cut_lineage(
-            left.join(now, "line").where(earlier & (F.col("first_id") != F.col("least_id")))
-            .select("row", "first_row").distinct()
-        )
-        more = further.join(found, "row").join(ahead.select("first_row", "first_lines"), "first_row")
-        gone = gone.unionByName(cut_lineage(_deleted(more, min_words).where(F.size("gone") > 0)))
+    held = cut_lineage(held_before(found))
+    pairs = held.select("row", "first_row").distinct()
+    ahead = found.select(F.col("row").alias("first_row"), F.col("lines").alias("first_lines"))
+    both = pairs.join(found.select("row", "lines", "sizes"), "row").join(ahead, "first_row")
+    # runs that no alignment reached go by their first holder
+    gone = _aligned(both, min_words).unionByName(held.select("row", "at", "n"))
+    # blocks of one row: at most a few per line of its text
+    lists = gone.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("blocks"))
     return (
-        gone.join(found.select("row", "_id", "_key"), "row")
-        .groupBy("_id", "_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("deleted"))
+        lists.join(found.select("row", "_id", "_key"), "row")
+        .select("_id", "_key", _covered("blocks").alias("deleted")).dropDuplicates(["_id", "_key"])
     )
 
 

@@ -135,6 +135,11 @@ def word_hashes(data: np.ndarray, words: Words, base: int = FIRST) -> np.ndarray
     return mix(_range_hashes(data.astype(np.uint64), words.starts, words.ends, base) + lengths)
 
 
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = SECOND) -> np.ndarray:
+    """Hash of ``values[start:end]`` for every pair of bounds, whatever their distance."""
+    return mix(_range_hashes(values, starts, ends, base) + (ends - starts).astype(np.uint64))
+
+
 def run_hashes(hashes: np.ndarray, size: int, base: int = FIRST) -> np.ndarray:
     """Hash of the ``size`` words from each word on; runs across texts are the caller's to ignore."""
     n = max(0, len(hashes) - size + 1)

@@ -1,6 +1,7 @@
 """Operators with an exact answer, next to brute force."""
 
 import hashlib
+import random
 import re
 import sys
 from collections import Counter, defaultdict
@@ -269,35 +270,100 @@ def test_patience():
     assert linedup.common_blocks([(0, 0), (1, 1), (3, 2)]) == [(0, 0, 2), (3, 2, 1)]
 
 
+def common_runs(early, late, least=linedup.MIN_WORDS):
+    """Lines of ``late`` in runs that ``early`` holds as well, by all pairs of places."""
+    gone = set()
+    for i in range(len(late)):
+        for j in range(len(early)):
+            if late[i] == early[j] and (i == 0 or j == 0 or late[i - 1] != early[j - 1]):
+                n = 0
+                while i + n < len(late) and j + n < len(early) and late[i + n] == early[j + n]:
+                    n += 1
+                if sum(len(split(x)) for x in late[i:i + n]) >= least:
+                    gone |= set(range(i, i + n))
+    return gone
+
+
+def lines_by_hand(given):
+    """Lines that each row loses to any earlier document."""
+    key = lambda t: hashlib.sha256((t or "").encode()).digest()[:16]
+    documents = {(r[0], key(r[1])): (r[1] or "").split("\n") for r in given}
+    out = []
+    for row in given:
+        own, gone = (row[0], key(row[1])), set()
+        for other, lines in documents.items():
+            if other[0] is not None and (own[0] is None or other < own):
+                gone |= common_runs(lines, documents[own])
+        out.append(gone)
+    return out
+
+
 def test_line_dedup(spark):
     given = corpus.rows()
     got = Counter(
         (r.doc_id, r.text, r.n_deleted, r.row) for r in linedup.without_repeated_lines(corpus.documents(spark)).collect()
     )
-    key = lambda t: hashlib.sha256((t or "").encode()).digest()[:16]
-    documents = sorted({(r[0], key(r[1]), r[1]) for r in given}, key=lambda d: (d[0] is None, d[0] or 0, d[1]))
-    first = {}
-    for i, _, text in documents:
-        for line in (text or "").split("\n"):
-            if len(split(line)) >= linedup.MIN_WORDS and i is not None:
-                first.setdefault(line, i)
     want = Counter()
-    for row in given:
-        lines = (row[1] or "").split("\n")
-        gone = set()
-        for i, k, text in documents:
-            earlier = i is not None and (row[0] is None or (i, k) < (row[0], key(row[1])))
-            if earlier and any(first.get(x) == i and len(split(x)) >= linedup.MIN_WORDS for x in lines):
-                for _, j, n in linedup.common_blocks(linedup.patience((text or "").split("\n"), lines)):
-                    if any(len(split(x)) >= linedup.MIN_WORDS for x in lines[j:j + n]):
-                        gone |= set(range(j, j + n))
-        rest = "\n".join(x for n, x in enumerate(lines) if n not in gone) if gone else row[1]
+    for row, gone in zip(given, lines_by_hand(given)):
+        rest = "\n".join(x for n, x in enumerate((row[1] or "").split("\n")) if n not in gone) if gone else row[1]
         want[(row[0], rest, len(gone), row[5])] += 1
     assert got == want
     assert sum(n for (_, _, lost, _), n in want.items() if lost) >= 5
     assert linedup.without_repeated_lines(corpus.documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_over_all_earlier_documents(spark, seed):
+    """Short lines, blank ones, crossing order and repeats, next to all pairs of documents; alignments stay within."""
+    pick = random.Random(seed)
+    lines = ["", " ", "a", "b b", "c c c", "d d d d", "one two three four five six", "e1 e2 e3 e4 e5 e6 e7", "f f f f f"]
+    given = [(i, "\n".join(pick.choice(lines) for _ in range(pick.randrange(1, 12)))) for i in range(60)]
+    given += [(5, "\n".join(lines)), (None, "\n".join(lines[3:])), given[7], (61, None), (62, "")]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
+    got = Counter((r.doc_id, r.text, r.n_deleted) for r in linedup.without_repeated_lines(docs).collect())
+    want = Counter()
+    for (i, text), gone in zip(given, lines_by_hand(given)):
+        rest = "\n".join(x for n, x in enumerate((text or "").split("\n")) if n not in gone) if gone else text
+        want[(i, rest, len(gone))] += 1
+    assert got == want
+    for (_, a), (_, b) in [(x, y) for x in given[:25] for y in given[25:50]]:
+        early, late = a.split("\n"), b.split("\n")
+        for _, j, n in linedup.common_blocks(linedup.patience(early, late)):
+            if sum(len(split(x)) for x in late[j:j + n]) >= linedup.MIN_WORDS:
+                assert set(range(j, j + n)) <= common_runs(early, late)
+
+
+def test_meeting_runs():
+    assert [tuple(map(int, r)) for r in zip(*linedup.meeting_runs([2, 0, 3, 7, 1, 4, 1, 2], 6))] == [
+        (0, 4), (1, 4), (2, 4), (3, 4), (3, 5), (3, 6), (4, 7), (5, 8)
+    ]
+    assert [len(x) for x in linedup.meeting_runs([], 6)] == [0, 0] and [len(x) for x in linedup.meeting_runs([5], 6)] == [0, 0]
+    pick = random.Random(1)
+    for _ in range(300):
+        sizes = [pick.randrange(8) for _ in range(pick.randrange(12))]
+        runs = set(zip(*(x.tolist() for x in linedup.meeting_runs(sizes, 6))))
+        assert all(sum(sizes[a:b]) >= 6 for a, b in runs) and len(runs) <= 2 * len(sizes)
+        for a in range(len(sizes)):
+            for b in range(a + 1, len(sizes) + 1):
+                if sum(sizes[a:b]) >= 6:
+                    inside = [r for r in runs if a <= r[0] and r[1] <= b]
+                    assert {x for r in inside for x in range(*r)} == set(range(a, b))
+
+
+def test_a_line_of_very_many_documents_gives_few_pairs(spark):
+    """A line that thousands repeat, in places that no alignment reaches: pairs stay in proportion."""
+    hot = "the very same line of more than six words"
+    rows = [(i, f"{hot}\nown {i}\n{hot}\n{hot if i % 2 else 'x'}\ntail {i % 50}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.md5("text").alias("_key"), "text")
+    found = linedup._line_lists(keyed, ["_id", "_key"], "text", 6).withColumn("row", F.monotonically_increasing_id())
+    held = linedup.held_before(found)
+    assert held.select("row", "first_row").distinct().count() <= 2 * len(rows)
+    assert held.count() <= 9 * len(rows)
+    out = linedup.without_repeated_lines(docs)
+    assert out.where(F.col("doc_id") > 0).where(F.contains("text", F.lit(hot))).count() == 0
+
+
 def lost_lines(spark, given):
     docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
     return {r.doc_id: r.n_deleted for r in linedup.without_repeated_lines(docs).collect()}
@@ -305,7 +371,6 @@ def lost_lines(spark, given):
 
 def test_line_dedup_of_short_lines(spark):
     """Documents of lines under six words meet on runs of lines, not on single ones."""
-    assert list(linedup.meeting_runs([2, 0, 3, 7, 1, 4, 1, 2], 6)) == [(3, 1), (4, 3), (5, 3)]
     verse = "roses are red\n\nviolets are blue\nsugar is sweet"
     assert lost_lines(spark, [
         (1, verse), (2, verse), (3, "a title\n" + verse + "\nits end"), (4, "sugar is sweet\nroses are red\nwell"),
@@ -319,4 +384,12 @@ def test_line_dedup_tries_further_holders(spark):
     assert lost_lines(spark, [
         (1, f"{one}\n{two}"), (2, f"start\n{one}\nend"), (3, f"a\n{two}\nb\n{one}\nc"),
         (4, f"x\n{many}\ny"), *others, (90, f"one\n{many}\ntwo\n{many}\nend 7"),
-    ]) == {1: 0, 2: 1, 3: 2, 4: 0, **{i: 1 for i, _ in others}, 90: 2}
+    ]) == {1: 0, 2: 1, 3: 2, 4: 0, **{i: 1 for i, _ in others}, 90: 3}
+
+
+def test_line_dedup_takes_short_lines_next_to_others(spark):
+    """A short line goes with the long one that it follows in an earlier document, whichever came first of all."""
+    long = " ".join(corpus.words(7, "long"))
+    rows = [(1, long), (2, f"{long}\nshort tail"), (3, f"x\n{long}\nshort tail\ny")]
+    assert lost_lines(spark, rows) == {1: 0, 2: 1, 3: 2}
+    assert lost_lines(spark, rows[1:]) == {2: 0, 3: 2}
