@@ -2,15 +2,18 @@
 
 Every text is a reference block. The index holds, for each run of 35 words,
 the least 12-gram hash (an anchor); equal runs have equal anchors. Texts that
-own an anchor seen twice are read again, all runs around such anchors are
-looked up in the index of runs, and each text is parsed from the left: a
-factor goes on while its next run is also found in the same block, and at each
-factor boundary the next run is checked against all other blocks before the
-parse moves on. So no run that occurs twice is missed, whichever factors the
-greedy choice cuts it into. The words under the factors are the duplicate spans.
-
-Runs are compared by 64-bit hashes. A fixed-size bit map of the touched texts
-keeps all others out of the shuffles.
+own an anchor seen twice are read again, all runs around such anchors are put
+into the index of runs with the first and the last place (block and word) that
+holds them, and each text is parsed from the left: a factor begins with a run
+that stands at another place and goes on word by word while the same block goes
+on with the same run. At each factor boundary the next run is looked up among
+all blocks before the parse moves on, so no run that occurs twice is missed,
+whichever factors the greedy choice cuts it into. A factor equals the words of
+its block from its place on, and the words under the factors are the duplicate
+spans. A text of which there are copies is one factor.
+
+Runs are compared by 64-bit hashes. Fixed-size bit maps of the touched texts
+and of the repeated runs keep all others out of the shuffles.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from tablewright.session import cut_lineage
 RUN = 35
 GRAM = 12
 EMPTY = hashlib.sha256(b"").hexdigest()
-FACTOR = "struct<start:int,words:int,block:bigint>"
+FACTOR = "struct<start:int,words:int,block:bigint,at:int>"
 
 
 def _runs(piece: W.Slice, run: int, gram: int):
@@ -93,19 +96,23 @@ def _candidates(texts: DataFrame, run: int, gram: int) -> DataFrame:
     )
 
 
-def factors(starts: np.ndarray, blocks: np.ndarray, run: int) -> list[tuple[int, int, int]]:
-    """Parse from the left: (first word, words, block) for repeated runs in order of their starts.
+def factors(
+    starts: np.ndarray, blocks: np.ndarray, places: np.ndarray, run: int
+) -> list[tuple[int, int, int, int]]:
+    """Parse from the left: (first word, words, block, word in it) for runs that stand elsewhere, in order of their starts.
 
-    A factor ends where the next run is not repeated or is known from another
-    block; that next run then opens a factor of its own, so factors may overlap.
+    A factor ends where the next run stands nowhere else or where its block
+    does not go on with it; the next run then opens a factor of its own, so
+    factors may overlap.
     """
     if len(starts) == 0:
         return []
-    cut = np.flatnonzero((np.diff(starts) != 1) | (blocks[1:] != blocks[:-1])) + 1
+    goes_on = (np.diff(starts) == 1) & (blocks[1:] == blocks[:-1]) & (np.diff(places) == 1)
+    cut = np.flatnonzero(~goes_on) + 1
     first = np.concatenate([[0], cut])
     last = np.concatenate([cut, [len(starts)]]) - 1
     return [
-        (int(starts[a]), int(starts[b] - starts[a]) + run, int(blocks[a])) for a, b in zip(first, last)
+        (int(starts[a]), int(starts[b] - starts[a]) + run, int(blocks[a]), int(places[a])) for a, b in zip(first, last)
     ]
 
 
@@ -124,30 +131,32 @@ def _touched_texts(docs: DataFrame, id: str, text: str, wanted: DataFrame) -> Da
 def repeated_passages(
     docs: DataFrame, id: str = "doc_id", text: str = "text", run: int = RUN, gram: int = GRAM,
 ) -> DataFrame:
-    """Per row: words, words removed, digest of the kept words, factors and kept text.
+    """Per row: words, words removed, digest of the kept words, factors, kept text and ``row``.
 
     A run of ``run`` words that starts at two places of the corpus (of one text
     or of two) is removed at all of them. NULL, empty and blank texts have no
     words and keep the empty text; texts shorter than a run keep all words;
     equal texts of at least ``run`` words lose all of them, whatever their ids.
     ``kept`` is NULL where the text keeps all its words, else the kept words
-    joined by one space. A text of which there are copies has no factors of its
-    own (NULL): the whole text is one. Other columns are ignored.
+    joined by one space. A factor has its first word and number of words, the
+    number of the row (``row``) it is found in and the word it starts at there;
+    a text of which there are copies is one factor of another copy's row. Other
+    columns are ignored.
     """
     found = cut_lineage(
         _index(docs, id, text, run, gram).withColumn("row", F.monotonically_increasing_id())
     )
-    distinct = found.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("row").alias("row")
-    )
-    anchors = found.select("row", F.explode("anchors").alias("h"))
     # aggregates are stored before they are joined back: then both sides of the join
-    # are shuffled, and Spark may split a hash that very many texts share
+    # are shuffled, and Spark may split a key that very many rows share
+    distinct = cut_lineage(found.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"), F.max("row").alias("last_row")
+    ))
+    anchors = found.select("row", F.explode("anchors").alias("h"))
     repeated = cut_lineage(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     marked = anchors.join(repeated, "h").groupBy("row").agg(F.collect_set("h").alias("marks"))
     first_ids = found.select("row", F.col("_id").alias("first_id"))
     wanted = cut_lineage(
-        distinct.join(marked, "row").join(first_ids, "row")
+        distinct.drop("last_row").join(marked, "row").join(first_ids, "row")
         .select(F.col("_key").alias("key"), "row", "copies", "first_id", "marks")
     )
     runs = cut_lineage(_candidates(_touched_texts(docs, id, text, wanted), run, gram))
@@ -155,12 +164,16 @@ def repeated_passages(
         "row", "copies", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
     )
     # a run of a text with copies is repeated by that alone
+    place = F.struct("row", "start")
     index = cut_lineage(places.groupBy("h").agg(
-        F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"), F.min("row").alias("block")
-    ).where("n > 1 OR most > 1").select("h", "block"))
+        F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"), F.min(place).alias("first"), F.max(place).alias("last")
+    ).where("n > 1 OR most > 1").select("h", "first", "last"))
+    elsewhere = F.when((F.col("first.row") == F.col("row")) & (F.col("first.start") == F.col("start")), F.col("last")).otherwise(F.col("first"))
+    # runs that the bit map rules out stand nowhere else
     spans = cut_lineage(
-        places.where("copies = 1").select("row", "start", "h").join(index, "h")
-        .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "block"))).alias("hits"))
+        places.where("copies = 1").where(on_map_of(index, "h")(F.col("h"))).select("row", "start", "h").join(index, "h")
+        .select("row", F.struct("start", elsewhere.getField("row").alias("block"), elsewhere.getField("start").alias("at")).alias("hit"))
+        .groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
         .join(wanted.select("row", "key", "first_id"), "row")
         .select("key", "first_id", "hits")
     )
@@ -169,20 +182,19 @@ def repeated_passages(
         for batch in batches:
             keys, removed, digests, found_in, kept = [], [], [], [], []
             for key, hits, body in zip(*(batch.column(i) for i in range(3))):
-                at = hits.values.field("start").to_numpy(zero_copy_only=False)
-                block = hits.values.field("block").to_numpy(zero_copy_only=False)
+                hit = [hits.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "block", "at")]
                 own = body.as_py().encode().split()
-                parsed = factors(at, block, run)
+                parsed = factors(*hit, run)
                 cover = np.zeros(len(own), dtype=bool)
-                for start, n, _ in parsed:
+                for start, n, _, _ in parsed:
                     cover[start:start + n] = True
                 rest = b" ".join(w for w, gone in zip(own, cover.tolist()) if not gone)
                 keys.append(key.as_py())
                 removed.append(int(cover.sum()))
                 digests.append(hashlib.sha256(rest).hexdigest())
-                found_in.append([{"start": s, "words": n, "block": b} for s, n, b in parsed])
+                found_in.append([{"start": s, "words": n, "block": b, "at": p} for s, n, b, p in parsed])
                 kept.append(rest.decode())
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("block", pa.int64())]))
+            kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("block", pa.int64()), ("at", pa.int32())]))
             yield pa.RecordBatch.from_arrays([
                 pa.array(keys, pa.binary()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
                 pa.array(found_in, kind), pa.array(kept, pa.string()),
@@ -192,15 +204,19 @@ def repeated_passages(
         parse, f"_key binary, gone bigint, rest_digest string, factors array<{FACTOR}>, rest string"
     )
     whole = (F.col("copies") > 1) & (F.col("n_words") >= run)
+    other = F.when(F.col("row") == F.col("first_row"), F.col("last_row")).otherwise(F.col("first_row"))
+    copy = F.array(F.struct(
+        F.lit(0).alias("start"), F.col("n_words").cast("int").alias("words"), other.alias("block"), F.lit(0).alias("at")
+    ))
     return (
-        found.drop("anchors", "row")
-        .join(distinct.select("_key", "copies"), "_key")
+        found.drop("anchors")
+        .join(distinct.withColumnRenamed("row", "first_row"), "_key")
         .join(parsed, "_key", "left")
         .select(
             F.col("_id").alias(id), "n_words",
             F.when(whole, F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0))).alias("n_removed"),
             F.when(whole, EMPTY).otherwise(F.coalesce("rest_digest", "digest")).alias("kept_sha256"),
-            F.when(~whole, F.coalesce("factors", F.array().cast(f"array<{FACTOR}>"))).alias("factors"),
-            F.when(whole, F.lit("")).otherwise(F.col("rest")).alias("kept"),
+            F.when(whole, copy).otherwise(F.coalesce("factors", F.array().cast(f"array<{FACTOR}>"))).alias("factors"),
+            F.when(whole, F.lit("")).otherwise(F.col("rest")).alias("kept"), "row",
         )
     )

@@ -185,11 +185,18 @@ def test_repeated_passages(spark):
         want[(row[0], len(w), len(cover), sha([x for i, x in enumerate(w) if i not in cover]))] += 1
     found = lzparse.repeated_passages(corpus.documents(spark)).collect()
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == want
+    words_of = {(row[0], len(w)): w for row, w in zip(given, cut)}
+    by_row = {r.row: words_of[(r.doc_id, r.n_words)] for r in found}
+    assert len(by_row) == len(given)
     for r in found:
-        if r.factors:
-            # the factors tell the removed words, and the kept text is what its digest says
-            assert len({w for f in r.factors for w in range(f.start, f.start + f.words)}) == r.n_removed
-            assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
+        # the factors tell the removed words, and the kept text is what its digest says
+        assert len({w for f in r.factors for w in range(f.start, f.start + f.words)}) == r.n_removed
+        assert not r.factors or hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
+        for f in r.factors:
+            # each is a piece of its block, and not the same place
+            assert f.words >= 35 and by_row[r.row][f.start:f.start + f.words] == by_row[f.block][f["at"]:f["at"] + f.words]
+            assert (f.block, f["at"]) != (r.row, f.start)
+    assert sum(len(r.factors) for r in found) > 10
     assert lzparse.repeated_passages(corpus.documents(spark, [])).count() == 0
 
 
@@ -197,8 +204,10 @@ def test_factors_check_the_next_run_at_each_boundary():
     import numpy as np
 
     starts, blocks = np.array([0, 1, 2, 3, 9, 10]), np.array([7, 7, 8, 8, 8, 8])
-    assert lzparse.factors(starts, blocks, 5) == [(0, 6, 7), (2, 6, 8), (9, 6, 8)]
-    assert lzparse.factors(starts[:0], blocks[:0], 5) == []
+    at = np.array([4, 5, 20, 21, 30, 40])
+    # a factor ends with its block, where that goes on elsewhere, and where a run stands nowhere else
+    assert lzparse.factors(starts, blocks, at, 5) == [(0, 6, 7, 4), (2, 6, 8, 20), (9, 5, 8, 30), (10, 5, 8, 40)]
+    assert lzparse.factors(starts[:0], blocks[:0], at[:0], 5) == []
 
 
 def heap_quotas(votes, seats):
