@@ -185,7 +185,7 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.size("passages").cast("bigint").alias("n_passages"),
         F.array_join(F.array_sort(F.array_distinct("passages.template")), ",").alias("licenses"),
-        F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["template"], p["first"], p["last"])), ",").alias("passages"),
+        F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["template"], p["start"], p["end"])), ",").alias("passages"),
         F.round(F.coalesce(F.array_max("passages.dice"), F.lit(0.0)), 6).alias("best_dice"),
     )
 

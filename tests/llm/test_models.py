@@ -4,7 +4,8 @@ import math
 import random
 import re
 import sys
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -277,43 +278,94 @@ def test_opaque_values_of_any_length():
     assert [(a, b) for k, a, b, _ in secret_scan.spans(big + "=== " + big)] == [(len(big) + 4, 2 * len(big) + 4)]
 
 
+def licences_by_hand(text):
+    """Passages of whole words by trying every begin and end; lines by counting breaks."""
+    body = (text or "").encode()
+    spots = [m.span() for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", body)]
+    words = [body[a:b].lower() for a, b in spots]
+    grams = list(zip(words, words[1:]))
+    out = []
+    for name, notice in sorted(licenses.TEMPLATES.items()):
+        template = licenses.bigrams(licenses.normalised(notice))
+        size = sum(template.values())
+        places = [i for i, g in enumerate(grams) if g in template]
+        best = []
+        for i in places:
+            ends, seen, last = [], Counter(), i
+            for j in places:
+                if j < i or j - i + 1 > licenses.size_bounds(size, licenses.THRESHOLD)[1]:
+                    continue
+                seen.update(grams[last:j + 1])
+                last = j + 1
+                ends.append((-licenses.dice(seen, template), j))
+            value, j = min(ends, key=lambda e: (round(e[0], 12), e[1]))
+            if -value >= licenses.THRESHOLD - 1e-12:
+                best.append((value, i, j))
+        taken = []
+        for value, i, j in sorted(best):
+            if all(j + 1 < a or b + 1 < i for _, a, b in taken):
+                taken.append((value, i, j))
+                out.append((name, i, j + 2, body[:spots[i][0]].count(b"\n"), body[:spots[j + 1][0]].count(b"\n"), round(-value, 9)))
+    return sorted(out, key=lambda p: (p[1], p[2], p[0]))
+
+
 def test_licences(spark):
     notice = licenses.TEMPLATES["isc"]
     broken = notice.replace(", and/or ", ",\nand/or ").replace(" granted, ", "\n granted,\n\n ")
+    prose = " ".join(corpus.words(40, "prose"))
     given = [
         (1, f"before\n{notice}\nafter"), (2, f"one\n{broken}\ntwo"), (3, "Released under the MIT License."), (4, None), (5, ""),
-        (6, "All\nRights reserved!"), (7, "released under some other license entirely"), (8, "all rights reserved " * 2000),
+        (6, "All\nRights reserved!"), (7, "released under some other license entirely"), (8, "all rights reserved " * 60),
         (9, "x\n" * 30), (1, f"before\n{notice}\nafter"), (None, "LICENSED UNDER CC BY-SA 4.0"),
+        (10, f"{prose} Released under the MIT License. {prose} All rights reserved. {prose}"), (11, f"{prose} {licenses.TEMPLATES['mit-full']} {prose}"),
+        (12, licenses.TEMPLATES["bsd-3-clause"].replace(" ", "\n", 50)), (13, licenses.TEMPLATES["bsd-2-clause"].replace("COPYRIGHT HOLDER", "REGENTS")),
+        (14, "é" * 10 + licenses.TEMPLATES["zlib"][:400]),
     ]
-    given += [(20 + i, t) for i, (_, t, *_) in enumerate(corpus.rows()) if len(t or "") < 5000]
+    given += [(30 + i, t) for i, (_, t, *_) in enumerate(corpus.rows()) if len(t or "") < 5000]
     docs = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
-    got = sorted(
-        (repr(r.doc_id), [(p.template, p.first, p["last"], round(p.dice, 9)) for p in r.passages])
-        for r in licenses.licence_passages(docs).collect()
-    )
-    known = {n: licenses.bigrams(licenses.normalised(t)) for n, t in licenses.TEMPLATES.items()}
-
-    def brute(text):
-        lines, out = [licenses.normalised(x) for x in (text or "").split("\n")], []
-        for name, template in known.items():
-            best = []
-            for i in range(len(lines)):
-                after = next((x[0] for x in lines[i + 1:] if x), None)
-                own = [*lines[i], *([after] if after and lines[i] else [])]
-                if any(g in template for g in zip(own, own[1:])):
-                    for j in range(i, min(len(lines), i + 40)):
-                        value = licenses.dice(licenses.bigrams(sum(lines[i:j + 1], [])), template)
-                        if value >= licenses.THRESHOLD:
-                            best.append((-value, i, j))
-            taken = []
-            for value, i, j in sorted(best):
-                if all(j < a or b < i for _, a, b in taken):
-                    taken.append((value, i, j))
-            out += [(name, i, j, round(-v, 9)) for v, i, j in taken]
-        return sorted(out, key=lambda p: (p[1], p[2], p[0]))
-
-    assert got == sorted((repr(i), brute(t)) for i, t in given)
-    assert dict((i, p) for i, p in got)["2"][0][0] == "isc"
+    got = {}
+    for r in licenses.licence_passages(docs).collect():
+        got.setdefault(r.doc_id, []).append([(p.template, p.start, p.end, p.first, p["last"], round(p.dice, 9)) for p in r.passages])
+    for i, t in given:
+        assert licences_by_hand(t) in got[i], i
+    assert sum(map(len, got.values())) == len(given)
+    names = {i: {p[0] for p in got[i][0]} for i in (2, 10, 11, 12, 13)}
+    assert "isc" in names[2] and names[10] == {"mit", "all-rights-reserved"} and "mit-full" in names[11]
+    assert "bsd-3-clause" in names[12] and "bsd-2-clause" in names[13]
+
+
+def test_licences_next_to_all_windows():
+    """Random texts over the words of few templates."""
+    pick = random.Random(4)
+    pool = sorted({w.decode() for n in ("mit", "isc", "unlicense", "cc-by-4.0") for w in licenses.normalised(licenses.TEMPLATES[n])})
+    for _ in range(40):
+        parts = []
+        for _ in range(pick.randrange(1, 6)):
+            own = licenses.TEMPLATES[pick.choice(["mit", "isc", "unlicense", "all-rights-reserved"])].split()
+            for _ in range(pick.randrange(6)):
+                own[pick.randrange(len(own))] = pick.choice(pool)
+            parts.append(" ".join(own))
+        text = "\n".join(parts)
+        data = W.LOWER[np.frombuffer(text.encode(), dtype=np.uint8)]
+        found = W.find_words(data, np.array([0, len(data)]), W.ALPHANUMERIC)
+        hashes = W.run_hashes(W.word_hashes(data, found), 2)
+        got = []
+        for name, notice in sorted(licenses.TEMPLATES.items()):
+            t = licenses.template(notice)
+            held = np.flatnonzero(np.isin(hashes, t.grams))
+            if len(held):
+                gram = np.searchsorted(t.grams, hashes[held])
+                got += [(name, a, b + 2, round(v, 9)) for a, b, v in licenses.passages(held, gram, t, licenses.THRESHOLD)]
+        assert sorted(got, key=lambda p: (p[1], p[2], p[0])) == [(n, a, b, v) for n, a, b, _, _, v in licences_by_hand(text)]
+
+
+def test_very_long_texts_of_notices(spark):
+    began = time.time()
+    text = (licenses.TEMPLATES["mit-full"] + " " + licenses.TEMPLATES["all-rights-reserved"] + "\n") * 3000
+    found = licenses.licence_passages(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first().passages
+    counts = Counter(p.template for p in found)
+    assert counts["mit-full"] == counts["mit-permission"] == counts["all-rights-reserved"] == 3000
+    assert time.time() - began < 40
 
 
 def test_size_bounds_lose_no_template():
