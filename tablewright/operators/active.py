@@ -228,7 +228,7 @@ def score_histogram(ranked: DataFrame, bins: int = 20) -> DataFrame:
 HISTORY = (
     "strategy string, iteration int, n_labeled bigint, accuracy double, f1 double, "
     "precision_macro double, recall_macro double, f1_per_class map<string,double>, "
-    "mean_entropy double, fit_seconds double, eval_seconds double, evaluated_at timestamp"
+    "mean_entropy double, fit_seconds double, eval_seconds double, evaluated_at timestamp, asked array<string>"
 )
 
 
@@ -273,6 +273,7 @@ class Experiment:
     ) -> DataFrame:
         """Fit, evaluate, query and move, ``rounds`` times; one history row per fit.
 
+        ``asked`` holds the ids that the round asked for, most informative first.
         Only the asked ids (at most ``rounds * batch``) live on the driver; the
         feature table never changes, so no lineage grows from round to round.
         """
@@ -301,9 +302,11 @@ class Experiment:
                 (strategy, iteration, n_init + len(asked), m["accuracy"], m["f1"], m["precision_macro"],
                  m["recall_macro"], m["per_class"], spread, fitted - started, measured - fitted, m["at"])
             )
+            picked = []
             if iteration < rounds and n_pool - len(asked) >= batch:
-                picked = query(pool, strategy, batch, row_id, seed, iteration).select(row_id).collect()
-                asked += [r[0] for r in picked]
+                picked = [r[0] for r in query(pool, strategy, batch, row_id, seed, iteration).select(row_id).collect()]
+            asked += picked
+            history[-1] += ([str(i) for i in picked],)
         return spark.createDataFrame(history, HISTORY)
 
 

@@ -66,11 +66,16 @@ def drop_exact(df: DataFrame) -> DataFrame:
 
 
 def drop_subset(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
-    """The row with the smallest id for each key."""
-    # keys meet as digests: whole texts stay out of the shuffle, and the counts combine before it
-    digest = profile.row_digest(df, keys)
-    keep = df.groupBy(digest.alias("_d")).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return df.join(keep, row_id, "left_semi")
+    """The row with the smallest id for each key; rows without id come last, rows of one id by their digest.
+
+    Rows that agree in every column are one row.
+    """
+    # keys and rows meet as digests: whole texts stay out of the shuffles, and counts combine before them
+    key, whole = profile.row_digest(df, keys), profile.row_digest(df)
+    first = F.min(F.struct(F.col(row_id).isNull(), F.col(row_id), whole.alias("_whole"))).alias("_first")
+    keep = df.groupBy(key.alias("_key")).agg(first).select(F.col("_first._whole").alias("_kept"))
+    held = df.withColumn("_whole", whole)
+    return held.join(keep, F.col("_whole") == F.col("_kept"), "left_semi").dropDuplicates(["_whole"]).drop("_whole")
 
 
 def drop_rows(df: DataFrame, columns: Sequence[str] | None = None, max_missing: int = 0) -> DataFrame:

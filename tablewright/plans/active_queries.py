@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tablewright.operators import active as al
 from tablewright.plans.registry import labeled, near, query, scored_documents, table
@@ -111,7 +111,7 @@ def query_margin(spark, folder):
 
 @query(
     "query_random",
-    "SELECT 10::BIGINT AS n, 10::BIGINT AS n_ids, 10::BIGINT AS n_known, true AS repeatable",
+    "SELECT least(10, count(*)) AS n, least(10, count(DISTINCT doc_id)) AS n_ids, least(10, count(doc_id)) AS n_known, true AS repeatable FROM documents",
 )
 def query_random(spark, folder):
     """Different rows of the pool, the same on each run."""
@@ -197,7 +197,7 @@ def _history(spark, folder, rounds=2):
 
 @query("al_cycle")
 def al_cycle(spark, folder):
-    return _history(spark, folder).drop("evaluated_at", "fit_seconds", "eval_seconds", "f1_per_class")
+    return _history(spark, folder).drop("evaluated_at", "fit_seconds", "eval_seconds", "f1_per_class", "asked")
 
 
 @query(
@@ -217,6 +217,30 @@ def al_split_counts(spark, folder):
     )
 
 
+@query(
+    "al_asked",
+    """WITH n AS (SELECT count(*) - ceil(0.2 * count(*)) - 50 AS pool FROM labels JOIN documents USING (doc_id) WHERE quality IS NOT NULL),
+    r AS (SELECT i, least(10, greatest(0, pool - 10 * i))::BIGINT AS n FROM n, range(2) r(i))
+    SELECT s.strategy, i::INT AS iteration, r.n AS n_asked, r.n AS n_new, r.n AS n_from_pool, r.n AS n_ordered
+    FROM (VALUES ('entropy'), ('margin'), ('random')) s(strategy), r""",
+)
+def al_asked(spark, folder):
+    """The rows that each round asks for: from the pool, never asked before, the most informative first."""
+    split = _split(spark, folder)
+    experiment = al.Experiment.prepare(split, "doc_id", "text", "quality", max_iter=5)
+    runs = [experiment.run(s, 2) for s in ("entropy", "margin", "random")]
+    asked = runs[0].unionByName(runs[1]).unionByName(runs[2]).where("iteration < 2").select(
+        "strategy", "iteration", F.posexplode("asked").alias("place", "doc_id")
+    ).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    pool = experiment.rows.where("split = 'pool'").select("doc_id", F.lit(True).alias("in_pool"))
+    earlier = Window.partitionBy("strategy", "doc_id").orderBy("iteration", "place")
+    marked = asked.join(pool, "doc_id", "left").withColumn("time", F.row_number().over(earlier))
+    return marked.groupBy("strategy", "iteration").agg(
+        F.count(F.lit(1)).alias("n_asked"), F.count_if(F.col("time") == 1).alias("n_new"), F.count("in_pool").alias("n_from_pool"),
+        F.count_distinct("place").alias("n_ordered"),
+    )
+
+
 # history figures derived from the orders: one run per status, one round per year
 HISTORY_SQL = """hist AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'entropy' ELSE 'random' END AS strategy, (year(o_orderdate) - 1992)::INT AS iteration,
   (50 + 10 * (year(o_orderdate) - 1992))::BIGINT AS n_labeled, round(avg((o_totalprice > 250000)::INT), 4) AS f1,

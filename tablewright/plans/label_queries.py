@@ -363,7 +363,7 @@ def inspect_paths(spark, folder):
 
 @query(
     "pilot_rows",
-    "SELECT 100::BIGINT AS n_pilot, 100::BIGINT AS n_ids, 100::BIGINT AS n_known, (SELECT count(*) FROM documents) AS n_all",
+    "SELECT least(100, count(*)) AS n_pilot, least(100, count(DISTINCT doc_id)) AS n_ids, least(100, count(doc_id)) AS n_known, count(*) AS n_all FROM documents",
 )
 def pilot_rows(spark, folder):
     """A pilot has different rows of the table, the same ones on each run, and its size alone decides how many."""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.functions import scalars
-from tablewright.operators import cleaning, missingness, profile, sketches
+from tablewright.functions import scalars, text as tx
+from tablewright.operators import cleaning, compare, missingness, profile, sketches
 from tablewright.operators.ordered import exact_quantiles
 from tablewright.plans.quality_queries import A_SQL, CLEAN_SQL
 from tablewright.plans.registry import REVIEWS_SQL, near, query, reviews, table
@@ -656,3 +656,22 @@ def stored_sketches(spark, folder):
         (F.abs(F.col("n_o_custkey") - F.col("n_customers")) <= sketches.DISTINCT_ERROR * F.col("n_customers")).alias("count_holds"),
         near_ranks.alias("quantiles_hold"),
     )
+
+
+@query(
+    "preview_rows",
+    """SELECT doc_id, substr(text, 1, 200) AS preview, date_trunc('month', o_orderdate)::DATE AS month
+    FROM documents JOIN orders ON doc_id = o_orderkey""",
+)
+def preview_rows(spark, folder):
+    docs = table(spark, folder, "documents").join(table(spark, folder, "orders"), F.col("doc_id") == F.col("o_orderkey"))
+    return docs.select("doc_id", tx.preview("text").alias("preview"), scalars.month_of("o_orderdate").alias("month"))
+
+
+@query(
+    "length_summary",
+    """WITH l AS (SELECT length(text) AS len FROM documents WHERE text IS NOT NULL), e AS (SELECT min(len) AS lo, (max(len) - min(len)) / 40.0 AS w FROM l)
+    SELECT g.bin::INT AS bin, (SELECT count(*) FROM l WHERE least(floor((len - lo) / w), 39) = g.bin) AS n FROM e, range(40) g(bin)""",
+)
+def length_summary(spark, folder):
+    return compare.length_summary(table(spark, folder, "documents"), "text").select("bin", "n")

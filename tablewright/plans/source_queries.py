@@ -183,3 +183,14 @@ def updated_report(spark, folder):
     return rp.current_report(spark, path).select(
         F.lit(version).alias("version"), "counts.orders", "counts.by.closed", "counts.by.open_", "note", "urgent"
     )
+
+
+@query("marked_files", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def marked_files(spark, folder):
+    """Files that begin with a byte-order mark, read as lines and as records."""
+    path = scratch_path(spark, "marked")
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    dl.write_delimited(rows.repartition(3), path, bom=True)
+    schema = "c_custkey bigint, c_name string, c_acctbal double"
+    lines, records = (dl.read_delimited(spark, path, schema, multi_line=m) for m in (False, True))
+    return lines.where("c_custkey % 2 = 0").unionByName(records.where("c_custkey % 2 = 1"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tablewright.operators import tasks
 from tablewright.plans.registry import SCORED_SQL, query, scored_documents, table
+from tablewright.session import scratch_path
 
 S = f"WITH {SCORED_SQL} "
 
@@ -99,10 +100,41 @@ def _choices(spark, folder):
     )
 
 
-@query("validate_sound_tasks", "SELECT 0::BIGINT AS n_errors")
+@query(
+    "validate_sound_tasks",
+    S + "SELECT label, count(*) AS n_tasks, 0::BIGINT AS n_errors FROM scored GROUP BY label",
+)
 def validate_sound_tasks(spark, folder):
+    """Tasks of every label, and the rules that those of this label break."""
     rows = tasks.to_json_rows(_choices(spark, folder), "doc_id")
-    return tasks.validate_tasks(rows, ["liked", "mixed", "not_liked"]).agg(F.count(F.lit(1)).alias("n_errors"))
+    broken = tasks.validate_tasks(rows, ["liked", "mixed", "not_liked"]).groupBy(F.col("task_id").alias("doc_id")).agg(
+        F.count(F.lit(1)).alias("errors")
+    )
+    docs = scored_documents(spark, folder).select("doc_id", "label").join(broken, "doc_id", "left")
+    return docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_tasks"), F.coalesce(F.sum("errors"), F.lit(0)).alias("n_errors"))
+
+
+@query(
+    "task_batches",
+    S + "SELECT label, count(*) AS n_tasks, count(DISTINCT doc_id) AS n_ids, true AS small, true AS in_order FROM scored GROUP BY label",
+)
+def task_batches(spark, folder):
+    """Tasks written in id order, at most a hundred a file, and read back with their places."""
+    path = scratch_path(spark, "tasks")
+    made = _choices(spark, folder).select(F.col("doc_id").alias("id"), "data", "predictions")
+    tasks.write_task_batches(made, path, "id", 100)
+    label = F.col("predictions")[0]["result"][0]["value"]["choices"][0]
+    back = spark.read.schema(made.schema).json(path).select(
+        "id", label.alias("label"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
+    )
+    files = back.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+    after = F.lag("hi").over(Window.orderBy("lo"))
+    facts = files.withColumn("apart", F.coalesce(F.col("lo") > after, F.lit(True))).agg(
+        F.struct((F.max("n") <= 100).alias("small"), F.bool_and("apart").alias("in_order")).alias("f")
+    ).scalar()
+    return back.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_tasks"), F.count_distinct("id").alias("n_ids")
+    ).select("label", "n_tasks", "n_ids", facts["small"].alias("small"), facts["in_order"].alias("in_order"))
 
 
 @query(

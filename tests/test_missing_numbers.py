@@ -86,3 +86,11 @@ def test_hot_key_is_spread_by_its_share(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_drop_subset_of_missing_and_repeated_ids(spark):
+    rows = [(1, "a", "x"), (1, "a", "y"), (None, "a", "z"), (None, "b", "z"), (None, "b", "y"), (3, None, "n"), (2, None, "m"), (4, "c", "q"), (4, "c", "q")]
+    df = spark.createDataFrame(rows, "id int, k string, v string").repartition(3)
+    got = cleaning.drop_subset(df, ["k"], "id").collect()
+    assert sorted((r.id or 0, r.k or "") for r in got) == [(0, "b"), (1, "a"), (2, ""), (4, "c")]
+    assert {r.k: r.v for r in got if r.k in (None, "c")} == {None: "m", "c": "q"}
