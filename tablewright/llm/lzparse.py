@@ -163,16 +163,29 @@ def repeated_passages(
     places = runs.select("row", "copies", F.explode(F.arrays_zip("starts", "runs")).alias("p")).select(
         "row", "copies", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
     )
-    # a run of a text with copies is repeated by that alone
-    place = F.struct("row", "start")
-    index = cut_lineage(places.groupBy("h").agg(
-        F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"), F.min(place).alias("first"), F.max(place).alias("last")
-    ).where("n > 1 OR most > 1").select("h", "first", "last"))
-    elsewhere = F.when((F.col("first.row") == F.col("row")) & (F.col("first.start") == F.col("start")), F.col("last")).otherwise(F.col("first"))
+    # a run of a text with copies is repeated by that alone; of a run the first and the last
+    # text that hold it are kept with a place in each, of a run of one text two places
+    one = F.col("first_row") == F.col("last_row")
+    index = cut_lineage(
+        places.groupBy("h").agg(
+            F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"),
+            F.min("row").alias("first_row"), F.max("row").alias("last_row"),
+            F.min_by("start", "row").alias("in_first"), F.max_by("start", "row").alias("in_last"),
+            F.min("start").alias("least"), F.max("start").alias("greatest"),
+        ).where("n > 1 OR most > 1").select(
+            "h", "first_row", "last_row", F.when(one, F.col("least")).otherwise(F.col("in_first")).alias("first_start"),
+            F.when(one, F.col("greatest")).otherwise(F.col("in_last")).alias("last_start"),
+        )
+    )
+    own = (F.col("row") == F.col("first_row")) & (~one | (F.col("start") == F.col("first_start")))
+    hit = F.struct(
+        "start", F.when(own, F.col("last_row")).otherwise(F.col("first_row")).alias("block"),
+        F.when(own, F.col("last_start")).otherwise(F.col("first_start")).alias("at"),
+    )
     # runs that the bit map rules out stand nowhere else
     spans = cut_lineage(
         places.where("copies = 1").where(on_map_of(index, "h")(F.col("h"))).select("row", "start", "h").join(index, "h")
-        .select("row", F.struct("start", elsewhere.getField("row").alias("block"), elsewhere.getField("start").alias("at")).alias("hit"))
+        .select("row", hit.alias("hit"))
         .groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
         .join(wanted.select("row", "key", "first_id"), "row")
         .select("key", "first_id", "hits")
