@@ -46,7 +46,7 @@ def stratified_split(
     counts = profile.value_counts(df, stratify, out="_n")
     total = counts.agg(F.sum("_n")).scalar()
     n_test = F.ceil(F.lit(test_share) * total)
-    with_test = largest_remainder(counts, stratify, "_n", n_test, "test")
+    with_test = cut_lineage(largest_remainder(cut_lineage(counts), stratify, "_n", n_test, "test"))
     left = with_test.withColumn("_left", F.col("_n") - F.col("test"))
     quotas = largest_remainder(left, stratify, "_left", F.lit(n_init), "init")
     return assign_by_quota(df, [row_id], stratify, quotas, ["test", "init"], "pool", seed, out)

@@ -82,9 +82,10 @@ def assign_by_quota(
         F.min(F.when(F.col("_end") > upper, F.struct("_slice", "_start"))).alias(f"_t{j}")
         for j, upper in enumerate(limits)
     ]
-    lookup = ends.groupBy(stratum, *parts, *keep).agg(F.sum("_n").alias("_rows"), *passed).withColumnsRenamed(
+    # stored: one row per stratum, which the join reads several times
+    lookup = cut_lineage(ends.groupBy(stratum, *parts, *keep).agg(F.sum("_n").alias("_rows"), *passed).withColumnsRenamed(
         {part: f"_q{j}" for j, part in enumerate(parts)}
-    )
+    ))
     rows = lookup_join(keyed, lookup, [stratum], "_rows", ids, "inner")
     upper, beyond, split_at, sizes = F.lit(0).cast("bigint"), [], [], []
     for j in range(len(parts)):
