@@ -73,10 +73,11 @@ def learn(
     known = docs.where(F.col(lang).isNotNull() & F.col(id).isNotNull() & (F.length(text) > 0))
     order = Window.partitionBy("_lang").orderBy("_order", "_id")
     # ids alone are ranked; what is broadcast has at most ``texts`` rows per language
-    chosen = (
+    # stored, so that every task ranks its own ids and only the first ones are shuffled by language
+    ids = cut_lineage(
         known.select(F.col(lang).alias("_lang"), F.col(id).alias("_id"), F.xxhash64(id, F.lit(11)).alias("_order")).distinct()
-        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= texts)
     )
+    chosen = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= texts)
 
     @F.arrow_udf("binary")
     def clean(bodies: pa.Array) -> pa.Array:
