@@ -212,3 +212,26 @@ def manifest(
         root.select(F.max("digest")).scalar().alias("root"), "proof",
         *[F.col(inside).alias(outside) for inside, outside in zip(carried, carry or {})],
     )
+
+
+def verify(
+    docs: DataFrame, known: DataFrame, id: str = "doc_id", fields: Sequence[str] = FIELDS
+) -> DataFrame:
+    """Hold a table against a stored manifest: per id the rows ``expected``, ``present`` and ``verified``.
+
+    A row is verified if its leaf leads to the manifest's root with the proof
+    of a row of its id; each proof counts once. Ids of either side are listed,
+    a missing id like any other.
+    """
+    now = docs.groupBy(F.col(id).alias("id"), leaf_digest([F.col(f) for f in fields]).alias("leaf")).agg(F.count(F.lit(1)).alias("present"))
+    # proofs are folded first, so only digests meet; rows of one id and digest are interchangeable
+    sound = fold(F.col("leaf"), F.col("proof")) == F.col("root")
+    then = known.groupBy(F.col(id).alias("id"), "leaf").agg(
+        F.count(F.lit(1)).alias("expected"), F.count_if(sound).alias("sound")
+    )
+    both = now.select("id", "leaf", "present", F.lit(0).alias("expected"), F.lit(0).alias("sound")).unionByName(
+        then.select("id", "leaf", F.lit(0).alias("present"), "expected", "sound")
+    ).groupBy("id", "leaf").agg(F.sum("present").alias("present"), F.sum("expected").alias("expected"), F.sum("sound").alias("sound"))
+    return both.groupBy("id").agg(
+        F.sum("expected").alias("expected"), F.sum("present").alias("present"), F.sum(F.least("present", "sound")).alias("verified")
+    ).withColumnRenamed("id", id)

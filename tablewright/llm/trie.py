@@ -29,17 +29,20 @@ WORDS = "[^\\x20\\x09-\\x0D]+"
 NODE = ["depth", "a", "b"]
 
 
+def _digest(role: str, text: str) -> Column:
+    speaker, body = (F.coalesce(F.col(c), F.lit("")) for c in (role, text))
+    return F.unhex(F.sha2(F.concat(F.octet_length(speaker).cast("string"), F.lit(":"), speaker, body), 256))
+
+
 def turns(rows: DataFrame, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """Stored: ``conv``, ``turn``, digest and number of words of every turn, texts left behind.
 
     Missing roles and texts count as empty. Rows without conversation belong
     to none and are left out.
     """
-    speaker, body = (F.coalesce(F.col(c), F.lit("")) for c in (role, text))
     return cut_lineage(rows.where(F.col(id).isNotNull()).select(
-        F.col(id).alias("conv"), F.col(turn).alias("turn"),
-        F.unhex(F.sha2(F.concat(F.octet_length(speaker).cast("string"), F.lit(":"), speaker, body), 256)).alias("digest"),
-        F.regexp_count(body, F.lit(WORDS)).cast("bigint").alias("words"),
+        F.col(id).alias("conv"), F.col(turn).alias("turn"), _digest(role, text).alias("digest"),
+        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("bigint").alias("words"),
     ))
 
 
@@ -200,3 +203,20 @@ def prefix_trie(convs: DataFrame, rows: DataFrame) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
     )
+
+
+def with_last_turns(
+    nodes: DataFrame, rows: DataFrame, conversations: DataFrame, role: str = "role", text: str = "text"
+) -> DataFrame:
+    """``nodes`` with ``role`` and ``text`` of their last turn; the root has none.
+
+    ``rows`` are those the trie was made of and ``conversations`` the table
+    they come from. Each different turn is looked up once.
+    """
+    texts = conversations.groupBy(_digest(role, text).alias("digest")).agg(
+        F.min(F.struct(F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))).alias("_turn")
+    )
+    last = rows.select(F.col("conv").alias("conv_id"), "depth", "digest")
+    return nodes.join(last, ["conv_id", "depth"], "left").join(texts, "digest", "left").select(
+        *nodes.columns, "_turn.role", "_turn.text"
+    )

@@ -163,6 +163,23 @@ def test_manifest_shows_changes(spark):
     assert Counter(r.doc_id for r in got.where("NOT same").collect()) == changed
 
 
+def test_verify(spark, tmp_path):
+    docs = corpus.documents(spark, many_sources())
+    merkle.manifest(docs).write.parquet(str(tmp_path / "manifest"))
+    known = spark.read.parquet(str(tmp_path / "manifest"))
+    same = merkle.verify(docs.repartition(7), known)
+    assert same.where("expected <> present OR verified <> present").count() == 0
+    assert same.agg(F.sum("verified")).first()[0] == docs.count()
+    changed = docs.where("doc_id IS NULL OR doc_id <> 101").withColumn(
+        "n_chars", F.when(F.col("doc_id") == 102, -1).otherwise(F.col("n_chars"))
+    ).unionByName(docs.where("doc_id IN (103, 104)")).withColumn("doc_id", F.when(F.col("doc_id") == 104, 9999).otherwise(F.col("doc_id")))
+    got = {r.doc_id: (r.expected, r.present, r.verified) for r in merkle.verify(changed, known).where(
+        "expected <> present OR verified <> present").collect()}
+    assert got == {101: (1, 0, 0), 102: (1, 1, 0), 103: (1, 2, 1), 104: (1, 0, 0), 9999: (0, 2, 0)}
+    forged = known.withColumn("root", F.when(F.col("doc_id") == 105, "0").otherwise(F.col("root")))
+    assert [r.doc_id for r in merkle.verify(docs, forged).where("verified < present").collect()] == [105]
+
+
 def test_sweep():
     for n in (1, 2, 3, 4, 9, 10, 27, 28):
         leaves = [sha(str(i)) for i in range(n)]
@@ -237,6 +254,18 @@ def test_prefix_trie(spark, seed):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == trie_by_hand(given)
 
 
+def test_last_turns(spark):
+    convs, rows = rebuilt(spark, CHATS)
+    got = trie.with_last_turns(trie.prefix_trie(convs, rows), rows, chats(spark, CHATS)).collect()
+    turns = {(r.conv, r.depth): bytes(r.digest) for r in rows.collect()}
+    assert len(got) == len(trie_by_hand(CHATS))
+    for r in got:
+        if r.depth == 0:
+            assert r.role is None and r.text is None
+        else:
+            assert hashlib.sha256(f"{len(r.role.encode())}:{r.role}{r.text}".encode()).digest() == turns[(r.conv_id, r.depth)]
+
+
 def test_prefix_trie_of_few(spark):
     assert trie.prefix_trie(*rebuilt(spark, [])).count() == 0
     assert trie.prefix_trie(*rebuilt(spark, [(None, 1, "a", "b")])).count() == 0
