@@ -12,6 +12,11 @@ whichever factors the greedy choice cuts it into. A factor equals the words of
 its block from its place on, and the words under the factors are the duplicate
 spans. A text of which there are copies is one factor.
 
+A place is one number: the size class of its text (bits of its number of
+words), the task that read it, and an offset in which texts of a class begin at
+multiples of its size. The lowest bits are then the word in the text, the rest
+is the text, and of each run only two places go through the shuffle.
+
 Runs are compared by 64-bit hashes. A fixed-size bit map of the touched texts
 keeps all others out of the shuffles.
 """
@@ -23,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm import words as W
@@ -33,6 +39,35 @@ RUN = 35
 GRAM = 12
 EMPTY = hashlib.sha256(b"").hexdigest()
 FACTOR = "struct<start:int,words:int,block:bigint,at:int>"
+# of the 64 bits of a place 5 are the size class, 22 the task; 2**37 words of one class in a task are more than it can hold
+CLASS_AT, TASK_AT = 59, 37
+
+
+class Places:
+    """Numbers texts in the order they are met, by place of the first word; ``task`` tells tasks apart."""
+
+    def __init__(self, task: int):
+        if task >= 1 << (CLASS_AT - TASK_AT):
+            raise ValueError(f"at most {1 << (CLASS_AT - TASK_AT)} tasks can number texts")
+        self.task, self.met = task, np.zeros(32, dtype=np.int64)
+
+    def of(self, n_words: np.ndarray) -> np.ndarray:
+        bits = np.frexp(n_words.astype(np.float64))[1].astype(np.int64)  # of the number of words
+        out = np.zeros(len(bits), dtype=np.int64)
+        for k in np.unique(bits).tolist():
+            own = bits == k
+            offset = (self.met[k] + np.arange(own.sum())) << k
+            self.met[k] += own.sum()
+            if self.met[k] << k > 1 << TASK_AT:
+                raise ValueError("too many words in one task")
+            out[own] = np.int64(self.task << TASK_AT) | offset
+        return out | (bits.astype(np.uint64) << np.uint64(CLASS_AT)).view(np.int64)
+
+
+def word_of(places: np.ndarray) -> np.ndarray:
+    """The word in its text that a place is; the place less that is the text."""
+    bits = (places.view(np.uint64) >> np.uint64(CLASS_AT)).astype(np.int64)
+    return places & ((np.int64(1) << bits) - 1)
 
 
 def _runs(piece: W.Slice, run: int, gram: int):
@@ -45,9 +80,10 @@ def _runs(piece: W.Slice, run: int, gram: int):
 
 
 def _index(docs: DataFrame, id: str, text: str, run: int, gram: int) -> DataFrame:
-    """Per row: id, text key, number of words, digest of the words, anchors (one per place)."""
+    """Per row: id, text key, number of words, digest of the words, anchors (one per place), place of the first word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(TaskContext.get().partitionId())
         for batch in batches:
             for piece in W.slices(batch.column(2)):
                 found, _, _, grams, kept = _runs(piece, run, gram)
@@ -59,19 +95,20 @@ def _index(docs: DataFrame, id: str, text: str, run: int, gram: int) -> DataFram
                     for a, b in zip(piece.bounds[:-1], piece.bounds[1:])
                 ]
                 own = batch.slice(piece.first, piece.last - piece.first)
+                n_words = np.diff(found.of).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    own.column(0), own.column(1), pa.array(np.diff(found.of).astype(np.int64)),
-                    pa.array(digests), W.lists(W.signed(grams[at]), counts, pa.int64()),
-                ], ["_id", "_key", "n_words", "digest", "anchors"])
+                    own.column(0), own.column(1), pa.array(n_words),
+                    pa.array(digests), W.lists(W.signed(grams[at]), counts, pa.int64()), pa.array(places.of(n_words)),
+                ], ["_id", "_key", "n_words", "digest", "anchors", "row"])
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id), text_key(text), F.col(text)).mapInArrow(
-        work, f"_id {kind}, _key binary, n_words bigint, digest string, anchors array<bigint>"
+        work, f"_id {kind}, _key binary, n_words bigint, digest string, anchors array<bigint>, row bigint"
     )
 
 
 def _candidates(texts: DataFrame, run: int, gram: int) -> DataFrame:
-    """Runs around repeated anchors as parallel lists; in: row, copies, marks, text."""
+    """Runs around repeated anchors as parallel lists; in: row, last_row, marks, text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,10 +126,10 @@ def _candidates(texts: DataFrame, run: int, gram: int) -> DataFrame:
                     own.column(0), own.column(1),
                     W.lists((near - found.of[row]).astype(np.int32), counts, pa.int32()),
                     W.lists(W.signed(values), counts, pa.int64()),
-                ], ["row", "copies", "starts", "runs"])
+                ], ["row", "last_row", "starts", "runs"])
 
-    return texts.select("row", "copies", "marks", "text").mapInArrow(
-        work, "row bigint, copies bigint, starts array<int>, runs array<bigint>"
+    return texts.select("row", "last_row", "marks", "text").mapInArrow(
+        work, "row bigint, last_row bigint, starts array<int>, runs array<bigint>"
     )
 
 
@@ -139,13 +176,11 @@ def repeated_passages(
     equal texts of at least ``run`` words lose all of them, whatever their ids.
     ``kept`` is NULL where the text keeps all its words, else the kept words
     joined by one space. A factor has its first word and number of words, the
-    number of the row (``row``) it is found in and the word it starts at there;
+    number of the row (``row``, the place of its first word) it is found in and the word it starts at there;
     a text of which there are copies is one factor of another copy's row. Other
     columns are ignored.
     """
-    found = cut_lineage(
-        _index(docs, id, text, run, gram).withColumn("row", F.monotonically_increasing_id())
-    )
+    found = cut_lineage(_index(docs, id, text, run, gram))
     # aggregates are stored before they are joined back: then both sides of the join
     # are shuffled, and Spark may split a key that very many rows share
     distinct = cut_lineage(found.groupBy("_key").agg(
@@ -156,34 +191,23 @@ def repeated_passages(
     marked = anchors.join(repeated, "h").groupBy("row").agg(F.collect_set("h").alias("marks"))
     first_ids = found.select("row", F.col("_id").alias("first_id"))
     wanted = cut_lineage(
-        distinct.drop("last_row").join(marked, "row").join(first_ids, "row")
-        .select(F.col("_key").alias("key"), "row", "copies", "first_id", "marks")
+        distinct.join(marked, "row").join(first_ids, "row")
+        .select(F.col("_key").alias("key"), "row", "last_row", "first_id", "marks")
     )
     runs = cut_lineage(_candidates(_touched_texts(docs, id, text, wanted), run, gram))
-    places = runs.select("row", "copies", F.explode(F.arrays_zip("starts", "runs")).alias("p")).select(
-        "row", "copies", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
+    places = runs.select("row", "last_row", F.explode(F.arrays_zip("starts", "runs")).alias("p")).select(
+        "row", "last_row", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
     )
-    # a run of a text with copies is repeated by that alone; of a run the first and the last
-    # text that hold it are kept with a place in each, of a run of one text two places
-    one = F.col("first_row") == F.col("last_row")
+    # the first and the last place of a run; a text with copies holds its runs in its first and its last copy
     index = cut_lineage(
         places.groupBy("h").agg(
-            F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"),
-            F.min("row").alias("first_row"), F.max("row").alias("last_row"),
-            F.min_by("start", "row").alias("in_first"), F.max_by("start", "row").alias("in_last"),
-            F.min("start").alias("least"), F.max("start").alias("greatest"),
-        ).where("n > 1 OR most > 1").select(
-            "h", "first_row", "last_row", F.when(one, F.col("least")).otherwise(F.col("in_first")).alias("first_start"),
-            F.when(one, F.col("greatest")).otherwise(F.col("in_last")).alias("last_start"),
-        )
-    )
-    own = (F.col("row") == F.col("first_row")) & (~one | (F.col("start") == F.col("first_start")))
-    hit = F.struct(
-        "start", F.when(own, F.col("last_row")).otherwise(F.col("first_row")).alias("block"),
-        F.when(own, F.col("last_start")).otherwise(F.col("first_start")).alias("at"),
+            F.min(F.col("row") + F.col("start")).alias("first"), F.max(F.col("last_row") + F.col("start")).alias("last")
+        ).where("first <> last")
     )
+    own = F.col("row") + F.col("start")
+    hit = F.struct("start", F.when(F.col("first") == own, F.col("last")).otherwise(F.col("first")).alias("place"))
     spans = cut_lineage(
-        places.where("copies = 1").select("row", "start", "h").join(index, "h")
+        places.where("row = last_row").select("row", "start", "h").join(index, "h")
         .select("row", hit.alias("hit"))
         .groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
         .join(wanted.select("row", "key", "first_id"), "row")
@@ -194,9 +218,10 @@ def repeated_passages(
         for batch in batches:
             keys, removed, digests, found_in, kept = [], [], [], [], []
             for key, hits, body in zip(*(batch.column(i) for i in range(3))):
-                hit = [hits.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "block", "at")]
+                starts, places = (hits.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "place"))
                 own = body.as_py().encode().split()
-                parsed = factors(*hit, run)
+                at = word_of(places)
+                parsed = factors(starts, places - at, at, run)
                 cover = np.zeros(len(own), dtype=bool)
                 for start, n, _, _ in parsed:
                     cover[start:start + n] = True

@@ -210,6 +210,32 @@ def test_factors_check_the_next_run_at_each_boundary():
     assert lzparse.factors(starts[:0], blocks[:0], at[:0], 5) == []
 
 
+def test_places_tell_text_and_word():
+    import numpy as np
+
+    sizes = [0, 1, 34, 35, 0, 63, 64, 2**15 - 1, 2**15, 2**20, 3, 2**30, 64]
+    seen = {}
+    for task in (0, 1, 2**22 - 1):
+        places = lzparse.Places(task)
+        for given in (sizes, sizes[::-1], []):
+            n = np.array(given, dtype=np.int64)
+            for row, words in zip(places.of(n).tolist(), given):
+                # the places of a text's words and the one after them are its own
+                for word in {0, words // 2, max(0, words - 1), words}:
+                    place = np.array([row + word], dtype=np.int64)
+                    if word < max(1, words):
+                        assert lzparse.word_of(place)[0] == word
+                        assert seen.setdefault(row + word, (task, row, word)) == (task, row, word)
+                    else:
+                        assert row + word not in seen
+    assert len({k for k in seen.values()}) == len(seen)
+    assert len({(task, row) for task, row, _ in seen.values()}) == 3 * 2 * len(sizes)
+    with pytest.raises(ValueError):
+        lzparse.Places(2**22)
+    with pytest.raises(ValueError):
+        lzparse.Places(0).of(np.full(200, 2**30))
+
+
 def heap_quotas(votes, seats):
     import heapq
 
