@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.llm import words as W
 from tablewright.llm.bitmaps import on_map_of, text_key
@@ -70,6 +70,12 @@ def word_of(places: np.ndarray) -> np.ndarray:
     return places & ((np.int64(1) << bits) - 1)
 
 
+def _word_of(place: Column) -> Column:
+    """``word_of`` as an expression."""
+    bits = F.shiftrightunsigned(place, CLASS_AT).cast("int")
+    return place.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+
+
 def _runs(piece: W.Slice, run: int, gram: int):
     found = W.find_words(piece.data, piece.bounds, W.NOT_BLANK)
     hashes = W.word_hashes(piece.data, found)
@@ -196,29 +202,31 @@ def repeated_passages(
     )
     runs = cut_lineage(_candidates(_touched_texts(docs, id, text, wanted), run, gram))
     places = runs.select("row", "last_row", F.explode(F.arrays_zip("starts", "runs")).alias("p")).select(
-        "row", "last_row", F.col("p.starts").alias("start"), F.col("p.runs").alias("h")
+        (F.col("row") + F.col("p.starts")).alias("place"), (F.col("last_row") + F.col("p.starts")).alias("in_last"),
+        F.col("p.runs").alias("h"),
     )
     # the first and the last place of a run; a text with copies holds its runs in its first and its last copy
     index = cut_lineage(
-        places.groupBy("h").agg(
-            F.min(F.col("row") + F.col("start")).alias("first"), F.max(F.col("last_row") + F.col("start")).alias("last")
-        ).where("first <> last")
+        places.groupBy("h").agg(F.min("place").alias("first"), F.max("in_last").alias("last")).where("first <> last")
     )
-    own = F.col("row") + F.col("start")
-    hit = F.struct("start", F.when(F.col("first") == own, F.col("last")).otherwise(F.col("first")).alias("place"))
+    start = _word_of(F.col("place"))
+    other = F.when(F.col("first") == F.col("place"), F.col("last")).otherwise(F.col("first"))
+    # both lists of a row are gathered by one aggregate, so their items stand in the same order
     spans = cut_lineage(
-        places.where("row = last_row").select("row", "start", "h").join(index, "h")
-        .select("row", hit.alias("hit"))
-        .groupBy("row").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
+        places.where("place = in_last").select("place", "h").join(index, "h")
+        .select((F.col("place") - start).alias("row"), start.cast("int").alias("start"), other.alias("other"))
+        .groupBy("row").agg(F.collect_list("start").alias("starts"), F.collect_list("other").alias("others"))
         .join(wanted.select("row", "key", "first_id"), "row")
-        .select("key", "first_id", "hits")
+        .select("key", "first_id", "starts", "others")
     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, removed, digests, found_in, kept = [], [], [], [], []
-            for key, hits, body in zip(*(batch.column(i) for i in range(3))):
-                starts, places = (hits.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "place"))
+            for key, *hits, body in zip(*(batch.column(i) for i in range(4))):
+                starts, places = (x.values.to_numpy(zero_copy_only=False) for x in hits)
+                order = np.argsort(starts)
+                starts, places = starts[order], places[order]
                 own = body.as_py().encode().split()
                 at = word_of(places)
                 parsed = factors(starts, places - at, at, run)
@@ -237,7 +245,7 @@ def repeated_passages(
                 pa.array(found_in, kind), pa.array(kept, pa.string()),
             ], ["_key", "gone", "rest_digest", "factors", "rest"])
 
-    parsed = _touched_texts(docs, id, text, spans).select("key", "hits", "text").mapInArrow(
+    parsed = _touched_texts(docs, id, text, spans).select("key", "starts", "others", "text").mapInArrow(
         parse, f"_key binary, gone bigint, rest_digest string, factors array<{FACTOR}>, rest string"
     )
     whole = (F.col("copies") > 1) & (F.col("n_words") >= run)
