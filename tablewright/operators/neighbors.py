@@ -1,12 +1,13 @@
 """Exact nearest neighbours by descending through a tree of cells, and the two cleaning steps built on them.
 
-Points are dealt into cells of few points by cuts along one coordinate after
-another, each time the one in which the points of a cell are spread most, so
-all coordinates take part however many there are. Each cell carries its weight
-and the box of its points over all coordinates; the smallest ones also have a
-reference point, their mean, and the ring of distances from it in which their
-points lie. By the triangle inequality a point of the cell is no nearer to a
-query than the ring, and no nearer than the box.
+Points are dealt into blocks by cuts along one coordinate after another, each
+time the one in which the points of a cell are spread most, so all coordinates
+take part however many there are. Each block is one group of a shuffle and is
+halved inside its task, in the same way, down to cells of few points. A cell
+carries its weight and the box of its points over all coordinates; the smallest
+ones also have a reference point, their mean, and the ring of distances from it
+in which their points lie. By the triangle inequality a point of the cell is no
+nearer to a query than the ring, and no nearer than the box.
 
 A query starts with the few cells near the root. At each level the weights of
 the cells that lie wholly within some distance bound the distance of its k-th
@@ -14,13 +15,17 @@ neighbour, cells that begin beyond the bound drop out, and the others are
 replaced by their parts. In the nearest of the smallest cells it then measures
 real distances, which bound the k-th neighbour more closely; only cells that
 begin within that bound are met. So a far cluster costs an isolated query a few
-cells, however many points it has. Equal points count as one point with a weight.
+cells, however many points it has. Queries and points meet cell by cell, as
+arrays, and only the nearest few of a cell leave the task. Equal points count as
+one point with a weight.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions import masks
@@ -28,30 +33,43 @@ from tablewright.operators.skew import lookup_join
 from tablewright.session import cut_lineage
 
 # the following shape the plan only
-FULL_CELL = 64  # points a cell may have without being cut further
+FULL_BLOCK = 1 << 15  # points a block may have without being cut further
+FULL_CELL = 64  # points a cell may have without being halved further
 BITS = 3  # a cut makes up to 2**BITS cells
+CUTS_IN_BLOCK = 3  # cuts that halving a block amounts to: 2**15 points in cells of 64
+TOGETHER = 1 << 18  # distances a task measures at once
 FIRST = 2  # cuts between the root and the cells a query starts with, at most 64
 HAIR = 1 + 1e-9  # room for the last bits of distances
 
 
-def _distance(a: Column, b: Column) -> Column:
-    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
+def _length(sides: Sequence[Column]) -> Column:
+    total = F.lit(0.0)
+    for side in sides:
+        total = total + side * side
+    return F.sqrt(total)
 
 
-def _to_box(q: Column, lo: Column, hi: Column, farthest: bool) -> Column:
+def _distance(a: str, b: str, dims: int) -> Column:
+    # one expression per coordinate, which Spark compiles; a lambda over arrays it does not
+    return _length([F.get(a, i) - F.get(b, i) for i in range(dims)])
+
+
+def _to_box(q: str, lo: str, hi: str, farthest: bool, dims: int) -> Column:
     """Distance from a point to the nearest or the farthest place of a box."""
-    def gap(s: Column) -> Column:
-        if farthest:
-            return F.greatest(F.abs(s["q"] - s["lo"]), F.abs(s["q"] - s["hi"]))
-        return F.greatest(s["lo"] - s["q"], s["q"] - s["hi"], F.lit(0.0))
+    def gap(i: int) -> Column:
+        below, above = F.get(lo, i) - F.get(q, i), F.get(q, i) - F.get(hi, i)
+        return F.greatest(F.abs(below), F.abs(above)) if farthest else F.greatest(below, above, F.lit(0.0))
+
+    return _length([gap(i) for i in range(dims)])
 
-    sides = F.arrays_zip(q.alias("q"), lo.alias("lo"), hi.alias("hi"))
-    return F.sqrt(F.aggregate(sides, F.lit(0.0), lambda total, s: total + gap(s) * gap(s)))
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over all shuffle partitions: its few rows become very many in the step that follows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _cut(points: DataFrame, dims: int) -> DataFrame:
-    """``points`` with every full cell cut along the coordinate in which it is spread most.
+    """``points`` with every full block cut along the coordinate in which it is spread most.
 
     Cuts are approximate quantiles and the middle of the range, so a cell with
     two different points is always parted.
@@ -71,7 +89,7 @@ def _cut(points: DataFrame, dims: int) -> DataFrame:
             F.array_append(F.col(f"d{i}.cuts"), (F.col(f"d{i}.lo") + F.col(f"d{i}.hi")) / 2).alias("cuts"),
         ) for i in range(dims)
     ]
-    best = sides.where(F.col("n") > FULL_CELL).select("g", "cell", F.array_max(F.array(*spreads)).alias("cut"))
+    best = sides.where(F.col("n") > FULL_BLOCK).select("g", "cell", F.array_max(F.array(*spreads)).alias("cut"))
     own = F.get("p", F.col("cut.i"))
     slot = F.size(F.filter("cut.cuts", lambda c: c < own))
     return points.join(best, ["g", "cell"], "left").withColumn(
@@ -87,11 +105,11 @@ def _boxes(finest: DataFrame, up: int, dims: int) -> DataFrame:
     )
 
 
-def _measured(seen: DataFrame, ring: bool = False) -> DataFrame:
+def _measured(seen: DataFrame, dims: int, ring: bool = False) -> DataFrame:
     """Candidate cells with the least and greatest distance that their points can have from the query."""
-    near, far = (_to_box(F.col("q"), F.col("lo"), F.col("hi"), side) for side in (False, True))
+    near, far = (_to_box("q", "lo", "hi", side, dims) for side in (False, True))
     if ring:
-        middle = _distance(F.col("q"), F.col("mean"))
+        middle = _distance("q", "mean", dims)
         # last bits must not make a ring look farther than it is
         near = F.greatest(near, middle / HAIR - F.col("outer") * HAIR, F.col("inner") / HAIR - middle * HAIR)
         far = F.least(far, (middle + F.col("outer")) * HAIR)
@@ -110,9 +128,122 @@ def _within_bound(measured: DataFrame, need: int) -> DataFrame:
     )
 
 
-def _met(cells: DataFrame, placed: DataFrame) -> DataFrame:
-    return cells.select("g", "q", "cell").join(placed, ["g", "cell"]).select(
-        "g", "q", "p", "w", _distance(F.col("q"), F.col("p")).alias("distance")
+def _coordinates(lists: pa.ChunkedArray, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list column as a matrix with NaN for missing coordinates, and the rows that have one missing."""
+    flat = lists.combine_chunks().flatten()
+    missing = flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, dims).any(axis=1)
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, dims), missing
+
+
+def _halved(x: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Numbers of the cells of a block and the rows of ``x`` in each."""
+    out, todo = [], [(0, 0, np.arange(len(x)))]
+    while todo:
+        cell, depth, rows = todo.pop()
+        if depth == BITS * CUTS_IN_BLOCK or len(rows) <= FULL_CELL:
+            out.append((cell << (BITS * CUTS_IN_BLOCK - depth), rows))
+            continue
+        own = x[rows]
+        along = own[:, np.argmax(np.ptp(own, axis=0))]
+        half = len(rows) // 2
+        order = np.argpartition(along, half)
+        todo.append((cell << 1, depth + 1, rows[order[:half]]))
+        todo.append((cell << 1 | 1, depth + 1, rows[order[half:]]))
+    return out
+
+
+def _cells(placed: DataFrame, dims: int) -> DataFrame:
+    """The smallest cells (g, cell, w, lo, hi, mean, inner, outer) with their points and weights as lists."""
+
+    def work(block: pa.Table) -> pa.Table:
+        x, _ = _coordinates(block["p"], dims)
+        weights = block["w"].to_numpy()
+        known = np.where(np.isfinite(x), x, 0.0)  # cells of odd points are wide, not wrong
+        found = _halved(known)
+        order = np.concatenate([rows for _, rows in found])
+        sizes = [len(rows) for _, rows in found]
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        cells = [x[rows] for _, rows in found]
+        lo = np.array([np.fmin.reduce(c, axis=0) for c in cells])
+        hi = np.array([np.fmax.reduce(c, axis=0) for c in cells])
+        mean = np.array([known[rows].mean(axis=0) for _, rows in found])
+        away = [np.sqrt(((c - m) ** 2).sum(axis=1)) for c, m in zip(cells, mean)]
+        first = block["cell"][0].as_py() << (BITS * CUTS_IN_BLOCK)
+
+        def vectors(values: np.ndarray) -> pa.Array:
+            gone = np.isnan(values).ravel()
+            return pa.FixedSizeListArray.from_arrays(pa.array(values.ravel(), pa.float64(), mask=gone), dims).cast(pa.list_(pa.float64()))
+
+        return pa.table({
+            "g": block["g"].take(pa.array(np.zeros(len(found), dtype=np.int64))),
+            "cell": pa.array([first + cell for cell, _ in found], pa.int64()),
+            "w": pa.array([int(weights[rows].sum()) for _, rows in found], pa.int64()),
+            "lo": vectors(lo), "hi": vectors(hi), "mean": vectors(mean),
+            # a point without distance takes its cell's ring away
+            "inner": pa.array([0.0 if np.isnan(a).any() else a.min() for a in away], pa.float64()),
+            "outer": pa.array([np.inf if np.isnan(a).any() else a.max() for a in away], pa.float64()),
+            "ps": pa.ListArray.from_arrays(ends, block["p"].combine_chunks().take(pa.array(order))),
+            "ws": pa.ListArray.from_arrays(ends, pa.array(weights[order], pa.int64())),
+        })
+
+    kind = placed.schema["g"].dataType.simpleString()
+    return placed.groupBy("g", "cell").applyInArrow(work, (
+        f"g {kind}, cell bigint, w bigint, lo array<double>, hi array<double>, mean array<double>, inner double, "
+        "outer double, ps array<array<double>>, ws array<bigint>"
+    ))
+
+
+def _first_of(q: np.ndarray, p: np.ndarray, odd: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``q``, rows of ``p`` and distances of the ``need`` nearest points of each query, in order.
+
+    ``odd`` marks pairs of missing coordinates, whose distance is missing and comes first.
+    """
+    d = np.zeros((len(q), len(p)))
+    for i in range(q.shape[1]):  # in the order of the coordinates, as in _distance
+        d += (q[:, i, None] - p[None, :, i]) ** 2
+    d = np.where(odd, -1.0, np.where(np.isnan(d), np.inf, np.sqrt(d)))
+    last = np.partition(d, min(need, len(p)) - 1, axis=1)[:, min(need, len(p)) - 1]
+    row, col = np.nonzero(d <= last[:, None])
+    by_name = [np.where(np.isnan(p[col, i]), -np.inf, p[col, i]) for i in reversed(range(p.shape[1]))]
+    order = np.lexsort([*by_name, d[row, col], row])
+    row, col = row[order], col[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    row, col = row[place < need], col[place < need]
+    return row, col, d[row, col]
+
+
+def _met(pairs: DataFrame, cells: DataFrame, need: int, dims: int) -> DataFrame:
+    """The ``need`` nearest points (g, q, p, w, distance) of each query within each of its cells."""
+
+    def work(asked: pa.Table, given: pa.Table) -> pa.Table:
+        asked = asked.sort_by("cell")
+        q, q_odd = _coordinates(asked["q"], dims)
+        of = asked["cell"].to_numpy()
+        kept, at, far = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+        points = given["ps"].combine_chunks()
+        bounds = np.concatenate([[0], np.cumsum(points.value_lengths().to_numpy())])
+        p, p_odd = _coordinates(pa.chunked_array([points.flatten()], type=pa.list_(pa.float64())), dims)
+        for cell, a, b in zip(given["cell"].to_pylist(), bounds, bounds[1:]):
+            first, last = np.searchsorted(of, cell), np.searchsorted(of, cell, side="right")
+            step = max(1, TOGETHER // max(1, b - a))
+            for i in range(first, last, step):
+                j = min(last, i + step)
+                row, col, d = _first_of(q[i:j], p[a:b], q_odd[i:j, None] | p_odd[None, a:b], need)
+                kept.append(row + i)
+                at.append(col + a)
+                far.append(d)
+        rows, cols, d = (np.concatenate(x) for x in (kept, at, far))
+        return pa.table({
+            "g": asked["g"].take(pa.array(rows)), "q": asked["q"].take(pa.array(rows)), "p": points.flatten().take(pa.array(cols)),
+            "w": given["ws"].combine_chunks().flatten().take(pa.array(cols)),
+            "distance": pa.array(np.where(np.isinf(d), np.nan, d), pa.float64(), mask=d < 0),
+        })
+
+    # neighbouring cells in one group
+    group = ["g", F.shiftright("cell", BITS).alias("_of")]
+    kind = pairs.schema["g"].dataType.simpleString()
+    return pairs.select("g", "q", "cell").groupBy(*group).cogroup(cells.select("g", "cell", "ps", "ws").groupBy(*group)).applyInArrow(
+        work, f"g {kind}, q array<double>, p array<double>, w bigint, distance double"
     )
 
 
@@ -124,33 +255,29 @@ def _nearest_weights(met: DataFrame, need: int) -> DataFrame:
 
 
 def candidate_cells(queries: DataFrame, points: DataFrame, need: int, dims: int) -> tuple[DataFrame, DataFrame]:
-    """Cells (g, q, cell, w, near) that may hold the nearest ``need`` weights of a query, and the points with their cell."""
+    """Cells (g, q, cell, w, near) that may hold the nearest ``need`` weights of a query, and all cells with their points."""
     placed = cut_lineage(points.select("g", "p", "w", F.lit(0).cast("bigint").alias("cell")))
     cuts = 0
-    # one count per cut; a bigint has room for 20
-    while cuts < 20 and placed.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FULL_CELL).limit(1).count():
+    # one count per cut; a bigint has room for 20 cuts in all
+    while cuts < 20 - CUTS_IN_BLOCK and placed.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FULL_BLOCK).limit(1).count():
         placed = cut_lineage(_cut(placed, dims))
         cuts += 1
-    means = cut_lineage(placed.groupBy("g", "cell").agg(
-        F.array(*[F.avg(F.get("p", i)) for i in range(dims)]).alias("mean")
-    ))
-    away = _distance(F.col("p"), F.col("mean"))
-    rings = placed.join(means, ["g", "cell"]).groupBy("g", "cell").agg(F.min(away).alias("inner"), F.max(away).alias("outer"))
-    boxes = _boxes(placed.select("g", "cell", "w", F.col("p").alias("lo"), F.col("p").alias("hi")), 0, dims)
-    finest = cut_lineage(boxes.join(means, ["g", "cell"]).join(rings, ["g", "cell"]))
+    cells = cut_lineage(_cells(placed, dims))
+    cuts += CUTS_IN_BLOCK
+    finest = cells.drop("ps", "ws")
 
     at = min(FIRST, cuts)
     # one row per group with its first cells, at most 64
     cell = F.struct("cell", "w", "lo", "hi")
-    first = _boxes(finest, cuts - at, dims).groupBy("g").agg(F.collect_list(cell).alias("_c"))
-    seen = queries.select("g", "q").join(first, "g").select("g", "q", F.inline("_c"))
-    left = cut_lineage(_within_bound(_measured(seen), need))
+    first = cut_lineage(_boxes(finest, cuts - at, dims).groupBy("g").agg(F.collect_list(cell).alias("_c")))
+    seen = _spread(queries.select("g", "q"), "g", "q").join(first, "g").select("g", "q", F.inline("_c"))
+    left = cut_lineage(_within_bound(_measured(seen, dims), need))
     while at < cuts:
         at += 1
         parts = (finest if at == cuts else _boxes(finest, cuts - at, dims)).withColumn("of", F.shiftright("cell", BITS))
-        held = left.select("g", "q", F.col("cell").alias("of")).join(parts, ["g", "of"])
-        left = cut_lineage(_within_bound(_measured(held, ring=at == cuts), need))
-    return left, placed
+        held = _spread(left.select("g", "q", F.col("cell").alias("of")), "g", "of").join(parts, ["g", "of"])
+        left = cut_lineage(_within_bound(_measured(held, dims, ring=at == cuts), need))
+    return left, cells
 
 
 def nearest(
@@ -164,15 +291,15 @@ def nearest(
     by distance, then coordinates.
     """
     need = k + 1 if exclude_self else k
-    left, placed = candidate_cells(cut_lineage(queries), points, need, dims)
+    left, cells = candidate_cells(cut_lineage(queries), points, need, dims)
     # the nearest cells that hold enough points, for a bound from real distances
     closer = Window.partitionBy("g", "q").orderBy("near", "cell").rowsBetween(Window.unboundedPreceding, -1)
     ranked = left.withColumn("_probe", F.coalesce(F.sum("w").over(closer), F.lit(0)) < need)
-    probed = cut_lineage(_nearest_weights(_met(ranked.where("_probe"), placed), need))
+    probed = cut_lineage(_nearest_weights(_met(ranked.where("_probe"), cells, need, dims), need))
     bounds = probed.groupBy("g", "q").agg(F.max("distance").alias("_bound"))
     # a query whose first cells hold too little has no others
     others = ranked.where("NOT _probe").join(bounds, ["g", "q"]).where(F.col("near") <= F.col("_bound") * HAIR)
-    near = _nearest_weights(probed.drop("_before").unionByName(_met(others, placed)), need)
+    near = _nearest_weights(probed.drop("_before").unionByName(_met(others, cells, need, dims)), need)
     if exclude_self:
         near = near.where("q <> p")
     order = Window.partitionBy("g", "q").orderBy("distance", "p")

@@ -146,3 +146,19 @@ def test_smote_rows_lie_between_neighbours(spark):
         order = np.argsort(((small - base) ** 2).sum(1))[1:4]
         steps = [np.dot(row - base, n - base) / np.dot(n - base, n - base) for n in small[order]]
         assert any(-1e-9 <= t <= 1 + 1e-9 and np.allclose(base + t * (n - base), row) for t, n in zip(steps, small[order]))
+
+
+def test_blocks_and_few_rows_of_each_cell(spark, monkeypatch):
+    """Blocks cut by Spark and halved in tasks; of a cell at most k points leave its task, and all of the nearest do."""
+    monkeypatch.setattr(nb, "FULL_BLOCK", 300)
+    points = cloud(3, 1500, 4)
+    queries = points[::50]
+    asked = spark.createDataFrame([(0, list(q)) for q in queries], "g int, q array<double>")
+    given = spark.createDataFrame([(0, list(p), 1) for p in points], "g int, p array<double>, w bigint")
+    left, cells = nb.candidate_cells(asked, given, 4, 3)
+    assert cells.agg(F.sum("w")).first()[0] == len(points) and cells.agg(F.max(F.size("ps"))).first()[0] <= nb.FULL_CELL
+    assert nb._met(left, cells, 4, 3).count() <= 4 * left.count()
+    got = {q: [] for q in queries}
+    for r in sorted(nb.nearest(asked, given, 4, 3).collect(), key=lambda r: r.place):
+        got[tuple(r.q)].append(tuple(r.p))
+    assert got == {q: sorted(points, key=lambda p: (sum((a - b) ** 2 for a, b in zip(p, q)) ** 0.5, p))[:4] for q in queries}
