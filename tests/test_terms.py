@@ -89,3 +89,14 @@ def test_word_count(spark):
     df = spark.createDataFrame([(t,) for t in odd], "t string")
     got = {r.t: (r.n, r.w) for r in df.select("t", tx.word_count("t").alias("n"), tx.words("t").alias("w")).collect()}
     assert all(n == (None if w is None else len(w)) for n, w in got.values())
+
+
+def test_counts_of_many_texts_are_arrays(spark, monkeypatch):
+    """Tokens and pairs are counted as numbers, round by round, with few tokens numbered at a time; all counts hold."""
+    monkeypatch.setattr(terms, "TOKENS_AT_ONCE", 50)
+    monkeypatch.setattr(terms, "NUMBERED", 20)
+    texts = corpus(120, 60, 2, 4)
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    tf, docs = plain(texts)
+    assert {r.term: (r.tf, r.df) for r in terms.term_counts(df, "t", 2).collect()} == {t: (n, docs[t]) for t, n in tf.items()}
+    assert [tuple(r) for r in terms.frequent_terms(df, "t", 9, 2, 200).collect()] == first(texts, 9)
