@@ -287,11 +287,15 @@ def _moments(values: np.ndarray) -> list[np.ndarray]:
     mask = there.astype(float)
     shift = np.where(there, values, 0.0).sum(axis=0) / np.maximum(mask.sum(axis=0), 1.0)
     z = np.where(there, values - shift, 0.0)
-    n = mask.T @ mask
+    # columns that are missing in the same rows share one column of the mask
+    number: dict[bytes, int] = {}
+    of = np.array([number.setdefault(c.tobytes(), len(number)) for c in np.packbits(there, axis=0).T], dtype=int)
+    few = mask[:, np.unique(of, return_index=True)[1]]
+    n = (few.T @ few)[of][:, of]
     some = np.maximum(n, 1.0)
-    sums = z.T @ mask
+    sums = (z.T @ few)[:, of]
     mean = sums / some + shift[:, None]
-    return [n, mean, mean.T, (z * z).T @ mask - sums * sums / some, z.T @ z - sums * sums.T / some]
+    return [n, mean, mean.T, ((z * z).T @ few)[:, of] - sums * sums / some, z.T @ z - sums * sums.T / some]
 
 
 def _added(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
