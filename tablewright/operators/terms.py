@@ -48,7 +48,7 @@ class _Numbers(dict):
 GRAM_BITS, TEXT_BITS = 31, 19  # of the second token in a key, and of a text beside a rank
 NUMBERED = 1 << 20  # tokens whose numbers a task holds; shapes the plan only
 TEXTS_AT_ONCE = 256  # texts a task turns into vectors at once; shapes the plan only
-TOKENS_AT_ONCE = 1 << 19  # tokens a task sorts at once; shapes the plan only
+TOKENS_AT_ONCE = 1 << 17  # tokens a task sorts at once; shapes the plan only
 
 
 def _grouped(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
