@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -135,112 +135,112 @@ def canonical_keys(
     )
 
 
-def _segment(length: Column, parts: int, number: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of one of ``parts`` even segments of a string of ``length``; longer ones come last."""
-    size = F.floor(length / parts)
-    short = F.lit(parts) - length % parts  # so many segments of the smaller size come first
-    longer = (F.lit(number) >= short).cast("int")
-    return size * number + F.greatest(F.lit(0), F.lit(number) - short), size + longer
+BLOCKS = 8  # blocks that keys of one length are cut into after their common beginning; shapes the plan only
 
 
-def _own_segments(text: Column, edits: int) -> Column:
-    """The segments of a key: its length, which segment, and its characters."""
-    length = F.char_length(text)
-    parts = []
-    for number in range(edits + 1):
-        start, size = _segment(length, edits + 1, number)
-        parts.append(F.struct(
-            length.cast("bigint").alias("of"), F.lit(number).alias("number"),
-            F.substring(text, (start + 1).cast("int"), size.cast("int")).alias("piece"),
-        ))
-    return F.array(*parts)
-
-
-def _possible_segments(text: Column, edits: int) -> Column:
-    """Every segment that a key within ``edits`` edits could share with this one, in a place it could move to."""
-    own = F.char_length(text).cast("bigint")
-    parts = []
-    for change in range(-edits, edits + 1):
-        length = own + change
-        for number in range(edits + 1):
-            start, size = _segment(length, edits + 1, number)
-            for shift in range(-edits, edits + 1):
-                at = start + shift
-                fits = (length >= 0) & (at >= 0) & (at + size <= own)
-                parts.append(F.when(fits, F.struct(
-                    length.alias("of"), F.lit(number).alias("number"),
-                    F.substring(text, (at + 1).cast("int"), size.cast("int")).alias("piece"),
-                )))
-    return F.array_distinct(F.array_compact(F.array(*parts)))
-
-
-GRAM = 3  # characters
-BUCKETS = 4096  # counters of grams, by hash; shapes the plan only
-
-
-def _grams(key: Column) -> Column:
-    """All grams of a key with their place; the ends of a key count as characters of their own."""
-    edge = F.lit("\u0001" * (GRAM - 1)), F.lit("\u0002" * (GRAM - 1))
-    padded = F.concat(edge[0], key, edge[1])
-    places = F.sequence(F.lit(1), F.char_length(key) + GRAM - 1)
-    return F.transform(places, lambda at: F.struct(F.substring(padded, at, F.lit(GRAM)).alias("gram"), at.alias("at")))
-
-
-def _bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
-
-
-def _gram_counts(keys: DataFrame, key: str) -> Column:
-    """How many grams of all keys fall into each bucket, as one constant array of ``BUCKETS`` numbers."""
-    rows = keys.select(F.explode(_grams(F.col(key))).alias("g")).groupBy(_bucket(F.col("g.gram")).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    ).collect()
-    counts = [0] * BUCKETS
-    for row in rows:
-        counts[row["bucket"]] = row["n"]
-    return F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
-
-
-def _rarest(key: Column, counts: Column, n: int) -> Column:
-    """The ``n`` grams of a key that come first in the common order: rare before frequent, then by name and place."""
-    ranked = F.transform(_grams(key), lambda g: F.struct(
-        F.get(counts, _bucket(g["gram"])).alias("n"), g["gram"].alias("gram"), g["at"].alias("at")
+def _cuts(keys: DataFrame, key: str) -> DataFrame:
+    """For each length of keys (of, cuts) the places that part it into blocks which tell keys apart equally well.
+
+    How well the first characters tell keys apart is the entropy of these
+    beginnings, so what all keys share weighs nothing and lies in one block,
+    and what follows from earlier characters weighs nothing either.
+    """
+    beginnings = keys.where(F.char_length(key) > 0).select(
+        F.char_length(key).alias("of"), F.col(key).alias("_key"), F.explode(F.sequence(F.lit(1), F.char_length(key))).alias("at")
+    ).groupBy("of", "at", F.xxhash64(F.substring("_key", F.lit(1), F.col("at"))).alias("_begin")).agg(F.count(F.lit(1)).alias("n"))
+    bits = beginnings.groupBy("of", "at").agg(
+        (F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias("bits")
+    )
+    lists = bits.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "bits"))).alias("_bits"))
+    total = F.element_at("_bits", -1)["bits"]
+    # the last bits of the sums must not put a cut behind the place that reaches its share
+    places = F.transform(F.sequence(F.lit(1), F.lit(BLOCKS - 1)), lambda j: F.array_min(
+        F.transform(F.filter("_bits", lambda x: x["bits"] >= total * j / BLOCKS - 1e-9), lambda x: x["at"])
     ))
-    return F.slice(F.sort_array(ranked), 1, n)
+    common = F.array_max(F.transform(F.filter("_bits", lambda x: x["bits"] <= 1e-9), lambda x: x["at"]))
+    places = F.array_append(places, common)
+    return lists.select("of", F.array_distinct(F.filter(places, lambda at: at < F.col("of"))).alias("cuts")).unionByName(
+        keys.where(F.char_length(key) == 0).limit(1).select(F.lit(0).alias("of"), F.array().cast("array<int>").alias("cuts"))
+    )
 
 
-def candidate_pairs(a: DataFrame, b: DataFrame, max_edits: int) -> DataFrame:
-    """Distinct pairs (left_key, right_key) among which are all within ``max_edits`` edits.
-
-    An edit touches at most ``GRAM`` grams of a key and moves the others by one
-    place. So of the ``GRAM * max_edits + 1`` rarest grams of two near keys, in
-    an order that all keys share, they have one in common, at places that differ
-    by ``max_edits`` at most. Keys too short for so many grams, and those that
-    could be near them, meet on equal segments instead: of d + 1 segments d
-    edits leave one untouched.
-    """
-    n = GRAM * max_edits + 1
-    short = GRAM * (max_edits - 1) + 2  # from this length on a key has n grams
-    counts = _gram_counts(a.select(F.col("left_key").alias("k")).unionByName(b.select(F.col("right_key").alias("k"))), "k")
-    moves = F.explode(F.array(*[F.lit(m) for m in range(-max_edits, max_edits + 1)]))
-    length = F.char_length
-    left = a.where(length("left_key") >= short).select(
-        "left_key", F.explode(_rarest(F.col("left_key"), counts, n)).alias("g")
-    ).select("left_key", "g", moves.alias("move")).select(
-        "left_key", F.col("g.gram").alias("gram"), (F.col("g.at") + F.col("move")).alias("at")
+def _holes(cuts: DataFrame, edits: int) -> DataFrame:
+    """All choices of ``edits`` blocks (at, upto) of the keys of each length; a key of fewer blocks has empty ones at its end."""
+    of = F.col("of")
+    even = F.array(*[F.floor(of * j / (edits + 1)).cast("int") for j in range(1, edits + 1)])
+    inner = F.when(F.size("cuts") >= edits, F.col("cuts")).otherwise(F.filter(F.array_union("cuts", even), lambda c: (c > 0) & (c < of)))
+    ends = F.array_sort(F.concat(F.array(F.lit(0)), inner, F.array_repeat(of, F.greatest(F.lit(1), F.lit(edits) - F.size(inner)))))
+    choices = F.array(*[F.array(*map(F.lit, c)) for c in combinations(range(max(BLOCKS + 1, 2 * edits)), edits)])
+    chosen = cuts.select("of", ends.alias("_ends")).select("of", "_ends", F.explode(choices).alias("_c")).where(
+        F.element_at("_c", -1) < F.size("_ends") - 1
     )
-    right = b.where(length("right_key") >= short).select(
-        "right_key", F.explode(_rarest(F.col("right_key"), counts, n)).alias("g")
-    ).select("right_key", F.col("g.gram").alias("gram"), F.col("g.at").alias("at"))
-    near = F.abs(length("left_key") - length("right_key")) <= max_edits
-    by_grams = left.join(right, ["gram", "at"]).where(near).select("left_key", "right_key")
-    va = a.where(length("left_key") < short + max_edits).select(
-        "left_key", F.explode(_possible_segments(F.col("left_key"), max_edits)).alias("v")
+    return chosen.select("of", F.transform("_c", lambda i: F.struct(
+        F.get("_ends", i).alias("at"), F.get("_ends", i + 1).alias("upto")
+    )).alias("holes"))
+
+
+def _parted(key: Column, edits: int, moves: Sequence[Column]) -> tuple[list[Column], list[Column], Column]:
+    """What a key has around the holes of another, moved by so many characters, what it has in them, and whether it has such places."""
+    starts = [F.lit(0), *[F.get("holes", i)["upto"] for i in range(edits)]]
+    ends = [*[F.get("holes", i)["at"] for i in range(edits)], F.col("of")]
+    places = [(start + move, end + move) for start, end, move in zip(starts, ends, moves)]
+    kept = [F.substring(key, start + 1, end - start) for start, end in places]
+    gaps = [(end, start) for (_, end), (start, _) in zip(places, places[1:])]
+    fits = F.char_length(key) >= places[-1][1]
+    for at, upto in [(F.lit(0), places[0][0]), *gaps]:
+        fits = fits & (at <= upto)
+    return kept, [F.substring(key, at + 1, upto - at) for at, upto in gaps], fits
+
+
+def _moves(edits: int) -> list[list[int]]:
+    """How far ``edits`` edits at most can move the parts of a key around as many holes; the first part stays."""
+    found = [[0]]
+    for _ in range(edits):
+        found = [[*m, m[-1] + step] for m in found for step in range(-edits, edits + 1)]
+    return [m for m in found if sum(abs(b - a) for a, b in zip(m, m[1:])) <= edits]
+
+
+def _meetings(a: DataFrame, b: DataFrame, cuts: DataFrame, edits: int) -> DataFrame:
+    """Pairs (left_key, right_key), some repeatedly, among which are all within ``edits`` edits.
+
+    So many edits touch at most so many blocks of the right key; the other
+    blocks stand in the left key as they are, in places moved by the edits
+    before them. Keys meet on those, for each choice of blocks left out.
+    ``distance`` counts the edits within the blocks left out, NULL if they are
+    more; the least over all choices is that of the keys.
+    """
+    holes = cut_lineage(_holes(cuts, edits))
+    kept, gaps, _ = _parted(F.col("right_key"), edits, [F.lit(0)] * (edits + 1))
+    right = b.join(holes, F.char_length("right_key") == F.col("of")).select(
+        "right_key", F.xxhash64("of", "holes", *kept).alias("_rest"), *[gap.alias(f"_b{i}") for i, gap in enumerate(gaps)]
     )
-    vb = b.where(length("right_key") < short + max_edits).select(
-        "right_key", F.explode(_own_segments(F.col("right_key"), max_edits)).alias("v")
+    moved = F.array(*[F.array(*map(F.lit, m)) for m in _moves(edits)])
+    kept, gaps, fits = _parted(F.col("left_key"), edits, [F.get("_move", i) for i in range(edits + 1)])
+    left = a.select("left_key", F.explode(moved).alias("_move")).withColumn(
+        "of", F.char_length("left_key") - F.element_at("_move", -1)
+    ).join(holes, "of").where(fits).select(
+        "left_key", F.xxhash64("of", "holes", *kept).alias("_rest"), *[part.alias(f"_k{i}") for i, part in enumerate(kept)],
+        *[gap.alias(f"_a{i}") for i, gap in enumerate(gaps)],
     )
-    return by_grams.unionByName(va.join(vb, "v").select("left_key", "right_key")).distinct()
+    # keys of equal hash only are no candidates
+    alike = F.concat("_k0", *[c for i in range(edits) for c in (f"_b{i}", f"_k{i + 1}")]) == F.col("right_key")
+    distance = F.lit(0)
+    for i in range(edits):
+        own = F.levenshtein(f"_a{i}", f"_b{i}", edits)
+        distance = distance + F.when(F.col(f"_a{i}") == F.col(f"_b{i}"), 0).when(own >= 0, own)
+    return left.join(right, "_rest").where(alike).select(
+        "left_key", "right_key", distance.alias("distance")
+    ).withColumn("distance", F.when(F.col("distance") <= edits, F.col("distance")))
+
+
+def _spread(keys: DataFrame, key: str) -> DataFrame:
+    """Few keys over all shuffle partitions: each becomes many rows where keys meet."""
+    return keys.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def candidate_pairs(a: DataFrame, b: DataFrame, max_edits: int) -> DataFrame:
+    """Distinct pairs (left_key, right_key) among which are all within ``max_edits`` edits."""
+    return _meetings(a, b, cut_lineage(_cuts(b, "right_key")), max_edits).select("left_key", "right_key").distinct()
 
 
 def fuzzy_match(
@@ -248,20 +248,27 @@ def fuzzy_match(
 ) -> DataFrame:
     """Nearest right key within ``max_edits`` edits for each left key without an exact match.
 
-    Distinct keys only; they meet on their rarest grams, so a part that very
-    many keys share brings none of them together. Ties go to the smaller right
-    key. Columns: ``left_key``, ``right_key``, ``distance``.
+    Distinct keys only; they meet on all blocks but as many as there are edits,
+    and blocks tell keys apart equally well, so a part that very many keys share
+    brings none of them together. Keys one edit away are found first, and only
+    left keys without one look further. Ties go to the smaller right key.
+    Columns: ``left_key``, ``right_key``, ``distance``.
     """
     a = left.select(F.col(left_key).alias("left_key")).where("left_key IS NOT NULL").distinct()
-    b = right.select(F.col(right_key).alias("right_key")).where("right_key IS NOT NULL").distinct()
-    open_keys = cut_lineage(a.join(b.select(F.col("right_key").alias("left_key")), "left_key", "left_anti"))
-    near = candidate_pairs(open_keys, cut_lineage(b), max_edits).select(
-        "left_key", "right_key", F.levenshtein("left_key", "right_key", max_edits).alias("distance")
-    ).where("distance >= 0")
+    b = cut_lineage(_spread(right.select(F.col(right_key).alias("right_key")).where("right_key IS NOT NULL").distinct(), "right_key"))
+    open_keys = cut_lineage(_spread(a.join(b.select(F.col("right_key").alias("left_key")), "left_key", "left_anti"), "left_key"))
+    cuts = cut_lineage(_cuts(b, "right_key"))
     best = F.min(F.struct("distance", "right_key")).alias("_best")
-    return near.groupBy("left_key").agg(best).select(
-        "left_key", F.col("_best")["right_key"].alias("right_key"), F.col("_best")["distance"].alias("distance")
-    )
+    found = open_keys.where("false").select("left_key", F.lit(None).cast("string").alias("right_key"), F.lit(None).cast("int").alias("distance"))
+    for edits in range(1, max_edits + 1):
+        near = _meetings(open_keys, b, cuts, edits).where("distance IS NOT NULL")
+        nearest = cut_lineage(near.groupBy("left_key").agg(best).select(
+            "left_key", F.col("_best")["right_key"].alias("right_key"), F.col("_best")["distance"].alias("distance")
+        ))
+        found = found.unionByName(nearest)
+        if edits < max_edits:
+            open_keys = cut_lineage(_spread(open_keys.join(nearest, "left_key", "left_anti"), "left_key"))
+    return found
 
 
 def project(

@@ -76,6 +76,19 @@ def test_a_shared_part_brings_no_keys_together(spark):
     assert 20_000 <= pairs.count() < 80 * 20_000  # of 4 * 10**8
 
 
+def test_keys_that_differ_in_few_digits_meet_few_others(spark):
+    """Numbers between a common beginning and a common end, one character lost and another mistaken."""
+    number = F.lpad(F.col("id").cast("string"), 9, "0")
+    keys = spark.range(4_000).select(F.concat(F.lit("https://shop.example/customer/Customer#"), number, F.lit("/orders")).alias("k"))
+    typed = keys.where("k LIKE '%7/orders' AND k LIKE '%2%'").select(F.regexp_replace("k", "7/orders", "/orders").alias("k"))
+    typed = typed.select(F.regexp_replace("k", "2", "z").alias("left_key"))
+    pairs = matching.candidate_pairs(typed, keys.withColumnRenamed("k", "right_key"), 2)
+    near = typed.crossJoin(keys).where(F.levenshtein("left_key", "k", 2) >= 0)
+    n, n_near = pairs.count(), near.count()
+    assert pairs.exceptAll(near).count() == n - n_near and n_near > 1_000
+    assert n < 3 * n_near
+
+
 def test_missing_keys_meet_only_when_asked(spark):
     a = spark.createDataFrame([("x", 1), (None, 2)], "k string, v long")
     b = spark.createDataFrame([("x", 10), (None, 20)], "k string, w long")
