@@ -360,8 +360,10 @@ def smote(
     """
     from tablewright.operators.cleaning import oversample
 
+    # read several times below, while features may be dear
+    df = cut_lineage(df.select(row_id, label, *features))
     point = F.array(*[F.col(c).cast("double") for c in features])
-    rows = cut_lineage(oversample(df.select(row_id, label, *features), [row_id], label, seed))
+    rows = cut_lineage(oversample(df, [row_id], label, seed))
     wanted = rows.where("copy > 0").withColumn("q", point)
     distinct = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("g"), point.alias("p")).agg(
         F.lit(1).cast("bigint").alias("w")

@@ -308,11 +308,13 @@ def fill_knn_wide(spark, folder):
 def smote_wide(spark, folder):
     """Four figures of a text; every made row lies on the line from its base row to a given row of its class."""
     features = ["n_chars", "n_words", "n_lines", "n_kinds"]
-    rows = reviews(spark, folder).where("quality IS NOT NULL").select(
+    # texts are read once, by all tasks however few row groups they come in; their figures are read several times
+    texts = reviews(spark, folder).where("quality IS NOT NULL").select("doc_id", "quality", "n_chars", "text")
+    rows = cut_lineage(texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").select(
         "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), tx.word_count("text").cast("double").alias("n_words"),
         F.regexp_count("text", F.lit("\n")).cast("double").alias("n_lines"),
         F.size(F.array_distinct(F.split("text", ""))).cast("double").alias("n_kinds"),
-    )
+    ))
     balanced = cut_lineage(neighbors.smote(rows, "doc_id", "quality", features, 5))
     # the base row and its neighbours, found again, and how far along each line a made row would lie
     point = F.array(*features)

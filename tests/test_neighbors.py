@@ -162,3 +162,16 @@ def test_blocks_and_few_rows_of_each_cell(spark, monkeypatch):
     for r in sorted(nb.nearest(asked, given, 4, 3).collect(), key=lambda r: r.place):
         got[tuple(r.q)].append(tuple(r.p))
     assert got == {q: sorted(points, key=lambda p: (sum((a - b) ** 2 for a, b in zip(p, q)) ** 0.5, p))[:4] for q in queries}
+
+
+def test_smote_reads_its_rows_once(spark):
+    """Features may be dear, such as figures of texts."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def figure(i):
+        seen.add(1)
+        return float(i * i % 17)
+
+    rows = spark.range(40).select("id", (F.col("id") < 8).cast("int").alias("label"), F.udf(figure, "double")("id").alias("x"))
+    assert nb.smote(rows, "id", "label", ["x"], 3).count() == 64
+    assert seen.value == 40
